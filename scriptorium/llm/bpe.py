@@ -16,9 +16,11 @@ import re
 import unicodedata
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import regex
 
 INFINITY = 1 << 60
+_NONE = np.int32(2**31 - 1)
 WORD_END = "</w>"
 #: Pre-tokens up to this many bytes are merged in one step and remembered.
 SHORT = 64
@@ -26,6 +28,8 @@ SHORT = 64
 STRIDE = 256
 #: Words remembered by a worker before its cache starts afresh.
 CACHE_WORDS = 400_000
+#: Words of up to so many bytes are merged many at a time, and texts are gathered up to so many characters for that.
+BATCH_BYTES, BATCH_CHARS = (8, 16, 32), 1 << 20
 #: Characters of a text that are split into words at a time.
 BLOCK_CHARS = 1 << 20
 
@@ -108,6 +112,96 @@ class Vocabulary:
                 ranks[i] = get(made << 20 | symbols[i + 1], INFINITY)
         return symbols
 
+    @functools.cached_property
+    def _table(self) -> tuple[np.ndarray, np.ndarray, int]:
+        """Pair -> rank as an open-addressing table."""
+        keys = np.fromiter(self.rank, np.int64, len(self.rank))
+        ranks = np.fromiter(self.rank.values(), np.int64, len(self.rank))
+        bits = max(8, (len(keys) * 16).bit_length())
+        slots, values = np.full(1 << bits, -1, np.int64), np.full(1 << bits, _NONE, np.int32)
+        at = self._slot(keys, bits)
+        while len(keys):
+            free = slots[at] == -1
+            slots[at[free]] = keys[free]
+            won = slots[at] == keys
+            values[at[won]] = ranks[won]
+            keys, ranks, at = keys[~won], ranks[~won], (at[~won] + 1) & ((1 << bits) - 1)
+        return slots, values, bits
+
+    @staticmethod
+    def _slot(keys: np.ndarray, bits: int) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64)
+
+    def _ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        slots, values, bits = self._table
+        keys = a.astype(np.int64) << 20 | b
+        at = self._slot(keys, bits)
+        held = slots[at]
+        out = np.where(held == keys, values[at], _NONE)
+        open_ = np.flatnonzero((held != keys) & (held != -1))
+        while len(open_):
+            at[open_] = (at[open_] + 1) & ((1 << bits) - 1)
+            held = slots[at[open_]]
+            hit = held == keys[open_]
+            out[open_[hit]] = values[at[open_[hit]]]
+            open_ = open_[~hit & (held != -1)]
+        return out
+
+    @functools.cached_property
+    def _arrays(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return np.array(self.byte_id, np.int32), np.array(self.final_id, np.int32), np.array(self.product, np.int32)
+
+    def words(self, words: list[bytes]) -> list[list[int]]:
+        """Ids of many pre-tokens; short ones are merged side by side, a merge of each per step."""
+        out: list[list[int]] = [[]] * len(words)
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        low = 0
+        for width in BATCH_BYTES:
+            some = np.flatnonzero((sizes > low) & (sizes <= width))
+            for at in range(0, len(some), 1 << 14):
+                own = some[at : at + (1 << 14)].tolist()
+                for i, ids in zip(own, self._side_by_side([words[i] for i in own], width)):
+                    out[i] = ids
+            low = width
+        for i in np.flatnonzero(sizes > low).tolist():
+            out[i] = self.word(words[i])
+        return out
+
+    def _side_by_side(self, words: list[bytes], width: int) -> list[list[int]]:
+        first, final, product = self._arrays
+        n, columns = len(words), np.arange(width)
+        sizes = np.fromiter(map(len, words), np.int64, n)
+        symbols = np.zeros((n, width + 1), np.int32)
+        data = np.frombuffer(b"".join(words), np.uint8)
+        symbols[:, :width][columns < sizes[:, None]] = first[data]
+        symbols[np.arange(n), sizes - 1] = final[data[np.cumsum(sizes) - 1]]
+        ranks = np.full((n, width + 1), _NONE, np.int32)
+        pairs = columns < sizes[:, None] - 1
+        ranks[:, :width][pairs] = self._ranks(symbols[:, :width][pairs], symbols[:, 1:][pairs])
+        live, done, done_sizes = np.arange(n), symbols.copy(), sizes.copy()
+        while len(live):
+            k = ranks.argmin(axis=1)
+            rows = np.arange(len(k))
+            rank = ranks[rows, k]
+            more = rank != _NONE
+            if not more.all():
+                ended = live[~more]
+                done[ended], done_sizes[ended] = symbols[~more], sizes[~more]
+                live, symbols, ranks, sizes, k, rank = live[more], symbols[more], ranks[more], sizes[more], k[more], rank[more]
+                rows = np.arange(len(k))
+                if not len(live):
+                    break
+            keep = np.arange(width) <= k[:, None]
+            symbols[:, :width] = np.where(keep, symbols[:, :width], symbols[:, 1:])
+            ranks[:, :width] = np.where(keep, ranks[:, :width], ranks[:, 1:])
+            symbols[rows, k] = product[rank]
+            sizes -= 1
+            right = self._ranks(symbols[rows, k], symbols[rows, k + 1])
+            ranks[rows, k] = np.where(k + 1 < sizes, right, _NONE)
+            inner = np.flatnonzero(k > 0)
+            ranks[inner, k[inner] - 1] = self._ranks(symbols[inner, k[inner] - 1], symbols[inner, k[inner]])
+        return [row[:m] for row, m in zip(done.tolist(), done_sizes.tolist())]
+
     def _merge_long(self, symbols: list[int]) -> list[int]:
         n, get = len(symbols), self.rank.get
         after, before, live = list(range(1, n + 1)), list(range(-1, n - 1)), [True] * n
@@ -184,6 +278,21 @@ class Chunks(dict):
         return value
 
 
+    def learn(self, runs: Iterable[list[str]]) -> None:
+        """Works out all unknown short runs together, which is much cheaper than one at a time."""
+        new = [c for c in set().union(*runs).difference(self) if len(c) <= SHORT]
+        if not new:
+            return
+        if len(self) + len(new) > self.most:
+            self.clear()
+        words = [[c] if c.isalpha() else (_ASCII_WORDS if c.isascii() else _WORDS).findall(c) for c in new]
+        distinct = list({w for own in words for w in own})
+        ids = dict(zip(distinct, self.vocabulary.words([w.encode() for w in distinct])))
+        make = self.make
+        for c, own in zip(new, words):
+            self[c] = make(ids[own[0]] if len(own) == 1 else [i for w in own for i in ids[w]])
+
+
 def _blocks(text: str) -> Iterator[str]:
     """The text in blocks that end at white space, so that no word is cut."""
     at = 0
@@ -249,6 +358,31 @@ class TextDecoder:
         return "" if self.joined else self.state.decode(b"", True)
 
 
+def gathered(texts: Iterable[str | None], vocabulary: Vocabulary, caches: list[Chunks]) -> Iterator[list[list[str] | int]]:
+    """The runs of each text, after the caches have learned those of some texts at a time."""
+    held: list[list[list[str] | int]] = []
+    size = 0
+
+    def learned() -> list[list[list[str] | int]]:
+        new = [run for own in held for run in own if not isinstance(run, int)]
+        for cache in caches:
+            cache.learn(new)
+        return held
+
+    for text in texts:
+        if text and len(text) > BATCH_CHARS:  # block by block
+            yield from learned()
+            held, size = [], 0
+            yield runs(text, vocabulary)
+            continue
+        held.append(list(runs(text or "", vocabulary)))
+        size += len(text or "")
+        if size > BATCH_CHARS:
+            yield from learned()
+            held, size = [], 0
+    yield from learned()
+
+
 def encode(text: str | None, vocabulary: Vocabulary) -> Iterator[int]:
     """Ids of a whole text, as a stream; null counts as empty."""
     for run in runs(text or "", vocabulary):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +24,9 @@ def _caches(tokenizer: str):
     class Decoded(bpe.Chunks):
         """Run -> its decoded tokens, from the ids that the other cache holds."""
 
+        def learn(self, runs: Iterable[list[str]]) -> None:
+            pass
+
         def __missing__(self, chunk: str) -> str:
             value = bpe.TextDecoder(vocabulary, joined=True).feed(map(int, ids[chunk].split())) + " "
             if len(chunk) <= bpe.SHORT:
@@ -35,10 +38,10 @@ def _caches(tokenizer: str):
     return vocabulary, ids, Decoded(vocabulary, None)
 
 
-def _digest(text: str | None, tokenizer: str) -> tuple[int, str, str]:
+def _digest(runs: Iterable[list[str] | int], tokenizer: str) -> tuple[int, str, str]:
     vocabulary, id_text, decoded = _caches(tokenizer)
     n, of_ids, of_text, first = 0, hashlib.sha256(), hashlib.sha256(), True
-    for run in bpe.runs(text or "", vocabulary):
+    for run in runs:
         if isinstance(run, int):
             a, b = f"{run} ", vocabulary.token[run] + " "
         else:
@@ -88,8 +91,9 @@ def codec_digests(docs: DataFrame, tokenizer: str = TOKENIZER, id_column: str =
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary, id_text, _ = _caches(tokenizer)
         for batch in batches:
-            rows = [_digest(t.as_py(), tokenizer) for t in batch.column(1)]
+            rows = [_digest(runs, tokenizer) for runs in bpe.gathered((t.as_py() for t in batch.column(1)), vocabulary, [id_text])]
             n, a, b = zip(*rows) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 

@@ -15,8 +15,9 @@ from __future__ import annotations
 
 import functools
 import zlib
+from array import array
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,8 @@ SENTENCE_PENALTY, HARD_PENALTY = 6.0, 12.0
 HARD_STEP = 64
 #: Tokens that are planned together; the last, open sequence goes over to the next plan.
 PLAN_TOKENS = 1 << 19
+#: Words a worker remembers; their values are small here.
+CACHE_WORDS = 800_000
 #: Closes every document.
 END_ID = 1
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -60,10 +63,11 @@ def best_cuts(at: np.ndarray, penalty: np.ndarray, limit: int = LIMIT) -> list[i
     while size <= limit:
         found = np.searchsorted(at, at - size)
         hit = (at >= size) & ((at == size) | (at[np.minimum(found, n - 1)] == at - size))
-        exact.append((size, np.where(hit, np.where(at == size, 0, found + 1), -1)))
+        exact.append(np.where(hit, np.where(at == size, 0, found + 1), -1))
         size *= 2
-    whole = np.stack([x for _, x in exact], axis=1)
-    special = {int(i): [int(j) for j in row if j >= 0] for i, row in zip(np.flatnonzero((whole >= 0).any(axis=1)), whole[(whole >= 0).any(axis=1)])}
+    whole = np.stack(exact, axis=1)
+    special = whole[whole >= 0].tolist()
+    until = [0, *np.cumsum((whole >= 0).sum(axis=1)).tolist()]
     place = [0, *at.tolist()]
     fee = [0.0, *penalty.tolist()]
     best, came = [0.0] * (n + 1), [0] * (n + 1)
@@ -74,7 +78,7 @@ def best_cuts(at: np.ndarray, penalty: np.ndarray, limit: int = LIMIT) -> list[i
             queue.popleft()
         key, j = queue[0]
         value = key + limit - here
-        for k in special.get(i - 1, ()):
+        for k in special[until[i - 1] : until[i]]:
             if best[k] < value:
                 value, j = best[k], k
         value += fee[i]
@@ -136,20 +140,20 @@ class Packer:
 @functools.lru_cache(2)
 def _tools(tokenizer: str):
     vocabulary = bpe.load(tokenizer)
-    pieces = bpe.Chunks(vocabulary, lambda ids: np.array(ids, "<u4").tobytes())
+    pieces = bpe.Chunks(vocabulary, lambda ids: array("I", ids).tobytes(), CACHE_WORDS)
     ends = np.zeros(max(vocabulary.token) + 1, bool)
     for i, t in vocabulary.token.items():
         ends[i] = t.endswith((".</w>", "!</w>", "?</w>"))
     return vocabulary, pieces, ends
 
 
-def document_ids(text: str | None, tokenizer: str = TOKENIZER) -> np.ndarray:
+def document_ids(texts: Iterable[str | None], tokenizer: str = TOKENIZER) -> Iterator[np.ndarray]:
+    """Of each text its ids and the closing one."""
     vocabulary, pieces, _ = _tools(tokenizer)
-    parts = []
-    for run in bpe.runs(text or "", vocabulary):
-        parts.append(np.array([run], "<u4").tobytes() if isinstance(run, int) else b"".join(map(pieces.__getitem__, run)))
-    parts.append(np.array([END_ID], "<u4").tobytes())
-    return np.frombuffer(b"".join(parts), "<u4")
+    end = array("I", [END_ID]).tobytes()
+    for runs in bpe.gathered(texts, vocabulary, [pieces]):
+        parts = [array("I", [run]).tobytes() if isinstance(run, int) else b"".join(map(pieces.__getitem__, run)) for run in runs]
+        yield np.frombuffer(b"".join([*parts, end]), np.uint32)
 
 
 def pack_documents(docs: DataFrame, tokenizer: str = TOKENIZER, limit: int = LIMIT, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -169,8 +173,8 @@ def pack_documents(docs: DataFrame, tokenizer: str = TOKENIZER, limit: int = LIM
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found), kinds)], names=names)
 
         for batch in batches:
-            for doc_id, text_value in zip(batch.column(0), batch.column(1)):
-                if found := packer.add(doc_id.as_py(), document_ids(text_value.as_py(), tokenizer)):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), document_ids((t.as_py() for t in batch.column(1)), tokenizer)):
+                if found := packer.add(doc_id, ids):
                     yield rows(found)
         if found := packer.cut(last=True):
             yield rows(found)

@@ -133,10 +133,14 @@ def count_with_edits(docs: DataFrame, edits: Column, tokenizer: str = TOKENIZER,
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = _counter(tokenizer)
         for batch in batches:
             rows = []
-            for value, changes in zip(batch.column(1), batch.column(2)):
-                tree = CountTree(value.as_py() or "", tokenizer)
+            texts = batch.column(1).to_pylist()
+            for _ in bpe.gathered((t if t and len(t) <= bpe.BATCH_CHARS else "" for t in texts), counts.vocabulary, [counts]):
+                pass
+            for value, changes in zip(texts, batch.column(2)):
+                tree = CountTree(value or "", tokenizer)
                 n, leaves, built = tree.tokens[1], len(tree.leaves), tree.encoded
                 changes = [c for c in changes.as_py() or () if c]
                 for c in changes:
