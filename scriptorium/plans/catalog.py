@@ -1,4 +1,4 @@
-"""Named queries over the reference tables, with their SQL."""
+"""All queries over the given tables, with their SQL."""
 
 from __future__ import annotations
 
@@ -6,5 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+from scriptorium.plans import relations, scalars
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = scalars.QUERIES | relations.QUERIES
+SQL: dict[str, str] = scalars.SQL | relations.SQL
+FLAGSHIP = QUERIES["G09_candidate_terms"]
