@@ -25,8 +25,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Keeps documents in a language; ``und`` (null, or without a letter) goes.  ``lang`` becomes the prediction where it is null."""
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
     langs, model = language_id.fit(base.filter(~language_id.held_out()))
-    out = language_id.predict(docs, langs, model).filter(F.col("__guess.lang_pred") != language_id.UNKNOWN)
-    lang = F.coalesce(F.col("lang"), F.col("__guess.lang_pred"))
+    out = language_id.predict(docs, langs, model).filter(F.col(language_id.PRED) != language_id.UNKNOWN)
+    lang = F.coalesce(F.col("lang"), F.col(language_id.PRED))
     return out.select(*[lang.alias(c) if c == "lang" else F.col(f"`{c}`") for c in docs.columns])
 
 

@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from scriptorium.llm import ppm
 from scriptorium.llm.common import table
@@ -23,6 +24,8 @@ SAMPLE_ROWS, SAMPLE_BYTES = 300, 16_384
 #: Nodes of orders 2 and 3 in the shared tree.
 CONTEXTS = 1 << 14
 UNKNOWN = "und"
+#: Columns that ``predict`` adds, bytes whose likelihoods the share compares, and rows it scores at a time.
+PRED, SCORE, SHARPNESS, SLICE_ROWS = "__lang_pred", "__lang_score", 16, 500
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -59,35 +62,40 @@ def fit(labelled: DataFrame, rows: int = SAMPLE_ROWS, most_bytes: int = SAMPLE_B
     return langs, ppm.build(corpora, CONTEXTS)
 
 
-def predict(docs: DataFrame, langs: list[str], model: ppm.Model, text: str = "text", prefix: str = "") -> DataFrame:
-    """Adds ``lang_pred`` and ``score`` (the language's share of the likelihoods per byte, 0 to 1) to every row.
+def _guess(texts: list[str | None], langs: list[str], model: ppm.Model) -> tuple[list[str], list[float]]:
+    """Language and share of each text; ties go to the first language by name."""
+    pred, score = [UNKNOWN] * len(texts), [0.0] * len(texts)
+    at = [i for i, t in enumerate(texts) if t is not None and langs and has_letter(t)]
+    if at:
+        data = [texts[i].encode() for i in at]
+        bits = model.score(data)
+        per_byte = (bits - bits.min(axis=1, keepdims=True)) / np.array([len(d) for d in data])[:, None]
+        share = np.exp2(-np.minimum(per_byte * SHARPNESS, 500))
+        share /= share.sum(axis=1, keepdims=True)
+        for i, k, own in zip(at, bits.argmin(axis=1).tolist(), share):
+            pred[i], score[i] = langs[k], float(own[k])
+    return pred, score
 
-    Null texts and texts without a letter get ``und`` and 0; ties go to the first language by name; with no
-    language learned everything is ``und``.  Own columns of these names are replaced.
+
+def predict(docs: DataFrame, langs: list[str], model: ppm.Model, text: str = "text") -> DataFrame:
+    """Adds ``PRED`` and ``SCORE`` (the language's share of the likelihoods per byte, 0 to 1) to every row.
+
+    Null texts and texts without a letter get ``und`` and 0, and so does everything if no language was
+    learned.  All other columns pass through; texts are scored in slices of a batch.
     """
     shared = docs.sparkSession.sparkContext.broadcast((langs, model))
+    at = docs.columns.index(text)
+    schema = T.StructType([*docs.schema.fields, T.StructField(PRED, T.StringType()), T.StructField(SCORE, T.DoubleType())])
 
-    @F.pandas_udf(f"{prefix}lang_pred string, {prefix}score double")
-    def guess(texts):
-        import pandas as pd
-
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs, model = shared.value
-        values = [t if isinstance(t, str) and langs and has_letter(t) else None for t in texts]
-        data = [t.encode() for t in values if t is not None]
-        pred, score = [UNKNOWN] * len(values), np.zeros(len(values))
-        if data:
-            bits = model.score(data)
-            per_byte = (bits - bits.min(axis=1, keepdims=True)) / np.array([len(d) for d in data])[:, None]
-            share = np.exp2(-np.minimum(per_byte * 16, 500))
-            share /= share.sum(axis=1, keepdims=True)
-            best = bits.argmin(axis=1)
-            at = [i for i, t in enumerate(values) if t is not None]
-            for i, k in zip(at, best):
-                pred[i] = langs[k]
-            score[at] = share[np.arange(len(best)), best]
-        return pd.DataFrame({f"{prefix}lang_pred": pred, f"{prefix}score": score})
-
-    return docs.withColumn("__guess", guess(F.col(f"`{text}`").cast("string")))
+        for batch in batches:
+            for start in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(start, SLICE_ROWS)
+                pred, score = _guess(part.column(at).to_pylist(), langs, model)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(pred, pa.string()), pa.array(score, pa.float64())], names=[*part.schema.names, PRED, SCORE])
+
+    return docs.mapInArrow(run, schema)
 
 
 def identify(docs: DataFrame, rows: int = SAMPLE_ROWS, id_column: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
@@ -95,7 +103,7 @@ def identify(docs: DataFrame, rows: int = SAMPLE_ROWS, id_column: str = "doc_id"
     base = docs.select(F.col(f"`{id_column}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"), F.col(f"`{lang}`").cast("string").alias("lang"))
     langs, model = fit(base.filter(~held_out()), rows)
     out = predict(base.select("doc_id", "text"), langs, model)
-    return out.select("doc_id", held_out().alias("held_out"), F.col("__guess.lang_pred").alias("lang_pred"), F.col("__guess.score").alias("score"))
+    return out.select("doc_id", held_out().alias("held_out"), F.col(PRED).alias("lang_pred"), F.col(SCORE).alias("score"))
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -36,7 +36,7 @@ HARD_STEP = 64
 #: Tokens that are planned together; the last, open sequence goes over to the next plan.
 PLAN_TOKENS = 1 << 19
 #: Words a worker remembers; their values are small here.
-CACHE_WORDS = 800_000
+CACHE_WORDS = 500_000
 #: Closes every document.
 END_ID = 1
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
