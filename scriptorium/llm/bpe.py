@@ -68,8 +68,27 @@ class Vocabulary:
             self.product.append(ids[a + b])
             self.parts.setdefault(ids[a + b], (ids[a], ids[b]))
             self.rules.append((ids[a], ids[b]))
+        self._steps = {k: spec.get(k) for k in ("normalizer", "pre_tokenizer")}
         self.special_pattern = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
 
+    @functools.cached_property
+    def library(self):
+        """The library's own normaliser and splitter, for code points that Python's Unicode tables do not hold yet."""
+        from tokenizers import Tokenizer
+
+        empty = {"type": "BPE", "vocab": {}, "merges": []}
+        return Tokenizer.from_str(json.dumps({"version": "1.0", "added_tokens": [], "model": empty, "post_processor": None, "decoder": None, **self._steps}))
+
+    def split(self, chunk: str) -> list[bytes]:
+        """Pre-tokens of a normalised run without white space."""
+        if chunk.isalpha():
+            return [chunk.encode()]
+        if chunk.isascii():
+            return [w.encode() for w in _ASCII_WORDS.findall(chunk)]
+        if unassigned(chunk):
+            return [bytes(self.byte_of[c] for c in piece) for piece, _ in self.library.pre_tokenizer.pre_tokenize_str(chunk)]
+        return [w.encode() for w in _WORDS.findall(chunk)]
+
     @functools.cached_property
     def length(self) -> dict[int, int]:
         """Bytes of each token."""
@@ -246,10 +265,7 @@ class Vocabulary:
 
     def chunk(self, chunk: str) -> list[int]:
         """Ids of a normalised run without white space."""
-        if chunk.isalpha():
-            return self.word(chunk.encode())
-        words = (_ASCII_WORDS if chunk.isascii() else _WORDS).findall(chunk)
-        return [i for w in words for i in self.word(w.encode())]
+        return [i for w in self.split(chunk) for i in self.word(w)]
 
 
 @functools.lru_cache(4)
@@ -277,7 +293,6 @@ class Chunks(dict):
             self[chunk] = value
         return value
 
-
     def learn(self, runs: Iterable[list[str]]) -> None:
         """Works out all unknown short runs together, which is much cheaper than one at a time."""
         new = [c for c in set().union(*runs).difference(self) if len(c) <= SHORT]
@@ -285,9 +300,9 @@ class Chunks(dict):
             return
         if len(self) + len(new) > self.most:
             self.clear()
-        words = [[c] if c.isalpha() else (_ASCII_WORDS if c.isascii() else _WORDS).findall(c) for c in new]
+        words = [self.vocabulary.split(c) for c in new]
         distinct = list({w for own in words for w in own})
-        ids = dict(zip(distinct, self.vocabulary.words([w.encode() for w in distinct])))
+        ids = dict(zip(distinct, self.vocabulary.words(distinct)))
         make = self.make
         for c, own in zip(new, words):
             self[c] = make(ids[own[0]] if len(own) == 1 else [i for w in own for i in ids[w]])
@@ -305,8 +320,20 @@ def _blocks(text: str) -> Iterator[str]:
     yield text[at:] if at else text
 
 
-def _normal(text: str) -> list[str]:
+@functools.cache
+def _unassigned_table() -> np.ndarray:
+    return np.fromiter((unicodedata.category(chr(c)) == "Cn" for c in range(0x110000)), bool, 0x110000)
+
+
+def unassigned(text: str) -> bool:
+    """Whether a code point is unknown to Python's Unicode tables; the library may know a later version's."""
+    return bool(_unassigned_table()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)].any())
+
+
+def _normal(text: str, vocabulary: Vocabulary) -> list[str]:
     if not text.isascii():
+        if unassigned(text):
+            return [c for c in _SEPARATORS.split(vocabulary.library.normalizer.normalize_str(text)) if c]
         # A per-character mapping has no final sigma.
         text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
     text = text.lower()
@@ -323,9 +350,9 @@ def runs(text: str, vocabulary: Vocabulary) -> Iterator[list[str] | int]:
                 if k % 2:
                     yield vocabulary.special[part]
                 elif part:
-                    yield _normal(part)
+                    yield _normal(part, vocabulary)
         else:
-            yield _normal(block)
+            yield _normal(block, vocabulary)
 
 
 class TextDecoder:

@@ -27,6 +27,14 @@ def test_random_words_equal_the_library(library):
         assert list(bpe.encode(text, vocabulary)) == library.encode(text, add_special_tokens=False).ids
 
 
+def test_any_code_points_equal_the_library(library):
+    rnd, vocabulary = random.Random(5), bpe.load(NAME)
+    texts = ["".join(chr(rnd.randint(0x20, 0x2FFF)) for _ in range(60)) for _ in range(300)]
+    texts += ["".join(chr(rnd.choice([rnd.randint(0x20, 0xD7FF), rnd.randint(0xE000, 0x1FFFF), 0x301, 0x130])) for _ in range(60)) for _ in range(300)]
+    for text in texts:
+        assert list(bpe.encode(text, vocabulary)) == library.encode(text, add_special_tokens=False).ids
+
+
 def test_stream_holds_little_and_emits_early():
     vocabulary, seen = bpe.load(NAME), 0
 
