@@ -85,7 +85,7 @@ class Vocabulary:
             return [chunk.encode()]
         if chunk.isascii():
             return [w.encode() for w in _ASCII_WORDS.findall(chunk)]
-        if unassigned(chunk):
+        if not chunk.isprintable() and unassigned(chunk):
             return [bytes(self.byte_of[c] for c in piece) for piece, _ in self.library.pre_tokenizer.pre_tokenize_str(chunk)]
         return [w.encode() for w in _WORDS.findall(chunk)]
 
@@ -295,12 +295,15 @@ class Chunks(dict):
 
     def learn(self, runs: Iterable[list[str]]) -> None:
         """Works out all unknown short runs together, which is much cheaper than one at a time."""
-        new = [c for c in set().union(*runs).difference(self) if len(c) <= SHORT]
+        seen = set().union(*runs)
+        new = [c for c in seen.difference(self) if len(c) <= SHORT]
         if not new:
             return
-        if len(self) + len(new) > self.most:
+        if len(self) + len(new) > self.most:  # the words at hand stay, as these are the frequent ones
+            held = {c: self[c] for c in seen.intersection(self)}
             self.clear()
-        words = [self.vocabulary.split(c) for c in new]
+            self.update(held)
+        words = [[c.encode()] if c.isalpha() else self.vocabulary.split(c) for c in new]
         distinct = list({w for own in words for w in own})
         ids = dict(zip(distinct, self.vocabulary.words(distinct)))
         make = self.make

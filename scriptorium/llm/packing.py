@@ -44,14 +44,17 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 
 def candidates(doc_ends: np.ndarray, sentence_ends: np.ndarray, total: int) -> tuple[np.ndarray, np.ndarray]:
     """Positions where a cut may fall, and their penalties; no two neighbours are more than HARD_STEP apart."""
-    at = np.union1d(doc_ends, sentence_ends)
+    fee = np.full(total + 1, HARD_PENALTY)
+    offered = np.zeros(total + 1, bool)
+    for ends, cost in ((sentence_ends, SENTENCE_PENALTY), (doc_ends, 0.0)):
+        offered[ends] = True
+        fee[ends] = cost
+    at = np.flatnonzero(offered)
     gaps = np.diff(at, prepend=0)
-    wide = np.flatnonzero(gaps > HARD_STEP)
-    hard = [np.arange(at[i] - gaps[i] + HARD_STEP, at[i], HARD_STEP) for i in wide]
-    at = np.union1d(at, np.concatenate(hard)) if hard else at
-    penalty = np.full(len(at), HARD_PENALTY)
-    penalty[np.isin(at, sentence_ends)] = SENTENCE_PENALTY
-    penalty[np.isin(at, doc_ends)] = 0.0
+    for i in np.flatnonzero(gaps > HARD_STEP):
+        offered[at[i] - gaps[i] + HARD_STEP : at[i] : HARD_STEP] = True
+    at = np.flatnonzero(offered)
+    penalty = fee[at]
     return at.astype(np.int64), penalty
 
 
