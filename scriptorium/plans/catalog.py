@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scriptorium.plans import matching, relations, scalars
+from scriptorium.plans import matching, relations, scalars, script
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = scalars.QUERIES | relations.QUERIES | matching.QUERIES
-SQL: dict[str, str] = scalars.SQL | relations.SQL | matching.SQL
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = scalars.QUERIES | relations.QUERIES | matching.QUERIES | script.QUERIES
+SQL: dict[str, str] = scalars.SQL | relations.SQL | matching.SQL | script.SQL
 FLAGSHIP = QUERIES["G09_candidate_terms"]
