@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scriptorium.plans import matching, relations, reports, scalars, script, selection
+from scriptorium.plans import matching, relations, rendering, reports, rules, scalars, script, selection
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = scalars.QUERIES | relations.QUERIES | matching.QUERIES | script.QUERIES | selection.QUERIES | reports.QUERIES
-SQL: dict[str, str] = scalars.SQL | relations.SQL | matching.SQL | script.SQL | selection.SQL | reports.SQL
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = scalars.QUERIES | relations.QUERIES | matching.QUERIES | script.QUERIES | selection.QUERIES | reports.QUERIES | rules.QUERIES | rendering.QUERIES
+SQL: dict[str, str] = scalars.SQL | relations.SQL | matching.SQL | script.SQL | selection.SQL | reports.SQL | rules.SQL | rendering.SQL
 FLAGSHIP = QUERIES["G09_candidate_terms"]
