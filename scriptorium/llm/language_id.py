@@ -16,11 +16,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scriptorium.llm import ppm
-from scriptorium.llm.common import table
+from scriptorium.llm.common import Written, table
 
 #: Labelled rows a language is learned from (those whose id hashes lowest), and whole bytes read of them:
 #: rows whose text is longer than SAMPLE_BYTES are not drawn.  This bounds fitting at any corpus size.
 SAMPLE_ROWS, SAMPLE_BYTES = 300, 16_384
+#: Of each language so many times its sample, by expectation, is ranked; the rest is left out before the shuffle.
+RANKED = 4
 #: Nodes of orders 2 and 3 in the shared tree.
 CONTEXTS = 1 << 14
 UNKNOWN = "und"
@@ -39,9 +41,16 @@ def has_letter(text: str) -> bool:
 
 
 def fit(labelled: DataFrame, rows: int = SAMPLE_ROWS, most_bytes: int = SAMPLE_BYTES) -> tuple[list[str], ppm.Model]:
-    """Languages and their frozen model, from columns ``doc_id, text, lang``."""
+    """Languages and their frozen model, from columns ``doc_id, text, lang``.
+
+    The rows of a language are counted first, which tells below which hash its lowest rows lie; only those
+    are ranked, so what one task ranks does not grow with the input.
+    """
     some = labelled.filter(F.col("text").isNotNull() & F.col("lang").isNotNull() & (F.octet_length("text") <= most_bytes))
-    ranked = some.select("doc_id", "lang", "text").withColumn("at", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", "text"), "text")))
+    sizes = Written(some.groupBy("lang").agg(F.count("*").alias("size")), "languages")
+    place = F.col("hash").cast("double") / 2.0**64 + 0.5
+    low = some.select("doc_id", "lang", "text", F.xxhash64("doc_id", "text").alias("hash")).join(sizes.side(), "lang").filter(place * F.col("size") <= RANKED * rows)
+    ranked = low.withColumn("at", F.row_number().over(Window.partitionBy("lang").orderBy("hash", "text")))
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: dict[str, list] = {}
