@@ -240,13 +240,19 @@ def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     columns = [c.split()[0] for c in OPS.split(", ")]
     for batch in batches:
         for path, content in zip(batch["path"], batch["content"]):
+            if content is None:
+                continue
             yield pd.DataFrame([(path, *row) for row in read_file(bytes(content))], columns=columns)
 
 
 def text_ops(spark: SparkSession, path: str) -> DataFrame:
-    """Text operations of all PDF files below a path, glyphs repaired, with the styles that their fonts' names tell."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.{pdf,PDF}").load(path).select("path", "content")
-    ops = files.mapInPandas(_read, OPS)
+    """Text operations of all PDF files below a path."""
+    return parse(spark.read.format("binaryFile").option("pathGlobFilter", "*.{pdf,PDF}").load(path))
+
+
+def parse(files: DataFrame) -> DataFrame:
+    """Text operations of ``path, content``, glyphs repaired, with the styles that their fonts' names tell."""
+    ops = files.select("path", "content").mapInPandas(_read, OPS)
     styles = F.array_sort(F.array_distinct(F.filter(F.flatten(F.transform("font_names", lambda n: F.split(script.font_styles(n), ","))), lambda x: x != "")))
     return ops.withColumn("text", script.repair_glyphs(F.col("text"))).withColumn("styles", styles).drop("font_names")
 
