@@ -14,6 +14,8 @@ from scriptorium.llm.common import Written, table
 
 #: SQL can express neither the models nor the tokenizer.
 ORACLE_SQL = None
+#: Words that a packing worker remembers: fewer than alone, since the same workers run the other stages.
+PACKING_WORDS = 100_000
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -62,7 +64,7 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(docs)
+    return packing.pack_documents(docs, cache_words=PACKING_WORDS)
 
 
 STAGES = [

@@ -141,25 +141,25 @@ class Packer:
 
 
 @functools.lru_cache(2)
-def _tools(tokenizer: str):
+def _tools(tokenizer: str, cache_words: int = CACHE_WORDS):
     vocabulary = bpe.load(tokenizer)
-    pieces = bpe.Chunks(vocabulary, lambda ids: array("I", ids).tobytes(), CACHE_WORDS)
+    pieces = bpe.Chunks(vocabulary, lambda ids: array("I", ids).tobytes(), cache_words)
     ends = np.zeros(max(vocabulary.token) + 1, bool)
     for i, t in vocabulary.token.items():
         ends[i] = t.endswith((".</w>", "!</w>", "?</w>"))
     return vocabulary, pieces, ends
 
 
-def document_ids(texts: Iterable[str | None], tokenizer: str = TOKENIZER) -> Iterator[np.ndarray]:
+def document_ids(texts: Iterable[str | None], tokenizer: str = TOKENIZER, cache_words: int = CACHE_WORDS) -> Iterator[np.ndarray]:
     """Of each text its ids and the closing one."""
-    vocabulary, pieces, _ = _tools(tokenizer)
+    vocabulary, pieces, _ = _tools(tokenizer, cache_words)
     end = array("I", [END_ID]).tobytes()
     for runs in bpe.gathered(texts, vocabulary, [pieces]):
         parts = [array("I", [run]).tobytes() if isinstance(run, int) else b"".join(map(pieces.__getitem__, run)) for run in runs]
         yield np.frombuffer(b"".join([*parts, end]), np.uint32)
 
 
-def pack_documents(docs: DataFrame, tokenizer: str = TOKENIZER, limit: int = LIMIT, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str = TOKENIZER, limit: int = LIMIT, id_column: str = "doc_id", text: str = "text", cache_words: int = CACHE_WORDS) -> DataFrame:
     """One row per piece of a document.
 
     Null and empty texts are the closing id alone; null ids and repeated rows are documents of their own;
@@ -168,7 +168,7 @@ def pack_documents(docs: DataFrame, tokenizer: str = TOKENIZER, limit: int = LIM
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = Packer(TaskContext.get().partitionId() << 40, _tools(tokenizer)[2], limit)
+        packer = Packer(TaskContext.get().partitionId() << 40, _tools(tokenizer, cache_words)[2], limit)
 
         def rows(found: list[tuple]) -> pa.RecordBatch:
             kinds = [pa.int64()] * 7
@@ -176,7 +176,7 @@ def pack_documents(docs: DataFrame, tokenizer: str = TOKENIZER, limit: int = LIM
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found), kinds)], names=names)
 
         for batch in batches:
-            for doc_id, ids in zip(batch.column(0).to_pylist(), document_ids((t.as_py() for t in batch.column(1)), tokenizer)):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), document_ids((t.as_py() for t in batch.column(1)), tokenizer, cache_words)):
                 if found := packer.add(doc_id, ids):
                     yield rows(found)
         if found := packer.cut(last=True):

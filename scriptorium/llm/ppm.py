@@ -46,6 +46,9 @@ def merge_counts(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray
     keys, where = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
     return keys, np.bincount(where, np.concatenate([n for _, n in parts]), len(keys)).astype(np.int64)
 
+#: Bytes scored at a time; their arrays take about 30 bytes each and some more per model.
+SCORED_BYTES = 1 << 18
+
 
 class Counts:
     """Counts of one corpus by order: order k has keys of k + 1 bytes; order 3 may hold only some contexts."""
@@ -81,7 +84,7 @@ class Model:
         start, held = 0, 0
         for i, t in enumerate(texts):
             held += len(t)
-            if held > 1 << 21 or i + 1 == len(texts):
+            if held > SCORED_BYTES or i + 1 == len(texts):
                 self._score(texts[start : i + 1], out[start : i + 1])
                 start, held = i + 1, 0
         return out
@@ -90,7 +93,7 @@ class Model:
         buffer, bounds = _batch(texts)
         a = int(self.code.max()) + 1
         c = self.code[buffer]
-        step = 1 << 22
+        step = SCORED_BYTES
         for at in range(0, max(0, len(c) - ORDER), step):
             d = c[at : at + step + ORDER]
             node = self.row[(d[:-3] * a + d[1:-2]) * a + d[2:-1]]
