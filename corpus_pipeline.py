@@ -6,7 +6,7 @@ Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept,
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scriptorium.llm import exact_dedup, language_id, packing, simhash, suffix_dedup
@@ -18,9 +18,15 @@ ORACLE_SQL = None
 PACKING_WORDS = 100_000
 
 
+def _key(doc_id: Column, sha: Column) -> Column:
+    """Digest of an id (or that it is null) and of the hex SHA-256 of a text: rows of one key are equal in id and text."""
+    return F.unhex(F.sha2(F.concat_ws(":", F.coalesce(doc_id.cast("long").cast("string"), F.lit("null")), sha), 256))
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
-    """Rows with the one key that operators' results are joined by; rows of one key are equal in id and text."""
-    return docs.select(F.struct("*").alias("row"), F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))).alias("key_id"))
+    """Rows with the key that operators' results are joined by; null texts equal the empty text."""
+    sha = F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)
+    return docs.select(F.struct("*").alias("row"), _key(F.col("doc_id"), sha).alias("key"))
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,29 +38,36 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return out.select(*[lang.alias(c) if c == "lang" else F.col(f"`{c}`") for c in docs.columns])
 
 
-def _kept(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """Rows whose id is not among ``dropped (key_id)``; the side is broadcast only if it was measured small."""
-    gone = Written(dropped.distinct(), "dropped")
-    return _keyed(docs).join(gone.side(), "key_id", "left_anti").select("row.*")
+def _kept(docs: DataFrame, dropped: DataFrame, repeated: DataFrame) -> DataFrame:
+    """Rows whose key is not among ``dropped (key)``, and of rows with one key among ``repeated (key)`` the first.
+
+    A side is broadcast only if it was measured small.
+    """
+    gone, again = Written(dropped.distinct(), "dropped"), Written(repeated, "again")
+    keyed = _keyed(docs).join(gone.side(), "key", "left_anti")
+    once = keyed.join(again.side(), "key", "left_anti")
+    first = keyed.join(again.side(), "key", "left_semi").dropDuplicates(["key"])
+    return once.union(first).select("row.*")
+
+
+def _repeated(keys: DataFrame) -> DataFrame:
+    return keys.groupBy("key").count().filter("count > 1").select("key")
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest id stays; of rows that repeat it, id and text, one does."""
-    found = Written(exact_dedup.exact_duplicates(docs), "found").df
-    key = F.coalesce("doc_id", F.lit(-(1 << 63))).alias("key_id")
-    out = _kept(docs, found.filter(~F.col("kept")).select(key))
-    again = Written(found.filter("kept").groupBy(key).count().filter("count > 1").select("key_id"), "again")
-    keyed = _keyed(out)
-    once = keyed.join(again.side(), "key_id", "left_anti")
-    first = keyed.join(again.side(), "key_id", "left_semi").withColumn("text", F.coalesce("row.text", F.lit("")))
-    return once.union(first.dropDuplicates(["key_id", "text"]).select("key_id", "row")).select("row.*")
+    found = exact_dedup.exact_duplicates(docs).filter("group_size > 1")
+    found = Written(found.select(_key(F.col("doc_id"), F.col("text_sha256")).alias("key"), "kept"), "found").df
+    return _kept(docs, found.filter(~F.col("kept")).select("key"), _repeated(found.filter("kept")))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each SimHash component the document with the smallest id stays."""
-    found = simhash.near_duplicates(docs)
-    dropped = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("key_id"))
-    return _kept(docs, dropped)
+    """Of each SimHash component one row stays: that with the smallest id (a null id last), then with the smallest key."""
+    keyed = _keyed(docs).select(F.col("row.doc_id").alias("doc_id"), F.col("row.text").alias("text"), "key")
+    found = Written(simhash.members(keyed, carried=["key"]).filter("root is not null").select("root", "doc_id", "key"), "members").df
+    first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key"))["key"].alias("first"))
+    found = found.join(first, "root").select("key", (F.col("key") == F.col("first")).alias("kept"))
+    return _kept(docs, found.filter(~F.col("kept")).select("key"), _repeated(found.filter("kept")))
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ found in one, those of a spanning forest are kept.  Equal fingerprints are one e
 from __future__ import annotations
 
 import itertools
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -66,15 +66,15 @@ def fingerprint(text: str | None, width: int = SHINGLE_WORDS) -> int:
     return int(sum(1 << k for k in np.flatnonzero(2 * ones > n).tolist()))
 
 
-def fingerprints(docs: DataFrame, width: int = SHINGLE_WORDS) -> DataFrame:
-    """``doc_id, fp`` (the 64 bits as a signed long) from columns ``doc_id, text``."""
+def fingerprints(docs: DataFrame, width: int = SHINGLE_WORDS, carried: Sequence[str] = ()) -> DataFrame:
+    """``doc_id, fp`` (the 64 bits as a signed long) and binary columns ``carried``, from columns ``doc_id, text`` and those."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             prints = np.array([fingerprint(t.as_py(), width) for t in b.column(1)], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(prints.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(prints.view(np.int64)), *b.columns[2:]], names=["doc_id", "fp", *carried])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fp long")
+    return docs.select("doc_id", "text", *carried).mapInArrow(run, ", ".join(["doc_id long, fp long", *(f"{c} binary" for c in carried)]))
 
 
 def _signed(mask: int) -> int:
@@ -193,24 +193,32 @@ def components(edges: DataFrame) -> DataFrame:
     return stars.select(F.col("u").alias("node"), F.col("v").alias("root")).union(stars.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
-def near_duplicates(docs: DataFrame, width: int = SHINGLE_WORDS, most_bits: int = MOST_BITS, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per input row: ``doc_id, fingerprint`` (16 hex digits), ``component_id`` (smallest id reachable).
+def members(base: DataFrame, width: int = SHINGLE_WORDS, most_bits: int = MOST_BITS, carried: Sequence[str] = ()) -> DataFrame:
+    """``doc_id, fp, carried, root, component`` of every row of ``base (doc_id, text, carried)``.
 
-    Null and wordless texts have fingerprint zero and link like any other.  A null id takes part but is no
-    component's smallest unless all its ids are null; repeated rows give a row each; empty tables give
-    none; other columns are not read.
+    ``root`` is one fingerprint per component, null for a row that is alone; ``component`` is its smallest id.
     """
-    base = docs.select(F.col(f"`{id_column}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
-    rows = Written(fingerprints(base, width), "prints")
+    rows = Written(fingerprints(base, width, carried), "prints")
     prints = Written(rows.df.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")), "index")
     edges = Written(links(prints.df.select("fp"), most_bits), "links")
     stars = Written(components(edges.df), "components")
     ids = stars.df.join(prints.df, stars.df["node"] == prints.df["fp"]).select("node", "root", "least")
     roots = ids.groupBy("root").agg(F.min("least").alias("component"))
-    linked = ids.join(roots, "root").select(F.col("node").alias("fp"), "component")
-    alone = prints.df.filter("n > 1").join(stars.df.select(F.col("node").alias("fp")), "fp", "left_anti").select("fp", F.col("least").alias("component"))
+    linked = ids.join(roots, "root").select(F.col("node").alias("fp"), "root", "component")
+    alone = prints.df.filter("n > 1").join(stars.df.select(F.col("node").alias("fp")), "fp", "left_anti").select("fp", F.col("fp").alias("root"), F.col("least").alias("component"))
     classes = Written(linked.union(alone), "classes")
-    out = rows.df.join(classes.side(), "fp", "left")
+    return rows.df.join(classes.side(), "fp", "left")
+
+
+def near_duplicates(docs: DataFrame, width: int = SHINGLE_WORDS, most_bits: int = MOST_BITS, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per input row: ``doc_id, fingerprint`` (16 hex digits), ``component_id`` (smallest id reachable).
+
+    Null and wordless texts have fingerprint zero and link like any other.  A null id takes part but is no
+    component's smallest unless all its ids are null; repeated rows give a row each; empty tables give
+    none; other columns are not read.
+    """
+    base = docs.select(F.col(f"`{id_column}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
+    out = members(base, width, most_bits)
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.coalesce("component", "doc_id").alias("component_id"))
 
 

@@ -26,6 +26,24 @@ def test_stages_on_odd_rows(spark, docs, rows, none):
         assert stage(spark, none, None).count() == 0
 
 
+def test_rows_without_an_id_of_their_own(spark):
+    """Null ids, one id on several texts, and the id that once stood for null: only copies go."""
+    texts = ["".join(chr(97 + (7 * i + k * k) % 26) + " " * (k % 4 == 3) for k in range(160)) for i in range(8)]
+    least = -(1 << 63)
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    made = lambda rows: spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], schema).repartition(3)
+    left = lambda stage, rows: sorted(((r["doc_id"], r["text"]) for r in stage(spark, made(rows), None).collect()), key=str)
+    a, b, c, d, e, f, *_ = texts
+    rows = [(None, a), (None, b), (None, b), (None, c), (5, c), (7, a), (7, d), (9, a), (None, e), (least, e), (least, f), (None, f + " x")]
+    want = [(None, b), (5, c), (7, d), (9, a), (least, e), (least, f), (None, f + " x")]
+    assert left(corpus_pipeline.drop_exact_copies, rows) == sorted(want, key=str)
+    near = lambda t: t.upper()  # the same words, so the same fingerprint
+    rows = [(None, a), (None, near(a)), (None, b), (4, near(b)), (None, c), (7, d), (7, near(d)), (7, e), (3, near(e)), (7, f), (7, f)]
+    got = left(corpus_pipeline.drop_near_copies, rows)
+    assert sorted(t.lower() for _, t in got) == sorted([a, b, c, d, e, f])
+    assert {(4, near(b)), (None, c), (3, near(e)), (7, f)} < set(got)
+
+
 def test_run(spark, sf_dir):
     assert corpus_pipeline.run(spark, sf_dir).count() > 100
 
