@@ -77,6 +77,7 @@ class Model:
     code: np.ndarray  # byte -> symbol code; the last code stands for all bytes never seen
     row: np.ndarray
     bits: np.ndarray  # (nodes * symbols, models)
+    deep: int = 0  # first node of the longest contexts
 
     def score(self, texts: list[bytes]) -> np.ndarray:
         """Bits of each text under each model; whole texts, in slices of bounded size."""
@@ -89,7 +90,19 @@ class Model:
                 start, held = i + 1, 0
         return out
 
-    def _score(self, texts: list[bytes], out: np.ndarray) -> None:
+    def split(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Bits of each text over the symbols whose longest context is a node, and the others as grams: text, gram, times."""
+        out = np.zeros((len(texts), self.bits.shape[1]))
+        start, held, rest = 0, 0, []
+        for i, t in enumerate(texts):
+            held += len(t)
+            if held > SCORED_BYTES or i + 1 == len(texts):
+                self._score(texts[start : i + 1], out[start : i + 1], rest, start)
+                start, held = i + 1, 0
+        keys, times = merge_counts(rest)
+        return out, (keys >> 32).astype(np.int64), keys & 0xFFFFFFFF, times
+
+    def _score(self, texts: list[bytes], out: np.ndarray, rest: list | None = None, first: int = 0) -> None:
         buffer, bounds = _batch(texts)
         a = int(self.code.max()) + 1
         c = self.code[buffer]
@@ -98,6 +111,15 @@ class Model:
             d = c[at : at + step + ORDER]
             node = self.row[(d[:-3] * a + d[1:-2]) * a + d[2:-1]]
             bits = self.bits[node * a + d[3:]]
+            if rest is not None:
+                short = np.flatnonzero(node < self.deep)
+                bits[short] = 0
+                where = at + short
+                which = np.searchsorted(bounds[:, 1] - ORDER, where, "right")
+                inside = where >= np.append(bounds[:, 0], len(buffer) + ORDER)[which] - ORDER
+                where, which = where[inside], which[inside]
+                gram = sum(buffer[where + k].astype(np.int64) << 8 * (ORDER - k) for k in range(ORDER + 1))
+                rest.append(np.unique((first + which) << 32 | gram, return_counts=True))
             lo = np.clip(bounds[:, 0] - ORDER - at, 0, len(bits))
             hi = np.clip(bounds[:, 1] - ORDER - at, 0, len(bits))
             some = np.flatnonzero(hi > lo)
@@ -162,7 +184,70 @@ def build(corpora: list[Counts], most_contexts: int = 1 << 16) -> Model:
                 contexts = nodes[order][at : at + 4096]
                 bits[first + at : first + at + len(contexts), :, m] = _code_lengths([counts(k, contexts % a**k) for k in range(order, -1, -1)], code_of_other, others)
             first += len(nodes[order])
-    return Model(code, row.reshape(-1), bits.reshape(total * a, len(corpora)))
+    return Model(code, row.reshape(-1), bits.reshape(total * a, len(corpora)), base + len(nodes[2]))
+
+
+def _runs(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values of sorted ``keys`` and the sums of ``n`` over each."""
+    starts = np.flatnonzero(np.diff(keys, prepend=-1))
+    return keys[starts], np.add.reduceat(n, starts) if len(starts) else np.empty(0)
+
+
+def _at(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """``values`` at ``wanted`` among sorted ``keys``; zero where a key is absent."""
+    at = np.searchsorted(keys, wanted)
+    found = at < len(keys)
+    found[found] = keys[at[found]] == wanted[found]
+    out = np.zeros(len(wanted))
+    out[found] = values[at[found]]
+    return out
+
+
+class Grams:
+    """Code lengths straight from counts, for contexts too many to be nodes of a model.
+
+    ``grams`` are all those whose contexts' last two bytes are of some group; ``pairs`` and ``singles`` are
+    all counts of orders 1 and 0.  Symbols of a context are symbols of its suffixes too, so what exclusion
+    takes from a suffix's counts is a sum over the symbols of the longer context.
+    """
+
+    def __init__(self, grams: np.ndarray, n: np.ndarray, pairs: np.ndarray, singles: np.ndarray):
+        order = np.argsort(grams, kind="stable")
+        self.grams, self.n = [grams[order]], [n[order].astype(np.float64)]
+        low = self.grams[0] & 0xFFFFFF
+        order = np.argsort(low, kind="stable")
+        short, own = _runs(low[order], self.n[0][order])
+        self.grams.append(short)
+        self.n.append(own)
+        taken = [_at(short, own, low), pairs[short >> 8 & 255, short & 255]]
+        self.contexts = []  # per order 3 and 2: contexts, their counts, distinct symbols, and what exclusion takes below
+        for keys, n_of, below in zip(self.grams, self.n, taken):
+            contexts, whole = _runs(keys >> 8, n_of)
+            self.contexts.append((contexts, whole, _runs(keys >> 8, np.ones(len(keys)))[1], _runs(keys >> 8, below)[1]))
+        self.pairs, self.singles = pairs, singles
+        self.ones = (pairs.sum(axis=1), (pairs > 0).sum(axis=1), (pairs > 0) @ singles)
+
+    def bits(self, wanted: np.ndarray) -> np.ndarray:
+        """Bits of each gram: its symbol in its context of three bytes."""
+        levels = []
+        for k, mask in enumerate((0xFFFFFFFF, 0xFFFFFF)):
+            keys = wanted & mask
+            levels.append((_at(self.grams[k], self.n[k], keys), *(_at(self.contexts[k][0], v, keys >> 8) for v in self.contexts[k][1:])))
+        last, symbol = wanted >> 8 & 255, wanted & 255
+        levels.append((self.pairs[last, symbol], *(v[last] for v in self.ones)))
+        levels.append((self.singles[symbol], self.singles.sum(), (self.singles > 0).sum(), 0))
+        out, spent, coded = np.zeros(len(wanted)), np.zeros(len(wanted)), np.zeros(len(wanted), bool)
+        gone, known = 0, 0  # counts and distinct symbols that longer contexts exclude
+        with np.errstate(divide="ignore", invalid="ignore"):
+            for n, whole, distinct, below in levels:
+                fresh = distinct - known
+                total = whole - gone + fresh
+                here = ~coded & (n > 0)
+                out = np.where(here, spent + np.log2(total) - np.log2(n), out)
+                coded |= here
+                spent = spent + np.where(fresh > 0, np.log2(total) - np.log2(fresh), 0)
+                gone, known = below, distinct
+        return np.where(coded, out, spent + np.log2(max(256 - int((self.singles > 0).sum()), 1)))
 
 
 def _code_lengths(levels: list[np.ndarray], other: int, others: int) -> np.ndarray:

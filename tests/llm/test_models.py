@@ -95,6 +95,40 @@ def test_rare_words_meet_their_counts(docs, monkeypatch):
     assert [g[5] for g in got] == pytest.approx([w[5] for w in want])
 
 
+def test_grams_equal_the_plain_coder():
+    rnd = np.random.default_rng(6)
+    train = [bytes(rnd.integers(97, 104, 60).tolist()) for _ in range(30)]
+    plain = ppm.Adaptive()
+    for t in train:
+        plain.bits(t)
+    counts = counts_of(train)
+    singles, pairs = np.zeros(256), np.zeros(1 << 16)
+    singles[counts.by_order[0][0]], pairs[counts.by_order[1][0]] = counts.by_order[0][1], counts.by_order[1][1]
+    grams = ppm.Grams(*counts.by_order[3], pairs.reshape(256, 256), singles)
+    model = ppm.build([counts], most_contexts=20)
+    for t in (train[0], b"abcgfz", b"xyzxyz", b"", b"a", b"\xffabc\xfe"):
+        bits, which, gram, times = model.split([b"abc", t])
+        assert len(gram) or not t
+        rare = np.bincount(which, times * grams.bits(gram), 2)
+        assert (bits[:, 0] + rare).tolist() == pytest.approx([plain.bits(b"abc", learn=False), plain.bits(t, learn=False)], rel=1e-5)
+
+
+@pytest.mark.parametrize("share", [40, 2000])
+def test_rare_contexts_meet_their_counts(spark, monkeypatch, share):
+    """Contexts below the share of what is sent to executors count as whole as the others, in every text."""
+    rnd = np.random.default_rng(8)
+    texts = ["".join(map(chr, rnd.choice(24, rnd.integers(1, 200), p=np.arange(24, 0, -1) / 300) + 97)) for _ in range(150)] + ["", None, "é zz", "abc" * 50]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    plain = ppm.Adaptive()
+    for i, t in rows:
+        if not lm_score._is_held_out(i):
+            plain.bits(lower(t))
+    monkeypatch.setattr(lm_score, "FREQUENT_SHARE", share)
+    monkeypatch.setattr(lm_score, "CHUNK_DOCS", 7)
+    got = {r["doc_id"]: r["score"] for r in lm_score.score_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    assert [got[i] for i, _ in rows] == pytest.approx([-plain.bits(lower(t), learn=False) * math.log10(2) for _, t in rows], rel=1e-5, abs=1e-6)
+
+
 def plain_top(rows, is_query, k=5):
     vectors = [(i, [math.floor(256 * x) for x in v]) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
     out = []
