@@ -1,6 +1,7 @@
 """Operator 1: licence texts in documents.
 
-Templates are few and given: their word grams are winnowed into an inverted index that goes to every task.
+Templates are few and given: their word grams make an inverted index that goes to every task.  Grams have as many
+words (three at most) as surely stay together when so many words change as the least coverage allows, and all are kept.
 A document's grams that hit the index vote for (template, diagonal); around each diagonal a banded local
 alignment of words gives what is matched of the template, with edits, and where.
 """
@@ -8,6 +9,7 @@ alignment of words gives what is matched of the template, with edits, and where.
 from __future__ import annotations
 
 import functools
+import math
 import re
 from collections.abc import Iterator
 
@@ -59,15 +61,21 @@ def winnow(words: list[str], gram: int = GRAM_WORDS, window: int = WINDOW) -> li
     return [(grams[i], i) for i in chosen]
 
 
+def _unbroken(words: int, least: float) -> int:
+    """Words of the longest run, at least, when words are changed or left out down to the least coverage."""
+    matched = min(words, max(1, math.ceil(least * words - 1e-9)))
+    return -(-matched // (words - matched + 1))
+
+
 class Index:
-    """Winnowed grams of the templates: gram -> (template, place)."""
+    """All grams of the templates: gram -> (template, place)."""
 
-    def __init__(self, templates: dict[str, str]):
+    def __init__(self, templates: dict[str, str], least: float = LEAST_COVERAGE):
         self.names = sorted(templates)
         self.words = [words_of(templates[n])[0] for n in self.names]
         self.postings: dict[tuple[str, ...], list[tuple[int, int]]] = {}
         for t, words in enumerate(self.words):
-            for gram, i in winnow(words) if words else ():
+            for gram, i in winnow(words, min(GRAM_WORDS, _unbroken(len(words), least)), 1) if words else ():
                 self.postings.setdefault(gram, []).append((t, i))
         self.starters = {g[0] for g in self.postings}
         # A text without the rarest kind of word of every gram has no hit: one search decides that.
@@ -75,8 +83,8 @@ class Index:
 
 
 @functools.lru_cache(4)
-def _index(templates: tuple[tuple[str, str], ...]) -> Index:
-    return Index(dict(templates))
+def _index(templates: tuple[tuple[str, str], ...], least: float) -> Index:
+    return Index(dict(templates), least)
 
 
 def align(template: list[str], words: list[str], center: int, band: int = BAND) -> tuple[int, int, int, int]:
@@ -146,7 +154,7 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, least:
     given = tuple(sorted(templates.items()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = _index(given)
+        index = _index(given, least)
         for batch in batches:
             rows = [(i, *m) for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) if t for m in scan_text(t, index, least)]
             kinds = [pa.int64(), pa.string(), pa.float64(), pa.int64(), pa.int64(), pa.int64()]

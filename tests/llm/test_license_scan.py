@@ -27,6 +27,16 @@ def test_every_planted_notice_is_found():
         assert [(f[0], f[1]) for f in found] == [(name, 1.0)]
 
 
+def test_one_changed_word_of_every_notice():
+    index = ls.Index(ls.TEMPLATES)
+    for name, notice in ls.TEMPLATES.items():
+        words = ls.words_of(notice)[0]
+        for k in range(len(words)):
+            for edited in (words[:k] + ["changed"] + words[k + 1 :], words[:k] + words[k + 1 :]):
+                (got, coverage, *_), = ls.scan_text("lamp " * 20 + " ".join(edited) + " lamp" * 20, index)
+                assert got == name and coverage >= 0.7
+
+
 def test_winnowing_keeps_one_gram_of_every_window():
     rnd = random.Random(4)
     words = [rnd.choice("abcdef") for _ in range(200)]
