@@ -87,16 +87,19 @@ def _index(templates: tuple[tuple[str, str], ...], least: float) -> Index:
     return Index(dict(templates), least)
 
 
-def align(template: list[str], words: list[str], center: int, band: int = BAND) -> tuple[int, int, int, int]:
-    """Banded local alignment (match 2, mismatch -1, gap -1) along words[i + center + drift]: score, matched words, first and last + 1 matched word."""
+def align(template: list[str], words: list[str | None], center: int, band: int = BAND) -> tuple[int, int, int, int]:
+    """Banded local alignment (match 2, mismatch -1, gap -1) along words[i + center + drift]: score, matched words, first and last + 1 matched word.
+
+    Of equal scores the one that ends nearest the center counts; no alignment crosses a word that is None.
+    """
     width = 2 * band + 1
-    best = (0, 0, 0, 0)
+    best, drift = (0, 0, 0, 0), 0
     before = [(0, 0, -1)] * (width + 1)  # score, matches, first word
     for i, t in enumerate(template):
         now = [(0, 0, -1)] * (width + 1)
         for d in range(width):
             j = i + center + d - band
-            if not 0 <= j < len(words):
+            if not 0 <= j < len(words) or words[j] is None:
                 continue
             score, matches, first = before[d]
             hit = t == words[j]
@@ -107,8 +110,8 @@ def align(template: list[str], words: list[str], center: int, band: int = BAND)
                 cell = max(cell, (now[d - 1][0] - 1, now[d - 1][1], now[d - 1][2]), key=lambda c: (c[0], c[1]))
             if cell[0] > 0:
                 now[d] = cell
-                if hit and cell[0] > best[0]:
-                    best = (cell[0], cell[1], cell[2], j + 1)
+                if hit and (cell[0], -abs(d - band)) > (best[0], -drift):
+                    best, drift = (cell[0], cell[1], cell[2], j + 1), abs(d - band)
         before = now
     return best
 
@@ -118,29 +121,37 @@ def scan_text(text: str, index: Index, least: float = LEAST_COVERAGE) -> list[tu
     if not index.gate.search(text.lower()):
         return []
     words, places = words_of(text)
-    votes: dict[int, list[int]] = {}
+    votes: dict[int, list[tuple[int, int]]] = {}
     for i, w in enumerate(words):
         if w in index.starters:
             for n in range(1, GRAM_WORDS + 1):
                 for t, at in index.postings.get(tuple(words[i : i + n]), ()):
-                    votes.setdefault(t, []).append(i - at)
-    found = []
-    for t, diagonals in votes.items():
-        diagonals.sort()
-        last = None
-        for d in diagonals:
-            if last is not None and d - last <= BAND // 2:
-                continue
-            last = d
-            score, matched, first, end = align(index.words[t], words, d)
-            coverage = matched / len(index.words[t])
-            if coverage >= least:
-                found.append((-matched, -coverage, index.names[t], first, end))
-    out, taken = [], []
-    for matched, coverage, name, first, end in sorted(found):
-        if all(end <= a or first >= b for a, b in taken):
-            taken.append((first, end))
-            out.append((name, -coverage, -matched, places[first][0], places[end - 1][1]))
+                    votes.setdefault(t, []).append((i - at, i))
+    out: list[tuple[str, float, int, int, int]] = []
+    free: list[str | None] = list(words)
+    while votes:
+        found = []
+        for t, diagonals in votes.items():
+            diagonals.sort()
+            last = None
+            for d, _ in diagonals:
+                if last is not None and d - last <= BAND // 2:
+                    continue
+                last = d
+                score, matched, first, end = align(index.words[t], free, d)
+                coverage = matched / len(index.words[t])
+                if coverage >= least:
+                    found.append((-matched, -coverage, index.names[t], first, end))
+        taken = []
+        for matched, coverage, name, first, end in sorted(found):
+            if all(end <= a or first >= b for a, b in taken):
+                taken.append((first, end))
+                out.append((name, -coverage, -matched, places[first][0], places[end - 1][1]))
+        if not taken:
+            break
+        for first, end in taken:  # votes outside of what was taken are aligned again, in what is left
+            free[first:end] = [None] * (end - first)
+        votes = {t: left for t, own in votes.items() if (left := [v for v in own if free[v[1]] is not None])}
     return sorted(out, key=lambda r: r[3])
 
 

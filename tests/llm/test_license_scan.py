@@ -37,6 +37,19 @@ def test_one_changed_word_of_every_notice():
                 assert got == name and coverage >= 0.7
 
 
+def test_back_to_back_notices():
+    index = ls.Index(ls.TEMPLATES)
+    for name, notice in ls.TEMPLATES.items():
+        for copies in (2, 3, 5):
+            for glue in ("\n", " lamp "):
+                text = "lamp " * 9 + glue.join([notice] * copies) + " lamp" * 9
+                found = ls.scan_text(text, index)
+                assert [f[:2] for f in found] == [(name, 1.0)] * copies
+                assert all(a[4] <= b[3] for a, b in zip(found, found[1:]))
+    short = ls.Index({"short": "all rights reserved here"})
+    assert len(ls.scan_text("all rights reserved here " * 6, short)) == 6
+
+
 def test_winnowing_keeps_one_gram_of_every_window():
     rnd = random.Random(4)
     words = [rnd.choice("abcdef") for _ in range(200)]
