@@ -22,20 +22,24 @@ import regex
 INFINITY = 1 << 60
 _NONE = np.int32(2**31 - 1)
 WORD_END = "</w>"
-#: Pre-tokens up to this many bytes are merged in one step and remembered.
-SHORT = 64
+#: Pre-tokens of up to so many characters are remembered, which bounds an entry of the memo.
+REMEMBERED = 64
 #: Bytes that the stream takes in at a time beyond the lookahead.
 STRIDE = 256
-#: Words remembered by a worker before its cache starts afresh.
-CACHE_WORDS = 400_000
+#: Words of a generation of a worker's memo, which has two: what is not met again while one fills is forgotten.
+CACHE_WORDS = 120_000
 #: Words of up to so many bytes are merged many at a time, and texts are gathered up to so many characters for that.
-BATCH_BYTES, BATCH_CHARS = (8, 16, 32), 1 << 20
+BATCH_BYTES, BATCH_CHARS = (8, 16, 32), 1 << 21
 #: Characters of a text that are split into words at a time.
 BLOCK_CHARS = 1 << 20
 
 _SEPARATORS = re.compile("[\t-\r \x85\xa0  -     　]+")
-_ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+", re.A)
-_WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+_CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
+_ASCII_WORDS = re.compile(rf"[a-z]+|{_CONTRACTIONS}|[0-9]|[^\sa-z0-9]+", re.A)
+#: Pre-tokens of lower-case text: letters, contractions, single numbers, and what is neither these nor white space.
+_WORDS = regex.compile(rf"[\p{{L}}]+|{_CONTRACTIONS}|[\p{{N}}]|[^\s\p{{L}}\p{{N}}]+")
+#: The same, and faster, for texts whose only numbers are decimal digits.
+_PLAIN_WORDS = re.compile(rf"[^\W\d_]+|{_CONTRACTIONS}|\d|(?:[^\w\s]|[_\x1c-\x1f])+")
 
 
 def byte_alphabet() -> list[str]:
@@ -79,16 +83,6 @@ class Vocabulary:
         empty = {"type": "BPE", "vocab": {}, "merges": []}
         return Tokenizer.from_str(json.dumps({"version": "1.0", "added_tokens": [], "model": empty, "post_processor": None, "decoder": None, **self._steps}))
 
-    def split(self, chunk: str) -> list[bytes]:
-        """Pre-tokens of a normalised run without white space."""
-        if chunk.isalpha():
-            return [chunk.encode()]
-        if chunk.isascii():
-            return [w.encode() for w in _ASCII_WORDS.findall(chunk)]
-        if not chunk.isprintable() and unassigned(chunk):
-            return [bytes(self.byte_of[c] for c in piece) for piece, _ in self.library.pre_tokenizer.pre_tokenize_str(chunk)]
-        return [w.encode() for w in _WORDS.findall(chunk)]
-
     @functools.cached_property
     def length(self) -> dict[int, int]:
         """Bytes of each token."""
@@ -170,23 +164,34 @@ class Vocabulary:
     def _arrays(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         return np.array(self.byte_id, np.int32), np.array(self.final_id, np.int32), np.array(self.product, np.int32)
 
-    def words(self, words: list[bytes]) -> list[list[int]]:
-        """Ids of many pre-tokens; short ones are merged side by side, a merge of each per step."""
-        out: list[list[int]] = [[]] * len(words)
+    def words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of many pre-tokens, one after the other, and where each pre-token's begin (and the last's end).
+
+        The end of a pre-token decides all that is held, so the machines of short ones finish side by side,
+        a merge of each per step; longer ones stream one at a time.
+        """
         sizes = np.fromiter(map(len, words), np.int64, len(words))
-        low = 0
+        low, parts, n_ids = 0, [], np.zeros(len(words), np.int64)
         for width in BATCH_BYTES:
             some = np.flatnonzero((sizes > low) & (sizes <= width))
             for at in range(0, len(some), 1 << 14):
-                own = some[at : at + (1 << 14)].tolist()
-                for i, ids in zip(own, self._side_by_side([words[i] for i in own], width)):
-                    out[i] = ids
+                own = some[at : at + (1 << 14)]
+                symbols, n_ids[own] = self._side_by_side([words[i] for i in own.tolist()], width)
+                parts.append((own, symbols[np.arange(width + 1) < n_ids[own][:, None]]))
             low = width
         for i in np.flatnonzero(sizes > low).tolist():
-            out[i] = self.word(words[i])
-        return out
-
-    def _side_by_side(self, words: list[bytes], width: int) -> list[list[int]]:
+            ids = np.array(self.word(words[i]), np.int32)
+            n_ids[i] = len(ids)
+            parts.append((np.array([i]), ids))
+        starts = np.concatenate([[0], np.cumsum(n_ids)])
+        out = np.empty(starts[-1], np.int32)
+        for own, ids in parts:
+            n = n_ids[own]
+            out[np.repeat(starts[own] - np.cumsum(n) + n, n) + np.arange(len(ids))] = ids
+        return out, starts
+
+    def _side_by_side(self, words: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
+        """A row of symbols per word, and how many of them count."""
         first, final, product = self._arrays
         n, columns = len(words), np.arange(width)
         sizes = np.fromiter(map(len, words), np.int64, n)
@@ -219,7 +224,7 @@ class Vocabulary:
             ranks[rows, k] = np.where(k + 1 < sizes, right, _NONE)
             inner = np.flatnonzero(k > 0)
             ranks[inner, k[inner] - 1] = self._ranks(symbols[inner, k[inner] - 1], symbols[inner, k[inner]])
-        return [row[:m] for row, m in zip(done.tolist(), done_sizes.tolist())]
+        return done, done_sizes
 
     def _merge_long(self, symbols: list[int]) -> list[int]:
         n, get = len(symbols), self.rank.get
@@ -259,14 +264,8 @@ class Vocabulary:
             yield from self.merge([self.byte_id[b] for b in held[:-1]] + [self.final_id[held[-1]]])
 
     def word(self, data: bytes) -> list[int]:
-        if len(data) <= SHORT:
-            return self.merge([self.byte_id[b] for b in data[:-1]] + [self.final_id[data[-1]]])
         return list(self.stream([data]))
 
-    def chunk(self, chunk: str) -> list[int]:
-        """Ids of a normalised run without white space."""
-        return [i for w in self.split(chunk) for i in self.word(w)]
-
 
 @functools.lru_cache(4)
 def load(name: str) -> Vocabulary:
@@ -278,37 +277,44 @@ def load(name: str) -> Vocabulary:
     return Vocabulary(name)
 
 
-class Chunks(dict):
-    """White-space-free run -> what ``make`` derives from its ids; bounded, and starts afresh when full."""
+class Memo(dict):
+    """A memo of the encoder: pre-token -> what ``make`` derives from its ids.
+
+    ``make`` gets the ids of many pre-tokens and the places where each one's begin, and gives their values.  The
+    memo is bounded: once a generation is full it becomes the old one, from which only what is met again returns.
+    """
 
-    def __init__(self, vocabulary: Vocabulary, make: Callable[[list[int]], object], most: int = CACHE_WORDS):
+    def __init__(self, vocabulary: Vocabulary, make: Callable[[np.ndarray, list[int]], list], most: int = CACHE_WORDS):
         super().__init__()
         self.vocabulary, self.make, self.most = vocabulary, make, most
-
-    def __missing__(self, chunk: str):
-        value = self.make(self.vocabulary.chunk(chunk))
-        if len(chunk) <= SHORT:
-            if len(self) >= self.most:
-                self.clear()
-            self[chunk] = value
+        self.old: dict = {}
+
+    def __missing__(self, word: str):
+        ids, starts = self.vocabulary.words([word.encode()])
+        value = self.make(ids, starts.tolist())[0]
+        if len(word) <= REMEMBERED:
+            self.turn()
+            self[word] = value
         return value
 
-    def learn(self, runs: Iterable[list[str]]) -> None:
-        """Works out all unknown short runs together, which is much cheaper than one at a time."""
-        seen = set().union(*runs)
-        new = [c for c in seen.difference(self) if len(c) <= SHORT]
-        if not new:
-            return
-        if len(self) + len(new) > self.most:  # the words at hand stay, as these are the frequent ones
-            held = {c: self[c] for c in seen.intersection(self)}
+    def turn(self) -> None:
+        if len(self) >= self.most:
+            self.old = dict(self)
             self.clear()
-            self.update(held)
-        words = [[c.encode()] if c.isalpha() else self.vocabulary.split(c) for c in new]
-        distinct = list({w for own in words for w in own})
-        ids = dict(zip(distinct, self.vocabulary.words(distinct)))
-        make = self.make
-        for c, own in zip(new, words):
-            self[c] = make(ids[own[0]] if len(own) == 1 else [i for w in own for i in ids[w]])
+
+    def learn(self, runs: Iterable[list[str]]) -> None:
+        """Works out all unknown short pre-tokens together, which is much cheaper than one at a time."""
+        self.turn()
+        new = set().union(*runs).difference(self)
+        if self.old:
+            old = self.old
+            back = {w: old[w] for w in new if w in old}
+            self.update(back)
+            new.difference_update(back)
+        words = [w for w in new if len(w) <= REMEMBERED]
+        if words:
+            ids, starts = self.vocabulary.words([w.encode() for w in words])
+            self.update(zip(words, self.make(ids, starts.tolist())))
 
 
 def _blocks(text: str) -> Iterator[str]:
@@ -323,39 +329,43 @@ def _blocks(text: str) -> Iterator[str]:
     yield text[at:] if at else text
 
 
+_UNASSIGNED, _OTHER_NUMBER = 1, 2
+
+
 @functools.cache
-def _unassigned_table() -> np.ndarray:
-    return np.fromiter((unicodedata.category(chr(c)) == "Cn" for c in range(0x110000)), bool, 0x110000)
+def _rare_kinds() -> np.ndarray:
+    category = np.array(list(map(unicodedata.category, map(chr, range(0x110000)))))
+    return np.where(category == "Cn", _UNASSIGNED, np.where((category == "Nl") | (category == "No"), _OTHER_NUMBER, 0)).astype(np.uint8)
 
 
-def unassigned(text: str) -> bool:
-    """Whether a code point is unknown to Python's Unicode tables; the library may know a later version's."""
-    return bool(_unassigned_table()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)].any())
+def rare_kinds(text: str) -> int:
+    """Whether a code point is unknown to Python's Unicode tables (the library may know a later version's), and whether one is a number but no digit."""
+    return int(np.bitwise_or.reduce(_rare_kinds()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)], initial=0))
 
 
-def _normal(text: str, vocabulary: Vocabulary) -> list[str]:
-    if not text.isascii():
-        if unassigned(text):
-            return [c for c in _SEPARATORS.split(vocabulary.library.normalizer.normalize_str(text)) if c]
-        # A per-character mapping has no final sigma.
-        text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-    text = text.lower()
-    if re.search("[\x1c-\x1f]", text):
-        return [c for c in _SEPARATORS.split(text) if c]
-    return text.split()
+def _pre_tokens(text: str, vocabulary: Vocabulary) -> list[str]:
+    if text.isascii():
+        return _ASCII_WORDS.findall(text.lower())
+    rare = rare_kinds(text)
+    if rare & _UNASSIGNED:
+        library, byte_of = vocabulary.library, vocabulary.byte_of
+        parts = _SEPARATORS.split(library.normalizer.normalize_str(text))
+        return [bytes(byte_of[c] for c in piece).decode() for part in parts if part for piece, _ in library.pre_tokenizer.pre_tokenize_str(part)]
+    # A per-character mapping has no final sigma.
+    return (_WORDS if rare else _PLAIN_WORDS).findall(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
 
 
 def runs(text: str, vocabulary: Vocabulary) -> Iterator[list[str] | int]:
-    """Normalised white-space-free runs of a text in lists, and the ids of special tokens between them."""
+    """Pre-tokens of a text in lists, and the ids of special tokens between them."""
     for block in _blocks(text):
         if vocabulary.special_pattern and "<|" in block:
             for k, part in enumerate(vocabulary.special_pattern.split(block)):
                 if k % 2:
                     yield vocabulary.special[part]
                 elif part:
-                    yield _normal(part, vocabulary)
+                    yield _pre_tokens(part, vocabulary)
         else:
-            yield _normal(block, vocabulary)
+            yield _pre_tokens(block, vocabulary)
 
 
 class TextDecoder:
@@ -388,8 +398,8 @@ class TextDecoder:
         return "" if self.joined else self.state.decode(b"", True)
 
 
-def gathered(texts: Iterable[str | None], vocabulary: Vocabulary, caches: list[Chunks]) -> Iterator[list[list[str] | int]]:
-    """The runs of each text, after the caches have learned those of some texts at a time."""
+def gathered(texts: Iterable[str | None], vocabulary: Vocabulary, caches: list[Memo]) -> Iterator[list[list[str] | int]]:
+    """The runs of each text, after the memos have learned those of some texts at a time."""
     held: list[list[list[str] | int]] = []
     size = 0
 
@@ -419,5 +429,5 @@ def encode(text: str | None, vocabulary: Vocabulary) -> Iterator[int]:
         if isinstance(run, int):
             yield run
         else:
-            for chunk in run:
-                yield from vocabulary.chunk(chunk)
+            for word in run:
+                yield from vocabulary.word(word.encode())

@@ -16,26 +16,32 @@ from scriptorium.llm.common import table
 TOKENIZER = "word_bpe_49k.json"
 
 
+class _Decoded(dict):
+    """Pre-token -> its decoded tokens: a memo of the decoder, fed with the ids that the encoder's memo holds."""
+
+    def __init__(self, ids: bpe.Memo):
+        super().__init__()
+        self.ids = ids
+
+    def __missing__(self, word: str) -> str:
+        value = bpe.TextDecoder(self.ids.vocabulary, joined=True).feed(map(int, self.ids[word].split())) + " "
+        if len(word) <= bpe.REMEMBERED:
+            if len(self) >= 2 * self.ids.most:
+                self.clear()
+            self[word] = value
+        return value
+
+
 @functools.lru_cache(2)
 def _caches(tokenizer: str):
     vocabulary = bpe.load(tokenizer)
-    ids = bpe.Chunks(vocabulary, lambda ids: " ".join(map(str, ids)) + " ")
-
-    class Decoded(bpe.Chunks):
-        """Run -> its decoded tokens, from the ids that the other cache holds."""
-
-        def learn(self, runs: Iterable[list[str]]) -> None:
-            pass
 
-        def __missing__(self, chunk: str) -> str:
-            value = bpe.TextDecoder(vocabulary, joined=True).feed(map(int, ids[chunk].split())) + " "
-            if len(chunk) <= bpe.SHORT:
-                if len(self) >= self.most:
-                    self.clear()
-                self[chunk] = value
-            return value
+    def make(ids, starts: list[int]) -> list[str]:
+        numbers = [f"{i} " for i in ids.tolist()]
+        return ["".join(numbers[a:b]) for a, b in zip(starts, starts[1:])]
 
-    return vocabulary, ids, Decoded(vocabulary, None)
+    ids = bpe.Memo(vocabulary, make)
+    return vocabulary, ids, _Decoded(ids)
 
 
 def _digest(runs: Iterable[list[str] | int], tokenizer: str) -> tuple[int, str, str]:

@@ -16,7 +16,6 @@ from __future__ import annotations
 import functools
 import zlib
 from array import array
-from collections import deque
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -35,8 +34,6 @@ SENTENCE_PENALTY, HARD_PENALTY = 6.0, 12.0
 HARD_STEP = 64
 #: Tokens that are planned together; the last, open sequence goes over to the next plan.
 PLAN_TOKENS = 1 << 19
-#: Words a worker remembers; their values are small here.
-CACHE_WORDS = 500_000
 #: Closes every document.
 END_ID = 1
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -74,22 +71,24 @@ def best_cuts(at: np.ndarray, penalty: np.ndarray, limit: int = LIMIT) -> list[i
     place = [0, *at.tolist()]
     fee = [0.0, *penalty.tolist()]
     best, came = [0.0] * (n + 1), [0] * (n + 1)
-    queue: deque[tuple[float, int]] = deque([(0.0, 0)])
-    for i in range(1, n + 1):
-        here = place[i]
-        while place[queue[0][1]] < here - limit:
-            queue.popleft()
-        key, j = queue[0]
-        value = key + limit - here
-        for k in special[until[i - 1] : until[i]]:
-            if best[k] < value:
-                value, j = best[k], k
-        value += fee[i]
+    keys, nodes, front = [0.0], [0], 0  # the monotone queue, which begins at front
+    for i, here, cost, some, more in zip(range(1, n + 1), place[1:], fee[1:], until, until[1:]):
+        while place[nodes[front]] < here - limit:
+            front += 1
+        j = nodes[front]
+        value = keys[front] + limit - here
+        if more > some:
+            for k in special[some:more]:
+                if best[k] < value:
+                    value, j = best[k], k
+        value += cost
         best[i], came[i] = value, j
         key = value + here
-        while queue and queue[-1][0] >= key:
-            queue.pop()
-        queue.append((key, i))
+        while len(keys) > front and keys[-1] >= key:
+            keys.pop()
+            nodes.pop()
+        keys.append(key)
+        nodes.append(i)
     cuts, i = [], n
     while i:
         cuts.append(place[i])
@@ -141,25 +140,30 @@ class Packer:
 
 
 @functools.lru_cache(2)
-def _tools(tokenizer: str, cache_words: int = CACHE_WORDS):
+def _tools(tokenizer: str):
     vocabulary = bpe.load(tokenizer)
-    pieces = bpe.Chunks(vocabulary, lambda ids: array("I", ids).tobytes(), cache_words)
+
+    def make(ids: np.ndarray, starts: list[int]) -> list[bytes]:
+        raw = ids.astype(np.uint32).tobytes()
+        return [raw[4 * a : 4 * b] for a, b in zip(starts, starts[1:])]
+
+    pieces = bpe.Memo(vocabulary, make)
     ends = np.zeros(max(vocabulary.token) + 1, bool)
     for i, t in vocabulary.token.items():
         ends[i] = t.endswith((".</w>", "!</w>", "?</w>"))
     return vocabulary, pieces, ends
 
 
-def document_ids(texts: Iterable[str | None], tokenizer: str = TOKENIZER, cache_words: int = CACHE_WORDS) -> Iterator[np.ndarray]:
+def document_ids(texts: Iterable[str | None], tokenizer: str = TOKENIZER) -> Iterator[np.ndarray]:
     """Of each text its ids and the closing one."""
-    vocabulary, pieces, _ = _tools(tokenizer, cache_words)
+    vocabulary, pieces, _ = _tools(tokenizer)
     end = array("I", [END_ID]).tobytes()
     for runs in bpe.gathered(texts, vocabulary, [pieces]):
         parts = [array("I", [run]).tobytes() if isinstance(run, int) else b"".join(map(pieces.__getitem__, run)) for run in runs]
         yield np.frombuffer(b"".join([*parts, end]), np.uint32)
 
 
-def pack_documents(docs: DataFrame, tokenizer: str = TOKENIZER, limit: int = LIMIT, id_column: str = "doc_id", text: str = "text", cache_words: int = CACHE_WORDS) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str = TOKENIZER, limit: int = LIMIT, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per piece of a document.
 
     Null and empty texts are the closing id alone; null ids and repeated rows are documents of their own;
@@ -168,7 +172,7 @@ def pack_documents(docs: DataFrame, tokenizer: str = TOKENIZER, limit: int = LIM
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = Packer(TaskContext.get().partitionId() << 40, _tools(tokenizer, cache_words)[2], limit)
+        packer = Packer(TaskContext.get().partitionId() << 40, _tools(tokenizer)[2], limit)
 
         def rows(found: list[tuple]) -> pa.RecordBatch:
             kinds = [pa.int64()] * 7
@@ -176,7 +180,7 @@ def pack_documents(docs: DataFrame, tokenizer: str = TOKENIZER, limit: int = LIM
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found), kinds)], names=names)
 
         for batch in batches:
-            for doc_id, ids in zip(batch.column(0).to_pylist(), document_ids((t.as_py() for t in batch.column(1)), tokenizer, cache_words)):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), document_ids((t.as_py() for t in batch.column(1)), tokenizer)):
                 if found := packer.add(doc_id, ids):
                     yield rows(found)
         if found := packer.cut(last=True):

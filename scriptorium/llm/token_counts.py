@@ -27,8 +27,8 @@ _GAP = re.compile(bpe._SEPARATORS.pattern)
 
 
 @functools.lru_cache(2)
-def _counter(tokenizer: str) -> bpe.Chunks:
-    return bpe.Chunks(bpe.load(tokenizer), len)
+def _counter(tokenizer: str) -> bpe.Memo:
+    return bpe.Memo(bpe.load(tokenizer), lambda ids, starts: [b - a for a, b in zip(starts, starts[1:])])
 
 
 def count_tokens(text: str, tokenizer: str = TOKENIZER) -> int:
