@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Largest side, in bytes as measured after it was written, that may be broadcast.
 BROADCAST_LIMIT = 32 << 20
+#: Classes of at least one in so many rows go to all executors, whatever the others do.
+HOT_CLASSES = 1 << 14
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -55,6 +62,44 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def text_bytes(docs: DataFrame, text: str = "text") -> int:
+    """Bytes of all texts, by which work is cut into pieces of one size however many they are."""
+    return docs.agg(F.sum(F.octet_length(F.col(f"`{text}`")))).first()[0] or 0
+
+
+def join_classes(rows: DataFrame, classes: Written, key: str, size: str, total: int) -> DataFrame:
+    """``rows`` left joined with ``classes``, whose column ``size`` says how many of all ``total`` rows have the key.
+
+    Classes too large to broadcast meet their rows by a shuffle, but for those of at least 1/HOT_CLASSES of all
+    rows: these are HOT_CLASSES at most, so they are broadcast and no task gets a hot key's rows.
+    """
+    if classes.bytes * 4 <= BROADCAST_LIMIT:
+        return rows.join(F.broadcast(classes.df), key, "left")
+    is_hot = F.col(size) * HOT_CLASSES >= total
+    hot = F.broadcast(classes.df.filter(is_hot))
+    return rows.join(hot, key).unionByName(rows.join(hot, key, "left_anti").join(classes.df.filter(~is_hot), key, "left"))
+
+
 def partitions(spark: SparkSession) -> int:
     """Partition count for exchanges that carry packed rows."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def release() -> None:
+    """Gives a worker's free memory back: workers live through all stages, and what one left would add to the next's."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
+
+
+def releasing(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A map over batches that gives memory back once its task is through."""
+
+    @functools.wraps(run)
+    def through(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        release()
+
+    return through

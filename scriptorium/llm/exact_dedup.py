@@ -4,7 +4,7 @@
    many bits are sent as the row count calls for, as Golomb-Rice coded gaps.
 2. Owners decode what all partitions sent and answer with one bitmap per message: which of its
    fingerprints occur more than once anywhere.
-3. Marked rows are suspects.  Their texts are grouped byte for byte (Spark's hash aggregation compares
+3. Marked rows are suspects.  Only their texts are shuffled, and grouped byte for byte (Spark's hash aggregation compares
    keys by bytes and combines copies before the shuffle, so a huge group sends one row per task), and only
    texts with two rows or more remain as classes.
 """
@@ -14,15 +14,18 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scriptorium.llm.common import Written, partitions, table
+from scriptorium.llm.common import BROADCAST_LIMIT, Written, join_classes, partitions, releasing, table
 
 #: Bits of a fingerprint beyond log2 of the row count; a false suspect has a chance of about 2^-EXTRA_BITS.
 EXTRA_BITS = 16
+#: Bits of the bitmap that tells suspects apart before texts are shuffled: 32 MB at any corpus size, in pages.
+BITMAP_BITS, PAGE_BITS = 28, 12
 
 
 def golomb_encode(values: np.ndarray, universe_bits: int) -> bytes:
@@ -79,7 +82,7 @@ def _messages(rows: DataFrame, owners: int, bits: int) -> DataFrame:
         columns = list(zip(*out)) or [()] * 6
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["part", "owner", "code", "twice", "hashes", "sizes"])
 
-    return rows.select("h").mapInArrow(run, "part int, owner int, code binary, twice binary, hashes binary, sizes binary")
+    return rows.select("h").mapInArrow(releasing(run), "part int, owner int, code binary, twice binary, hashes binary, sizes binary")
 
 
 def _bitmaps(messages: DataFrame, owners: int) -> DataFrame:
@@ -104,7 +107,7 @@ def _bitmaps(messages: DataFrame, owners: int) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, [pa.int32(), pa.int32(), pa.binary()])], names=["part", "owner", "bitmap"])
 
     sent = messages.select("part", "owner", "code", "twice").repartition(owners, "owner")
-    return sent.mapInArrow(run, "part int, owner int, bitmap binary")
+    return sent.mapInArrow(releasing(run), "part int, owner int, bitmap binary")
 
 
 def _suspects(messages: DataFrame, bitmaps: DataFrame) -> DataFrame:
@@ -119,7 +122,41 @@ def _suspects(messages: DataFrame, bitmaps: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(found)], names=["h"])
 
     joined = messages.select("part", "owner", "hashes", "sizes").join(bitmaps, ["part", "owner"])
-    return joined.select("hashes", "sizes", "bitmap").mapInArrow(run, "h long").distinct()
+    return joined.select("hashes", "sizes", "bitmap").mapInArrow(releasing(run), "h long").distinct()
+
+
+def suspicious(rows: DataFrame, suspects: Written) -> DataFrame:
+    """The rows whose ``h`` is among the suspects; no other row leaves its task, however many suspects there are.
+
+    Beyond what may be broadcast whole, all tasks get a bitmap of fixed size over the hashes' first bits, which
+    lets every suspect pass and few others; what passes meets the suspects by a shuffle.
+    """
+    if suspects.bytes * 4 <= BROADCAST_LIMIT:
+        return rows.join(F.broadcast(suspects.df), "h", "left_semi")
+    page_bits = 1 << BITMAP_BITS - PAGE_BITS
+    page = F.shiftrightunsigned("h", 64 - PAGE_BITS)
+
+    def pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for b in batches:
+            at = b.column(0).to_numpy().view(np.uint64) >> np.uint64(64 - BITMAP_BITS)
+            for p in np.unique(at // np.uint64(page_bits)).tolist():
+                bits = held.setdefault(p, np.zeros(page_bits, bool))
+                bits[(at[at // np.uint64(page_bits) == p] % np.uint64(page_bits)).astype(np.int64)] = True
+        yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array([np.packbits(x).tobytes() for x in held.values()], pa.binary())], names=["page", "marks"])
+
+    marks = np.zeros(1 << BITMAP_BITS - 3, np.uint8)
+    dealt = suspects.df.repartition(partitions(rows.sparkSession), page).select("h")
+    for part in dealt.mapInArrow(releasing(pages), "page int, marks binary").toLocalIterator():  # 2^PAGE_BITS rows at most
+        marks[part["page"] * (page_bits >> 3) :][: page_bits >> 3] = np.frombuffer(part["marks"], np.uint8)
+    shared = rows.sparkSession.sparkContext.broadcast(marks)
+
+    @F.pandas_udf("boolean")
+    def marked(h: pd.Series) -> pd.Series:
+        at = h.to_numpy().view(np.uint64) >> np.uint64(64 - BITMAP_BITS)
+        return pd.Series((shared.value[(at >> np.uint64(3)).astype(np.int64)] << (at & np.uint64(7)).astype(np.uint8) & 128).astype(bool))
+
+    return rows.filter(marked("h")).join(suspects.df, "h", "left_semi")
 
 
 def exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -138,12 +175,12 @@ def exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "te
     owners = min(partitions(spark), 1 << 16)
     messages = Written(_messages(hashed.df, owners, bits), "messages")
     suspects = Written(_suspects(messages.df, _bitmaps(messages.df, owners)), "suspects")
-    checked = base.withColumn("h", F.xxhash64("body")).join(suspects.side(), "h", "left_semi")
+    checked = suspicious(base.withColumn("h", F.xxhash64("body")), suspects)
     same = checked.groupBy("body").agg(F.max("doc_id").alias("keep"), F.count(F.lit(1)).alias("n"))
     classes = Written(same.filter("n > 1").select(F.unhex(F.sha2("body", 256)).alias("sha"), "keep", "n"), "classes")
     messages.drop()
     suspects.drop()
-    out = hashed.df.join(classes.side(), "sha", "left")
+    out = join_classes(hashed.df, classes, "sha", "n", n)
     keep = F.when(F.col("n").isNull(), F.col("doc_id")).otherwise(F.col("keep"))
     return out.select(
         "doc_id",

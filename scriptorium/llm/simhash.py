@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scriptorium.llm.common import Written, partitions, table
+from scriptorium.llm.common import Written, join_classes, partitions, releasing, table
 
 SHINGLE_WORDS, MOST_BITS, SEED = 3, 2, 42
 BLOCK_BYTES = 1 << 20
@@ -74,7 +74,7 @@ def fingerprints(docs: DataFrame, width: int = SHINGLE_WORDS, carried: Sequence[
             prints = np.array([fingerprint(t.as_py(), width) for t in b.column(1)], np.uint64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(prints.view(np.int64)), *b.columns[2:]], names=["doc_id", "fp", *carried])
 
-    return docs.select("doc_id", "text", *carried).mapInArrow(run, ", ".join(["doc_id long, fp long", *(f"{c} binary" for c in carried)]))
+    return docs.select("doc_id", "text", *carried).mapInArrow(releasing(run), ", ".join(["doc_id long, fp long", *(f"{c} binary" for c in carried)]))
 
 
 def _signed(mask: int) -> int:
@@ -161,7 +161,7 @@ def links(prints: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
         if len(v):
             yield rows(found(p, v))
 
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    return dealt.mapInArrow(releasing(run), "a long, b long").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -205,9 +205,10 @@ def members(base: DataFrame, width: int = SHINGLE_WORDS, most_bits: int = MOST_B
     ids = stars.df.join(prints.df, stars.df["node"] == prints.df["fp"]).select("node", "root", "least")
     roots = ids.groupBy("root").agg(F.min("least").alias("component"))
     linked = ids.join(roots, "root").select(F.col("node").alias("fp"), "root", "component")
-    alone = prints.df.filter("n > 1").join(stars.df.select(F.col("node").alias("fp")), "fp", "left_anti").select("fp", F.col("fp").alias("root"), F.col("least").alias("component"))
+    linked = linked.join(prints.df.select("fp", "n"), "fp")
+    alone = prints.df.filter("n > 1").join(stars.df.select(F.col("node").alias("fp")), "fp", "left_anti").select("fp", F.col("fp").alias("root"), F.col("least").alias("component"), "n")
     classes = Written(linked.union(alone), "classes")
-    return rows.df.join(classes.side(), "fp", "left")
+    return join_classes(rows.df, classes, "fp", "n", rows.df.count()).drop("n")
 
 
 def near_duplicates(docs: DataFrame, width: int = SHINGLE_WORDS, most_bits: int = MOST_BITS, id_column: str = "doc_id", text: str = "text") -> DataFrame:

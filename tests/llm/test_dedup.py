@@ -3,8 +3,9 @@ import random
 
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
-from scriptorium.llm import exact_dedup, simhash
+from scriptorium.llm import common, exact_dedup, simhash
 
 
 def test_golomb_round_trip():
@@ -31,12 +32,42 @@ def test_exact_duplicates(docs, none, rows):
     assert exact_dedup.exact_duplicates(none).count() == 0
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_exact_duplicates_without_broadcast(docs, monkeypatch):
     want = sorted(map(str, exact_dedup.exact_duplicates(docs).collect()))
-    monkeypatch.setattr(exact_dedup.Written, "side", lambda self: self.df)
+    for module in (exact_dedup, common):
+        monkeypatch.setattr(module, "BROADCAST_LIMIT", -1)
+    monkeypatch.setattr(common, "HOT_CLASSES", 12)  # some classes are hot, others not
     assert sorted(map(str, exact_dedup.exact_duplicates(docs).collect())) == want
 
 
+def test_only_suspects_leave_their_task(spark, docs, monkeypatch):
+    """Beyond what may be broadcast, the bitmap sifts texts below the exchange, and loses no suspect."""
+    monkeypatch.setattr(exact_dedup, "BROADCAST_LIMIT", -1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        base = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("body")).withColumn("h", F.xxhash64("body"))
+        suspects = common.Written(base.groupBy("h").count().filter("count > 1").select("h"), "test")
+        found = exact_dedup.suspicious(base, suspects)
+        plan = plan_of(found)
+        left = plan[plan.index("LeftSemi") :]
+        assert left.index("Exchange hashpartitioning(h") < left.index("ArrowEvalPython") < left.rindex("Exchange hashpartitioning(h")
+        want = base.groupBy("h").count().filter("count > 1").agg(F.sum("count")).first()[0]
+        assert found.count() == want > 5
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_near_duplicates_without_broadcast(docs, monkeypatch):
+    want = sorted(map(str, simhash.near_duplicates(docs).collect()))
+    monkeypatch.setattr(common, "BROADCAST_LIMIT", -1)
+    monkeypatch.setattr(common, "HOT_CLASSES", 12)
+    assert sorted(map(str, simhash.near_duplicates(docs).collect())) == want
+
+
 def plain_fingerprint(text):
     words = (text or "").encode().lower().split()
     grams = [b" ".join(words[i : i + 3]) for i in range(len(words) - 2)] or ([b" ".join(words)] if words else [])
