@@ -1,10 +1,11 @@
 """Operator 3: exact top-k inner products without random access.
 
 Candidates come in blocks; within a block every dimension is a list sorted by component.  The lists are
-read from their better end for each query, step by step and all alike, so an entry not yet read is bounded
-by the last one read (upper) and by the end of its list (lower).  Candidates whose upper bound falls below
-the k-th best lower bound are out; reading stops once no more than a few remain, and those are resolved.
-All queries of a block read together: a step is two matrix products.
+read in order, for each query from their better end, step by step and all alike; what is read of a candidate
+adds to its score so far.  An entry not yet read is bounded by the last one read (upper) and by the end of its
+list (lower).  Candidates whose upper bound falls below the k-th best lower bound are out for that query; those
+out for all queries of the block are passed over from then on.  Reading on resolves the rest: once every list
+is through, what has been added up is the score.  All queries of a block read together: a step is two products.
 """
 
 from __future__ import annotations
@@ -16,13 +17,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from scriptorium.llm.common import Written, table
+from scriptorium.llm.common import BROADCAST_LIMIT, Written, partitions, releasing, table
 
 K, SCALE, QUERY_STEP = 5, 256, 50
 #: Rows in a candidate block and in a query block.
 CANDIDATE_ROWS, QUERY_ROWS = 4096, 512
 #: Shares of the lists that are read before each look at the bounds.
-DEPTHS = (0.25, 0.5, 0.75)
+DEPTHS = (0.25, 0.5, 0.75, 1.0)
 
 
 def quantise(embedding: pa.Array, scale: int = SCALE) -> list[np.ndarray | None]:
@@ -56,41 +57,63 @@ def blocks(vectors: DataFrame, rows: int) -> DataFrame:
         for dim in list(held):
             yield block(dim)
 
-    return vectors.mapInArrow(run, "dim int, ids binary, matrix binary")
+    return vectors.mapInArrow(releasing(run), "dim int, ids binary, matrix binary")
+
+
+def _kind(most: float) -> type:
+    """The fastest kind of number in which sums of whole numbers up to ``most`` stay exact."""
+    return np.float32 if most < 1 << 23 else np.float64 if most < 1 << 52 else object
 
 
 def block_top(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """For each query its best k of a block (more on ties), with exact scores."""
-    most = float(np.abs(q).max(initial=0) * np.abs(x).max(initial=0) * x.shape[1])
-    kind = np.float32 if most < 1 << 23 else np.float64  # sums are whole numbers and must stay exact
+    n = len(ids)
+    kind = _kind(float(np.abs(q).max(initial=0) * np.abs(x).max(initial=0) * x.shape[1]) * 2)
+    q, x = (np.vectorize(int, otypes=[object])(v) if kind is object else v.astype(kind) for v in (q, x))
     order = np.sort(x, axis=0)
     rank = np.argsort(np.argsort(x, axis=0, kind="stable"), axis=0, kind="stable")
-    n = len(ids)
     plus, minus = np.maximum(q, 0), np.minimum(q, 0)
-    weights = np.concatenate([plus, minus], axis=1).astype(kind)
-    open_ = np.ones((len(q), n), bool)
-    for depth in DEPTHS if n > 4 * k and most < 1 << 52 else ():
-        read = int(n * depth)
-        from_top, from_bottom = rank >= n - read, rank < read  # what has been read of the lists, from either end
-        lower = np.concatenate([np.where(from_top, x, order[0]), np.where(from_bottom, x, order[-1])], axis=1).astype(kind)
-        upper = np.concatenate([np.where(from_top, x, order[n - read]), np.where(from_bottom, x, order[read - 1])], axis=1).astype(kind)
-        low, high = weights @ lower.T, weights @ upper.T
-        own = q_ids[:, None] == ids[None, :]
-        low[own] = -np.inf
-        bar = np.partition(low, n - k, axis=1)[:, n - k]
-        open_ &= (high >= bar[:, None]) & ~own
-        if open_.sum(axis=1).max() <= 4 * k:
-            break
-    for r in range(len(q)):
-        at = np.flatnonzero(open_[r] & (ids != q_ids[r]))
-        if not len(at):
+    live = np.arange(n)  # candidates that some query has not ruled out
+    own = q_ids[:, None] == ids[None, :]
+    open_, score = ~own, np.zeros((len(q), n), kind)
+    done = 0
+    for depth in DEPTHS:
+        read = n if depth == 1 else int(n * depth)
+        r, y = rank[live], x[live]
+        step = [np.where(z, y, 0) @ w.T for z, w in (((r >= n - read) & (r < n - done), plus), ((r >= done) & (r < read), minus))]
+        score[:, live] += (step[0] + step[1]).T
+        done = read
+        if read == n or not read or n <= k + 1:
             continue
-        if most < 1 << 52:
-            score = x[at] @ q[r]
-        else:  # beyond what doubles hold exactly
-            score = np.array([sum(int(a) * int(b) for a, b in zip(row, q[r])) for row in x[at]], object)
-        best = np.lexsort((ids[at], -score))[:k]
-        yield int(q_ids[r]), ids[at][best], score[best]
+        high, low = r < n - read, r >= read  # not yet read, of the lists from either end
+        upper = score[:, live] + (np.where(high, order[n - read], 0) @ plus.T + np.where(low, order[read - 1], 0) @ minus.T).T
+        lower = score[:, live] + (np.where(high, order[0], 0) @ plus.T + np.where(low, order[-1], 0) @ minus.T).T
+        for row in range(len(q)):
+            at = open_[row, live]
+            if at.sum() > k:
+                bar = np.sort(lower[row, at])[-k]
+                open_[row, live[at & (upper[row] < bar)]] = False
+        live = live[open_[:, live].any(axis=0)]
+    for row in range(len(q)):
+        at = np.flatnonzero(open_[row])
+        if len(at):
+            best = np.lexsort((ids[at], -score[row, at]))[:k]
+            yield int(q_ids[row]), ids[at][best], score[row, at][best]
+
+
+def _paired(candidates: DataFrame, queries: DataFrame, asked: Written) -> DataFrame:
+    """Every candidate block beside every query block of its width.
+
+    Query blocks that are too many to broadcast are dealt to numbered columns and candidate blocks to numbered
+    rows of a grid; a cell, with few query blocks and a share of the candidates, is one key of the shuffle.
+    """
+    if asked.bytes * 4 <= BROADCAST_LIMIT:
+        return candidates.join(F.broadcast(queries), "dim")
+    columns, rows = asked.df.count(), partitions(candidates.sparkSession)
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    queries = queries.withColumn("column", F.pmod(F.xxhash64("q_ids"), F.lit(columns)).cast("int")).withColumn("row", each(rows))
+    candidates = candidates.withColumn("row", F.pmod(F.xxhash64("ids"), F.lit(rows)).cast("int")).withColumn("column", each(columns))
+    return candidates.join(queries, ["dim", "row", "column"])
 
 
 def top_k(vectors: DataFrame, is_query, k: int = K, id_column: str = "vec_id", embedding: str = "embedding") -> DataFrame:
@@ -115,8 +138,8 @@ def top_k(vectors: DataFrame, is_query, k: int = K, id_column: str = "vec_id", e
                         [pa.array(np.repeat([f[0] for f in found], sizes)), pa.array(np.concatenate([f[1] for f in found])), pa.array([int(s) for f in found for s in f[2]], pa.int64())], names=["query_id", "vec_id", "score"]
                     )
 
-    pairs = blocks(base, CANDIDATE_ROWS).join(F.broadcast(queries) if asked.bytes * 4 <= 32 << 20 else queries, "dim")
-    near = pairs.select("dim", "ids", "matrix", "q_ids", "q").mapInArrow(run, "query_id long, vec_id long, score long")
+    pairs = _paired(blocks(base, CANDIDATE_ROWS), queries, asked)
+    near = pairs.select("dim", "ids", "matrix", "q_ids", "q").mapInArrow(releasing(run), "query_id long, vec_id long, score long")
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return near.withColumn("rank", place).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
