@@ -16,15 +16,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scriptorium.llm import ppm
-from scriptorium.llm.common import Written, table
+from scriptorium.llm.common import Written, releasing, table
 
-#: Labelled rows a language is learned from (those whose id hashes lowest), and whole bytes read of them:
-#: rows whose text is longer than SAMPLE_BYTES are not drawn.  This bounds fitting at any corpus size.
-SAMPLE_ROWS, SAMPLE_BYTES = 300, 16_384
+#: Labelled rows a language is learned from (those whose id hashes lowest), which are whole texts, one after the
+#: other until SAMPLE_BYTES are reached; the first always counts.  This bounds fitting at any corpus size.
+SAMPLE_ROWS, SAMPLE_BYTES = 300, 2 << 20
 #: Of each language so many times its sample, by expectation, is ranked; the rest is left out before the shuffle.
 RANKED = 4
-#: Nodes of orders 2 and 3 in the shared tree.
-CONTEXTS = 1 << 14
 UNKNOWN = "und"
 #: Columns that ``predict`` adds, bytes whose likelihoods the share compares, and rows it scores at a time.
 PRED, SCORE, SHARPNESS, SLICE_ROWS = "__lang_pred", "__lang_score", 16, 500
@@ -40,17 +38,22 @@ def has_letter(text: str) -> bool:
     return any(c.isalpha() for c in text) if not text.isascii() else _LETTER.search(text) is not None
 
 
-def fit(labelled: DataFrame, rows: int = SAMPLE_ROWS, most_bytes: int = SAMPLE_BYTES) -> tuple[list[str], ppm.Model]:
+def fit(labelled: DataFrame, rows: int = SAMPLE_ROWS, most_bytes: int = SAMPLE_BYTES) -> tuple[list[str], ppm.Lengths]:
     """Languages and their frozen model, from columns ``doc_id, text, lang``.
 
     The rows of a language are counted first, which tells below which hash its lowest rows lie; only those
-    are ranked, so what one task ranks does not grow with the input.
+    are ranked, so what one task ranks does not grow with the input.  Counts are kept whole and sparse: a
+    language's are no more than its sample has bytes, and all of them, at (number of languages) x SAMPLE_BYTES
+    grams at most, go to the executors.
     """
-    some = labelled.filter(F.col("text").isNotNull() & F.col("lang").isNotNull() & (F.octet_length("text") <= most_bytes))
+    some = labelled.filter(F.col("text").isNotNull() & F.col("lang").isNotNull())
     sizes = Written(some.groupBy("lang").agg(F.count("*").alias("size")), "languages")
     place = F.col("hash").cast("double") / 2.0**64 + 0.5
     low = some.select("doc_id", "lang", "text", F.xxhash64("doc_id", "text").alias("hash")).join(sizes.side(), "lang").filter(place * F.col("size") <= RANKED * rows)
-    ranked = low.withColumn("at", F.row_number().over(Window.partitionBy("lang").orderBy("hash", "text")))
+    in_order = Window.partitionBy("lang").orderBy("hash", "text")
+    before = F.coalesce(F.sum(F.octet_length("text")).over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    first = low.withColumn("at", F.row_number().over(in_order)).filter(F.col("at") <= rows)
+    ranked = first.withColumn("before", before).filter(F.col("before") < most_bytes)
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: dict[str, list] = {}
@@ -64,14 +67,14 @@ def fit(labelled: DataFrame, rows: int = SAMPLE_ROWS, most_bytes: int = SAMPLE_B
             keys, n = ppm.merge_counts(own)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(keys), pa.string()), pa.array(keys.astype(np.int64)), pa.array(n)], names=["lang", "gram", "n"])
 
-    sample = ranked.filter(F.col("at") <= rows).select("lang", "text")
-    counted = sample.mapInArrow(grams, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
+    sample = ranked.select("lang", "text")
+    counted = sample.mapInArrow(releasing(grams), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
     langs = sorted(counted["lang"].unique())
-    corpora = [ppm.Counts.from_grams(own["gram"].to_numpy().astype(np.uint32), own["n"].to_numpy()) for lang in langs for own in [counted[counted["lang"] == lang]]]
-    return langs, ppm.build(corpora, CONTEXTS)
+    models = [ppm.Grams.whole(own["gram"].to_numpy(), own["n"].to_numpy().astype(np.float64)) for _, own in sorted(counted.groupby("lang"))]
+    return langs, ppm.Lengths(models)
 
 
-def _guess(texts: list[str | None], langs: list[str], model: ppm.Model) -> tuple[list[str], list[float]]:
+def _guess(texts: list[str | None], langs: list[str], model: ppm.Lengths) -> tuple[list[str], list[float]]:
     """Language and share of each text; ties go to the first language by name."""
     pred, score = [UNKNOWN] * len(texts), [0.0] * len(texts)
     at = [i for i, t in enumerate(texts) if t is not None and langs and has_letter(t)]
@@ -86,7 +89,7 @@ def _guess(texts: list[str | None], langs: list[str], model: ppm.Model) -> tuple
     return pred, score
 
 
-def predict(docs: DataFrame, langs: list[str], model: ppm.Model, text: str = "text") -> DataFrame:
+def predict(docs: DataFrame, langs: list[str], model: ppm.Lengths, text: str = "text") -> DataFrame:
     """Adds ``PRED`` and ``SCORE`` (the language's share of the likelihoods per byte, 0 to 1) to every row.
 
     Null texts and texts without a letter get ``und`` and 0, and so does everything if no language was
@@ -104,7 +107,7 @@ def predict(docs: DataFrame, langs: list[str], model: ppm.Model, text: str = "te
                 pred, score = _guess(part.column(at).to_pylist(), langs, model)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(pred, pa.string()), pa.array(score, pa.float64())], names=[*part.schema.names, PRED, SCORE])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(releasing(run), schema)
 
 
 def identify(docs: DataFrame, rows: int = SAMPLE_ROWS, id_column: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:

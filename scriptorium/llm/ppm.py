@@ -48,6 +48,8 @@ def merge_counts(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray
 
 #: Bytes scored at a time; their arrays take about 30 bytes each and some more per model.
 SCORED_BYTES = 1 << 18
+#: Grams whose code lengths a worker remembers.
+KNOWN_GRAMS = 1 << 20
 
 
 class Counts:
@@ -227,6 +229,12 @@ class Grams:
         self.pairs, self.singles = pairs, singles
         self.ones = (pairs.sum(axis=1), (pairs > 0).sum(axis=1), (pairs > 0) @ singles)
 
+    @classmethod
+    def whole(cls, grams: np.ndarray, n: np.ndarray) -> Grams:
+        """Of all the grams of a corpus."""
+        counts = np.bincount(grams & 0xFFFF, n, 1 << 16).reshape(256, 256)
+        return cls(grams.astype(np.int64), n, counts, counts.sum(axis=0))
+
     def bits(self, wanted: np.ndarray) -> np.ndarray:
         """Bits of each gram: its symbol in its context of three bytes."""
         levels = []
@@ -250,6 +258,56 @@ class Grams:
         return np.where(coded, out, spent + np.log2(max(256 - int((self.singles > 0).sum()), 1)))
 
 
+class Lengths:
+    """Code lengths under several models, straight from their counts; those worked out are remembered up to a bound."""
+
+    def __init__(self, models: list[Grams]):
+        self.models = models
+        self.known, self.bits = np.empty(0, np.uint32), np.empty((0, len(models)), np.float32)
+
+    def __reduce__(self):
+        return Lengths, (self.models,)
+
+    def _bits(self, grams: np.ndarray) -> np.ndarray:
+        """Bits of distinct sorted grams."""
+        at = np.minimum(np.searchsorted(self.known, grams), max(len(self.known) - 1, 0))
+        new = grams[self.known[at] != grams] if len(self.known) else grams
+        if len(new):
+            if len(self.known) + len(new) > KNOWN_GRAMS:
+                self.known, self.bits, new = self.known[:0], self.bits[:0], grams
+            bits = np.stack([m.bits(new.astype(np.int64)) for m in self.models], axis=1).astype(np.float32)
+            known = np.concatenate([self.known, new])
+            order = np.argsort(known, kind="stable")
+            self.known, self.bits = known[order], np.concatenate([self.bits, bits])[order]
+            at = np.searchsorted(self.known, grams)
+        return self.bits[at]
+
+    def score(self, texts: list[bytes]) -> np.ndarray:
+        """Bits of each text under each model; whole texts, in slices of bounded size."""
+        out = np.zeros((len(texts), len(self.models)))
+        start, held = 0, 0
+        for i, t in enumerate(texts):
+            held += len(t)
+            if held > SCORED_BYTES or i + 1 == len(texts):
+                self._score(texts[start : i + 1], out[start : i + 1])
+                start, held = i + 1, 0
+        return out
+
+    def _score(self, texts: list[bytes], out: np.ndarray) -> None:
+        buffer, bounds = _batch(texts)
+        for at in range(0, max(0, len(buffer) - ORDER), SCORED_BYTES):
+            b = buffer[at : at + SCORED_BYTES + ORDER].astype(np.uint32)
+            grams, where = np.unique((b[:-3] << 24) | (b[1:-2] << 16) | (b[2:-1] << 8) | b[3:], return_inverse=True)
+            bits = self._bits(grams)[where]
+            lo = np.clip(bounds[:, 0] - ORDER - at, 0, len(bits))
+            hi = np.clip(bounds[:, 1] - ORDER - at, 0, len(bits))
+            some = np.flatnonzero(hi > lo)
+            if len(some):
+                pairs = np.stack([lo[some], hi[some]], axis=1).reshape(-1)
+                tail = np.concatenate([bits, np.zeros((1, bits.shape[1]), bits.dtype)])
+                out[some] += np.add.reduceat(tail, pairs, axis=0, dtype=np.float64)[::2]
+
+
 def _code_lengths(levels: list[np.ndarray], other: int, others: int) -> np.ndarray:
     """Bits per context and symbol, from the counts in the longest context down to order 0."""
     shape = levels[0].shape

@@ -148,3 +148,62 @@ def test_top_k(spark):
     assert topk.top_k(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
     few = df.filter("vec_id < 3 or vec_id = 50")
     assert sorted(map(tuple, topk.top_k(few, F.col("vec_id") % 50 == 0).collect())) == plain_top([r for r in rows if r[0] is not None and (r[0] < 3 or r[0] == 50)], lambda i: i % 50 == 0)
+
+
+def test_top_k_on_the_grid(spark, monkeypatch):
+    rnd = np.random.default_rng(4)
+    rows = [(i, [float(v) for v in rnd.normal(size=5)]) for i in range(400)] + [(400 + i, [1e15 * float(v) for v in rnd.normal(size=3)]) for i in range(100)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    asked = F.col("vec_id") % 20 == 0
+    want = sorted(map(tuple, topk.top_k(df.filter("vec_id < 400"), asked).collect()))
+    assert want == plain_top(rows[:400], lambda i: i % 20 == 0)
+    monkeypatch.setattr(topk, "BROADCAST_LIMIT", -1)
+    monkeypatch.setattr(topk, "QUERY_ROWS", 4)
+    monkeypatch.setattr(topk, "CANDIDATE_ROWS", 64)
+    assert sorted(map(tuple, topk.top_k(df.filter("vec_id < 400"), asked).collect())) == want
+    assert "CartesianProduct" not in topk.top_k(df, asked)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lists_are_read_in_order_and_bounds_stop_early():
+    rnd = np.random.default_rng(6)
+    x = np.floor(rnd.normal(size=(300, 4)) * 100)
+    x[7] = 3000  # one candidate far ahead of all others
+    for scale in (1, 1 << 18, 1 << 30):  # sums in single, double and whole numbers
+        got = list(topk.block_top(np.array([1000]), x[7:8] * scale, np.arange(300), x * scale, 1))
+        assert [(q, ids.tolist(), [int(s) for s in score]) for q, ids, score in got] == [(1000, [7], [4 * 9_000_000 * scale * scale])]
+
+
+def test_language_equals_the_plain_coder(spark):
+    """No context is left out: code lengths are those of a plain coder that learned the same rows."""
+    rnd = np.random.default_rng(8)
+    words = {lang: ["".join(rnd.choice(list(letters), rnd.integers(2, 7))) for _ in range(60)] for lang, letters in (("aa", "abcdeéf"), ("bb", "abcxyzß"), ("cc", "klmnoabñ"))}
+    rows = [(i, " ".join(rnd.choice(words[lang], 25)), lang) for i, lang in enumerate(list(words) * 12)]
+    rows.append((100, " ".join(rnd.choice(words["aa"], 9000)), "dd"))  # a language whose only text is long
+    rows += [(200 + i, " ".join(rnd.choice(words[lang], 6)), None) for i, lang in enumerate(list(words) * 5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    held = {r["doc_id"] for r in language_id.identify(df).filter("held_out").collect()}
+    coders = {}
+    for i, t, lang in rows:
+        if lang and i not in held:
+            coders.setdefault(lang, ppm.Adaptive()).bits(t.encode())
+    langs = sorted(coders)
+    got = {r["doc_id"]: r["lang_pred"] for r in language_id.identify(df).collect()}
+    fit_langs, model = language_id.fit(df.filter(~language_id.held_out()))
+    assert fit_langs == langs
+    texts = [t.encode() for _, t, _ in rows if len(t) < 5000] + [b"zz \x00\xff", b""]
+    bits = model.score(texts)
+    for t, own in zip(texts, bits):
+        assert np.allclose([coders[lang].bits(t, learn=False) for lang in langs], own, rtol=1e-5, atol=1e-3)
+    for i, t, _ in rows:
+        if len(t) < 5000:
+            lengths = [coders[lang].bits(t.encode(), learn=False) for lang in langs]
+            assert lengths[langs.index(got[i])] <= min(lengths) + 1e-2
+
+
+def test_remembered_lengths_are_bounded(monkeypatch):
+    keys, n = ppm.gram_counts([b"some words and other words, again and again"] * 3)
+    model = ppm.Lengths([ppm.Grams.whole(keys, n.astype(float))])
+    texts = [b"some words", b"other things entirely", b"again", b"zebra quiz"]
+    want = [model.score([t])[0, 0] for t in texts]
+    monkeypatch.setattr(ppm, "KNOWN_GRAMS", 4)
+    assert [model.score([t])[0, 0] for t in texts] == want
