@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scriptorium.llm import ppm
-from scriptorium.llm.common import Written, partitions, table
+from scriptorium.llm.common import Written, partitions, releasing, table, text_bytes
 
 #: Words and contexts rarer than one in so many tokens or bytes are not sent to all executors.
 FREQUENT_SHARE = 1 << 16
@@ -31,6 +31,8 @@ FREQUENT_SHARE = 1 << 16
 HELD_GRAMS = 1 << 20
 #: Distinct words a task holds before it hands their counts on, and documents a scoring chunk has at most.
 HELD_WORDS, CHUNK_DOCS = 200_000, 4096
+#: Bytes of text to an owner of words and grams; a task goes through its owners one after the other.
+OWNED_BYTES = 32 << 20
 SCHEMA = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 _WORD, _GRAM, _DOCS = 0, 1, 2
 
@@ -80,7 +82,7 @@ def _train(docs: DataFrame) -> DataFrame:
             raw = part.astype(">u4").tobytes()
             yield rows(_GRAM, [raw[i : i + 4] for i in range(0, len(raw), 4)], n[at : at + (1 << 16)].tolist())
 
-    return docs.mapInArrow(run, "kind int, item binary, n long").groupBy("kind", "item").agg(F.sum("n").alias("n"))
+    return docs.mapInArrow(releasing(run), "kind int, item binary, n long").groupBy("kind", "item").agg(F.sum("n").alias("n"))
 
 
 def _tree(counts: DataFrame) -> tuple[ppm.Model, np.ndarray, np.ndarray]:
@@ -201,7 +203,7 @@ def _score(docs: DataFrame, model, frequent, owners: int) -> DataFrame:
         if ids:
             yield rows(flush())
 
-    return docs.mapInArrow(run, "chunk long, owner int, words array<binary>, a binary, b binary, c binary, d binary, e binary")
+    return docs.mapInArrow(releasing(run), "chunk long, owner int, words array<binary>, a binary, b binary, c binary, d binary, e binary")
 
 
 def _meet_counts(chunks: DataFrame, counts: DataFrame, owners: int) -> DataFrame:
@@ -230,8 +232,8 @@ def _meet_counts(chunks: DataFrame, counts: DataFrame, owners: int) -> DataFrame
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out), [pa.int64(), *[pa.binary()] * 3])], names=["chunk", "who", "part", "hits"])
 
-    dealt = words.union(asked).repartition(owners, "owner").sortWithinPartitions("owner", F.col("chunk").asc_nulls_first())
-    return dealt.mapInArrow(run, "chunk long, who binary, part binary, hits binary")
+    dealt = words.union(asked).repartition(partitions(counts.sparkSession), "owner").sortWithinPartitions("owner", F.col("chunk").asc_nulls_first())
+    return dealt.mapInArrow(releasing(run), "chunk long, who binary, part binary, hits binary")
 
 
 def _meet_grams(chunks: DataFrame, counts: DataFrame, low, owners: int) -> DataFrame:
@@ -267,8 +269,8 @@ def _meet_grams(chunks: DataFrame, counts: DataFrame, low, owners: int) -> DataF
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out), [pa.int64(), *[pa.binary()] * 3])], names=["chunk", "who", "part", "hits"])
 
-    dealt = known.union(asked).repartition(owners, "owner").sortWithinPartitions("owner", F.col("chunk").asc_nulls_first())
-    return dealt.mapInArrow(run, "chunk long, who binary, part binary, hits binary")
+    dealt = known.union(asked).repartition(partitions(counts.sparkSession), "owner").sortWithinPartitions("owner", F.col("chunk").asc_nulls_first())
+    return dealt.mapInArrow(releasing(run), "chunk long, who binary, part binary, hits binary")
 
 
 def _gather(chunks: DataFrame, parts: DataFrame, n_train: int, n_all: int, n_distinct: int, n: int) -> DataFrame:
@@ -304,7 +306,7 @@ def _gather(chunks: DataFrame, parts: DataFrame, n_train: int, n_all: int, n_dis
             yield rows(held)
 
     dealt = base.union(back).repartition(n, "chunk").sortWithinPartitions("chunk", F.col("who").isNotNull(), F.xxhash64("who", "part"))
-    return dealt.mapInArrow(run, SCHEMA)
+    return dealt.mapInArrow(releasing(run), SCHEMA)
 
 
 def score_documents(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -316,7 +318,7 @@ def score_documents(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     """
     spark = docs.sparkSession
     base = docs.select(F.col(f"`{id_column}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").cast("binary").alias("text"))
-    owners = 1 << max(0, partitions(spark) - 1).bit_length()
+    owners = 1 << max(0, max(partitions(spark), -(-text_bytes(base) // OWNED_BYTES)) - 1).bit_length()
     counts = Written(_train(base), "counts")
     words = counts.df.filter(F.col("kind") == _WORD)
     n_train = counts.df.filter(F.col("kind") == _DOCS).agg(F.sum("n")).first()[0] or 0

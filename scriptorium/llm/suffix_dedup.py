@@ -27,12 +27,14 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scriptorium.llm.common import Written, partitions, table
+from scriptorium.llm.common import Written, partitions, releasing, table, text_bytes
 
 THRESHOLD, GRAM = 100, 32
 WINDOW = THRESHOLD - GRAM + 1
 LEFT = WINDOW - 1
 SLICE = 1 << 20
+#: Anchors a task holds before it sends them, and bytes of text whose anchors an owner or bucket holds at a time.
+HELD_ANCHORS, OWNED_BYTES = 1 << 19, 32 << 20
 FIRST_ID = -(1 << 63)
 
 _DOC = np.dtype([("id", "<i8"), ("th", "<i8"), ("bucket", "<i4")])
@@ -153,16 +155,16 @@ def _find_anchors(docs: DataFrame, owners: int) -> DataFrame:
                 held.append((pos, h, c))
                 keys.append((i, th, bucket))
                 size += len(pos)
-                if size > 1 << 21:
+                if size > HELD_ANCHORS:
                     yield _rows(flush(held, keys))
                     held, keys, size = [], [], 0
         if held:
             yield _rows(flush(held, keys))
 
-    return docs.select("id", "th", "bucket", "text").mapInArrow(run, _PACKED)
+    return docs.select("id", "th", "bucket", "text").mapInArrow(releasing(run), _PACKED)
 
 
-def _meet_anchors(found: DataFrame, owners: int) -> DataFrame:
+def _meet_anchors(found: DataFrame, n: int) -> DataFrame:
     def decide(data: list[np.ndarray], keys: list[np.ndarray]) -> list[tuple]:
         a = np.concatenate(data)
         h = np.zeros((len(a), 8), np.uint8)
@@ -212,7 +214,7 @@ def _meet_anchors(found: DataFrame, owners: int) -> DataFrame:
         if data and (out := decide(data, keys)):
             yield _rows(out)
 
-    return found.repartition(owners, "at").sortWithinPartitions("kind", "at").mapInArrow(run, _PACKED)
+    return found.repartition(n, "at").sortWithinPartitions("kind", "at").mapInArrow(releasing(run), _PACKED)
 
 
 class _Meeting:
@@ -275,7 +277,7 @@ def _send_contexts(places: DataFrame, docs: DataFrame, owners: int, n: int) -> D
             a = np.concatenate(held)
             yield _rows(_split(_ORDER, (a["h"] % np.uint64(owners)).astype(np.int64), a))
 
-    return _with_texts(places.filter(F.col("kind") == _ORDER), docs, n).mapInArrow(run, _PACKED)
+    return _with_texts(places.filter(F.col("kind") == _ORDER), docs, n).mapInArrow(releasing(run), _PACKED)
 
 
 def repeated_windows(a: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -317,7 +319,7 @@ def repeated_windows(a: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return a[hit], least[hit], most[hit]
 
 
-def _order(contexts: DataFrame, owners: int) -> DataFrame:
+def _order(contexts: DataFrame, n: int) -> DataFrame:
     def decide(parts: list[np.ndarray]) -> list[tuple]:
         a, least, most = repeated_windows(np.concatenate(parts))
         gone = np.zeros(len(a), _RANGE)
@@ -340,7 +342,7 @@ def _order(contexts: DataFrame, owners: int) -> DataFrame:
         if parts and (out := decide(parts)):
             yield _rows(out)
 
-    return contexts.select("at", "data").repartition(owners, "at").sortWithinPartitions("at").mapInArrow(run, _PACKED)
+    return contexts.select("at", "data").repartition(n, "at").sortWithinPartitions("at").mapInArrow(releasing(run), _PACKED)
 
 
 def spans(own: np.ndarray, n: int) -> np.ndarray:
@@ -355,22 +357,27 @@ def spans(own: np.ndarray, n: int) -> np.ndarray:
     return np.stack([start[first], stop[np.append(first[1:], len(start)) - 1]], axis=1)
 
 
-def _places(docs: DataFrame) -> DataFrame:
+def _places(docs: DataFrame, owners: int) -> DataFrame:
     """Adds what is removed: ``docs`` has ``row`` (anything), ``id, th, bucket, text``; gives ``row, spans, text``."""
     spark = docs.sparkSession
     n = partitions(spark)
     narrow = docs.select("id", "th", "bucket", "text")
-    met = Written(_meet_anchors(_find_anchors(narrow, n), n), "anchors")
-    ordered = Written(_order(_send_contexts(met.df, narrow, n, n), n), "ordered")
+    met = Written(_meet_anchors(_find_anchors(narrow, owners), n), "anchors")
+    ordered = Written(_order(_send_contexts(met.df, narrow, owners, n), n), "ordered")
     ranges = met.df.filter(F.col("kind") == _RANGES).union(ordered.df)
     return _with_texts(ranges, docs, n, ["row"])
 
 
-def _prepared(docs: DataFrame, row, id_column: str, text: str) -> DataFrame:
+def _owners(docs: DataFrame, text: str) -> int:
+    """Owners of grams, and buckets of texts; a task goes through several, one after the other, where there are more than tasks."""
+    return max(partitions(docs.sparkSession), -(-text_bytes(docs, text) // OWNED_BYTES))
+
+
+def _prepared(docs: DataFrame, row, id_column: str, text: str, owners: int) -> DataFrame:
     body = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).cast("binary")
     base = docs.select(row.alias("row"), F.coalesce(F.col(f"`{id_column}`").cast("long"), F.lit(FIRST_ID)).alias("id"), body.alias("text"))
     base = base.withColumn("th", F.xxhash64("text"))
-    return base.withColumn("bucket", F.pmod(F.xxhash64("id", "th"), F.lit(partitions(docs.sparkSession))).cast("int"))
+    return base.withColumn("bucket", F.pmod(F.xxhash64("id", "th"), F.lit(owners)).cast("int"))
 
 
 def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[tuple]]]:
@@ -414,7 +421,8 @@ def repeated_bytes(docs: DataFrame, id_column: str = "doc_id", text: str = "text
             numbers = [pa.array(x, pa.int64()) for x in zip(*((len(t), int((s[:, 1] - s[:, 0]).sum()), len(s)) for t, s in found))]
             yield pa.RecordBatch.from_arrays([ids, *numbers, pa.array(sha), places], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"])
 
-    return _places(_prepared(docs, F.col(f"`{id_column}`").cast("long"), id_column, text)).mapInArrow(run, schema)
+    owners = _owners(docs, text)
+    return _places(_prepared(docs, F.col(f"`{id_column}`").cast("long"), id_column, text, owners), owners).mapInArrow(releasing(run), schema)
 
 
 def without_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -429,8 +437,9 @@ def without_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
             texts = [kept_bytes(t, s).decode("utf-8", "ignore") for t, s in found]
             yield pa.RecordBatch.from_arrays([rows, pa.array(texts, pa.string())], names=["row", "text"])
 
-    prepared = _prepared(docs, row, id_column, text)
-    out = _places(prepared).mapInArrow(run, f"row {prepared.schema['row'].dataType.simpleString()}, text string")
+    owners = _owners(docs, text)
+    prepared = _prepared(docs, row, id_column, text, owners)
+    out = _places(prepared, owners).mapInArrow(releasing(run), f"row {prepared.schema['row'].dataType.simpleString()}, text string")
     kept = F.when(~F.col("row.__null"), F.col("text"))
     return out.select(*[kept.alias(c) if c == text else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
