@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scriptorium.llm import bpe
-from scriptorium.llm.common import table
+from scriptorium.llm.common import releasing, table
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -104,7 +104,7 @@ def codec_digests(docs: DataFrame, tokenizer: str = TOKENIZER, id_column: str =
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     rows = docs.select(F.col(f"`{id_column}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return rows.mapInArrow(releasing(run), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op2_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:

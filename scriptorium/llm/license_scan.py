@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scriptorium.llm.common import table
+from scriptorium.llm.common import releasing, table
 
 GRAM_WORDS, WINDOW = 3, 3
 #: Words by which an alignment may drift off its diagonal, and the matched share of a template to report.
@@ -173,7 +173,7 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, least:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["doc_id", "license", "coverage", "matched_words", "start", "stop"])
 
     rows = docs.select(F.col(f"`{id_column}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, license string, coverage double, matched_words long, start long, stop long")
+    return rows.mapInArrow(releasing(run), "doc_id long, license string, coverage double, matched_words long, start long, stop long")
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from scriptorium.llm import bpe
 from scriptorium.llm.bpe_codec import TOKENIZER
-from scriptorium.llm.common import table
+from scriptorium.llm.common import releasing, table
 
 LIMIT = 2048
 SENTENCE_PENALTY, HARD_PENALTY = 6.0, 12.0
@@ -187,7 +187,7 @@ def pack_documents(docs: DataFrame, tokenizer: str = TOKENIZER, limit: int = LIM
             yield rows(found)
 
     rows = docs.select(F.col(f"`{id_column}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
-    return rows.mapInArrow(run, PIECES)
+    return rows.mapInArrow(releasing(run), PIECES)
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from scriptorium.llm import bpe
 from scriptorium.llm.bpe_codec import TOKENIZER
-from scriptorium.llm.common import table
+from scriptorium.llm.common import releasing, table
 
 #: Characters after which a leaf ends at the next white space.
 LEAF_CHARS = 512
@@ -151,7 +151,7 @@ def count_with_edits(docs: DataFrame, edits: Column, tokenizer: str = TOKENIZER,
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64()) for c in columns)], names=["doc_id", "n_tokens", "n_tokens_edited", "n_edits", "n_leaves", "n_encoded_again"])
 
     rows = docs.select(F.col(f"`{id_column}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"), edits.cast(EDIT).alias("edits"))
-    return rows.mapInArrow(run, "doc_id long, n_tokens long, n_tokens_edited long, n_edits long, n_leaves long, n_encoded_again long")
+    return rows.mapInArrow(releasing(run), "doc_id long, n_tokens long, n_tokens_edited long, n_edits long, n_leaves long, n_encoded_again long")
 
 
 def standing_edits(text: str = "text") -> Column:
