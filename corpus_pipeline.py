@@ -14,8 +14,6 @@ from scriptorium.llm.common import Written, table
 
 #: SQL can express neither the models nor the tokenizer.
 ORACLE_SQL = None
-#: Words that a packing worker remembers: fewer than alone, since the same workers run the other stages.
-PACKING_WORDS = 100_000
 
 
 def _key(doc_id: Column, sha: Column) -> Column:
@@ -55,14 +53,20 @@ def _repeated(keys: DataFrame) -> DataFrame:
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the row with the largest id stays; of rows that repeat it, id and text, one does."""
+    """Of equal texts the row with the largest id stays (a null id is the smallest); of rows that repeat it, id and text, one does.
+
+    Null and empty texts are equal, so one row of them stays; an empty table stays empty.
+    """
     found = exact_dedup.exact_duplicates(docs).filter("group_size > 1")
     found = Written(found.select(_key(F.col("doc_id"), F.col("text_sha256")).alias("key"), "kept"), "found").df
     return _kept(docs, found.filter(~F.col("kept")).select("key"), _repeated(found.filter("kept")))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each SimHash component one row stays: that with the smallest id (a null id last), then with the smallest key."""
+    """Of each SimHash component one row stays: that with the smallest id (a null id last), then with the smallest key.
+
+    Null, empty and wordless texts share fingerprint zero, so one row of them stays; an empty table stays empty.
+    """
     keyed = _keyed(docs).select(F.col("row.doc_id").alias("doc_id"), F.col("row.text").alias("text"), "key")
     found = Written(simhash.members(keyed, carried=["key"]).filter("root is not null").select("root", "doc_id", "key"), "members").df
     first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key"))["key"].alias("first"))
@@ -71,13 +75,17 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts bytes of 100-byte strings that start earlier out of the texts; ``n_chars`` follows."""
+    """Cuts bytes of 100-byte strings that start earlier (smaller id, null first; then place) out of the texts; ``n_chars`` follows.
+
+    Null texts stay null, empty and short ones as they are; rows of one id and text are cut alike; an empty table stays empty.
+    """
     out = suffix_dedup.without_repeats(docs)
     return out.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text")).cast(docs.schema["n_chars"].dataType))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(docs, cache_words=PACKING_WORDS)
+    """Pieces of all documents in sequences of at most 2048 tokens, as ``packing.pack_documents`` says; an empty table gives no row."""
+    return packing.pack_documents(docs)
 
 
 STAGES = [
