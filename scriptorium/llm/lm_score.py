@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,9 +29,11 @@ from scriptorium.llm.common import Written, partitions, releasing, table, text_b
 #: Words and contexts rarer than one in so many tokens or bytes are not sent to all executors.
 FREQUENT_SHARE = 1 << 16
 #: Distinct grams of documents that a scoring chunk has at most, but for its last batch.
-HELD_GRAMS = 1 << 20
+HELD_GRAMS = 1 << 18
+#: Bytes of text that a task takes out of an Arrow batch at a time.
+TAKEN_BYTES = 1 << 21
 #: Distinct words a task holds before it hands their counts on, and documents a scoring chunk has at most.
-HELD_WORDS, CHUNK_DOCS = 200_000, 4096
+HELD_WORDS, CHUNK_DOCS = 100_000, 4096
 #: Bytes of text to an owner of words and grams; a task goes through its owners one after the other.
 OWNED_BYTES = 32 << 20
 SCHEMA = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -45,6 +48,15 @@ def _texts(column: pa.Array) -> list[bytes]:
     return [b.lower() for b in column.fill_null(b"").to_pylist()]
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int | None], list[bytes]]]:
+    """Ids and lower-cased texts, of bounded size but for a single text."""
+    for b in batches:
+        sizes = pc.fill_null(pc.binary_length(b.column(1)), 0).to_numpy(zero_copy_only=False)
+        cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // TAKEN_BYTES)) + 1
+        for lo, hi in zip([0, *cuts], [*cuts, b.num_rows]):
+            yield b.column(0).slice(lo, hi - lo).to_pylist(), _texts(b.column(1).slice(lo, hi - lo))
+
+
 def _train(docs: DataFrame) -> DataFrame:
     """``kind, item, n``: counts of words, of byte grams and of documents, over the training rows."""
 
@@ -56,22 +68,15 @@ def _train(docs: DataFrame) -> DataFrame:
         def rows(kind: int, items: list[bytes], n: list[int]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([kind] * len(items), pa.int32()), pa.array(items, pa.binary()), pa.array(n, pa.int64())], names=["kind", "item", "n"])
 
-        for b in batches:
-            texts = [t for d, t in zip(b.column(0).to_pylist(), _texts(b.column(1))) if not _is_held_out(d)]
+        for ids, texts in _slices(batches):
+            texts = [t for d, t in zip(ids, texts) if not _is_held_out(d)]
             n_docs += len(texts)
             for t in texts:
                 words.update(t.split())
                 if len(words) > HELD_WORDS:
                     yield rows(_WORD, list(words), list(words.values()))
                     words.clear()
-            held, size = [], 0
-            for t in texts:
-                held.append(t)
-                size += len(t)
-                if size > 1 << 22:
-                    grams.append(ppm.gram_counts(held))
-                    held, size = [], 0
-            grams.append(ppm.gram_counts(held))
+            grams.append(ppm.gram_counts(texts))
             if len(grams) > 8:
                 grams = [ppm.merge_counts(grams)]
         yield rows(_WORD, list(words), list(words.values()))
@@ -184,11 +189,10 @@ def _score(docs: DataFrame, model, frequent, owners: int) -> DataFrame:
             local, n_grams = Local(), 0
             return out
 
-        for b in batches:
-            texts = _texts(b.column(1))
+        for own_ids, texts in _slices(batches):
             lengths, which, gram, times = tree.split(texts)
             cuts = np.searchsorted(which, np.arange(len(texts) + 1))
-            for i, (d, t, n_bits) in enumerate(zip(b.column(0).to_pylist(), texts, lengths[:, 0])):
+            for i, (d, t, n_bits) in enumerate(zip(own_ids, texts, lengths[:, 0])):
                 lo, hi = cuts[i], cuts[i + 1]
                 grams.append(np.stack([np.full(hi - lo, len(ids)), gram[lo:hi], times[lo:hi]]))
                 n_grams += hi - lo
