@@ -9,7 +9,15 @@ from scriptorium.functions import text as t
 
 # Page geometry in points, and lengths in characters.
 PAGE_WIDTH, MARGIN_WIDTH = 612, 96
-SHAPE_LENGTH, CUE_LENGTH, UPPER_SHARE = 80, 40, 0.8
+SHAPE_LENGTH, LABEL_LENGTH, CUE_LENGTH, UPPER_SHARE = 80, 24, 40, 0.8
+# How script lines begin or end, and what is no label though it looks like one.
+HEADING = "^(INT|EXT|INT/EXT|I/E)[. ]"
+TRANSITION = "^(CUT TO|FADE|DISSOLVE|SMASH CUT|MATCH CUT|BACK TO|JUMP CUT)($|[^\\p{L}\\p{N}_])|:$"
+NO_LABEL = ("MORE", "(MORE)", "OMITTED", "OMMITTED")
+SHAPE = "^[A-Z0-9][A-Z0-9 ./_'()-]*$"
+LABEL = "^[A-Z0-9][A-Z0-9 ./_-]*$"
+#: A word of capitals, digits and ./'- that begins with a capital, anywhere in a line; its ends are word boundaries.
+CAPITALS = "(^|[^\\p{L}\\p{N}_])[A-Z][A-Z0-9./'-]*([A-Z0-9]($|[^\\p{L}\\p{N}_])|[./'-][\\p{L}\\p{N}_])"
 CUE_X, DIALOGUE_X = 220, 160
 
 
@@ -23,14 +31,16 @@ def line_zone(text: Column, x: Column) -> Column:
 
 
 def structural_shape(c: Column) -> Column:
-    """A short line without lower-case letters that has at least one letter or digit."""
-    return (F.length(c) <= SHAPE_LENGTH) & c.rlike("[A-Z0-9]") & ~c.rlike("[a-z]")
+    """A short line that is all capitals, digits and label signs, or holds a word of capitals."""
+    c = t.collapse_space(c)
+    return (F.length(c) <= SHAPE_LENGTH) & (c.rlike(SHAPE) | c.rlike(CAPITALS))
 
 
 def scene_label(c: Column) -> Column:
-    """``scene_no`` for digits, a Roman number or one letter; ``split_scene`` for other labels with a digit; else null."""
-    label = t.canonical_label(c)
-    return F.when(label.rlike("^([0-9]+|[IVXLCDM]+|[A-Z])$"), "scene_no").when(label.rlike("[0-9]"), "split_scene")
+    """``scene_no`` for digits, a Roman number or one letter; ``split_scene`` for other short labels with a digit; else null."""
+    label = F.upper(t.collapse_space(c))
+    fits = (F.length(label) <= LABEL_LENGTH) & ~label.isin(*NO_LABEL) & label.rlike(LABEL)
+    return F.when(fits & label.rlike("^([0-9]+|[IVXLCDM]+|[A-Z])$"), "scene_no").when(fits & label.rlike("[0-9]"), "split_scene")
 
 
 def signal_route(text: Column, x: Column) -> Column:
@@ -41,12 +51,15 @@ def signal_route(text: Column, x: Column) -> Column:
 
 def entry_kind(text: Column, x: Column) -> Column:
     """Kind of a line by itself; ``dialogue`` is known only from its neighbours (see ``with_dialogue``)."""
+    text = F.trim(text)
     upper = F.coalesce(t.upper_share(text) > UPPER_SHARE, F.lit(False))
     return (
-        F.when(text.rlike("^(INT|EXT|I/E)[. /]"), "scene_heading")
-        .when(text.rlike("^\\(.*\\)$"), "parenthetical")
-        .when(upper & text.rlike("TO:$"), "transition")
+        F.when(t.page_number(text).isNotNull(), "page_heading")
+        .when(text.rlike(HEADING), "scene_heading")
+        .when(text.startswith("("), "parenthetical")
+        .when(upper & text.rlike(TRANSITION), "transition")
         .when(upper & (F.length(text) <= CUE_LENGTH) & (x >= CUE_X), "character")
+        .when(upper & (F.length(text) <= CUE_LENGTH), "format_marker")
         .otherwise("action")
     )
 

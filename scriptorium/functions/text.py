@@ -6,6 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 LATIN_WORD = "[A-Za-z][A-Za-z'-]*"
+#: CJK characters that matching keeps.
+MATCH_CJK = "\\x{3400}-\\x{9fff}"
 CJK = "\\x{4e00}-\\x{9fff}"
 
 
@@ -42,7 +44,7 @@ def format_timecode(c: Column) -> Column:
 
 def match_key(c: Column) -> Column:
     """Lower case, straight apostrophes, everything but letters, digits and CJK as one space."""
-    return F.trim(F.regexp_replace(F.lower(F.translate(c, "’", "'")), f"[^a-z0-9{CJK}]+", " "))
+    return F.trim(F.regexp_replace(F.lower(F.translate(c, "’‘", "''")), f"[^a-z0-9{MATCH_CJK}]+", " "))
 
 
 def compact_key(c: Column) -> Column:
@@ -104,9 +106,14 @@ def page_number(c: Column) -> Column:
 
 
 def inline_markup(c: Column) -> Column:
-    """Marks for revision, underline, bold and italic as elements, in that order."""
-    for mark, element in (("\\[\\[(.+?)\\]\\]", "mark"), ("__(.+?)__", "u"), ("\\*\\*(.+?)\\*\\*", "b"), ("\\*(.+?)\\*", "i")):
-        c = F.regexp_replace(c, mark, f"<{element}>$1</{element}>")
+    """Marks for annotation, proper name, emphasis and term as elements, in that order; a term's stars stand alone."""
+    for mark, element, kind in (
+        ("\\[\\[(.+?)\\]\\]", "span", "reader-annotation"),
+        ("__(.+?)__", "span", "proper-name"),
+        ("\\*\\*(.+?)\\*\\*", "strong", "emphasis"),
+        ("(?<!\\*)\\*(?!\\*)(.+?)(?<!\\*)\\*(?!\\*)", "em", "term"),
+    ):
+        c = F.regexp_replace(c, mark, f'<{element} class="{kind}">$1</{element}>')
     return c
 
 

@@ -62,11 +62,11 @@ def first_rows(df: DataFrame, keys: list[str], order: list[Column | str], n: int
 
 
 def with_dialogue(df: DataFrame, keys: list[str], order: list[Column | str], kind: str, indented: Column) -> DataFrame:
-    """Turns ``action`` into ``dialogue`` in runs of indented actions and parentheticals that a ``character`` opens.
+    """Turns ``action`` and ``format_marker`` into ``dialogue`` in runs of such indented rows and parentheticals that a ``character`` opens.
 
     The kind of a row rests on the row before it; in closed form, the last row that cannot belong to such a run decides.
     """
-    flows = (F.col(kind) == "parenthetical") | ((F.col(kind) == "action") & indented)
+    flows = (F.col(kind) == "parenthetical") | (F.col(kind).isin("action", "format_marker") & indented)
     opener = carried(F.when(~flows, F.col(kind)), keys, order)
-    spoken = (F.col(kind) == "action") & indented & (F.col("__opener") == "character")
+    spoken = F.col(kind).isin("action", "format_marker") & indented & (F.col("__opener") == "character")
     return df.withColumn("__opener", opener).withColumn(kind, F.when(spoken, "dialogue").otherwise(F.col(kind))).drop("__opener")

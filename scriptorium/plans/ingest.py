@@ -58,11 +58,11 @@ def s18(spark, d):
     return captions.parse_config(_files(table(spark, d, "nation"), "n_regionkey", "n_nationkey", line, "\n", "# made\nnames:\n"))
 
 
-@query("S21_page_ranges", "SELECT 'translated-p' || lpad(CAST(conv_id AS VARCHAR), 3, '0') || CASE WHEN turn > 0 THEN '-' || lpad(CAST(conv_id + turn AS VARCHAR), 3, '0') ELSE '' END || '.json' AS path, CAST(conv_id AS INTEGER) AS start, CAST(conv_id + turn AS INTEGER) AS stop FROM conversations WHERE conv_id < 900")
+@query("S21_page_ranges", "SELECT 'translated-p' || printf('%03d', conv_id) || CASE WHEN turn > 0 THEN '-' || printf('%03d', conv_id + turn) ELSE '' END || '.json' AS path, CAST(conv_id AS INTEGER) AS start, CAST(conv_id + turn AS INTEGER) AS stop FROM conversations")
 def s21(spark, d):
-    pad = [F.lpad(c.cast("string"), 3, "0") for c in (F.col("conv_id"), F.col("conv_id") + F.col("turn"))]
+    pad = [F.format_string("%03d", c) for c in (F.col("conv_id"), F.col("conv_id") + F.col("turn"))]
     name = F.concat(F.lit("translated-p"), pad[0], F.when(F.col("turn") > 0, F.concat(F.lit("-"), pad[1])).otherwise(""), F.lit(".json"))
-    return captions.page_ranges(table(spark, d, "conversations").filter("conv_id < 900").select(name.alias("path")))
+    return captions.page_ranges(table(spark, d, "conversations").select(name.alias("path")))
 
 
 @query("S26_report_lines", f"SELECT level, count(*) AS n FROM (SELECT regexp_extract(trim(line), '^[^\\s]*') AS level FROM {LINES}) GROUP BY level")
@@ -79,10 +79,17 @@ def s28(spark, d):
     return batches.annotations(events)
 
 
-@query("S08_pdf_lines", "SELECT path, CAST(row_number() OVER (PARTITION BY path ORDER BY k) - 1 AS INTEGER) AS line_no, w AS text FROM (SELECT CAST(item_id AS VARCHAR) AS path, unnest(range(len(x))) AS k, unnest(x) AS w FROM (SELECT item_id, list_slice(regexp_extract_all(text, '[A-Za-z]{2,}'), 1, 40) AS x FROM benchmark))")
+@query("S08_pdf_lines", "SELECT path, CAST(k // 40 + 1 AS INTEGER) AS pdf_page, CAST(k % 40 AS INTEGER) AS line_no, w AS text FROM (SELECT CAST(item_id AS VARCHAR) AS path, unnest(range(len(x))) AS k, unnest(x) AS w FROM (SELECT item_id, regexp_extract_all(text, '[A-Za-z]{2,}') AS x FROM benchmark))")
 def s08(spark, d):
-    """A page of up to 40 lines (what it holds) per item, one word a line."""
-    shown = F.transform(F.slice(F.regexp_extract_all("text", F.lit("[A-Za-z]{2,}"), F.lit(0)), 1, 40), lambda w: F.concat(F.lit("("), w, F.lit(") Tj 0 -12 Td")))
-    content = F.concat(F.lit("%PDF-1.4\n1 0 obj << /Type /Page /Contents 2 0 R >> endobj\n2 0 obj << >>\nstream\nBT 1 0 0 1 100 700 Tm "), F.array_join(shown, " "), F.lit(" ET\nendstream\nendobj\n%%EOF"))
-    files = table(spark, d, "benchmark").select(F.col("item_id").cast("string").alias("path"), content.cast("binary").alias("content"))
-    return pdf.source_lines(pdf.text_rows(pdf.parse(files))).select("path", "line_no", "text")
+    """A file per item with one word a line and a new page after 40 lines (what a page holds)."""
+    words = F.regexp_extract_all("text", F.lit("[A-Za-z]{2,}"), F.lit(0))
+    pages = F.sequence(F.lit(0), F.greatest(F.lit(0), F.expr("(size(words) - 1) div 40").cast("int")))
+
+    def page(p):
+        shown = F.transform(F.slice(F.col("words"), p * 40 + 1, 40), lambda w: F.concat(F.lit("("), w, F.lit(") Tj 0 -12 Td")))
+        head = F.format_string("%d 0 obj << /Type /Page /Contents %d 0 R >> endobj\n%d 0 obj << >>\nstream\nBT 1 0 0 1 100 700 Tm ", 2 * p + 1, 2 * p + 2, 2 * p + 2)
+        return F.concat(head, F.array_join(shown, " "), F.lit(" ET\nendstream\nendobj\n"))
+
+    items = table(spark, d, "benchmark").select(F.col("item_id").cast("string").alias("path"), words.alias("words"))
+    files = items.select("path", F.concat(F.lit("%PDF-1.4\n"), F.array_join(F.transform(pages, page), ""), F.lit("%%EOF")).cast("binary").alias("content"))
+    return pdf.source_lines(pdf.text_rows(pdf.parse(files))).select("path", "pdf_page", "line_no", "text")

@@ -47,10 +47,10 @@ def j05(spark, d):
     return table(spark, d, "events").filter(F.col("event_type").isin("click", "purchase")).groupBy("user_id").agg(kinds.alias("kinds")).filter(F.col("kinds") == F.array(F.lit("click"), F.lit("purchase"))).select("user_id")
 
 
-@query("J06_relevant_terms", "SELECT DISTINCT item_id, n_name FROM benchmark, nation WHERE contains(lower(text), lower(n_name))")
+@query("J06_relevant_terms", "SELECT DISTINCT item_id, n_name FROM benchmark, nation WHERE contains(lower(text), lower(left(n_name, 3)))")
 def j06(spark, d):
     names = F.broadcast(table(spark, d, "nation").select("n_name"))  # 25 rows, fixed
-    return table(spark, d, "benchmark").join(names, F.lower("text").contains(F.lower("n_name"))).select("item_id", "n_name").distinct()
+    return table(spark, d, "benchmark").join(names, F.lower("text").contains(F.lower(F.left("n_name", F.lit(3))))).select("item_id", "n_name").distinct()
 
 
 @query("J12_as_of", "SELECT p.event_id, (SELECT max(v.ts) FROM events v WHERE v.user_id = p.user_id AND v.event_type = 'view' AND v.ts < p.ts) AS viewed FROM events p WHERE p.event_type = 'purchase'")
@@ -61,9 +61,10 @@ def j12(spark, d):
     return runs.as_of(bought, seen, ["user_id"], "ts", "seen_ts", "seen_ts", "viewed").select("event_id", "viewed")
 
 
-@query("J15_broken_links", "SELECT page_id, target FROM (SELECT DISTINCT page_id, html, unnest(regexp_extract_all(html, '\\bhref=\"#([^\"]*)\"', 1)) AS target FROM pages) WHERE NOT list_contains(regexp_extract_all(html, '\\bid=\"([^\"]*)\"', 1), target)")
+@query("J15_broken_links", "SELECT page_id, target FROM (SELECT DISTINCT page_id, html, unnest(regexp_extract_all(html, '\\bhref=\"#([^\"]*)\"', 1)) AS target FROM (SELECT page_id, html || '<a href=\"#s' || (page_id % 5) || '\"></a><h2 id=\"s' || (page_id % 3) || '\"></h2>' AS html FROM pages)) WHERE NOT list_contains(regexp_extract_all(html, '\\bid=\"([^\"]*)\"', 1), target)")
 def j15(spark, d):
-    pages = table(spark, d, "pages")
+    anchors = F.format_string('<a href="#s%d"></a><h2 id="s%d"></h2>', F.col("page_id") % 5, F.col("page_id") % 3)
+    pages = table(spark, d, "pages").select("page_id", F.concat("html", anchors).alias("html"))
     targets = F.array_distinct(F.regexp_extract_all("html", F.lit('\\bhref="#([^"]*)"'), F.lit(1)))
     return pages.select("page_id", F.explode(F.array_except(targets, t.attributes(F.col("html"), "id"))).alias("target"))
 

@@ -75,9 +75,9 @@ def r05(spark, d):
     return table(spark, d, "labels").select("doc_id", render.label(label).alias("html"))
 
 
-@query("R06_index", f"""SELECT conv_id, '<nav><ol>' || string_agg('<li><a href="#t' || turn || '">' || {_escaped('left(text, 20)')} || '</a></li>', '' ORDER BY turn) || '</ol></nav>' AS html FROM conversations WHERE role = 'user' GROUP BY conv_id""")
+@query("R06_index", f"""SELECT conv_id, '<nav><ol>' || string_agg('<li><a href="#t' || turn || '">' || {_escaped('text')} || '</a></li>', '' ORDER BY turn) || '</ol></nav>' AS html FROM conversations WHERE role = 'user' GROUP BY conv_id""")
 def r06(spark, d):
-    link = F.struct("turn", F.concat(F.lit("t"), F.col("turn").cast("string")).alias("id"), F.left("text", F.lit(20)).alias("title"))
+    link = F.struct("turn", F.concat(F.lit("t"), F.col("turn").cast("string")).alias("id"), F.col("text").alias("title"))
     rows = table(spark, d, "conversations").filter("role = 'user'").groupBy("conv_id").agg(F.array_sort(F.collect_list(link)).alias("links"))
     return rows.select("conv_id", render.index(F.col("links")).alias("html"))
 

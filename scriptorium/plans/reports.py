@@ -99,10 +99,10 @@ def j23(spark, d):
     return names.join(hits.groupBy("n_name").agg(F.min("page_id").alias("page_id")), "n_name", "left").select("n_name", F.coalesce("page_id", F.lit(-1)).alias("page_id"))
 
 
-@query("J24_stale_record", "SELECT source, coalesce(a.n, 0) AS confirmed, coalesce(b.n, 0) AS current, coalesce(a.n, 0) <> coalesce(b.n, 0) AS stale FROM (SELECT source, count(*) AS n FROM documents WHERE doc_id % 2 = 0 OR source < 'm' GROUP BY source) a FULL JOIN (SELECT source, count(*) AS n FROM documents GROUP BY source) b USING (source)")
+@query("J24_stale_record", "SELECT source, coalesce(a.n, 0) AS confirmed, coalesce(b.n, 0) AS current, coalesce(a.n, 0) <> coalesce(b.n, 0) AS stale FROM (SELECT source, count(*) AS n FROM documents WHERE doc_id IN (SELECT doc_id FROM labels) GROUP BY source) a FULL JOIN (SELECT source, count(*) AS n FROM documents GROUP BY source) b USING (source)")
 def j24(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "source")
-    a = docs.filter("doc_id % 2 = 0 or source < 'm'").groupBy("source").agg(F.count("*").alias("a"))
+    a = docs.join(table(spark, d, "labels").select("doc_id").distinct(), "doc_id", "left_semi").groupBy("source").agg(F.count("*").alias("a"))
     b = docs.groupBy("source").agg(F.count("*").alias("b"))
     confirmed, current = F.coalesce("a", F.lit(0)), F.coalesce("b", F.lit(0))
     return a.join(b, "source", "full").select("source", confirmed.alias("confirmed"), current.alias("current"), (confirmed != current).alias("stale"))

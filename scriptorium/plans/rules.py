@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from scriptorium.functions import text as t
 from scriptorium.operators import runs
 from scriptorium.sources import batches as b
 from scriptorium.sources.tables import table
@@ -157,16 +158,26 @@ def severity(findings: DataFrame, key: str = "batch_id") -> DataFrame:
     return n.withColumn("state", F.when(F.col("fail") > 0, "FAIL").when(F.col("warn") > 0, "WARN").otherwise("PASS"))
 
 
+# What a rendered page must not hold (level, pattern, hits allowed).
+HTML_MARKS = {
+    "html.task_label": ("FAIL", "任务\\s*\\d+|(?i:task)-\\d+", 0),
+    "html.debug": ("FAIL", "(?i)DEBUG|TODO", 0),
+    "html.generic_action": ("FAIL", "剧本在这一动作段落推进场面、人物位置和情绪状态", 0),
+    "html.subtitle_labels_without_subtitles": ("FAIL", "字幕匹配|字幕差异|字幕未见", 0),
+    "html.scene_index_titles": ("WARN", "场次索引", 1),
+    "html.raw_parenthetical_markers": ("WARN", "\\((?:CONT'D|MORE|O\\.S\\.|O\\.C\\.|V\\.O\\.)\\)", 0),
+}
+
+
 def html_rules(pages: DataFrame, key: str = "page_id", column: str = "html") -> DataFrame:
-    """Findings on rendered pages: left-over work notes, debug text, several scene indexes, raw marks."""
-    text = F.regexp_replace(column, "<[^>]+>", " ")
-    titles = F.regexp_count(F.col(column), F.lit("(?i)<h1[ >]"))
-    rules = [
-        finding(text.rlike("(?i)\\b(todo|fixme)\\b"), "FAIL", "html.task_label"),
-        finding(text.rlike("(?i)debug"), "FAIL", "html.debug"),
-        finding(titles > 1, "WARN", "html.scene_index_titles", titles),
-        finding(F.regexp_count(text, F.lit("\\([A-Z.']{4,}\\)")) > 0, "WARN", "html.raw_parenthetical_markers"),
-    ]
+    """Findings on rendered pages with how often each is hit: work notes, stock phrases, labels without captions, several scene indexes, raw marks."""
+    text = t.strip_tags(F.col(column))
+
+    def found(pattern: str, level: str, code: str, more_than: int = 0) -> Column:
+        n = F.regexp_count(text, F.lit(pattern))
+        return finding(n > more_than, level, code, F.concat(F.lit("hits="), n.cast("string")))
+
+    rules = [found(pattern, level, code, more) for code, (level, pattern, more) in HTML_MARKS.items()]
     return exploded(pages, [key], rules)
 
 
@@ -181,7 +192,7 @@ def conversation_batches(spark, d) -> DataFrame:
         "pdf_page": F.lit(1),
         "display_page": F.when(F.col("turn") != 4, F.lit(1)),
         "source": F.col("text"),
-        "translation": F.when(F.col("turn") % 4 == 3, F.lit(" ")).otherwise(F.left("text", F.lit(40))),
+        "translation": F.when(F.col("turn") % 4 == 3, F.lit(" ")).otherwise(F.col("text")),
         "subtitle_label": F.when(F.col("turn") == 2, LABELS[0]),
     }
     entry = F.struct(*[known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schema])
@@ -190,7 +201,7 @@ def conversation_batches(spark, d) -> DataFrame:
     return grouped.select(F.col("conv_id").cast("string").alias("batch_id"), F.lit(1).alias("version"), (F.col("conv_id") % 2 == 0).alias("has_subtitles"), nothing.alias("front_matter"), F.transform("e", lambda x: x["entry"]).alias("entries"), F.struct((F.col("conv_id") % 5).cast("int").alias("start"), F.lit(3).alias("end")).alias("source_pages"))
 
 
-_ENTRIES = f"(SELECT CAST(conv_id AS VARCHAR) AS batch_id, turn, conv_id % 2 = 0 AS subs, 'e' || (turn - turn % 3 % 2) AS id, CASE role WHEN 'user' THEN 'dialogue' WHEN 'assistant' THEN 'action' ELSE 'system' END AS type, CASE WHEN turn % 4 = 3 THEN ' ' ELSE left(text, 40) END AS translation, text AS source, CASE WHEN turn = 2 THEN '{LABELS[0]}' END AS label FROM conversations)"
+_ENTRIES = f"(SELECT CAST(conv_id AS VARCHAR) AS batch_id, turn, conv_id % 2 = 0 AS subs, 'e' || (turn - turn % 3 % 2) AS id, CASE role WHEN 'user' THEN 'dialogue' WHEN 'assistant' THEN 'action' ELSE 'system' END AS type, CASE WHEN turn % 4 = 3 THEN ' ' ELSE text END AS translation, text AS source, CASE WHEN turn = 2 THEN '{LABELS[0]}' END AS label FROM conversations)"
 _FOUND = f"""
 SELECT batch_id, 'batch.entry_kind' AS code, id AS message FROM {_ENTRIES} WHERE type = 'system'
 UNION ALL SELECT batch_id, 'batch.page', id FROM {_ENTRIES} WHERE turn = 4
@@ -218,12 +229,18 @@ SQL["O09_batch_severity"] = f"WITH f AS ({_FOUND}), n AS (SELECT batch_id, count
 
 
 def _html_findings(spark, d):
-    return html_rules(table(spark, d, "pages").select("page_id", "html"))
+    noted = F.element_at(F.array(*map(F.lit, _NOTES)), (F.col("page_id") % len(_NOTES) + 1).cast("int"))
+    return html_rules(table(spark, d, "pages").select("page_id", F.concat("html", noted).alias("html")))
 
 
 QUERIES["V02_html_rules"] = _html_findings
-_TEXT = "regexp_replace(html, '<[^>]+>', ' ', 'g')"
-SQL["V02_html_rules"] = f"SELECT page_id, 'FAIL' AS level, 'html.task_label' AS code, '' AS message FROM pages WHERE regexp_matches({_TEXT}, '(?i)\\b(todo|fixme)\\b') UNION ALL SELECT page_id, 'FAIL', 'html.debug', '' FROM pages WHERE regexp_matches({_TEXT}, '(?i)debug') UNION ALL SELECT page_id, 'WARN', 'html.scene_index_titles', CAST(len(regexp_extract_all(html, '(?i)<h1[ >]')) AS VARCHAR) FROM pages WHERE len(regexp_extract_all(html, '(?i)<h1[ >]')) > 1 UNION ALL SELECT page_id, 'WARN', 'html.raw_parenthetical_markers', '' FROM pages WHERE regexp_matches({_TEXT}, '\\([A-Z.'']{{4,}}\\)')"
+#: What the query writes under its pages, so that every rule has hits and misses.
+_NOTES = ("", "<p>任务 12, task-3</p>", "<p>Debug: todo</p>", "<b>字幕未见</b>", "<h2>场次索引</h2><h2>场次索引</h2>", "<h2>场次索引</h2>(MORE) (V.O.) (CONT'D)", "剧本在这一动作段落推进场面、人物位置和情绪状态")
+_NOTED = "html || [" + ", ".join("'" + n.replace("'", "''") + "'" for n in _NOTES) + f"][page_id % {len(_NOTES)} + 1]"
+SQL["V02_html_rules"] = " UNION ALL ".join(
+    "SELECT page_id, '{0}' AS level, '{1}' AS code, 'hits=' || n AS message FROM (SELECT page_id, len(regexp_extract_all(regexp_replace({2}, '<[^>]+>', '', 'g'), '{3}')) AS n FROM pages) WHERE n > {4}".format(level, code, _NOTED, pattern.replace("'", "''"), more)
+    for code, (level, pattern, more) in HTML_MARKS.items()
+)
 
 
 def _draft_findings(spark, d):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from scriptorium.functions import fixed
 from scriptorium.functions import text as t
 from scriptorium.sources.tables import LINES, lines, table
 
@@ -55,7 +56,7 @@ def f07(spark, d):
     return table(spark, d, "events").select("event_id", F.greatest(F.lit(0.0), F.coalesce(F.lead(at).over(ordered(["user_id"], ["ts", "event_id"])) - at, F.lit(0.0))).alias("duration"))
 
 
-@query("F08_match_key", f"SELECT doc_id, line_no, trim(regexp_replace(lower(replace(line, '’', '''')), '[^a-z0-9\\x{{4e00}}-\\x{{9fff}}]+', ' ', 'g')) AS value FROM {LINES}")
+@query("F08_match_key", f"SELECT doc_id, line_no, trim(regexp_replace(lower(replace(replace(line, '’', ''''), '‘', '''')), '[^a-z0-9\\x{{3400}}-\\x{{9fff}}]+', ' ', 'g')) AS value FROM {LINES}")
 def f08(spark, d):
     return lines(spark, d).select("doc_id", "line_no", t.match_key(F.col("line")).alias("value"))
 
@@ -65,17 +66,17 @@ def f09(spark, d):
     return lines(spark, d).select("doc_id", "line_no", t.compact_key(F.col("line")).alias("value"))
 
 
-@query("F11_tokenize", "SELECT doc_id, CAST(len(regexp_extract_all(text, '[A-Za-z][A-Za-z''-]*')) AS INTEGER) AS n_words, array_to_string(regexp_extract_all(text, '[A-Za-z][A-Za-z''-]*')[1:5], ' ') AS head FROM documents")
+@query("F11_tokenize", "SELECT doc_id, CAST(len(regexp_extract_all(text, '[A-Za-z][A-Za-z''-]*')) AS INTEGER) AS n_words, array_to_string(regexp_extract_all(text, '[A-Za-z][A-Za-z''-]*'), ' ') AS words FROM documents")
 def f11(spark, d):
     words = t.latin_words(F.col("text"))
-    return table(spark, d, "documents").select("doc_id", F.size(words).alias("n_words"), F.array_join(F.slice(words, 1, 5), " ").alias("head"))
+    return table(spark, d, "documents").select("doc_id", F.size(words).alias("n_words"), F.array_join(words, " ").alias("words"))
 
 
-@query("F12_term_set", "SELECT conv_id, turn, CAST(len(list_distinct(list_filter(regexp_extract_all(lower(text), '[a-z][a-z''-]*'), lambda w: length(w) >= 3 AND w NOT IN ('the', 'and', 'for', 'that')))) AS INTEGER) AS n_terms FROM conversations")
+@query("F12_term_set", f"SELECT conv_id, turn, array_to_string(list_sort(list_distinct(list_filter(list_transform(regexp_extract_all(text, '[A-Za-z][A-Za-z''’-]*'), lambda w: lower(replace(w, '’', ''''))), lambda w: length(w) >= 3 AND w NOT IN {fixed.sql_list(fixed.MATCH_STOP_WORDS)}))), ' ') AS terms FROM conversations")
 def f12(spark, d):
-    words = F.regexp_extract_all(F.lower("text"), F.lit("[a-z][a-z'-]*"), F.lit(0))
-    kept = F.array_distinct(F.filter(words, lambda w: (F.length(w) >= 3) & ~w.isin("the", "and", "for", "that")))
-    return table(spark, d, "conversations").select("conv_id", "turn", F.size(kept).alias("n_terms"))
+    words = F.transform(F.regexp_extract_all("text", F.lit("[A-Za-z][A-Za-z'’-]*"), F.lit(0)), lambda w: F.lower(F.translate(w, "’", "'")))
+    kept = F.array_distinct(F.filter(words, lambda w: (F.length(w) >= 3) & ~w.isin(*fixed.MATCH_STOP_WORDS)))
+    return table(spark, d, "conversations").select("conv_id", "turn", F.array_join(F.array_sort(kept), " ").alias("terms"))
 
 
 @query("F14_canonical_label", "SELECT p_partkey, upper(regexp_replace(p_type, '[\\s._/-]', '', 'g')) AS label FROM part")
@@ -108,7 +109,7 @@ def f21(spark, d):
     return table(spark, d, "pages").select("page_id", t.escape_html(F.col("html")).alias("value"))
 
 
-@query("F22_inline_markup", "SELECT p_partkey, '<b>' || p_name || '</b> <i>' || p_brand || '</i> <mark>' || p_type || '</mark>' AS value FROM part")
+@query("F22_inline_markup", "SELECT p_partkey, '<strong class=\"emphasis\">' || p_name || '</strong> <em class=\"term\">' || p_brand || '</em> <span class=\"reader-annotation\">' || p_type || '</span>' AS value FROM part")
 def f22(spark, d):
     return table(spark, d, "part").select("p_partkey", t.inline_markup(F.concat(F.lit("**"), "p_name", F.lit("** *"), "p_brand", F.lit("* [["), "p_type", F.lit("]]"))).alias("value"))
 

@@ -23,24 +23,28 @@ def query(name: str, sql: str):
 
 
 def placed(spark, d):
-    """Lines with a place on the page; every third is in capitals, every fifth carries a revision mark."""
+    """Lines with a place on the page; some are in capitals, headings, in parentheses (some left open), or carry a revision mark."""
     line = F.when(F.col("line_no") % 3 == 0, F.translate("line", LOWER, UPPER)).otherwise(F.col("line"))
+    line = F.when(F.col("line_no") % 13 == 6, F.concat(F.lit("INT. "), line)).otherwise(line)
+    line = F.when(F.col("line_no") % 7 == 2, F.concat(F.lit("("), line, F.lit(")"))).when(F.col("line_no") % 11 == 4, F.concat(F.lit("("), line)).otherwise(line)
     line = F.when(F.col("line_no") % 5 == 0, F.concat(line, F.lit(" *"))).otherwise(line)
     x = ((F.col("line_no") * 37 + F.col("doc_id")) % 600).cast("double")
     return lines(spark, d).select("doc_id", "line_no", x.alias("x"), line.alias("line"))
 
 
-PLACED = f"(SELECT doc_id, line_no, CAST((line_no * 37 + doc_id) % 600 AS DOUBLE) AS x, (CASE WHEN line_no % 3 = 0 THEN translate(line, '{LOWER}', '{UPPER}') ELSE line END) || (CASE WHEN line_no % 5 = 0 THEN ' *' ELSE '' END) AS line FROM {LINES})"
+PLACED = f"(SELECT doc_id, line_no, CAST((line_no * 37 + doc_id) % 600 AS DOUBLE) AS x, (CASE WHEN line_no % 7 = 2 OR line_no % 11 = 4 THEN '(' ELSE '' END) || (CASE WHEN line_no % 13 = 6 THEN 'INT. ' ELSE '' END) || (CASE WHEN line_no % 3 = 0 THEN translate(line, '{LOWER}', '{UPPER}') ELSE line END) || (CASE WHEN line_no % 7 = 2 THEN ')' ELSE '' END) || (CASE WHEN line_no % 5 = 0 THEN ' *' ELSE '' END) AS line FROM {LINES})"
 SIDE = "CASE WHEN x <= 96 THEN 'left' WHEN x >= 516 THEN 'right' END"
-LABEL = "upper(regexp_replace(line, '[\\s._/-]', '', 'g'))"
-IS_LABEL = f"(regexp_full_match({LABEL}, '[0-9]+|[IVXLCDM]+|[A-Z]') OR regexp_matches({LABEL}, '[0-9]'))"
-SHAPE = "(length(line) <= 80 AND regexp_matches(line, '[A-Z0-9]') AND NOT regexp_matches(line, '[a-z]'))"
+ONE_SPACE = "trim(regexp_replace(line, '\\s+', ' ', 'g'))"
+LABEL = f"upper({ONE_SPACE})"
+IS_LABEL = f"(length({LABEL}) <= 24 AND {LABEL} NOT IN ('MORE', '(MORE)', 'OMITTED', 'OMMITTED') AND regexp_matches({LABEL}, '{s.LABEL}') AND (regexp_full_match({LABEL}, '[IVXLCDM]+|[A-Z]') OR regexp_matches({LABEL}, '[0-9]')))"
+_SHAPE, _CAPITALS = (p.replace("'", "''") for p in (s.SHAPE, s.CAPITALS))
+SHAPE = f"(length({ONE_SPACE}) <= 80 AND (regexp_matches({ONE_SPACE}, '{_SHAPE}') OR regexp_matches({ONE_SPACE}, '{_CAPITALS}')))"
 UPPERISH = "(length(regexp_replace(line, '[^A-Za-z]', '', 'g')) > 0 AND length(regexp_replace(line, '[^A-Z]', '', 'g')) / length(regexp_replace(line, '[^A-Za-z]', '', 'g')) > 0.8)"
-KIND = f"CASE WHEN regexp_matches(line, '^(INT|EXT|I/E)[. /]') THEN 'scene_heading' WHEN regexp_full_match(line, '\\(.*\\)') THEN 'parenthetical' WHEN {UPPERISH} AND regexp_matches(line, 'TO:$') THEN 'transition' WHEN {UPPERISH} AND length(line) <= 40 AND x >= 220 THEN 'character' ELSE 'action' END"
+KIND = f"CASE WHEN regexp_full_match(trim(line), '\\d{{1,9}}\\.?') THEN 'page_heading' WHEN regexp_matches(trim(line), '{s.HEADING}') THEN 'scene_heading' WHEN starts_with(trim(line), '(') THEN 'parenthetical' WHEN {UPPERISH} AND regexp_matches(trim(line), '{s.TRANSITION}') THEN 'transition' WHEN {UPPERISH} AND length(trim(line)) <= 40 AND x >= 220 THEN 'character' WHEN {UPPERISH} AND length(trim(line)) <= 40 THEN 'format_marker' ELSE 'action' END"
 KINDS = f"(SELECT doc_id, line_no, x, line, {KIND} AS kind FROM {PLACED})"
 ORDER = "(PARTITION BY doc_id ORDER BY line_no)"
-FLOW = "(kind = 'parenthetical' OR (kind = 'action' AND x >= 160))"
-DIALOGUE = f"(SELECT doc_id, line_no, x, line, CASE WHEN kind = 'action' AND {FLOW} AND last_value(CASE WHEN NOT {FLOW} THEN kind END IGNORE NULLS) OVER {ORDER} = 'character' THEN 'dialogue' ELSE kind END AS kind FROM {KINDS})"
+FLOW = "(kind = 'parenthetical' OR (kind IN ('action', 'format_marker') AND x >= 160))"
+DIALOGUE = f"(SELECT doc_id, line_no, x, line, CASE WHEN kind <> 'parenthetical' AND {FLOW} AND last_value(CASE WHEN NOT {FLOW} THEN kind END IGNORE NULLS) OVER {ORDER} = 'character' THEN 'dialogue' ELSE kind END AS kind FROM {KINDS})"
 KEPT = "(kind IN ('scene_heading', 'transition') OR regexp_matches(line, '\\s\\*$') OR regexp_matches(line, '^\\s*([-*•]|[0-9]+[.)])\\s'))"
 
 
@@ -129,9 +133,9 @@ def w02(spark, d):
     return rows.filter(F.col("before").startswith("(") & ~F.col("before").endswith(")")).select("doc_id", "line_no")
 
 
-@query("W09_scene_carry", f"SELECT doc_id, line_no, last_value(CASE WHEN kind = 'character' THEN line_no END IGNORE NULLS) OVER {ORDER} AS heading FROM {KINDS}")
+@query("W09_scene_carry", f"SELECT doc_id, line_no, last_value(CASE WHEN kind = 'scene_heading' THEN line_no END IGNORE NULLS) OVER {ORDER} AS heading FROM {KINDS}")
 def w09(spark, d):
-    heading = runs.carried(F.when(F.col("kind") == "character", F.col("line_no")), ["doc_id"], ["line_no"])
+    heading = runs.carried(F.when(F.col("kind") == "scene_heading", F.col("line_no")), ["doc_id"], ["line_no"])
     return kinds(spark, d).select("doc_id", "line_no", heading.alias("heading"))
 
 
@@ -141,11 +145,11 @@ def w12(spark, d):
     return rows.filter((F.col("kind") == "parenthetical") & ~F.coalesce(F.col("before").isin("character", "dialogue", "parenthetical"), F.lit(False))).select("doc_id", "line_no")
 
 
-@query("W17_gap_join", f"SELECT doc_id, line_no // 10 AS page, string_agg((CASE WHEN x - before > 10 THEN ' ' ELSE '' END) || left(line, 3), '' ORDER BY line_no) AS joined FROM (SELECT doc_id, line_no, x, line, lag(x) OVER (PARTITION BY doc_id, line_no // 10 ORDER BY line_no) AS before FROM {PLACED}) GROUP BY ALL")
+@query("W17_gap_join", f"SELECT doc_id, line_no // 10 AS page, string_agg((CASE WHEN x - before > 10 THEN ' ' ELSE '' END) || line, '' ORDER BY line_no) AS joined FROM (SELECT doc_id, line_no, x, line, lag(x) OVER (PARTITION BY doc_id, line_no // 10 ORDER BY line_no) AS before FROM {PLACED}) GROUP BY ALL")
 def w17(spark, d):
     rows = placed(spark, d).withColumn("page", F.expr("cast(line_no div 10 as int)"))
     gap = F.col("x") - F.lag("x").over(runs.ordered(["doc_id", "page"], ["line_no"])) > 10
-    rows = rows.withColumn("part", F.concat(F.when(gap, " ").otherwise(""), F.substring("line", 1, 3)))
+    rows = rows.withColumn("part", F.concat(F.when(gap, " ").otherwise(""), F.col("line")))
     parts = F.array_sort(F.collect_list(F.struct("line_no", "part")))
     return rows.groupBy("doc_id", "page").agg(F.array_join(F.transform(parts, lambda p: p["part"]), "").alias("joined"))
 
@@ -190,10 +194,10 @@ def g06(spark, d):
     return rows.groupBy("doc_id").agg(F.array_join(F.array_sort(F.collect_set("side")), ",").alias("sides"))
 
 
-@query("G17_scene_counts", f"SELECT doc_id, heading, count(*) FILTER (WHERE kind = 'action') AS actions, count(*) FILTER (WHERE kind = 'dialogue') AS spoken, min(line_no) FILTER (WHERE kind = 'dialogue') AS first_spoken FROM (SELECT doc_id, line_no, kind, count(*) FILTER (WHERE kind = 'character') OVER {ORDER} AS heading FROM {DIALOGUE}) GROUP BY doc_id, heading")
+@query("G17_scene_counts", f"SELECT doc_id, heading, count(*) FILTER (WHERE kind = 'action') AS actions, count(*) FILTER (WHERE kind = 'dialogue') AS spoken, min(line_no) FILTER (WHERE kind = 'dialogue') AS first_spoken FROM (SELECT doc_id, line_no, kind, count(*) FILTER (WHERE kind = 'scene_heading') OVER {ORDER} AS heading FROM {DIALOGUE}) GROUP BY doc_id, heading")
 def g17(spark, d):
     w = runs.ordered(["doc_id"], ["line_no"])
-    rows = dialogues(spark, d).withColumn("heading", F.count_if(F.col("kind") == "character").over(w))
+    rows = dialogues(spark, d).withColumn("heading", F.count_if(F.col("kind") == "scene_heading").over(w))
     kind = F.col("kind")
     return rows.groupBy("doc_id", "heading").agg(F.count_if(kind == "action").alias("actions"), F.count_if(kind == "dialogue").alias("spoken"), F.min(F.when(kind == "dialogue", F.col("line_no"))).alias("first_spoken"))
 

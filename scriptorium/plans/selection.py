@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from scriptorium.functions import fixed
 from scriptorium.functions import script as s
 from scriptorium.operators import runs
 from scriptorium.sources.tables import LINES, lines, table
@@ -12,7 +13,7 @@ QUERIES, SQL = {}, {}
 # The prefixes that mark a translation as not yet made.
 PREFIX = {"system": "待译场景标题：", "user": "待译对白：", "assistant": "待译动作描写："}
 KINDS = {"system": "scene_heading", "user": "dialogue", "assistant": "action"}
-STOP_WORDS = ("the", "and", "for", "with", "this", "that", "from", "und", "der", "die", "les", "los")
+STOP_WORDS = fixed.STYLE_STOP_WORDS
 
 
 def query(name: str, sql: str):
@@ -38,7 +39,7 @@ def p01(spark, d):
     return table(spark, d, "orders").select(F.to_json(F.struct("o_orderkey", F.col("o_orderstatus").alias("status"), urgent)).alias("record"))
 
 
-@query("P14_kept_terms", f"SELECT word, count(*) AS n FROM (SELECT unnest(regexp_extract_all(text, '[A-Z][A-Za-z''-]*')) AS word FROM documents) WHERE length(word) >= 3 AND lower(word) NOT IN {STOP_WORDS} GROUP BY word")
+@query("P14_kept_terms", f"SELECT word, count(*) AS n FROM (SELECT unnest(regexp_extract_all(text, '[A-Z][A-Za-z''-]*')) AS word FROM documents) WHERE length(word) >= 3 AND lower(word) NOT IN {fixed.sql_list(STOP_WORDS)} GROUP BY word")
 def p14(spark, d):
     words = table(spark, d, "documents").select(F.explode(F.regexp_extract_all("text", F.lit("[A-Z][A-Za-z'-]*"), F.lit(0))).alias("word"))
     return words.filter((F.length("word") >= 3) & ~F.lower("word").isin(*STOP_WORDS)).groupBy("word").agg(F.count("*").alias("n"))
@@ -50,9 +51,10 @@ def p18(spark, d):
     return table(spark, d, "labels").filter(label.isin("diff", "unseen")).select("doc_id")
 
 
-@query("P20_revised_context", "SELECT doc_id FROM documents WHERE regexp_matches(text, '(?i)\\b(rev\\.?|revised|revision)\\b')")
+@query("P20_revised_context", "SELECT doc_id FROM documents WHERE regexp_matches(text || CASE doc_id % 9 WHEN 0 THEN ' Rev. 2' WHEN 1 THEN ' revised' ELSE ' prevision' END, '(?i)\\b(rev\\.?|revised|revision)\\b')")
 def p20(spark, d):
-    return table(spark, d, "documents").filter(F.col("text").rlike("(?i)\\b(rev\\.?|revised|revision)\\b")).select("doc_id")
+    noted = F.concat("text", F.when(F.col("doc_id") % 9 == 0, " Rev. 2").when(F.col("doc_id") % 9 == 1, " revised").otherwise(" prevision"))
+    return table(spark, d, "documents").filter(noted.rlike("(?i)\\b(rev\\.?|revised|revision)\\b")).select("doc_id")
 
 
 @query("P21_safe_limits", "SELECT user_id, count(*) AS n FROM events GROUP BY user_id HAVING count(*) > 110 OR count(*) FILTER (event_type = 'view') > 65 OR count(*) FILTER (event_type = 'error') > 18")
