@@ -28,11 +28,13 @@ def placed(spark, d):
     line = F.when(F.col("line_no") % 13 == 6, F.concat(F.lit("INT. "), line)).otherwise(line)
     line = F.when(F.col("line_no") % 7 == 2, F.concat(F.lit("("), line, F.lit(")"))).when(F.col("line_no") % 11 == 4, F.concat(F.lit("("), line)).otherwise(line)
     line = F.when(F.col("line_no") % 5 == 0, F.concat(line, F.lit(" *"))).otherwise(line)
+    label = F.concat(F.col("line_no").cast("string"), F.when(F.col("line_no") % 2 == 0, "A").otherwise(""))
+    line = F.when(F.col("line_no") % 17 == 8, label).otherwise(line)
     x = ((F.col("line_no") * 37 + F.col("doc_id")) % 600).cast("double")
     return lines(spark, d).select("doc_id", "line_no", x.alias("x"), line.alias("line"))
 
 
-PLACED = f"(SELECT doc_id, line_no, CAST((line_no * 37 + doc_id) % 600 AS DOUBLE) AS x, (CASE WHEN line_no % 7 = 2 OR line_no % 11 = 4 THEN '(' ELSE '' END) || (CASE WHEN line_no % 13 = 6 THEN 'INT. ' ELSE '' END) || (CASE WHEN line_no % 3 = 0 THEN translate(line, '{LOWER}', '{UPPER}') ELSE line END) || (CASE WHEN line_no % 7 = 2 THEN ')' ELSE '' END) || (CASE WHEN line_no % 5 = 0 THEN ' *' ELSE '' END) AS line FROM {LINES})"
+PLACED = f"(SELECT doc_id, line_no, CAST((line_no * 37 + doc_id) % 600 AS DOUBLE) AS x, CASE WHEN line_no % 17 = 8 THEN line_no || (CASE WHEN line_no % 2 = 0 THEN 'A' ELSE '' END) ELSE (CASE WHEN line_no % 7 = 2 OR line_no % 11 = 4 THEN '(' ELSE '' END) || (CASE WHEN line_no % 13 = 6 THEN 'INT. ' ELSE '' END) || (CASE WHEN line_no % 3 = 0 THEN translate(line, '{LOWER}', '{UPPER}') ELSE line END) || (CASE WHEN line_no % 7 = 2 THEN ')' ELSE '' END) || (CASE WHEN line_no % 5 = 0 THEN ' *' ELSE '' END) END AS line FROM {LINES})"
 SIDE = "CASE WHEN x <= 96 THEN 'left' WHEN x >= 516 THEN 'right' END"
 ONE_SPACE = "trim(regexp_replace(line, '\\s+', ' ', 'g'))"
 LABEL = f"upper({ONE_SPACE})"

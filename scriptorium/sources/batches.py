@@ -20,15 +20,18 @@ EVENT = "struct<start:double,end:double,text:string,type:string,speaker:string,a
 ANNOTATION_TYPES = ("annotation", "comment", "note")
 
 
-def _documents(spark: SparkSession, path: str, schema: str, glob: str) -> DataFrame:
-    """One row per JSON file; ``damaged`` holds the text of a file that is no JSON object."""
-    rows = files(spark, path, glob)
-    parsed = rows.select("path", F.from_json("text", f"{schema}, damaged string", {"columnNameOfCorruptRecord": "damaged"}).alias("doc"))
+def _documents(texts: DataFrame, schema: str) -> DataFrame:
+    """One row per JSON text of ``path, text``; ``damaged`` holds a text that is no JSON object."""
+    parsed = texts.select("path", F.from_json("text", f"{schema}, damaged string", {"columnNameOfCorruptRecord": "damaged"}).alias("doc"))
     return parsed.select("path", "doc.*")
 
 
 def read_batches(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
-    return _documents(spark, path, BATCH, glob)
+    return parse_batches(files(spark, path, glob))
+
+
+def parse_batches(texts: DataFrame) -> DataFrame:
+    return _documents(texts, BATCH)
 
 
 def entries(batches: DataFrame, key: str = "batch_id") -> DataFrame:
@@ -42,19 +45,31 @@ def entries(batches: DataFrame, key: str = "batch_id") -> DataFrame:
 
 
 def read_lines(spark: SparkSession, path: str, glob: str = "source-lines.json") -> DataFrame:
-    rows = _documents(spark, path, f"version int, source string, rows array<{LINE}>", glob)
+    return parse_lines(files(spark, path, glob))
+
+
+def parse_lines(texts: DataFrame) -> DataFrame:
+    rows = _documents(texts, f"version int, source string, rows array<{LINE}>")
     return rows.select("path", F.posexplode("rows").alias("line_no", "row")).select("path", "line_no", "row.*")
 
 
 def read_markers(spark: SparkSession, path: str, glob: str = "source-markers.json") -> DataFrame:
+    return parse_markers(files(spark, path, glob))
+
+
+def parse_markers(texts: DataFrame) -> DataFrame:
     """Markers under ``markers``, or under ``known_markers`` in older files."""
-    rows = _documents(spark, path, f"version int, source string, markers array<{_MARKER}>, known_markers array<{_MARKER}>", glob)
+    rows = _documents(texts, f"version int, source string, markers array<{_MARKER}>, known_markers array<{_MARKER}>")
     return rows.select("path", F.posexplode(F.coalesce("markers", "known_markers")).alias("marker_no", "marker")).select("path", "marker_no", "marker.*")
 
 
 def read_events(spark: SparkSession, path: str, glob: str = "subtitles.json") -> DataFrame:
     """Caption events; a folder without such a file gives an empty table of the same columns."""
-    rows = _documents(spark, path, f"version int, source string, events array<{EVENT}>", glob)
+    return parse_events(files(spark, path, glob))
+
+
+def parse_events(texts: DataFrame) -> DataFrame:
+    rows = _documents(texts, f"version int, source string, events array<{EVENT}>")
     return rows.select("path", F.posexplode("events").alias("event_index", "event")).select("path", "event_index", "event.*")
 
 

@@ -118,6 +118,22 @@ def parse_terms(texts: DataFrame) -> DataFrame:
     return rows.select("path", "line_no", F.get("cells", 0).alias("source"), F.get("cells", 1).alias("target"), F.coalesce(F.get("cells", 2), F.lit("")).alias("notes"))
 
 
+def parse_first_terms(texts: DataFrame) -> DataFrame:
+    """Terms of a file's first English and Chinese table alone, up to the first line that is no table row: ``path, source, target``.
+
+    Of rows with one source the last counts.
+    """
+    lines = texts.select("path", F.posexplode(F.split("text", "\\n")).alias("line_no", "line"))
+    by_path, after = Window.partitionBy("path"), Window.partitionBy("path").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
+    head = F.col("line").rlike("^\\|\\s*English\\s*\\|\\s*Chinese\\s*\\|")
+    rows = lines.withColumn("head", F.min(F.when(head, F.col("line_no"))).over(by_path)).filter(F.col("line_no") > F.col("head"))
+    rows = rows.withColumn("ended", F.count_if(~F.trim("line").startswith("|")).over(after)).filter("ended = 0")
+    rows = rows.select("path", "line_no", script.table_cells(F.col("line")).alias("cells"))
+    rows = rows.filter(~script.is_table_rule(F.col("cells")) & (F.size("cells") >= 2) & (F.get("cells", 0) != ""))
+    last = F.row_number().over(Window.partitionBy("path", F.get("cells", 0)).orderBy(F.desc("line_no")))
+    return rows.withColumn("k", last).filter("k = 1").select("path", F.get("cells", 0).alias("source"), F.get("cells", 1).alias("target"))
+
+
 def parse_findings(lines: Column) -> Column:
     """A report line ``LEVEL CODE message`` as a struct; missing parts are null."""
     parts = F.split(F.trim(lines), "\\s+", 3)
