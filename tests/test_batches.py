@@ -58,7 +58,7 @@ def test_render_and_sinks(spark, tmp_path):
 def test_markdown_and_other_sources(spark, tmp_path):
     text = "# T & x\n\none **two**\nthree\n- a\n- b\n\n| A | B |\n|---|---|\n| 1 | 2 |\n1. n"
     got = {r.k: r.html for r in rendering.markdown(spark.createDataFrame([(1, text), (2, ""), (3, None)], "k int, m string"), "k", "m").collect()}
-    assert got == {1: "<h1>T &amp; x</h1><p>one <strong class="emphasis">two</strong> three</p><ul><li>a</li><li>b</li></ul><table><tr><td>A</td><td>B</td></tr><tr><td>1</td><td>2</td></tr></table><ol><li>n</li></ol>", 2: "", 3: ""}
+    assert got == {1: "<h1>T &amp; x</h1><p>one <strong class=\"emphasis\">two</strong> three</p><ul><li>a</li><li>b</li></ul><table><tr><td>A</td><td>B</td></tr><tr><td>1</td><td>2</td></tr></table><ol><li>n</li></ol>", 2: "", 3: ""}
     (tmp_path / "source-markers.json").write_text(json.dumps({"version": 1, "known_markers": [{"type": "more", "text": "(MORE)"}]}))
     (tmp_path / "source-lines.json").write_text(json.dumps({"version": 1, "rows": [{"pdf_page": 1, "text": "a"}, {"pdf_page": 1, "text": "b", "x": 3}]}))
     events = [{"start": 0, "end": 1, "text": "t", "type": "Note"}, {"start": 1, "end": 2, "text": "u", "annotation": " v "}, {"start": 2, "end": 3, "text": "w"}]
