@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 
 def ordered(keys: list[str], order: list[Column | str]):
@@ -32,19 +36,70 @@ def compact_ranges(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     return spans.groupBy(*keys).agg(F.array_join(joined, ",").alias("ranges"))
 
 
+def walked(df: DataFrame, keys: list[str], order: list[str], values: list[str], begin: Callable[[], Callable], name: str) -> DataFrame:
+    """Adds a long that a state machine gives each row, in order within its key; ``begin`` makes the machine of a key.
+
+    For steps that no window can express.  One shuffle by key and one sort, then Arrow batches stream through a task
+    that holds the state of one key at a time, so a key with a third of all rows needs no more memory than any other.
+    """
+    rows = df.repartition(*keys).sortWithinPartitions(*keys, *order)
+    key_at, value_at = ([df.columns.index(c) for c in names] for names in (keys, values))
+
+    def run(batches):
+        last = step = None
+        for batch in batches:
+            numbers = []
+            key_rows = zip(*(batch.column(i).to_pylist() for i in key_at))
+            for key, value in zip(key_rows, zip(*(batch.column(i).to_pylist() for i in value_at))):
+                if step is None or key != last:
+                    last, step = key, begin()
+                numbers.append(step(*value))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(numbers, pa.int64())], names=[*batch.schema.names, name])
+
+    return rows.mapInArrow(run, StructType([*df.schema.fields, StructField(name, LongType())]))
+
+
 def greedy_bins(df: DataFrame, keys: list[str], order: str, size: str, limit: int) -> DataFrame:
-    """Consecutive rows in bins whose sizes sum to ``limit`` at most (a larger row is alone); one pass per key."""
-    items = F.array_sort(F.collect_list(F.struct(F.col(order).cast("long").alias("at"), F.col(size).cast("long").alias("size"))))
-    start = F.struct(F.lit(0).cast("long").alias("bin"), F.lit(0).cast("long").alias("used"), F.array().cast("array<struct<at:long,bin:long>>").alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        new = (acc["used"] > 0) & (acc["used"] + x["size"] > limit)
-        number = acc["bin"] + F.when(new, 1).otherwise(0).cast("long")
-        used = F.when(new, x["size"]).otherwise(acc["used"] + x["size"])
-        return F.struct(number.alias("bin"), used.alias("used"), F.concat(acc["out"], F.array(F.struct(x["at"].alias("at"), number.alias("bin")))).alias("out"))
-
-    packed = df.groupBy(*keys).agg(F.aggregate(items, start, step)["out"].alias("out"))
-    return packed.select(*keys, F.explode("out").alias("o")).select(*keys, F.col("o.at").alias(order), F.col("o.bin").alias("bin"))
+    """Consecutive rows in bins whose sizes sum to ``limit`` at most (a larger row is alone; a null size is 0)."""
+
+    def begin():
+        number = used = 0
+
+        def step(n):
+            nonlocal number, used
+            n = n or 0
+            if used > 0 and used + n > limit:
+                number, used = number + 1, 0
+            used += n
+            return number
+
+        return step
+
+    return walked(df.select(*keys, order, size), keys, [order], [size], begin, "bin").drop(size)
+
+
+def page_bins(df: DataFrame, keys: list[str], order: str, limits: dict[str, int], least: int, most: int) -> DataFrame:
+    """Consecutive pages in bins: the first ``least`` pages whatever they hold, then more while no sum passes its limit, ``most`` in all.
+
+    The rest at the end of a key may be shorter than ``least``.  A null count is 0.
+    """
+    bounds = list(limits.values())
+
+    def begin():
+        number, pages, sums = 0, 0, [0] * len(bounds)
+
+        def step(*counts):
+            nonlocal number, pages, sums
+            counts = [n or 0 for n in counts]
+            grown = [a + n for a, n in zip(sums, counts)]
+            if pages >= least and (pages >= most or any(n > bound for n, bound in zip(grown, bounds))):
+                number, pages, grown = number + 1, 0, counts
+            pages, sums = pages + 1, grown
+            return number
+
+        return step
+
+    return walked(df, keys, [order], list(limits), begin, "bin")
 
 
 def as_of(left: DataFrame, right: DataFrame, keys: list[str], left_at: str, right_at: str, value: str, name: str) -> DataFrame:

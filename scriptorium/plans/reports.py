@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from scriptorium.functions import text as t
@@ -52,22 +52,25 @@ def uncovered(items: DataFrame, key: str, texts: DataFrame) -> DataFrame:
 
     An item that is inside a text has its inner words whole in it, so the longest of them is the key of an
     equi-join and only those pairs are compared.  Items of fewer than three words have no inner word; they
-    meet the texts on each gram of their first (up to three) characters.
+    meet the texts on their first (up to three) characters.  Words and grams travel with an id of their text;
+    a text itself is sent once per item that it meets.
     """
     plain = F.trim(F.regexp_replace("text", "\\s+", " "))
     words = F.split("item", " ")
     inner = F.slice(words, 2, F.greatest(F.size(words) - 2, F.lit(0)))
     longest = F.element_at(F.array_sort(F.transform(inner, lambda w: F.struct(F.length(w).alias("n"), w.alias("w")))), -1)["w"]
-    own = items.select(key, plain.alias("item"))
+    own = items.select(key, plain.alias("item")).filter("item <> ''")
+    keyed = own.withColumn("n", F.when(F.size(words) >= 3, 0).otherwise(F.least(F.length("item"), F.lit(3))))
+    keyed = keyed.withColumn("word", F.when(F.col("n") == 0, longest).otherwise(F.substring("item", 1, 3)))
     whole = texts.select(plain.alias("whole")).filter("whole <> ''").withColumn("text_id", F.xxhash64("whole"))
-    long = own.filter(F.size(words) >= 3).withColumn("word", longest)
-    by_word = whole.select("whole", F.explode(F.array_distinct(F.split("whole", " "))).alias("word"))
-    met = long.join(by_word, "word").filter(F.col("whole").contains(F.col("item"))).select(key)
-    short = own.filter((F.size(words) < 3) & (F.col("item") != "")).withColumn("gram", F.substring("item", 1, 3))
+    parts = [F.transform(F.array_distinct(F.split("whole", " ")), lambda w: F.struct(F.lit(0).alias("n"), w.alias("word")))]
     for n in (1, 2, 3):
-        grams = whole.select("whole", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("whole")), lambda i: F.substr("whole", i, F.lit(n))))).alias("gram"))
-        met = met.unionByName(short.filter(F.length("gram") == n).join(grams, "gram").filter(F.col("whole").contains(F.col("item"))).select(key))
-    return own.filter("item <> ''").select(key).join(met.distinct(), key, "left_anti")
+        grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("whole")), lambda i: F.substr("whole", i, F.lit(n))))
+        parts.append(F.transform(F.filter(grams, lambda w: F.length(w) == n), lambda w: F.struct(F.lit(n).alias("n"), w.alias("word"))))
+    holds = whole.select("text_id", F.explode(F.concat(*parts)).alias("part")).select("text_id", "part.n", "part.word")
+    pairs = keyed.join(holds, ["n", "word"]).select(key, "item", "text_id").distinct()
+    met = pairs.join(whole, "text_id").filter(F.col("whole").contains(F.col("item"))).select(key).distinct()
+    return own.select(key).join(met, key, "left_anti")
 
 
 _FLAT = "trim(regexp_replace(text, '\\s+', ' ', 'g'))"
@@ -122,18 +125,11 @@ def j26(spark, d):
 
 @query("G02_joined_spans", "SELECT l_orderkey, min(l_linenumber) AS start, max(l_linenumber) + 1 AS stop, l_returnflag AS style FROM (SELECT *, l_linenumber - row_number() OVER (PARTITION BY l_orderkey, l_returnflag ORDER BY l_linenumber) AS run FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_returnflag FROM lineitem)) GROUP BY l_orderkey, run, l_returnflag")
 def g02(spark, d):
-    """Touching spans of one style become one, by a fold over the spans of a key (its lines, so a bounded list)."""
-    spans = F.array_sort(F.collect_set(F.struct(F.col("l_linenumber").alias("start"), (F.col("l_linenumber") + 1).alias("stop"), F.col("l_returnflag").alias("style"))))
-
-    def fold(done, x):
-        last = F.element_at(done, -1)
-        touch = (F.size(done) > 0) & (F.try_element_at(done, F.lit(-1))["stop"] == x["start"]) & (F.try_element_at(done, F.lit(-1))["style"] == x["style"])
-        joined = F.struct(last["start"].alias("start"), x["stop"].alias("stop"), x["style"].alias("style"))
-        return F.when(touch, F.concat(F.slice(done, 1, F.size(done) - 1), F.array(joined))).otherwise(F.concat(done, F.array(x)))
-
-    empty = F.array().cast("array<struct<start:int,stop:int,style:string>>")
-    made = table(spark, d, "lineitem").groupBy("l_orderkey", "l_returnflag").agg(F.aggregate(spans, empty, fold).alias("spans"))
-    return made.select("l_orderkey", F.inline("spans"))
+    """Touching spans of one style become one."""
+    spans = table(spark, d, "lineitem").select("l_orderkey", F.col("l_returnflag").alias("style"), F.col("l_linenumber").alias("start"), (F.col("l_linenumber") + 1).alias("stop")).distinct()
+    keys = ["l_orderkey", "style"]
+    joined = runs.islands(spans, keys, ["start"], F.lag("stop").over(runs.ordered(keys, ["start"])) != F.col("start"))
+    return joined.groupBy(*keys, "island").agg(F.min("start").alias("start"), F.max("stop").alias("stop")).select("l_orderkey", "start", "stop", "style")
 
 
 def _hits(column: str, words: tuple[str, ...]) -> str:
@@ -213,21 +209,29 @@ def w21(spark, d):
 
 
 def parenthesis_groups(df: DataFrame, keys: list[str], order: str, text: str) -> DataFrame:
-    """Groups rows from an opening line until the balance since then is 0 or less: ``keys, first, n``, one fold per key.
+    """Groups rows from an opening line until the balance since then is 0 or less: ``keys, first, n``.
 
-    The balance starts anew after each group, so it is no plain window; the list is one key's numbers, not its texts.
+    The balance starts anew after each group and is never below 0.  Such a sum that is cut off at 0 is the plain running
+    sum less its lowest value so far, so two windows over one sort give it; a row belongs to the row before where that left some open.
     """
-    items = F.array_sort(F.collect_list(F.struct(F.col(order).cast("long").alias("at"), t.parenthesis_balance(F.col(text)).cast("long").alias("b"))))
-    zero = F.lit(0).cast("long")
-    start = F.struct(zero.alias("open"), F.array().cast("array<struct<first:long,n:long>>").alias("out"))
+    w = runs.ordered(keys, [order])
+    running = w.rowsBetween(Window.unboundedPreceding, 0)
+    balance = F.coalesce(t.parenthesis_balance(F.col(text)), F.lit(0)).cast("long")
+    rows = df.select(*keys, order, balance.alias("__b")).withColumn("__sum", F.sum("__b").over(running))
+    rows = rows.withColumn("__open", F.col("__sum") - F.least(F.lit(0), F.min("__sum").over(running)))
+    groups = runs.islands(rows, keys, [order], F.lag("__open").over(w) <= 0)
+    return groups.groupBy(*keys, "island").agg(F.min(order).cast("long").alias("first"), F.count("*").alias("n")).drop("island")
+
+
+_BALANCE = "length(line) - length(replace(replace(line, '(', ''), '（', '')) - length(line) + length(replace(replace(line, ')', ''), '）', ''))"
 
-    def step(acc, x):
-        last = F.try_element_at(acc["out"], F.lit(-1))
-        grown = F.concat(F.slice(acc["out"], 1, F.size(acc["out"]) - 1), F.array(F.struct(last["first"].alias("first"), (last["n"] + 1).alias("n"))))
-        out = F.when(acc["open"] > 0, grown).otherwise(F.concat(acc["out"], F.array(F.struct(x["at"].alias("first"), F.lit(1).cast("long").alias("n")))))
-        return F.struct(F.greatest(acc["open"] + x["b"], zero).alias("open"), out.alias("out"))
 
-    return df.groupBy(*keys).agg(F.aggregate(items, start, step)["out"].alias("out")).select(*keys, F.inline("out"))
+@query(
+    "W08_parenthesis_groups",
+    f"WITH RECURSIVE l AS (SELECT doc_id, line_no, {_BALANCE} AS b FROM {LINES}), g AS (SELECT doc_id, line_no, line_no AS first, greatest(b, 0) AS open FROM l WHERE line_no = 0 UNION ALL SELECT l.doc_id, l.line_no, CASE WHEN g.open > 0 THEN g.first ELSE l.line_no END, greatest(g.open + l.b, 0) FROM g JOIN l ON l.doc_id = g.doc_id AND l.line_no = g.line_no + 1) SELECT doc_id, CAST(first AS BIGINT) AS first, count(*) AS n FROM g GROUP BY doc_id, first",
+)
+def w08(spark, d):
+    return parenthesis_groups(lines(spark, d), ["doc_id"], "line_no", "line")
 
 
 @query("O08_detail_lines", "SELECT conv_id, turn, 'role=' || role || ' text=' || length(text) || ' turn=' || turn AS line FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k FROM conversations) WHERE k <= 50")
