@@ -290,8 +290,10 @@ class Memo(dict):
         self.old: dict = {}
 
     def __missing__(self, word: str):
-        ids, starts = self.vocabulary.words([word.encode()])
-        value = self.make(ids, starts.tolist())[0]
+        value = self.old.get(word)
+        if value is None:
+            ids = np.array(self.vocabulary.word(word.encode()), np.int32)
+            value = self.make(ids, [0, len(ids)])[0]
         if len(word) <= REMEMBERED:
             self.turn()
             self[word] = value

@@ -22,6 +22,8 @@ from scriptorium.llm.common import releasing, table
 
 #: Characters after which a leaf ends at the next white space.
 LEAF_CHARS = 512
+#: Pre-tokens of texts up to so many characters are worked out with other texts', those of longer ones for so many leaves at a time.
+TOGETHER_CHARS, TOGETHER_LEAVES = 1 << 17, 256
 EDIT = "array<struct<start:long,stop:long,replacement:string>>"
 _GAP = re.compile(bpe._SEPARATORS.pattern)
 
@@ -60,7 +62,11 @@ class CountTree:
         self.leaves = leaves
         self.width = 1 << max(0, len(leaves) - 1).bit_length()
         self.chars, self.tokens = [0] * (2 * self.width), [0] * (2 * self.width)
+        counts = _counter(self.tokenizer) if sum(map(len, leaves)) > TOGETHER_CHARS else None
         for i, leaf in enumerate(leaves):
+            if counts is not None and i % TOGETHER_LEAVES == 0:
+                fresh = (t for t in leaves[i : i + TOGETHER_LEAVES] if t not in known)
+                counts.learn([run for t in fresh for run in bpe.runs(t, counts.vocabulary) if not isinstance(run, int)])
             self.chars[self.width + i] = len(leaf)
             n = known.get(leaf)
             if n is None:
@@ -137,9 +143,8 @@ def count_with_edits(docs: DataFrame, edits: Column, tokenizer: str = TOKENIZER,
         for batch in batches:
             rows = []
             texts = batch.column(1).to_pylist()
-            for _ in bpe.gathered((t if t and len(t) <= bpe.BATCH_CHARS else "" for t in texts), counts.vocabulary, [counts]):
-                pass
-            for value, changes in zip(texts, batch.column(2)):
+            learned = bpe.gathered((t if t and len(t) <= TOGETHER_CHARS else "" for t in texts), counts.vocabulary, [counts])
+            for value, changes, _ in zip(texts, batch.column(2), learned):  # each text right after the memo has learned it
                 tree = CountTree(value or "", tokenizer)
                 n, leaves, built = tree.tokens[1], len(tree.leaves), tree.encoded
                 changes = [c for c in changes.as_py() or () if c]

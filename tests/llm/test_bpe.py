@@ -169,3 +169,18 @@ def test_count_with_edits(docs, none, rows, library):
     want = sorted((str(r[0]), count(r[1] or ""), count(edited(r[1] or ""))) for r in rows)
     assert sorted((str(r["doc_id"]), r["n_tokens"], r["n_tokens_edited"]) for r in out) == want
     assert token_counts.count_with_edits(none, token_counts.standing_edits()).count() == 0
+
+
+def test_memo_keeps_counting_right_when_it_turns_over():
+    """More pre-tokens than the memo holds, long texts included: the counts are those of the plain encoder."""
+    vocabulary = bpe.load(NAME)
+    memo = bpe.Memo(vocabulary, lambda ids, starts: [b - a for a, b in zip(starts, starts[1:])], most=8)
+    words = [f"word{chr(97 + i % 26)}{chr(97 + i // 26)}ish" for i in range(60)] * 3 + ["x" * 100]
+    memo.learn([words[:40]])
+    memo.learn([words[30:60]])
+    assert [memo[w] for w in words] == [len(vocabulary.word(w.encode())) for w in words]
+    text = " ".join(words * 700)
+    assert len(text) > token_counts.TOGETHER_CHARS
+    tree = token_counts.CountTree(text, NAME)
+    assert tree.tokens[1] == sum(1 for _ in bpe.encode(text, vocabulary))
+    assert tree.edit(len(text) // 2, len(text) // 2 + 9, "a new one ") == sum(1 for _ in bpe.encode(tree.text, vocabulary))
