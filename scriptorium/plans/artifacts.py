@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from scriptorium.functions import render
 from scriptorium.plans.rendering import _escaped
-from scriptorium.sources import batches, captions
+from scriptorium.sources import batches, books, captions
 from scriptorium.sources.tables import table
 
 QUERIES, SQL = {}, {}
@@ -142,3 +142,25 @@ def r09(spark, d):
         .otherwise(F.array("p_name", "p_type"))
     )
     return part.select("p_partkey", render.markdown_block(kind, lines).alias("html"))
+
+
+_SCENE = "CASE WHEN turn % 2 = 0 THEN ' scene ' || turn ELSE '' END"
+
+
+@query(
+    "K04_epub",
+    "SELECT CAST(conv_id AS VARCHAR) AS book, 'ok' AS state, 'cover.xhtml' || CASE WHEN min(turn) = 0 THEN ' reader-notes.xhtml' ELSE '' END || coalesce(string_agg(' chapter-' || printf('%03d', r), '.xhtml' ORDER BY r) FILTER (turn > 0) || '.xhtml', '') AS spine,"
+    f" '封面' || CASE WHEN min(turn) = 0 THEN ' notes' ELSE '' END || coalesce(string_agg(' 原剧本第 ' || turn || ' 页' || ({_SCENE}), '' ORDER BY turn) FILTER (turn > 0), '') AS contents FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, turn = 0 ORDER BY turn) AS r FROM conversations) GROUP BY conv_id",
+)
+def k04(spark, d):
+    """A book per conversation, whose first turn is the reader's note: written, read again and checked."""
+    head, turn = F.lit('<h3 id="s">scene '), F.col("turn").cast("string")
+    scene = F.when(F.col("turn") % 2 == 0, F.concat(head, turn, F.lit("</h3>"))).otherwise("")
+    page = F.concat(F.lit('<p class="page">原剧本第 '), turn, F.lit(" 页</p>"), scene, render.paragraph(F.col("text")))
+    rows = table(spark, d, "conversations").select(
+        F.col("conv_id").cast("string").alias("book"), F.lit("made").alias("title"), F.lit("made").alias("source_title"), F.lit("zh-CN").alias("language"), "turn",
+        F.when(F.col("turn") == 0, "reader-notes").otherwise("chapter").alias("kind"), F.lit("notes").alias("heading"), F.when(F.col("turn") > 0, page).otherwise(render.paragraph(F.col("text"))).alias("html"),
+    )
+    rows = rows.withColumn("scenes", F.when(F.col("kind") == "chapter", books.scene_links(F.col("html"))))
+    files = books.checked(books.epub_files(books.sections(rows, "turn")))
+    return files.select("book", F.coalesce("wrong", F.lit("ok")).alias("state"), F.array_join("spine", " ").alias("spine"), F.array_join("contents", " ").alias("contents"))
