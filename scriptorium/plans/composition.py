@@ -6,12 +6,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scriptorium.operators import runs
-from scriptorium.sources.tables import table
+from scriptorium.plans.reports import CALM, TENSE, _hits
+from scriptorium.sources.tables import LINES, table
+from scriptorium.sources.tables import lines as source_lines
 
 QUERIES, SQL = {}, {}
 # What a batch holds at most, its pages, labels of entries that a caption stands behind, and the title of a project that has none.
 LIMITS = {"entries": 110, "dialogue": 65, "markers": 18}
 LEAST_PAGES, MOST_PAGES = 5, 10
+TENDENCIES = 10
 DEFAULT_TITLE = "剧本学习版"
 MATCHED_LABELS = ("字幕匹配", "字幕差异")
 STAMP = ("subtitle_event_index", "subtitle_start", "subtitle_end")
@@ -135,3 +138,38 @@ def o18(spark, d):
     source = F.when(kind == 0, F.col("c_name")).when(kind == 1, F.col("c_mktsegment")).otherwise("")
     title = F.coalesce(F.nullif(own, F.lit("")), F.nullif(source, F.lit("")), F.lit(DEFAULT_TITLE))
     return table(spark, d, "customer").select("c_custkey", title.alias("title"), F.coalesce(F.nullif(source, F.lit("")), title).alias("source_title"), F.lit("zh-CN").alias("language"))
+
+
+def style_profiles(lines: DataFrame, events: DataFrame, key: str, most: int = TENDENCIES) -> DataFrame:
+    """Per project: lines, tone, and, where it has caption events, its most frequent terms, questions and exclamations.
+
+    ``lines`` has ``line``, ``events`` has ``text``; projects without a line have no profile.  The basis is the captions where there are any.
+    """
+
+    def hits(words: tuple[str, ...]) -> Column:
+        return F.coalesce(F.sum(sum(F.lower("line").contains(w).cast("long") for w in words)), F.lit(0))
+
+    tone = F.when(F.col("calm") > F.col("tense"), "calm").when(F.col("tense") > F.col("calm"), "tense").otherwise("even")
+    source = lines.groupBy(key).agg(F.count("*").alias("n_lines"), F.count_if(F.trim("line") != "").alias("n_not_empty"), hits(CALM).alias("calm"), hits(TENSE).alias("tense"))
+    words = F.regexp_extract_all(F.lower("text"), F.lit("[a-z][a-z'-]*"), F.lit(0))
+    counts = events.select(key, F.explode(words).alias("term")).groupBy(key, "term").agg(F.count("*").alias("n"))
+    first = runs.first_rows(counts, [key], [F.desc("n"), "term"], most).groupBy(key).agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "term"))).alias("terms"))
+    notes = events.groupBy(key).agg(F.count_if(F.col("text").contains("?")).alias("n_questions"), F.count_if(F.col("text").contains("!")).alias("n_exclaimed"), F.lit("subtitles").alias("basis"))
+    rows = source.join(notes, key, "left").join(first, key, "left")
+    terms = F.transform("terms", lambda x: F.struct(x["term"].alias("term"), (-x["n"]).alias("n")))
+    return rows.select(key, F.coalesce("basis", F.lit("source_lines")).alias("style_basis"), "n_lines", "n_not_empty", tone.alias("tone"), terms.alias("terms"), "n_questions", "n_exclaimed")
+
+
+_TERMS = "SELECT conv_id, string_agg(term || '=' || n, ' ' ORDER BY n DESC, term) AS terms FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY n DESC, term) AS k FROM (SELECT conv_id, term, count(*) AS n FROM (SELECT conv_id, unnest(regexp_extract_all(lower(text), '[a-z][a-z''-]*')) AS term FROM conversations) GROUP BY 1, 2)) WHERE k <= 10 GROUP BY 1"
+
+
+@query(
+    "O16_style_profile",
+    f"SELECT doc_id, CASE WHEN c.conv_id IS NULL THEN 'source_lines' ELSE 'subtitles' END AS style_basis, n_lines, n_not_empty, CASE WHEN calm > tense THEN 'calm' WHEN tense > calm THEN 'tense' ELSE 'even' END AS tone, coalesce(terms, '') AS terms, n_questions, n_exclaimed FROM (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (trim(line) <> '') AS n_not_empty, sum({_hits('lower(line)', CALM)}) AS calm, sum({_hits('lower(line)', TENSE)}) AS tense FROM {LINES} GROUP BY 1)"
+    f" LEFT JOIN (SELECT conv_id, count(*) FILTER (contains(text, '?')) AS n_questions, count(*) FILTER (contains(text, '!')) AS n_exclaimed FROM conversations GROUP BY 1) c ON c.conv_id = doc_id LEFT JOIN ({_TERMS}) t ON t.conv_id = doc_id",
+)
+def o16(spark, d):
+    """A project per document, with the conversation of the same id as its captions."""
+    events = table(spark, d, "conversations").select(F.col("conv_id").alias("doc_id"), "text")
+    listed = F.array_join(F.transform("terms", lambda x: F.concat(x["term"], F.lit("="), x["n"].cast("string"))), " ")
+    return style_profiles(source_lines(spark, d), events, "doc_id").withColumn("terms", F.coalesce(listed, F.lit("")))

@@ -93,3 +93,17 @@ def s08(spark, d):
     items = table(spark, d, "benchmark").select(F.col("item_id").cast("string").alias("path"), words.alias("words"))
     files = items.select("path", F.concat(F.lit("%PDF-1.4\n"), F.array_join(F.transform(pages, page), ""), F.lit("%%EOF")).cast("binary").alias("content"))
     return pdf.source_lines(pdf.text_rows(pdf.parse(files))).select("path", "pdf_page", "line_no", "text")
+
+
+def caption_artifacts(events: DataFrame) -> DataFrame:
+    """Events of each caption file as one JSON text, in their order: ``path, json``."""
+    event = F.struct("event_index", F.struct("start", "end", "text").alias("event"))
+    listed = F.transform(F.array_sort(F.collect_list(event)), lambda x: x["event"])
+    return events.groupBy("path").agg(listed.alias("events")).select("path", F.to_json(F.struct(F.lit(1).alias("version"), F.col("path").alias("source"), "events")).alias("json"))
+
+
+@query("O07_stored_captions", f"SELECT CAST(conv_id AS VARCHAR) AS path, '{{\"version\":1,\"source\":\"' || conv_id || '\",\"events\":[' || string_agg('{{\"start\":' || CAST(turn AS DOUBLE) || ',\"end\":' || (turn + 10.5e0) || ',\"text\":' || to_json({_CLEAN}) || '}}', ',' ORDER BY turn) || ']}}' AS json FROM conversations GROUP BY conv_id")
+def o07(spark, d):
+    at, until = (F.lpad(x.cast("string"), 2, "0") for x in (F.col("turn"), F.col("turn") + 10))
+    cue = F.concat(F.col("turn").cast("string"), F.lit("\n00:00:"), at, F.lit(",000 --> 00:00:"), until, F.lit(",500\n"), t.collapse_space(F.col("text")))
+    return caption_artifacts(captions.parse_cues(_files(table(spark, d, "conversations"), "conv_id", "turn", cue, "\n\n", "WEBVTT\n\n")))
