@@ -123,12 +123,14 @@ def g08(spark, d):
 
 @query(
     "G09_candidate_terms",
-    "SELECT term, n FROM (SELECT term, count(*) AS n, min(doc_id * 10000000 + pos) AS first FROM (SELECT doc_id, unnest(range(len(w))) AS pos, unnest(w) AS term FROM (SELECT doc_id, regexp_extract_all(lower(text), '[a-z][a-z''-]*') AS w FROM documents)) WHERE length(term) >= 3 GROUP BY term) ORDER BY n DESC, first LIMIT 50",
+    "SELECT term, n FROM (SELECT term, count(*) AS n, min(CAST(doc_id AS HUGEINT) * 2147483648 + pos) AS first FROM (SELECT doc_id, unnest(range(len(w))) AS pos, unnest(w) AS term FROM (SELECT doc_id, regexp_extract_all(lower(text), '[a-z][a-z''-]*') AS w FROM documents)) WHERE length(term) >= 3 GROUP BY term) ORDER BY n DESC, first LIMIT 50",
 )
 def g09(spark, d):
     words = F.regexp_extract_all(F.lower("text"), F.lit("[a-z][a-z'-]*"), F.lit(0))
     tokens = table(spark, d, "documents").select("doc_id", F.posexplode(words).alias("pos", "term")).filter(F.length("term") >= 3)
-    n = tokens.groupBy("term").agg(F.count("*").alias("n"), F.min(F.col("doc_id") * 10000000 + F.col("pos")).alias("first"))
+    # Id and place as one decimal, exact for any id and length: the least of a struct would need a sort for each aggregate.
+    place = F.col("doc_id").cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(10,0)") + F.col("pos")
+    n = tokens.groupBy("term").agg(F.count("*").alias("n"), F.min(place).alias("first"))
     return n.orderBy(F.desc("n"), "first").limit(50).select("term", "n")
 
 
