@@ -1,4 +1,4 @@
-"""Queries of the ten operators and of the corpus pipeline, and their SQL where SQL can express them."""
+"""Queries of the operators and of the corpus pipeline, and their SQL where SQL can express them."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from scriptorium.llm.bpe_codec import op2_bpe_codec
+from scriptorium.llm.centroids import OP11_SQL, op11_centroid_clustering
 from scriptorium.llm.exact_dedup import OP9_SQL, op9_exact_dedup
 from scriptorium.llm.language_id import op4_language_id
 from scriptorium.llm.license_scan import op1_license_scan
@@ -35,7 +36,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_packing": op10_packing,
+    "op11_centroid_clustering": op11_centroid_clustering,
     "pipeline": pipeline,
 }
 
-SQL: dict[str, str] = {"op3_topk": OP3_SQL, "op9_exact_dedup": OP9_SQL}
+SQL: dict[str, str] = {"op3_topk": OP3_SQL, "op9_exact_dedup": OP9_SQL, "op11_centroid_clustering": OP11_SQL}
