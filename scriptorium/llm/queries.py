@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from scriptorium.llm.bpe_codec import op2_bpe_codec
 from scriptorium.llm.centroids import OP11_SQL, op11_centroid_clustering
 from scriptorium.llm.exact_dedup import OP9_SQL, op9_exact_dedup
+from scriptorium.llm.filter_audit import OP13_SQL, op13_filter_interaction_audit
 from scriptorium.llm.language_id import op4_language_id
 from scriptorium.llm.license_scan import op1_license_scan
 from scriptorium.llm.lm_score import op6_lm_score
@@ -37,7 +38,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_exact_dedup": op9_exact_dedup,
     "op10_packing": op10_packing,
     "op11_centroid_clustering": op11_centroid_clustering,
+    "op13_filter_interaction_audit": op13_filter_interaction_audit,
     "pipeline": pipeline,
 }
 
-SQL: dict[str, str] = {"op3_topk": OP3_SQL, "op9_exact_dedup": OP9_SQL, "op11_centroid_clustering": OP11_SQL}
+SQL: dict[str, str] = {
+    "op3_topk": OP3_SQL,
+    "op9_exact_dedup": OP9_SQL,
+    "op11_centroid_clustering": OP11_SQL,
+    "op13_filter_interaction_audit": OP13_SQL,
+}
