@@ -14,6 +14,7 @@ from scriptorium.llm.language_id import op4_language_id
 from scriptorium.llm.license_scan import op1_license_scan
 from scriptorium.llm.lm_score import op6_lm_score
 from scriptorium.llm.packing import op10_packing
+from scriptorium.llm.secret_scan import OP12_SQL, op12_secret_scan
 from scriptorium.llm.simhash import op8_simhash
 from scriptorium.llm.suffix_dedup import op7_suffix_dedup
 from scriptorium.llm.token_counts import op5_token_counts
@@ -38,6 +39,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_exact_dedup": op9_exact_dedup,
     "op10_packing": op10_packing,
     "op11_centroid_clustering": op11_centroid_clustering,
+    "op12_secret_scan": op12_secret_scan,
     "op13_filter_interaction_audit": op13_filter_interaction_audit,
     "pipeline": pipeline,
 }
@@ -46,5 +48,6 @@ SQL: dict[str, str] = {
     "op3_topk": OP3_SQL,
     "op9_exact_dedup": OP9_SQL,
     "op11_centroid_clustering": OP11_SQL,
+    "op12_secret_scan": OP12_SQL,
     "op13_filter_interaction_audit": OP13_SQL,
 }
