@@ -24,14 +24,14 @@ SAMPLE_ROWS, SAMPLE_BYTES = 300, 2 << 20
 #: Of each language so many times its sample, by expectation, is ranked; the rest is left out before the shuffle.
 RANKED = 4
 UNKNOWN = "und"
-#: Columns that ``predict`` adds, bytes whose likelihoods the share compares, and rows it scores at a time.
-PRED, SCORE, SHARPNESS, SLICE_ROWS = "__lang_pred", "__lang_score", 16, 500
+#: Bytes whose likelihoods the share compares, and rows scored at a time.
+SHARPNESS, SLICE_ROWS = 16, 500
 _LETTER = re.compile(r"[^\W\d_]")
 
 
 def held_out(id_column: str = "doc_id", parts: int = 3):
     """Whether crc32 of the id as text leaves 1; a null id counts as the empty text."""
-    return F.crc32(F.coalesce(F.col(f"`{id_column}`").cast("string"), F.lit(""))) % parts == 1
+    return F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit(""))) % parts == 1
 
 
 def has_letter(text: str) -> bool:
@@ -90,32 +90,36 @@ def _guess(texts: list[str | None], langs: list[str], model: ppm.Lengths) -> tup
 
 
 def predict(docs: DataFrame, langs: list[str], model: ppm.Lengths, text: str = "text") -> DataFrame:
-    """Adds ``PRED`` and ``SCORE`` (the language's share of the likelihoods per byte, 0 to 1) to every row.
+    """``row`` (all columns of ``docs``, whatever their names), ``pred`` and ``score`` (the language's share of the likelihoods per byte, 0 to 1).
 
-    Null texts and texts without a letter get ``und`` and 0, and so does everything if no language was
-    learned.  All other columns pass through; texts are scored in slices of a batch.
+    Null texts and texts without a letter get ``und`` and 0, and so does everything if no language was learned.
+    Every row gives a row; texts are scored in slices of a batch.
     """
     shared = docs.sparkSession.sparkContext.broadcast((langs, model))
-    at = docs.columns.index(text)
-    schema = T.StructType([*docs.schema.fields, T.StructField(PRED, T.StringType()), T.StructField(SCORE, T.DoubleType())])
+    schema = T.StructType([T.StructField("row", docs.schema), T.StructField("pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs, model = shared.value
         for batch in batches:
             for start in range(0, batch.num_rows, SLICE_ROWS):
                 part = batch.slice(start, SLICE_ROWS)
-                pred, score = _guess(part.column(at).to_pylist(), langs, model)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(pred, pa.string()), pa.array(score, pa.float64())], names=[*part.schema.names, PRED, SCORE])
+                pred, score = _guess(part.column(1).to_pylist(), langs, model)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(pred, pa.string()), pa.array(score, pa.float64())], names=["row", "pred", "score"])
 
-    return docs.mapInArrow(releasing(run), schema)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text}`").alias("body"))
+    return rows.mapInArrow(releasing(run), schema)
 
 
 def identify(docs: DataFrame, rows: int = SAMPLE_ROWS, id_column: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """Per row: ``doc_id, held_out, lang_pred, score``; learns from rows that are not held out."""
+    """Per row: ``doc_id, held_out, lang_pred, score``; learns from rows that are not held out.
+
+    A null id counts as the empty text in the rule of who is held out; repeated rows each give a row, and each counts
+    in the sample it falls into.  An empty table gives no row; other columns are not read.
+    """
     base = docs.select(F.col(f"`{id_column}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"), F.col(f"`{lang}`").cast("string").alias("lang"))
     langs, model = fit(base.filter(~held_out()), rows)
     out = predict(base.select("doc_id", "text"), langs, model)
-    return out.select("doc_id", held_out().alias("held_out"), F.col(PRED).alias("lang_pred"), F.col(SCORE).alias("score"))
+    return out.select("row.doc_id", held_out("row.doc_id").alias("held_out"), F.col("pred").alias("lang_pred"), "score")
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

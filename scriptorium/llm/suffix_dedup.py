@@ -26,6 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from scriptorium.llm.common import Written, partitions, releasing, table, text_bytes
 
@@ -430,7 +431,8 @@ def without_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
 
     A cut inside a multi-byte character drops the rest of that character.  Null texts stay null.
     """
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text], F.col(f"`{text}`").isNull().alias("__null"))
+    others = [F.col(f"`{c}`") for c in docs.columns if c != text]
+    row = F.struct(F.struct(*others).alias("others"), F.col(f"`{text}`").isNull().alias("none"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, found in _each(batches):
@@ -439,9 +441,9 @@ def without_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
 
     owners = _owners(docs, text)
     prepared = _prepared(docs, row, id_column, text, owners)
-    out = _places(prepared, owners).mapInArrow(releasing(run), f"row {prepared.schema['row'].dataType.simpleString()}, text string")
-    kept = F.when(~F.col("row.__null"), F.col("text"))
-    return out.select(*[kept.alias(c) if c == text else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    out = _places(prepared, owners).mapInArrow(releasing(run), T.StructType([prepared.schema["row"], T.StructField("text", T.StringType())]))
+    kept = F.when(~F.col("row.none"), F.col("text"))
+    return out.select(*[kept.alias(c) if c == text else F.col(f"row.others.`{c}`").alias(c) for c in docs.columns])
 
 
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

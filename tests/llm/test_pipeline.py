@@ -44,12 +44,25 @@ def test_rows_without_an_id_of_their_own(spark):
     assert {(4, near(b)), (None, c), (3, near(e)), (7, f)} < set(got)
 
 
+OWN_NAMES = ["__null", "__lang_pred", "__lang_score", "row", "key", "sha", "bucket", "block", "pred", "score", "others", "none", "root", "fp", "n", "kept", "a b`c"]
+
+
+def test_int_ids_and_columns_named_like_the_operators_own(spark, rows):
+    made = spark.createDataFrame([(i, t, lang, s, n, *range(len(OWN_NAMES))) for i, t, lang, s, n, *_ in rows], "doc_id int, text string, lang string, source string, n_chars int, " + ", ".join(f"`{c.replace('`', '``')}` int" for c in OWN_NAMES[:-1]) + ", last int")
+    now = made = made.withColumnRenamed("last", OWN_NAMES[-1].replace("`", "")).repartition(3)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        now = corpus_pipeline.Written(stage(spark, now, None), name).df
+        assert now.dtypes == made.dtypes
+        assert now.select(OWN_NAMES[0], OWN_NAMES[5]).distinct().collect() == [(0, 5)]
+    assert corpus_pipeline.STAGES[-1][1](spark, now, None).count() >= now.count() > 40
+
+
 def test_run(spark, sf_dir):
     assert corpus_pipeline.run(spark, sf_dir).count() > 100
 
 
 def test_registered_names():
-    assert [int(n[2:].split("_")[0]) for n in list(queries.QUERIES)[:-1]] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in list(queries.QUERIES)[:-1]] == list(range(1, 14))
     assert set(queries.SQL) <= set(queries.QUERIES)
 
 
@@ -57,7 +70,7 @@ def test_registered_names():
 def test_sql_gives_the_same(spark, sf_dir, name):
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "labels"):
         con.execute(f"create view {t} as select * from '{sf_dir}/{t}.parquet'")
     got = queries.QUERIES[name](spark, sf_dir).toPandas()
     want = con.execute(queries.SQL[name]).df()
