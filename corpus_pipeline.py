@@ -31,9 +31,9 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Keeps documents in a language; ``und`` (null, or without a letter) goes.  ``lang`` becomes the prediction where it is null."""
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
     langs, model = language_id.fit(base.filter(~language_id.held_out()))
-    out = language_id.predict(docs, langs, model).filter(F.col(language_id.PRED) != language_id.UNKNOWN)
-    lang = F.coalesce(F.col("lang"), F.col(language_id.PRED))
-    return out.select(*[lang.alias(c) if c == "lang" else F.col(f"`{c}`") for c in docs.columns])
+    out = language_id.predict(docs, langs, model).filter(F.col("pred") != language_id.UNKNOWN)
+    lang = F.coalesce("row.lang", "pred")
+    return out.select(*[lang.alias(c) if c == "lang" else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
 
 def _kept(docs: DataFrame, dropped: DataFrame, repeated: DataFrame) -> DataFrame:
@@ -67,7 +67,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     Null, empty and wordless texts share fingerprint zero, so one row of them stays; an empty table stays empty.
     """
-    keyed = _keyed(docs).select(F.col("row.doc_id").alias("doc_id"), F.col("row.text").alias("text"), "key")
+    keyed = _keyed(docs).select(F.col("row.doc_id").cast("long").alias("doc_id"), F.col("row.text").alias("text"), "key")
     found = Written(simhash.members(keyed, carried=["key"]).filter("root is not null").select("root", "doc_id", "key"), "members").df
     first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key"))["key"].alias("first"))
     found = found.join(first, "root").select("key", (F.col("key") == F.col("first")).alias("kept"))

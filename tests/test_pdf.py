@@ -40,4 +40,5 @@ def test_ops_rows_lines_and_markers(spark, tmp_path):
     assert [(r.text, r.zone, r.parts) for r in got] == [("3.", "page_number", 1), ("ANNA (CONT'D)", "body", 1), ("Hello you!", "body", 2), ("12 12", "margin", 2), ("Flip", "body", 1), ("third", "body", 1)]
     assert got[0].display_page == 0
     marks = pdf.marker_types(pdf.text_rows(ops).withColumn("display_page", pdf.F.col("pdf_page")).withColumn("zone", pdf.F.lit("margin"))).filter("path like '%False.pdf'")
-    assert sorted((r.type, r.position) for r in marks.collect()) == [("contd", None), ("scene_no", "left"), ("scene_no", "right"), ("scene_no", "right")]
+    # "3." in a margin has a digit but is no run of digits, so the surveyed rule (P08) makes it a split number
+    assert sorted((r.type, r.position) for r in marks.collect()) == [("contd", None), ("scene_no", "left"), ("scene_no", "right"), ("split_scene", "right")]
