@@ -1,10 +1,12 @@
-"""Ordered operators: islands, carried values, ranges, greedy bins, as-of joins."""
+"""Ordered operators: islands, carried values, greedy bins, first rows (``scans`` has those for keys of any size)."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
@@ -26,16 +28,6 @@ def carried(value: Column, keys: list[str], order: list[Column | str]) -> Column
     return F.last(value, ignorenulls=True).over(ordered(keys, order).rowsBetween(Window.unboundedPreceding, 0))
 
 
-def compact_ranges(df: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """Distinct integers as text like ``1-3,5`` per key."""
-    rows = df.select(*keys, value).distinct()
-    runs = rows.withColumn("run", F.col(value) - F.row_number().over(ordered(keys, [value])))
-    spans = runs.groupBy(*keys, "run").agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
-    text = F.when(F.col("lo") == F.col("hi"), F.col("lo").cast("string")).otherwise(F.concat_ws("-", "lo", "hi"))
-    joined = F.transform(F.array_sort(F.collect_list(F.struct("lo", text.alias("t")))), lambda x: x["t"])
-    return spans.groupBy(*keys).agg(F.array_join(joined, ",").alias("ranges"))
-
-
 def walked(df: DataFrame, keys: list[str], order: list[str], values: list[str], begin: Callable[[], Callable], name: str) -> DataFrame:
     """Adds a long that a state machine gives each row, in order within its key; ``begin`` makes the machine of a key.
 
@@ -60,22 +52,49 @@ def walked(df: DataFrame, keys: list[str], order: list[str], values: list[str],
 
 
 def greedy_bins(df: DataFrame, keys: list[str], order: str, size: str, limit: int) -> DataFrame:
-    """Consecutive rows in bins whose sizes sum to ``limit`` at most (a larger row is alone; a null size is 0)."""
-
-    def begin():
-        number = used = 0
+    """Consecutive rows in bins whose sizes sum to ``limit`` at most (a larger row is alone but for zeros before it); a null size is 0.
 
-        def step(n):
-            nonlocal number, used
-            n = n or 0
-            if used > 0 and used + n > limit:
+    Sizes must not be negative.  Sorted rows stream through as Arrow batches; a bin is one search in a batch's prefix
+    sums, and what is carried from batch to batch is the key, the bin and its sum.
+    """
+    rows = df.select(*keys, order, size).repartition(*keys).sortWithinPartitions(*keys, order)
+
+    def bins(sizes: np.ndarray, number: int, used: int) -> tuple[np.ndarray, int, int]:
+        sums = np.concatenate([[0], np.cumsum(sizes)])
+        out, at = np.empty(len(sizes), np.int64), 0
+        while at < len(sizes):
+            end = max(at, int(np.searchsorted(sums, limit - used + sums[at], "right")) - 1)  # rows at .. end fit
+            while end < len(sizes) and used + sums[end] - sums[at] == 0:
+                end += 1  # nothing is used, so a row goes in whatever its size
+            out[at:end] = number
+            used += int(sums[end] - sums[at])
+            if end < len(sizes):
                 number, used = number + 1, 0
-            used += n
-            return number
+            at = end
+        return out, number, used
 
-        return step
-
-    return walked(df.select(*keys, order, size), keys, [order], [size], begin, "bin").drop(size)
+    def run(batches):
+        last, number, used = None, 0, 0
+        for batch in batches:
+            columns = [batch.column(k) for k in range(len(keys))]
+            sizes = pc.fill_null(batch.column(len(keys) + 1).cast(pa.int64()), 0).to_numpy()
+            new = np.zeros(batch.num_rows, bool)
+            for c in columns:
+                code = c.dictionary_encode(null_encoding="encode").indices.to_numpy()
+                new[1:] |= code[1:] != code[:-1]
+            starts = [0, *np.flatnonzero(new).tolist(), batch.num_rows] if batch.num_rows else []
+            out = []
+            for start, end in zip(starts, starts[1:]):
+                key = tuple(c[start].as_py() for c in columns)
+                if last is None or key != last:
+                    last, number, used = key, 0, 0
+                found, number, used = bins(sizes[start:end], number, used)
+                out.append(found)
+            if out:
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(np.concatenate(out))], names=[*batch.schema.names[:-1], "bin"])
+
+    fields = [f for f in rows.schema.fields if f.name != size]
+    return rows.mapInArrow(run, StructType([*fields, StructField("bin", LongType())]))
 
 
 def page_bins(df: DataFrame, keys: list[str], order: str, limits: dict[str, int], least: int, most: int) -> DataFrame:
@@ -102,15 +121,6 @@ def page_bins(df: DataFrame, keys: list[str], order: str, limits: dict[str, int]
     return walked(df, keys, [order], list(limits), begin, "bin")
 
 
-def as_of(left: DataFrame, right: DataFrame, keys: list[str], left_at: str, right_at: str, value: str, name: str) -> DataFrame:
-    """For each left row the right value of the latest time strictly before, by one merge of both sides per key."""
-    a = left.withColumn("__at", F.col(left_at)).withColumn("__side", F.lit(0)).withColumn("__v", F.lit(None).cast(right.schema[value].dataType))
-    b = right.select(*keys, F.col(right_at).alias("__at"), F.lit(1).alias("__side"), F.col(value).alias("__v"))
-    both = a.unionByName(b, allowMissingColumns=True)
-    carried_value = carried(F.when(F.col("__side") == 1, F.col("__v")), keys, ["__at", "__side", "__v"])
-    return both.withColumn(name, carried_value).filter("__side = 0").select(*left.columns, name)
-
-
 def first_rows(df: DataFrame, keys: list[str], order: list[Column | str], n: int, name: str = "rank") -> DataFrame:
     """The first n rows per key; Spark keeps n per task before the shuffle."""
     return df.withColumn(name, F.row_number().over(ordered(keys, order))).filter(F.col(name) <= n)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from scriptorium.functions import text as t
-from scriptorium.operators import runs
+from scriptorium.operators import runs, scans
 from scriptorium.sources.tables import LINES, lines, table
 
 QUERIES, SQL = {}, {}
@@ -58,7 +58,7 @@ def j12(spark, d):
     e = table(spark, d, "events")
     bought = e.filter("event_type = 'purchase'").select("event_id", "user_id", "ts")
     seen = e.filter("event_type = 'view'").select("user_id", F.col("ts").alias("seen_ts"))
-    return runs.as_of(bought, seen, ["user_id"], "ts", "seen_ts", "seen_ts", "viewed").select("event_id", "viewed")
+    return scans.as_of(bought, seen, ["user_id"], "ts", "seen_ts", "seen_ts", "viewed").select("event_id", "viewed")
 
 
 @query("J15_broken_links", "SELECT page_id, target FROM (SELECT DISTINCT page_id, html, unnest(regexp_extract_all(html, '\\bhref=\"#([^\"]*)\"', 1)) AS target FROM (SELECT page_id, html || '<a href=\"#s' || (page_id % 5) || '\"></a><h2 id=\"s' || (page_id % 3) || '\"></h2>' AS html FROM pages)) WHERE NOT list_contains(regexp_extract_all(html, '\\bid=\"([^\"]*)\"', 1), target)")
@@ -192,7 +192,8 @@ def w03(spark, d):
 
 @query("W04_carry_forward", "SELECT event_id, last_value(CASE WHEN event_type = 'purchase' THEN event_id END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS purchase_id FROM events")
 def w04(spark, d):
-    return table(spark, d, "events").select("event_id", runs.carried(F.when(F.col("event_type") == "purchase", F.col("event_id")), ["user_id"], ["ts", "event_id"]).alias("purchase_id"))
+    bought = F.when(F.col("event_type") == "purchase", F.col("event_id"))
+    return scans.carried(table(spark, d, "events").select("event_id", "event_type", "user_id", "ts"), ["user_id"], ["ts", "event_id"], bought, "purchase_id").select("event_id", "purchase_id")
 
 
 @query(
@@ -200,9 +201,8 @@ def w04(spark, d):
     "SELECT user_id, min(event_id) AS first_event, count(*) AS n, max(ts) AS until FROM (SELECT *, sum(b) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS s FROM (SELECT *, CASE WHEN epoch(ts) - epoch(lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id)) > 7200 THEN 1 ELSE 0 END AS b FROM events)) GROUP BY user_id, s",
 )
 def w05(spark, d):
-    at = t.seconds(F.col("ts"))
-    gap = at - F.lag(at).over(runs.ordered(["user_id"], ["ts", "event_id"]))
-    numbered = runs.islands(table(spark, d, "events"), ["user_id"], ["ts", "event_id"], gap > 7200, "session")
+    e = table(spark, d, "events").select("user_id", "event_id", "ts")
+    numbered = scans.islands(e, ["user_id"], ["ts", "event_id"], t.seconds(F.col("ts")), lambda now, then: now - then > 7200, "session")
     return numbered.groupBy("user_id", "session").agg(F.min("event_id").alias("first_event"), F.count("*").alias("n"), F.max("ts").alias("until")).drop("session")
 
 
@@ -217,7 +217,7 @@ def w11(spark, d):
     "SELECT source, string_agg(CASE WHEN lo = hi THEN CAST(lo AS VARCHAR) ELSE lo || '-' || hi END, ',' ORDER BY lo) AS ranges FROM (SELECT source, min(doc_id) AS lo, max(doc_id) AS hi FROM (SELECT source, doc_id, doc_id - row_number() OVER (PARTITION BY source ORDER BY doc_id) AS r FROM documents) GROUP BY source, r) GROUP BY source",
 )
 def w14(spark, d):
-    return runs.compact_ranges(table(spark, d, "documents"), ["source"], "doc_id")
+    return scans.compact_ranges(table(spark, d, "documents"), ["source"], "doc_id")
 
 
 @query("W15_first_occurrence", "SELECT min(doc_id) AS doc_id FROM documents GROUP BY text")
