@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from scriptorium.functions import fixed
+
 LATIN_WORD = "[A-Za-z][A-Za-z'-]*"
 #: CJK characters that matching keeps.
 MATCH_CJK = "\\x{3400}-\\x{9fff}"
@@ -47,6 +49,11 @@ def match_key(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(F.translate(c, "’‘", "''")), f"[^a-z0-9{MATCH_CJK}]+", " "))
 
 
+def plain_lower(c: Column) -> Column:
+    """Lower case with straight apostrophes."""
+    return F.lower(F.translate(c, "’‘", "''"))
+
+
 def compact_key(c: Column) -> Column:
     return F.regexp_replace(F.lower(c), "[^a-z0-9]", "")
 
@@ -55,6 +62,12 @@ def latin_words(c: Column) -> Column:
     return F.regexp_extract_all(c, F.lit(LATIN_WORD), F.lit(0))
 
 
+def match_terms(c: Column) -> Column:
+    """Distinct lower-case words that matching compares: three characters and more, straight apostrophes, no stop words."""
+    words = F.transform(F.regexp_extract_all(c, F.lit("[A-Za-z][A-Za-z'’-]*"), F.lit(0)), lambda w: F.lower(F.translate(w, "’", "'")))
+    return F.array_distinct(F.filter(words, lambda w: (F.length(w) >= 3) & ~w.isin(*fixed.MATCH_STOP_WORDS)))
+
+
 def canonical_label(c: Column) -> Column:
     return F.upper(F.regexp_replace(c, "[\\s._/-]", ""))
 

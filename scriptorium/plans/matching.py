@@ -30,24 +30,6 @@ def j04(spark, d):
 _WORDS = "list_distinct(list_filter(regexp_extract_all(lower(text), '[a-z][a-z''-]*'), lambda w: length(w) >= 6))"
 
 
-@query(
-    "J07_fuzzy_top2",
-    f"WITH u AS (SELECT conv_id, turn, {_WORDS} AS w FROM conversations), e AS (SELECT item_id, {_WORDS} AS w FROM benchmark), s AS (SELECT conv_id, turn, item_id, len(list_intersect(u.w, e.w)) / least(len(u.w), len(e.w)) AS score FROM u, e WHERE len(list_intersect(u.w, e.w)) > 0) SELECT conv_id, turn, item_id, CAST(score AS DOUBLE) AS score, CAST(r AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, turn ORDER BY score DESC, item_id) AS r FROM s WHERE score >= 0.2) WHERE r <= 2",
-)
-def j07(spark, d):
-    """Pairs meet only on shared words (an equi-join), so no pair without overlap is ever made."""
-
-    def words(df, *keys):
-        w = F.array_distinct(F.filter(F.regexp_extract_all(F.lower("text"), F.lit("[a-z][a-z'-]*"), F.lit(0)), lambda x: F.length(x) >= 6))
-        return df.select(*keys, w.alias("w")).select(*keys, F.size("w").alias("n"), F.explode("w").alias("word"))
-
-    u = words(table(spark, d, "conversations"), "conv_id", "turn").withColumnRenamed("n", "n_unit")
-    e = words(table(spark, d, "benchmark"), "item_id").withColumnRenamed("n", "n_item")
-    shared = u.join(e, "word").groupBy("conv_id", "turn", "item_id", "n_unit", "n_item").agg(F.count("*").alias("both"))
-    scored = shared.select("conv_id", "turn", "item_id", (F.col("both") / F.least("n_unit", "n_item")).alias("score")).filter("score >= 0.2")
-    return runs.first_rows(scored, ["conv_id", "turn"], [F.desc("score"), "item_id"], 2)
-
-
 @query("J09_unique_match", "SELECT l_orderkey, l_partkey FROM (SELECT l_orderkey, l_partkey, count(*) OVER (PARTITION BY l_orderkey) AS a, count(*) OVER (PARTITION BY l_partkey) AS b FROM lineitem WHERE l_quantity = 50) WHERE a = 1 AND b = 1")
 def j09(spark, d):
     pairs = table(spark, d, "lineitem").filter("l_quantity = 50").select("l_orderkey", "l_partkey")
@@ -62,12 +44,6 @@ def j10(spark, d):
     return table(spark, d, "orders").select("o_orderkey").join(best, "o_orderkey", "left").select("o_orderkey", F.coalesce("high", "low", F.lit(-1)).alias("partkey"))
 
 
-@query("J13_missing_counterpart", "SELECT doc_id FROM documents WHERE regexp_matches(text, '\\bLicensed\\b') AND NOT contains(text, 'Apache')")
-def j13(spark, d):
-    c = F.col("text")
-    return table(spark, d, "documents").filter(c.rlike("\\bLicensed\\b") & ~c.contains("Apache")).select("doc_id")
-
-
 @query("J17_expected_pages", "SELECT x AS page_id FROM (SELECT unnest(range(0, 400)) AS x) WHERE x NOT IN (SELECT page_id FROM pages)")
 def j17(spark, d):
     return spark.range(400).select(F.col("id").alias("page_id")).join(table(spark, d, "pages").select("page_id"), "page_id", "left_anti")
@@ -114,22 +90,8 @@ def w13(spark, d):
     return table(spark, d, "events").filter("event_type = 'error'").withColumn("r", place).select("event_id", F.when(F.col("r") == 1, "OPEN").otherwise("FROZEN").alias("state"))
 
 
-@query("W06_running_limit", "SELECT conv_id, turn FROM (SELECT conv_id, turn, sum(length(text)) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS used FROM conversations) WHERE coalesce(used, 0) < 300")
-def w06(spark, d):
-    used = F.sum(F.length("text")).over(runs.ordered(["conv_id"], ["turn"]).rowsBetween(Window.unboundedPreceding, -1))
-    return table(spark, d, "conversations").withColumn("used", used).filter("coalesce(used, 0) < 300").select("conv_id", "turn")
-
-
 @query("T04_scored_top2", "SELECT l_orderkey, l_linenumber FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice DESC, l_linenumber) AS r FROM lineitem) WHERE r <= 2")
 def t04(spark, d):
     return runs.first_rows(table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice"), ["l_orderkey"], [F.desc("l_extendedprice"), "l_linenumber"], 2).select("l_orderkey", "l_linenumber")
 
 
-@query("U07_token_intersection", f"SELECT b.item_id, CAST(len(list_intersect(b.w, d.w)) AS INTEGER) AS n_shared FROM (SELECT item_id, {_WORDS} AS w FROM benchmark) b JOIN (SELECT doc_id, {_WORDS} AS w FROM documents) d ON b.item_id = d.doc_id")
-def u07(spark, d):
-    def words(df, key):
-        w = F.array_distinct(F.filter(F.regexp_extract_all(F.lower("text"), F.lit("[a-z][a-z'-]*"), F.lit(0)), lambda x: F.length(x) >= 6))
-        return df.select(F.col(key).alias("item_id"), w.alias(f"{key}_w"))
-
-    both = words(table(spark, d, "benchmark"), "item_id").join(words(table(spark, d, "documents"), "doc_id"), "item_id")
-    return both.select("item_id", F.size(F.array_intersect("item_id_w", "doc_id_w")).alias("n_shared"))

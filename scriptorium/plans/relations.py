@@ -47,12 +47,6 @@ def j05(spark, d):
     return table(spark, d, "events").filter(F.col("event_type").isin("click", "purchase")).groupBy("user_id").agg(kinds.alias("kinds")).filter(F.col("kinds") == F.array(F.lit("click"), F.lit("purchase"))).select("user_id")
 
 
-@query("J06_relevant_terms", "SELECT DISTINCT item_id, n_name FROM benchmark, nation WHERE contains(lower(text), lower(left(n_name, 3)))")
-def j06(spark, d):
-    names = F.broadcast(table(spark, d, "nation").select("n_name"))  # 25 rows, fixed
-    return table(spark, d, "benchmark").join(names, F.lower("text").contains(F.lower(F.left("n_name", F.lit(3))))).select("item_id", "n_name").distinct()
-
-
 @query("J12_as_of", "SELECT p.event_id, (SELECT max(v.ts) FROM events v WHERE v.user_id = p.user_id AND v.event_type = 'view' AND v.ts < p.ts) AS viewed FROM events p WHERE p.event_type = 'purchase'")
 def j12(spark, d):
     e = table(spark, d, "events")

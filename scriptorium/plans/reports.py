@@ -25,20 +25,6 @@ def query(name: str, sql: str):
 _TERMS = "list_distinct(list_filter(regexp_extract_all(lower(text), '[a-z][a-z''-]*'), lambda w: length(w) >= 6))"
 
 
-@query("J08_scorer", f"SELECT item_id, CASE WHEN contains(lower(d.text), lower(b.text)) THEN 1e0 WHEN len(b.w) = 0 OR len(d.w) = 0 THEN 0e0 ELSE len(list_intersect(b.w, d.w)) / least(len(b.w), len(d.w)) END AS score FROM (SELECT *, {_TERMS} AS w FROM benchmark) b JOIN (SELECT *, {_TERMS} AS w FROM documents) d ON b.item_id = d.doc_id")
-def j08(spark, d):
-    """Containment scores 1, else shared words over the smaller set."""
-
-    def terms(c):
-        return F.array_distinct(F.filter(F.regexp_extract_all(F.lower(c), F.lit("[a-z][a-z'-]*"), F.lit(0)), lambda x: F.length(x) >= 6))
-
-    b = table(spark, d, "benchmark").select("item_id", F.lower("text").alias("b"), terms("text").alias("bw"))
-    x = table(spark, d, "documents").select(F.col("doc_id").alias("item_id"), F.lower("text").alias("x"), terms("text").alias("xw"))
-    smaller = F.least(F.size("bw"), F.size("xw"))
-    score = F.when(F.col("x").contains(F.col("b")), 1.0).when(smaller == 0, 0.0).otherwise(F.size(F.array_intersect("bw", "xw")) / smaller)
-    return b.join(x, "item_id").select("item_id", score.alias("score"))
-
-
 @query("J11_first_timestamp", "SELECT p.event_id, CASE WHEN p.value > 100 THEN f.event_id END AS first_view FROM events p LEFT JOIN (SELECT user_id, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k FROM events WHERE event_type = 'view') WHERE k = 1) f ON f.user_id = p.user_id WHERE p.event_type = 'purchase'")
 def j11(spark, d):
     """The first of several values for a key wins; only rows that meet the condition take it."""
@@ -180,14 +166,6 @@ def g28(spark, d):
     return table(spark, d, "documents").select("doc_id", F.size(F.filter(F.split("text", "\n"), lambda x: F.trim(x) != "")).cast("long").alias("n"))
 
 
-@query("G30_match_summary", "SELECT (SELECT count(*) FROM benchmark) AS units, count(*) AS pairs, count(DISTINCT item_id) AS matched, count(*) FILTER (n = 1) AS once FROM (SELECT item_id, count(*) OVER (PARTITION BY item_id) AS n FROM benchmark b JOIN documents d ON b.item_id = d.doc_id AND length(d.text) > length(b.text))")
-def g30(spark, d):
-    b = table(spark, d, "benchmark").select("item_id", F.length("text").alias("b"))
-    x = table(spark, d, "documents").select(F.col("doc_id").alias("item_id"), F.length("text").alias("x"))
-    n = b.join(x, "item_id", "left").groupBy("item_id").agg(F.count(F.when(F.col("x") > F.col("b"), 1)).alias("n"))
-    return n.agg(F.count("*").alias("units"), F.sum("n").alias("pairs"), F.count_if(F.col("n") > 0).alias("matched"), F.count_if(F.col("n") == 1).alias("once"))
-
-
 @query("W20_section_carry", f"SELECT doc_id, line_no, last_value(CASE WHEN length(line) < 30 THEN line_no END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY line_no) AS section FROM {LINES}")
 def w20(spark, d):
     section = runs.carried(F.when(F.length("line") < 30, F.col("line_no")), ["doc_id"], ["line_no"])

@@ -73,13 +73,6 @@ def p24(spark, d):
     return table(spark, d, "conversations").select("conv_id", "turn", F.concat(_mapped("role", PREFIX), "text").alias("translation"))
 
 
-@query("P28_capped_terms", "SELECT item_id, n_name FROM (SELECT item_id, n_name, row_number() OVER (PARTITION BY item_id ORDER BY n_name) AS k FROM (SELECT DISTINCT item_id, n_name FROM benchmark, nation WHERE contains(lower(text), lower(substr(n_name, 1, 3))))) WHERE k <= 80")
-def p28(spark, d):
-    names = F.broadcast(table(spark, d, "nation").select("n_name"))  # 25 rows, fixed
-    found = table(spark, d, "benchmark").join(names, F.lower("text").contains(F.lower(F.substring("n_name", 1, 3)))).select("item_id", "n_name").distinct()
-    return runs.first_rows(found, ["item_id"], ["n_name"], 80).select("item_id", "n_name")
-
-
 @query("P29_style_summary", "SELECT lang, string_agg(word, ' ' ORDER BY k) AS terms FROM (SELECT lang, word, row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) AS k FROM (SELECT lang, lower(regexp_extract(text, '[A-Za-z]+')) AS word, count(*) AS n FROM documents GROUP BY ALL)) WHERE k <= 20 GROUP BY lang")
 def p29(spark, d):
     n = table(spark, d, "documents").groupBy("lang", F.lower(F.regexp_extract("text", "[A-Za-z]+", 0)).alias("word")).agg(F.count("*").alias("n"))
