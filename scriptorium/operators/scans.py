@@ -134,18 +134,13 @@ def as_of(left: DataFrame, right: DataFrame, keys: list[str], left_at: str, righ
     return met.filter("__side = 0").select(*left.columns, name)
 
 
-def compact_ranges(df: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """Distinct integers as text like ``1-3,5`` per key.
+def number_runs(rows: DataFrame, keys: list[str], value: str, block: str) -> DataFrame:
+    """``keys, lo, hi``: maximal runs of distinct whole numbers.
 
     Runs are found within blocks of values and then stitched where they touch a block's end, so no task holds more of a
-    key than a block and the pieces of its text.
+    key than a block and the pieces of its runs.
     """
-    v, block = F.col(value).cast("long"), F.expr(f"`{value}` div {CELL_ROWS}")
-    rows = df.filter(F.col(value).isNotNull()).select(*keys, v.alias("v"), block.alias("__block")).distinct()
-    run = F.col("v") - F.row_number().over(Window.partitionBy(*keys, "__block").orderBy("v"))
-    pieces = rows.withColumn("__run", run).groupBy(*keys, "__block", "__run").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
+    run = F.col(value) - F.row_number().over(Window.partitionBy(*keys, block).orderBy(value))
+    pieces = rows.withColumn("__run", run).groupBy(*keys, block, "__run").agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
     joined = islands(pieces, keys, ["lo"], F.struct("lo", "hi"), lambda now, then: now["lo"] > then["hi"] + 1, "__part")
-    spans = joined.groupBy(*keys, "__part").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    text = F.when(F.col("lo") == F.col("hi"), F.col("lo").cast("string")).otherwise(F.concat_ws("-", "lo", "hi"))
-    listed = F.transform(F.array_sort(F.collect_list(F.struct("lo", text.alias("t")))), lambda x: x["t"])
-    return spans.groupBy(*keys).agg(F.array_join(listed, ",").alias("ranges"))
+    return joined.groupBy(*keys, "__part").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).drop("__part")

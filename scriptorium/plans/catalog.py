@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scriptorium.plans import artifacts, composition, context, gate, ingest, matching, relations, rendering, reports, rules, scalars, script, selection
+from scriptorium.plans import artifacts, composition, context, gate, ingest, matching, pages, relations, rendering, reports, rules, scalars, script, selection
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = scalars.QUERIES | relations.QUERIES | matching.QUERIES | script.QUERIES | selection.QUERIES | reports.QUERIES | rules.QUERIES | rendering.QUERIES | ingest.QUERIES | artifacts.QUERIES | composition.QUERIES | gate.QUERIES | context.QUERIES
-SQL: dict[str, str] = scalars.SQL | relations.SQL | matching.SQL | script.SQL | selection.SQL | reports.SQL | rules.SQL | rendering.SQL | ingest.SQL | artifacts.SQL | composition.SQL | gate.SQL | context.SQL
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = scalars.QUERIES | relations.QUERIES | matching.QUERIES | script.QUERIES | selection.QUERIES | reports.QUERIES | rules.QUERIES | rendering.QUERIES | ingest.QUERIES | artifacts.QUERIES | composition.QUERIES | gate.QUERIES | context.QUERIES | pages.QUERIES
+SQL: dict[str, str] = scalars.SQL | relations.SQL | matching.SQL | script.SQL | selection.SQL | reports.SQL | rules.SQL | rendering.SQL | ingest.SQL | artifacts.SQL | composition.SQL | gate.SQL | context.SQL | pages.SQL
 FLAGSHIP = QUERIES["G09_candidate_terms"]

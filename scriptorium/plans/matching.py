@@ -44,11 +44,6 @@ def j10(spark, d):
     return table(spark, d, "orders").select("o_orderkey").join(best, "o_orderkey", "left").select("o_orderkey", F.coalesce("high", "low", F.lit(-1)).alias("partkey"))
 
 
-@query("J17_expected_pages", "SELECT x AS page_id FROM (SELECT unnest(range(0, 400)) AS x) WHERE x NOT IN (SELECT page_id FROM pages)")
-def j17(spark, d):
-    return spark.range(400).select(F.col("id").alias("page_id")).join(table(spark, d, "pages").select("page_id"), "page_id", "left_anti")
-
-
 @query("J18_two_sided_anti", "(SELECT doc_id, 'unlabelled' AS side FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)) UNION ALL (SELECT doc_id, 'unknown' FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents))")
 def j18(spark, d):
     docs, labels = table(spark, d, "documents").select("doc_id"), table(spark, d, "labels").select("doc_id")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from scriptorium.functions import text as t
-from scriptorium.operators import runs, scans
+from scriptorium.operators import intervals, runs, scans
 from scriptorium.sources.tables import LINES, lines, table
 
 QUERIES, SQL = {}, {}
@@ -211,7 +211,8 @@ def w11(spark, d):
     "SELECT source, string_agg(CASE WHEN lo = hi THEN CAST(lo AS VARCHAR) ELSE lo || '-' || hi END, ',' ORDER BY lo) AS ranges FROM (SELECT source, min(doc_id) AS lo, max(doc_id) AS hi FROM (SELECT source, doc_id, doc_id - row_number() OVER (PARTITION BY source ORDER BY doc_id) AS r FROM documents) GROUP BY source, r) GROUP BY source",
 )
 def w14(spark, d):
-    return scans.compact_ranges(table(spark, d, "documents"), ["source"], "doc_id")
+    ranges = intervals.of_values(table(spark, d, "documents"), ["source"], "doc_id")
+    return intervals.compact(ranges, ["source"], "ranges").drop("n_ranges")
 
 
 @query("W15_first_occurrence", "SELECT min(doc_id) AS doc_id FROM documents GROUP BY text")

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from scriptorium.operators import runs, scans, stored
+from scriptorium.operators import intervals, runs, scans, stored
 
 SCHEMA = "k string, at int, v int"
 
@@ -80,7 +80,7 @@ def test_as_of_and_ranges(spark, few):
     out = {(r.k, r.at): r.s for r in scans.as_of(left, right, ["k"], "at", "at", "v", "s").collect()}
     assert len(out) == left.count() and all(out[k, at] == s for k, at, s in filter(None, want))
     values = [("hot", i) for i in range(-300, 700) if i % 97] + [("hot", 5)] + [("b", 9), (None, 1), (None, 2), ("b", None)]
-    text = {r.k: r.ranges for r in scans.compact_ranges(spark.createDataFrame(values, "k string, x int"), ["k"], "x").collect()}
+    text = {r.k: r.ranges for r in intervals.compact(intervals.of_values(spark.createDataFrame(values, "k string, x int"), ["k"], "x"), ["k"], "ranges").collect()}
     runs_of = []
     for i in sorted({i for k, i in values if k == "hot"}):
         if runs_of and runs_of[-1][1] == i - 1:
@@ -90,6 +90,35 @@ def test_as_of_and_ranges(spark, few):
     assert text == {"hot": ",".join(f"{a}-{b}" if a < b else f"{a}" for a, b in runs_of), "b": "9", None: "1-2"}
 
 
+def test_sets_of_ranges(spark, few):
+    rnd = random.Random(6)
+    some = lambda n, k: [("hot" if i % 3 else f"k{i % 7}", a, a + rnd.randint(-1, 9)) for i, a in enumerate(rnd.choices(range(k), k=n))] + [("k1", None, 3), ("k1", 3, None)]
+    left, right = some(700, 9000), some(600, 9000)
+    schema = "k string, lo int, hi int"
+    whole = {}
+    for side, rows in enumerate((left, right)):
+        for k, lo, hi in rows:
+            if lo is not None and hi is not None:
+                whole.setdefault(k, (set(), set()))[side].update(range(lo, hi + 1))
+
+    def ranges(values):
+        out = []
+        for v in sorted(values):
+            if out and out[-1][1] == v - 1:
+                out[-1][1] = v
+            else:
+                out.append([v, v])
+        return out
+
+    a, b = (spark.createDataFrame(rows, schema).repartition(4) for rows in (left, right))
+    rows = lambda df: sorted((r.k, r.lo, r.hi) for r in df.collect())
+    want = lambda pick: sorted((k, *r) for k, sides in whole.items() for r in ranges(pick(*sides)))
+    assert rows(intervals.union(a, ["k"])) == want(lambda x, y: x)
+    assert rows(intervals.difference(a, b, ["k"])) == want(lambda x, y: x - y)
+    assert rows(intervals.holes(a, ["k"])) == want(lambda x, y: set(range(min(x), max(x) + 1)) - x if x else set())
+    assert intervals.difference(a.limit(0), b, ["k"]).collect() == []
+
+
 def test_empty(spark, few):
     df = spark.createDataFrame([], SCHEMA)
     assert scans.within_budget(df, ["k"], ["at"], F.col("v"), 9).collect() == [] == scans.running_sum(df, [], ["at"], F.col("v"), "s").collect()
