@@ -274,11 +274,3 @@ def u08(spark, d):
     return table(spark, d, "pages").select(F.explode(t.attributes(F.col("html"), "href")).alias("href")).distinct()
 
 
-@query(
-    "G01_first_lines",
-    f"SELECT doc_id, string_agg(line, ' ' ORDER BY line_no) AS head, count(*) AS parts FROM {LINES} WHERE line_no < 3 GROUP BY doc_id",
-)
-def g01(spark, d):
-    kept = lines(spark, d).filter("line_no < 3").groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("line_no", "line"))).alias("x"))
-    return kept.select("doc_id", F.array_join(F.transform("x", lambda x: x["line"]), " ").alias("head"), F.size("x").cast("long").alias("parts"))
-

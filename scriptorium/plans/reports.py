@@ -79,15 +79,6 @@ def j21(spark, d):
     return table(spark, d, "orders").join(F.broadcast(prices), "o_orderpriority", "left").select("o_orderkey", (F.col("o_totalprice") * F.col("price") / 1000000).alias("cost"))  # two rows, fixed
 
 
-@query("J23_first_location", "SELECT n_name, coalesce(min(page_id), -1) AS page_id FROM nation LEFT JOIN pages ON contains(lower(html), lower(substr(n_name, 1, 4))) GROUP BY n_name")
-def j23(spark, d):
-    """The first page that holds each anchor; anchors found nowhere fall back to -1."""
-    names = table(spark, d, "nation").select("n_name")
-    pages = table(spark, d, "pages").select("page_id", F.lower("html").alias("html"))
-    hits = pages.join(F.broadcast(names), F.col("html").contains(F.lower(F.substring("n_name", 1, 4))))  # 25 rows, fixed
-    return names.join(hits.groupBy("n_name").agg(F.min("page_id").alias("page_id")), "n_name", "left").select("n_name", F.coalesce("page_id", F.lit(-1)).alias("page_id"))
-
-
 @query("J24_stale_record", "SELECT source, coalesce(a.n, 0) AS confirmed, coalesce(b.n, 0) AS current, coalesce(a.n, 0) <> coalesce(b.n, 0) AS stale FROM (SELECT source, count(*) AS n FROM documents WHERE doc_id IN (SELECT doc_id FROM labels) GROUP BY source) a FULL JOIN (SELECT source, count(*) AS n FROM documents GROUP BY source) b USING (source)")
 def j24(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "source")
