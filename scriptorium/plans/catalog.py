@@ -10,4 +10,4 @@ from scriptorium.plans import artifacts, composition, context, gate, ingest, lay
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = scalars.QUERIES | relations.QUERIES | matching.QUERIES | script.QUERIES | selection.QUERIES | reports.QUERIES | rules.QUERIES | rendering.QUERIES | ingest.QUERIES | artifacts.QUERIES | composition.QUERIES | gate.QUERIES | context.QUERIES | pages.QUERIES | layout.QUERIES
 SQL: dict[str, str] = scalars.SQL | relations.SQL | matching.SQL | script.SQL | selection.SQL | reports.SQL | rules.SQL | rendering.SQL | ingest.SQL | artifacts.SQL | composition.SQL | gate.SQL | context.SQL | pages.SQL | layout.SQL
-FLAGSHIP = QUERIES["G09_candidate_terms"]
+FLAGSHIP = QUERIES["O01_context_package"]

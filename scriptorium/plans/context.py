@@ -6,13 +6,14 @@ captions, and the first two words of a conversation are a term whose rendering i
 
 from __future__ import annotations
 
-from pyspark.sql import Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from scriptorium.functions import fixed
+from scriptorium.functions import script as s
 from scriptorium.functions import text as t
 from scriptorium.operators import caption_match as m
-from scriptorium.operators import phrases
+from scriptorium.operators import phrases, runs, scans
 from scriptorium.operators.stored import Stored
 from scriptorium.plans import script
 from scriptorium.sources.tables import LINES, lines, table
@@ -60,26 +61,32 @@ def shared_words(spark, d):
     return term_rows(spark, d).select("term", F.explode(words).alias("word")).join(tendencies(spark, d), "word").select("part", "term", "word")
 
 
+def terms_in(texts: DataFrame, key: str, terms: DataFrame) -> DataFrame:
+    """``key, term``: terms that stand in a text of the key, the English side in any case, the rendering as it is."""
+    plain = terms.select("term", t.plain_lower(F.col("english")).alias("phrase"))
+    named = phrases.phrase_hits(texts, key, "text", plain, "phrase", False).distinct().join(plain, "phrase").select(key, "term")
+    rendered = phrases.phrase_hits(texts, key, "text", terms, "chinese", False, False).distinct()
+    return named.unionAll(rendered.join(terms.select("term", F.col("chinese").alias("phrase")), "phrase").select(key, "term"))
+
+
 def relevant_terms(spark, d):
     """``part, term, english, chinese``: terms that stand in a text of the part, in either language, or share a word with its tendencies."""
     terms = Stored(term_rows(spark, d)).df
     texts = table(spark, d, "documents").select(_part().alias("part"), "text")
-    key = terms.select("term", t.plain_lower(F.col("english")).alias("phrase"))
-    named = phrases.phrase_hits(texts, "part", "text", key, "phrase", False).distinct().join(key, "phrase").select("part", "term")
-    rendered = phrases.phrase_hits(texts, "part", "text", terms, "chinese", False, False).distinct()
-    rendered = rendered.join(terms.select("term", F.col("chinese").alias("phrase")), "phrase").select("part", "term")
-    found = named.unionAll(rendered).unionAll(shared_words(spark, d).select("part", "term")).distinct()
+    found = terms_in(texts, "part", terms).unionAll(shared_words(spark, d).select("part", "term")).distinct()
     return found.join(terms, "term").select("part", "term", "english", "chinese")
 
 
 def capped_terms(spark, d):
-    place = Window.partitionBy("part").orderBy("term")
-    return relevant_terms(spark, d).withColumn("k", F.row_number().over(place)).filter(F.col("k") <= m.RELEVANT).drop("k")
+    return runs.first_rows(relevant_terms(spark, d), ["part"], ["term"], m.RELEVANT, "k").drop("k")
+
 
+def entries(spark, d):
+    return script.dialogues(spark, d).select("doc_id", F.col("line_no").alias("at"), F.format_string("p%03d-e%03d", "doc_id", F.col("line_no") + 1).alias("id"), F.expr("line_no div 10 + 1").alias("page"), "kind", "x", F.col("line").alias("text"))
 
-def units(spark, d):
-    rows = script.dialogues(spark, d).select("doc_id", F.col("line_no").alias("at"), F.format_string("p%03d-e%03d", "doc_id", F.col("line_no") + 1).alias("id"), F.expr("line_no div 10 + 1").alias("page"), "kind", F.col("line").alias("text"))
-    found = m.dialogue_units(rows, ["doc_id"]).withColumn("unit_id", F.col("entry_ids")[0])
+
+def units(spark, d, rows=None):
+    found = m.dialogue_units(entries(spark, d) if rows is None else rows, ["doc_id"]).withColumn("unit_id", F.col("entry_ids")[0])
     return found.join(parts(spark, d), "doc_id")
 
 
@@ -251,3 +258,85 @@ def j13(spark, d):
     rows = rows.withColumn("entry_id", F.format_string("p%03d-e%03d", "doc_id", F.col("entry") * 2 + 1))
     found = terminology_findings(Stored(rows).df, Stored(term_rows(spark, d)).df, "entry_id")
     return found.select(F.lit("batch.terminology_inconsistency").alias("code"), "entry_id", F.col("english").alias("term"), F.col("chinese").alias("expected"))
+
+
+# Most rows, signals, terms of style and entries of the batch before in a package.
+ROWS, SIGNALS, STYLE_TERMS, TAIL = 160, 40, 20, 8
+SECTIONS = ("rows", "markers", "signals", "terms", "style", "matches", "tail")
+
+
+def packages(keys: DataFrame, key: str, sections: dict[str, DataFrame]) -> DataFrame:
+    """One package for each key: every section as an ordered list of texts.
+
+    Sections are ``key, place, item``, each cut by its cap before, so what meets a key in the one shuffle here is bounded.
+    """
+    rows = keys.select(key, F.lit(None).cast("string").alias("section"), F.lit(0).cast("long").alias("place"), F.lit(None).cast("string").alias("item"))
+    for name, part in sections.items():
+        rows = rows.unionAll(part.select(key, F.lit(name), F.col("place").cast("long"), "item"))
+    listed = lambda name: F.transform(F.array_sort(F.collect_list(F.when(F.col("section") == name, F.struct("place", "item")))), lambda x: x["item"])
+    return rows.groupBy(key).agg(*[listed(name).alias(name) for name in sections])
+
+
+def context_packages(spark, d) -> DataFrame:
+    """A package for each document: its first rows, their markers and signals, terms, style, caption candidates, and the tail of the document before it."""
+    docs = table(spark, d, "documents").select("doc_id", _part().alias("part"), "text")
+    rows = Stored(entries(spark, d)).df
+    first = rows.filter(F.col("at") < ROWS)
+    route = s.signal_route(F.col("text"), F.col("x"))
+    routed = Stored(first.select("doc_id", "at", "id", "text", route.alias("route")).filter("route is not null")).df
+    signals = runs.first_rows(routed.filter("route <> 'marker'"), ["doc_id"], ["at"], SIGNALS)
+    spoken = Stored(units(spark, d, rows)).df
+    terms = Stored(term_rows(spark, d)).df
+    shared = shared_words(spark, d).select("part", "term").distinct().join(docs.select("doc_id", "part"), "part").select("doc_id", "term")
+    found = terms_in(docs.select("doc_id", "text"), "doc_id", terms).unionAll(shared).distinct()
+    found = Stored(runs.first_rows(found, ["doc_id"], ["term"], m.RELEVANT).drop("rank").join(terms, "term")).df
+    best = Stored(m.candidates(m.scored_pairs(spoken.select("doc_id", "unit_id", "source"), events(spark, d), found.select("doc_id", "english", "chinese"), ["doc_id"]))).df
+    sent = m.emitted(spoken.select("doc_id", "unit", "unit_id"), best, ["doc_id"], ["unit"]).filter("n_candidates > 0")
+    style = tendencies(spark, d).withColumn("place", F.row_number().over(Window.partitionBy("part").orderBy("word"))).filter(F.col("place") <= STYLE_TERMS)
+    last = runs.first_rows(rows.select("doc_id", "at", "id", "kind"), ["doc_id"], [F.desc("at")], TAIL).select(F.col("doc_id").alias("previous"), "at", F.concat_ws(":", "id", "kind").alias("item"))
+    before = scans.lagged(docs.select("doc_id", "part"), ["part"], ["doc_id"], F.col("doc_id"), "previous")
+    return packages(docs, "doc_id", {
+        "rows": first.select("doc_id", F.col("at").alias("place"), F.concat_ws(":", "id", "kind").alias("item")),
+        "markers": routed.filter("route = 'marker'").select("doc_id", F.col("at").alias("place"), F.concat_ws(":", "id", F.upper(t.collapse_space(F.col("text")))).alias("item")),
+        "signals": signals.select("doc_id", F.col("at").alias("place"), F.concat_ws(":", "id", "route").alias("item")),
+        "terms": found.select("doc_id", F.col("term").alias("place"), F.concat_ws("=", "english", "chinese").alias("item")),
+        "style": docs.select("doc_id", "part").join(style, "part").select("doc_id", "place", F.col("word").alias("item")),
+        "matches": sent.join(best, "unit_id").select("doc_id", (F.col("unit") * 10 + F.col("rank")).alias("place"), F.concat(F.col("unit_id"), F.lit(">"), F.col("event").cast("string")).alias("item")),
+        "tail": before.join(last, "previous").select("doc_id", F.col("at").alias("place"), "item"),
+    })
+
+
+_DOC_PAIRS = (
+    _PAIRS.replace(_RELEVANT, f"""{_TERMS},
+{_TENDENCIES},
+capped AS (
+  SELECT doc_id, term, english, chinese FROM (
+    SELECT doc_id, term, row_number() OVER (PARTITION BY doc_id ORDER BY term) AS k FROM (
+      SELECT doc_id, term FROM documents, terms WHERE contains(lower(text), {_PLAIN}) OR contains(text, chinese)
+      UNION SELECT doc_id, term FROM shared JOIN documents ON coalesce(lang, '') = part
+    )
+  ) JOIN terms USING (term) WHERE k <= {m.RELEVANT}
+)""")
+    .replace("JOIN capped ON capped.part = units.part", "JOIN capped ON capped.doc_id = units.doc_id")
+    .replace("PARTITION BY part ORDER BY doc_id, unit ROWS", "PARTITION BY doc_id ORDER BY unit ROWS")
+)
+_ROUTE = script.ROUTE
+_SECTIONS_SQL = f"""
+rows_cte AS (SELECT doc_id, string_agg(printf('p%03d-e%03d', doc_id, line_no + 1) || ':' || kind, ',' ORDER BY line_no) AS rows FROM entries WHERE line_no < {ROWS} GROUP BY doc_id),
+routed AS (SELECT doc_id, line_no, {script.LABEL} AS label, {_ROUTE} AS route FROM {script.PLACED} WHERE line_no < {ROWS}),
+markers_cte AS (SELECT doc_id, string_agg(printf('p%03d-e%03d', doc_id, line_no + 1) || ':' || label, ',' ORDER BY line_no) AS markers FROM routed WHERE route = 'marker' GROUP BY doc_id),
+signals_cte AS (SELECT doc_id, string_agg(printf('p%03d-e%03d', doc_id, line_no + 1) || ':' || route, ',' ORDER BY line_no) AS signals FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY line_no) AS k FROM routed WHERE route <> 'marker') WHERE k <= {SIGNALS} GROUP BY doc_id),
+terms_cte AS (SELECT doc_id, string_agg(english || '=' || chinese, ',' ORDER BY term) AS terms FROM capped GROUP BY doc_id),
+style_cte AS (SELECT part, string_agg(word, ',' ORDER BY word) AS style FROM (SELECT *, row_number() OVER (PARTITION BY part ORDER BY word) AS k FROM tendencies) WHERE k <= {STYLE_TERMS} GROUP BY part),
+matches_cte AS (SELECT sent.doc_id, string_agg(sent.unit_id || '>' || event, ',' ORDER BY sent.unit, rank_no) AS matches FROM sent JOIN best ON best.unit_id = sent.unit_id GROUP BY sent.doc_id),
+tail_cte AS (SELECT doc_id, string_agg(printf('p%03d-e%03d', doc_id, line_no + 1) || ':' || kind, ',' ORDER BY line_no) AS tail FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY line_no DESC) AS k FROM entries) WHERE k <= {TAIL} GROUP BY doc_id),
+before_cte AS (SELECT doc_id, coalesce(lang, '') AS part, lag(doc_id) OVER (PARTITION BY coalesce(lang, '') ORDER BY doc_id) AS previous FROM documents)"""
+
+
+@query(
+    "O01_context_package",
+    f"WITH {_DOC_PAIRS},{_SECTIONS_SQL} SELECT b.doc_id, coalesce(rows, '') AS rows, coalesce(markers, '') AS markers, coalesce(signals, '') AS signals, coalesce(terms, '') AS terms, coalesce(style, '') AS style, coalesce(matches, '') AS matches, coalesce(tail, '') AS tail"
+    " FROM before_cte b LEFT JOIN rows_cte r ON r.doc_id = b.doc_id LEFT JOIN markers_cte m ON m.doc_id = b.doc_id LEFT JOIN signals_cte g ON g.doc_id = b.doc_id LEFT JOIN terms_cte t ON t.doc_id = b.doc_id LEFT JOIN style_cte y ON y.part = b.part LEFT JOIN matches_cte x ON x.doc_id = b.doc_id LEFT JOIN tail_cte l ON l.doc_id = b.previous",
+)
+def o01(spark, d):
+    return context_packages(spark, d).select("doc_id", *[F.array_join(c, ",").alias(c) for c in SECTIONS])

@@ -237,12 +237,3 @@ def o25(spark, d):
     return lines(spark, d).filter(F.exists(F.split("line", " "), lambda w: F.length(w) > 12)).select("doc_id", "line_no")
 
 
-@query("O01_context_package", f"WITH l AS (SELECT doc_id, count(*) AS n_lines, string_agg(line, chr(10) ORDER BY line_no) FILTER (line_no < 3) AS head FROM {LINES} GROUP BY doc_id) SELECT d.doc_id, n_lines, head, coalesce(quality, -1) AS quality, coalesce(n_terms, 0) AS n_terms FROM documents d JOIN l ON l.doc_id = d.doc_id LEFT JOIN labels q ON q.doc_id = d.doc_id LEFT JOIN (SELECT doc_id, count(*) AS n_terms FROM documents, nation WHERE contains(lower(text), lower(substr(n_name, 1, 4))) GROUP BY 1) t ON t.doc_id = d.doc_id")
-def o01(spark, d):
-    """One context record per document: its head, label and terms.  Head and count are expressions on the row; only the label is joined by a shuffle."""
-    docs = table(spark, d, "documents").select("doc_id", "text")
-    names = F.broadcast(table(spark, d, "nation").agg(F.collect_list(F.lower(F.substring("n_name", 1, 4))).alias("names")).withColumn("one", F.lit(1)))  # 25 names in one row
-    parts = F.split("text", "\n")
-    rows = docs.withColumn("one", F.lit(1)).join(names, "one").select("doc_id", F.size(parts).cast("long").alias("n_lines"), F.array_join(F.slice(parts, 1, 3), "\n").alias("head"), F.size(F.filter("names", lambda x: F.lower("text").contains(x))).cast("long").alias("n_terms"))
-    labels = table(spark, d, "labels").select("doc_id", "quality")
-    return rows.join(labels, "doc_id", "left").select("doc_id", "n_lines", "head", F.coalesce("quality", F.lit(-1)).alias("quality"), "n_terms")
