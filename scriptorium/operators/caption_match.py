@@ -40,15 +40,18 @@ def dialogue_units(entries: DataFrame, keys: list[str]) -> DataFrame:
     return units.select(*keys, F.col("p")[0]["at"].alias("unit"), "speaker", F.size("p").alias("n_entries"), each("id").alias("entry_ids"), F.array_distinct(each("page")).alias("pages"), F.array_join(each("body"), " ").alias("source"))
 
 
-def score(source: Column, words: Column, flat: Column, event_text: Column, event_words: Column, event_flat: Column, n_terms: Column) -> Column:
-    """0 to 1 for a unit and an event, both not empty; ``n_terms``: how many terms name both."""
-    shared, least = F.size(F.array_intersect(words, event_words)), F.least(F.size(words), F.size(event_words))
-    named, n = n_terms > 0, F.size(words)
+def score(inside: Column, n: Column, event_n: Column, shared: Column, n_terms: Column) -> Column:
+    """0 to 1 for a unit and an event, both not empty.
+
+    ``inside``: the unit's letters, LETTERS and more, stand in the event's; ``n, event_n, shared``: their terms and those of
+    both; ``n_terms``: rows of the terminology that name both.
+    """
+    least, named = F.least(n, event_n), n_terms > 0
     ratio = shared / F.greatest(F.lit(1), least)
     ratio = F.when(shared >= SHARED, F.greatest(ratio, F.lit(BY_WORDS))).otherwise(ratio)
     ratio = F.when(named, F.greatest(ratio, F.lit(BY_TERM) + F.least(n_terms, F.lit(MOST_TERMS)) * F.lit(PER_TERM))).otherwise(ratio)
     return (
-        F.when((F.length(flat) >= LETTERS) & event_flat.contains(flat), 1.0)
+        F.when(inside, 1.0)
         .when(least == 0, F.when(named, BY_TERM).otherwise(0.0))
         .when(shared < F.when(n <= SHORT, SHORT_SHARED).otherwise(SHARED), F.when(named & (shared > 0), BY_TERM).otherwise(0.0))
         .when((n <= SHORT) & (shared < n), 0.0)
@@ -107,8 +110,14 @@ def scored_pairs(units: DataFrame, events: DataFrame, terms: DataFrame, keys: li
     event = right.df.select("event", "start", "end", "text", F.col("words").alias("event_words"), F.col("flat").alias("event_flat"))
     event = F.broadcast(event) if right.side() is not right.df else event
     met = pairs.join(event, "event").join(left.df, "unit_id")
-    n_terms = F.size(F.filter("named", lambda x: F.col("text").contains(x["chinese"])))
-    value = score(F.col("source"), F.col("words"), F.col("flat"), F.col("text"), F.col("event_words"), F.col("event_flat"), n_terms)
+    met = met.select(
+        "unit_id", "event", "start", "end", "text",
+        ((F.length("flat") >= LETTERS) & F.col("event_flat").contains(F.col("flat"))).alias("inside"),
+        F.size("words").alias("n"), F.size("event_words").alias("event_n"),
+        F.size(F.array_intersect("event_words", "words")).alias("shared"),
+        F.size(F.filter("named", lambda x: F.col("text").contains(x["chinese"]))).alias("n_terms"),
+    )
+    value = score(*(F.col(c) for c in ("inside", "n", "event_n", "shared", "n_terms")))
     return met.select("unit_id", "event", "start", "end", "text", value.alias("score")).filter(F.col("score") >= MID)
 
 

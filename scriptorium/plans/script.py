@@ -24,12 +24,12 @@ def query(name: str, sql: str):
 
 def placed(spark, d):
     """Lines with a place on the page; some are in capitals, headings, in parentheses (some left open), or carry a revision mark."""
-    line = F.when(F.col("line_no") % 3 == 0, F.translate("line", LOWER, UPPER)).otherwise(F.col("line"))
-    line = F.when(F.col("line_no") % 13 == 6, F.concat(F.lit("INT. "), line)).otherwise(line)
-    line = F.when(F.col("line_no") % 7 == 2, F.concat(F.lit("("), line, F.lit(")"))).when(F.col("line_no") % 11 == 4, F.concat(F.lit("("), line)).otherwise(line)
-    line = F.when(F.col("line_no") % 5 == 0, F.concat(line, F.lit(" *"))).otherwise(line)
-    label = F.concat(F.col("line_no").cast("string"), F.when(F.col("line_no") % 2 == 0, "A").otherwise(""))
-    line = F.when(F.col("line_no") % 17 == 8, label).otherwise(line)
+    n = F.col("line_no")
+    body = F.when(n % 3 == 0, F.translate("line", LOWER, UPPER)).otherwise(F.col("line"))
+    head = [F.when((n % 7 == 2) | (n % 11 == 4), "(").otherwise(""), F.when(n % 13 == 6, "INT. ").otherwise("")]
+    tail = [F.when(n % 7 == 2, ")").otherwise(""), F.when(n % 5 == 0, " *").otherwise("")]
+    label = F.concat(n.cast("string"), F.when(n % 2 == 0, "A").otherwise(""))
+    line = F.when(n % 17 == 8, label).otherwise(F.concat(*head, body, *tail))
     x = ((F.col("line_no") * 37 + F.col("doc_id")) % 600).cast("double")
     return lines(spark, d).select("doc_id", "line_no", x.alias("x"), line.alias("line"))
 
