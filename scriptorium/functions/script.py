@@ -74,15 +74,6 @@ def split_asterisk(text: Column) -> Column:
     return F.struct(F.regexp_replace(text, "\\s*\\[\\[\\*\\]\\]\\s*$", "").alias("body"), text.rlike("\\[\\[\\*\\]\\]\\s*$").alias("revised"))
 
 
-def protected(kind: Column, text: Column, n_markers: Column) -> Column:
-    """Entries that keep their own line: headings and transitions, marked or revised entries, list-like text."""
-    return kind.isin("scene_heading", "transition") | (n_markers > 0) | asterisk(text) | text.rlike("^\\s*([-*•]|[0-9]+[.)])\\s")
-
-
-def display_unit(kind: Column, kept: Column) -> Column:
-    return F.when(kept, "protected").when(kind.isin("character", "dialogue", "parenthetical"), "dialogue").otherwise("prose")
-
-
 def repair_glyphs(c: Column) -> Column:
     """Glyphs that a font without an encoding shows for quotation marks, ellipsis and dash."""
     return F.translate(F.replace(c, F.lit("É"), F.lit("...")), "ÕÒÓÑ", "’\"\"-")

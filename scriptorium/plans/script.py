@@ -47,7 +47,6 @@ KINDS = f"(SELECT doc_id, line_no, x, line, {KIND} AS kind FROM {PLACED})"
 ORDER = "(PARTITION BY doc_id ORDER BY line_no)"
 FLOW = "(kind = 'parenthetical' OR (kind IN ('action', 'format_marker') AND x >= 160))"
 DIALOGUE = f"(SELECT doc_id, line_no, x, line, CASE WHEN kind <> 'parenthetical' AND {FLOW} AND last_value(CASE WHEN NOT {FLOW} THEN kind END IGNORE NULLS) OVER {ORDER} = 'character' THEN 'dialogue' ELSE kind END AS kind FROM {KINDS})"
-KEPT = "(kind IN ('scene_heading', 'transition') OR regexp_matches(line, '\\s\\*$') OR regexp_matches(line, '^\\s*([-*•]|[0-9]+[.)])\\s'))"
 
 
 def kinds(spark, d):
@@ -58,10 +57,6 @@ def dialogues(spark, d):
     return runs.with_dialogue(kinds(spark, d), ["doc_id"], ["line_no"], "kind", F.col("x") >= s.DIALOGUE_X)
 
 
-def kept():
-    return s.protected(F.col("kind"), F.col("line"), F.lit(0))
-
-
 @query("P07_structural_shape", f"SELECT doc_id, line_no FROM {PLACED} WHERE {SHAPE}")
 def p07(spark, d):
     return placed(spark, d).filter(s.structural_shape(F.col("line"))).select("doc_id", "line_no")
@@ -97,38 +92,11 @@ def w01(spark, d):
     return dialogues(spark, d).groupBy("kind").agg(F.count("*").alias("n"))
 
 
-@query("P16_protected", f"SELECT doc_id, line_no FROM {KINDS} WHERE {KEPT}")
-def p16(spark, d):
-    return kinds(spark, d).filter(kept()).select("doc_id", "line_no")
-
-
 @query("P19_revised", f"SELECT doc_id, count(*) AS n FROM {PLACED} WHERE regexp_matches(line, '\\s\\*$') GROUP BY doc_id")
 def p19(spark, d):
     return placed(spark, d).filter(s.asterisk(F.col("line"))).groupBy("doc_id").agg(F.count("*").alias("n"))
 
 
-@query("P22_display_unit", f"SELECT unit, count(*) AS n FROM (SELECT CASE WHEN {KEPT} THEN 'protected' WHEN kind IN ('character', 'dialogue', 'parenthetical') THEN 'dialogue' ELSE 'prose' END AS unit FROM {DIALOGUE}) GROUP BY unit")
-def p22(spark, d):
-    return dialogues(spark, d).select(s.display_unit(F.col("kind"), kept()).alias("unit")).groupBy("unit").agg(F.count("*").alias("n"))
-
-
-@query("P17_mergeable", f"SELECT doc_id, line_no FROM (SELECT doc_id, line_no, NOT kept AND kind = lag(kind) OVER {ORDER} AND NOT lag(kept) OVER {ORDER} AS merges FROM (SELECT *, {KEPT} AS kept FROM {DIALOGUE})) WHERE merges")
-def p17(spark, d):
-    rows = dialogues(spark, d).withColumn("kept", kept())
-    w = runs.ordered(["doc_id"], ["line_no"])
-    merges = ~F.col("kept") & (F.col("kind") == F.lag("kind").over(w)) & ~F.lag("kept").over(w)
-    return rows.withColumn("merges", merges).filter("merges").select("doc_id", "line_no")
-
-
-@query("W07_reflow", f"SELECT doc_id, island, min(line_no) AS first_line, count(*) AS n FROM (SELECT doc_id, line_no, CAST(sum(CASE WHEN merges OR k = 1 THEN 0 ELSE 1 END) OVER {ORDER} AS BIGINT) AS island FROM (SELECT doc_id, line_no, row_number() OVER {ORDER} AS k, coalesce(NOT kept AND kind = lag(kind) OVER {ORDER} AND NOT lag(kept) OVER {ORDER}, false) AS merges FROM (SELECT *, {KEPT} AS kept FROM {DIALOGUE}))) GROUP BY doc_id, island")
-def w07(spark, d):
-    rows = dialogues(spark, d).withColumn("kept", kept())
-    w = runs.ordered(["doc_id"], ["line_no"])
-    merges = ~F.col("kept") & (F.col("kind") == F.lag("kind").over(w)) & ~F.lag("kept").over(w)
-    out = runs.islands(rows.withColumn("breaks", ~F.coalesce(merges, F.lit(False))), ["doc_id"], ["line_no"], F.col("breaks"))
-    return out.groupBy("doc_id", "island").agg(F.min("line_no").alias("first_line"), F.count("*").alias("n"))
-
-
 @query("W02_open_parenthesis", f"SELECT doc_id, line_no FROM (SELECT doc_id, line_no, lag(line) OVER {ORDER} AS before FROM {PLACED}) WHERE starts_with(before, '(') AND NOT ends_with(before, ')')")
 def w02(spark, d):
     rows = placed(spark, d).withColumn("before", F.lag("line").over(runs.ordered(["doc_id"], ["line_no"])))
