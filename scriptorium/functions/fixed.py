@@ -16,6 +16,11 @@ STYLE_STOP_WORDS = (
     "was", "be", "out", "i'm", "im", "don't", "dont", "ain't", "aint", "second", "line",
 )
 
+#: What makes the tone of a text casual or formal, and its action that of a shooting script.
+INFORMAL_MARKERS = ("don't", "can't", "won't", "I'm", "ain't", "gonna", "wanna", "yeah", "nah", "hey", "okay", "ok", "shit", "dude", "man", "guy", "right")
+FORMAL_MARKERS = ("shall", "therefore", "hereby", "whereupon", "thus", "aforementioned", "whereas", "hence", "whom")
+ACTION_MARKERS = ("CUT TO", "PAN TO", "FADE IN", "FADE OUT", "DISSOLVE TO", "INT.", "EXT.", "SMASH CUT", "MATCH CUT", "ANGLE ON", "TIGHT ON", "WIDE ON", "CLOSE ON", "POV", "MONTAGE")
+
 
 def sql_list(words: tuple[str, ...]) -> str:
     """The words as an SQL list."""

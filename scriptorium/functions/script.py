@@ -43,6 +43,17 @@ def scene_label(c: Column) -> Column:
     return F.when(fits & label.rlike("^([0-9]+|[IVXLCDM]+|[A-Z])$"), "scene_no").when(fits & label.rlike("[0-9]"), "split_scene")
 
 
+def text_marker(text: Column) -> Column:
+    """What a text says of itself: ``contd``, ``more``, ``omitted``, ``voice_or_position``, or null."""
+    upper = F.upper(F.translate(text, "’", "'"))
+    return (
+        F.when(upper.contains("CONT'D") | upper.contains("CONTINUED"), "contd")
+        .when(F.trim(upper).isin("MORE", "(MORE)"), "more")
+        .when(F.trim(upper).isin("OMITTED", "OMMITTED"), "omitted")
+        .when(upper.rlike("V\\.O\\.|O\\.S\\.|O\\.C\\."), "voice_or_position")
+    )
+
+
 def signal_route(text: Column, x: Column) -> Column:
     """``marker`` for a label in a margin, ``noise`` for a label elsewhere or other margin text, ``unclassified`` for other structural lines, else null."""
     label, margin = scene_label(text).isNotNull(), margin_side(x).isNotNull()

@@ -20,6 +20,11 @@ def _kept_spans(spans: Column) -> Column:
     return F.filter(clean, lambda s: (s["start"] >= 0) & (s["end"] > s["start"]) & (F.size(s["styles"]) > 0))
 
 
+def zone(text: Column, x: Column, y: Column) -> Column:
+    number = F.trim(text).rlike("^\\d+\\.?$") & (y >= NUMBER_Y)
+    return F.when(number, "page_number").when(x >= BODY_X, "body").otherwise("margin")
+
+
 def lines_of(fragments: DataFrame, keys: list[str]) -> DataFrame:
     """``keys, cell, text, x, y, parts, zone, spans`` from ``keys, seq, x, y, text, spans``.
 
@@ -37,8 +42,7 @@ def lines_of(fragments: DataFrame, keys: list[str]) -> DataFrame:
     rows = rows.withColumn("begin", (until - F.length("text")).cast("int"))
     parts = F.array_sort(F.collect_list(F.struct("x", "seq", "y", "piece")))
     lines = rows.groupBy(*key).agg(parts.alias("p")).select(*key, F.array_join(F.transform("p", lambda p: p["piece"]), "").alias("text"), F.col("p")[0]["x"].alias("x"), F.col("p")[0]["y"].alias("y"), F.size("p").alias("parts"))
-    number = F.trim("text").rlike("^\\d+\\.?$") & (F.col("y") >= NUMBER_Y)
-    lines = lines.withColumn("zone", F.when(number, "page_number").when(F.col("x") >= BODY_X, "body").otherwise("margin"))
+    lines = lines.withColumn("zone", zone(F.col("text"), F.col("x"), F.col("y")))
     moved = rows.select(*key, "begin", F.explode(_kept_spans(F.col("spans"))).alias("s"))
     moved = moved.select(*key, (F.col("begin") + F.col("s.start")).alias("start"), (F.col("begin") + F.col("s.end")).alias("end"), F.col("s.styles").alias("styles"))
     placed = Window.partitionBy(*key).orderBy("start", "end", "styles")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scriptorium.functions import render
-from scriptorium.plans.rendering import _escaped
+from scriptorium.plans import rendering
 from scriptorium.sources import batches, books, captions
 from scriptorium.sources.tables import table
 
@@ -103,24 +103,27 @@ def s25(spark, d):
     return batches.failure_modes(texts)
 
 
-_PLAIN = "translate(text, '*_[]', '')"
+_TEXT = rendering._MARKED.format("text", "turn")
 
 
-@query("R03_parallel", f"""SELECT conv_id, '<div class="grid">' || string_agg('<div><b>' || role || '</b><p>' || {_escaped(_PLAIN)} || '</p></div>', '' ORDER BY turn) || '</div>' AS html FROM conversations GROUP BY conv_id""")
+@query("R03_parallel", f"""SELECT conv_id, '<div class="grid">' || string_agg('<div><b>' || role || '</b>' || {rendering._paragraph('text')} || '</div>', '' ORDER BY turn) || '</div>' AS html FROM (SELECT conv_id, turn, role, {_TEXT} AS text FROM conversations) GROUP BY conv_id""")
 def r03(spark, d):
-    column = F.struct("turn", F.col("role").alias("speaker"), F.array(F.translate("text", "*_[]", "")).alias("lines"))
+    column = F.struct("turn", F.col("role").alias("speaker"), F.array(rendering.marked("text", "turn")).alias("lines"))
     rows = table(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(column)).alias("columns"))
     return rows.select("conv_id", render.parallel(F.col("columns")).alias("html"))
 
 
-@query("R04_entry", f"""SELECT conv_id, turn, CASE WHEN role = 'system' THEN '' ELSE '<div class="entry ' || role || '" id="e' || turn || '"><p><span class="marker scene-no">' || turn || '</span>' || {_escaped(f"CASE WHEN turn % 2 = 0 THEN {_PLAIN} ELSE 'source' END")} || '</p>' || CASE WHEN turn = 1 THEN '<span class="label match">字幕匹配</span>' ELSE '' END || '</div>' END AS html FROM conversations""")
+_SCENE_MARK = """'<span class="marker scene-no">' || turn || '</span>'"""
+
+
+@query("R04_entry", f"""SELECT conv_id, turn, CASE WHEN role = 'system' THEN '' ELSE '<div class="entry ' || role || '" id="e' || turn || '">' || {rendering._paragraph('text', _SCENE_MARK)} || CASE WHEN turn = 1 THEN '<span class="label match">字幕匹配</span>' ELSE '' END || '</div>' END AS html FROM (SELECT conv_id, turn, role, CASE WHEN turn % 2 = 0 THEN {_TEXT} ELSE 'source' END AS text FROM conversations)""")
 def r04(spark, d):
     """Odd entries have no translation and show their source; system entries are hidden."""
     marker = F.struct(F.lit("scene_no").alias("type"), F.col("turn").cast("string").alias("text"))
     row = {
         "id": F.concat(F.lit("e"), F.col("turn").cast("string")),
         "type": F.col("role"),
-        "translation": F.when(F.col("turn") % 2 == 0, F.translate("text", "*_[]", "")).otherwise(" "),
+        "translation": F.when(F.col("turn") % 2 == 0, rendering.marked("text", "turn")).otherwise(" "),
         "source": F.lit("source"),
         "markers": F.array(marker),
         "subtitle_label": F.when(F.col("turn") == 1, "字幕匹配"),

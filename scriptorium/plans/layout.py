@@ -172,19 +172,24 @@ def _explicit(tags: Column, kind: str) -> Column:
     return F.size(F.filter(tags, lambda tag: tag.rlike(f"\\bdata-marker-type=[\"']{kind}[\"']") | tag.rlike(f"\\bclass=[\"'][^\"']*\\bmarker-{kind}\\b[^\"']*[\"']")))
 
 
-def marker_findings(pages: DataFrame, markers: DataFrame, key: str, structured: Column) -> DataFrame:
-    """``key, level, code, message``: source markers (``key, type``) against those in rendered ``pages (key, html)``.
-
-    Structured marks count where there are any, else marks in the text; where ``structured`` holds, only they do.
-    """
+def shown_markers(pages: DataFrame, key: str) -> DataFrame:
+    """``key, type, explicit, html`` for every type: structured marks, and marks of any form: structured ones if there are, else those in the text."""
     tags, plain = F.regexp_extract_all("html", F.lit("<[^>]+>"), F.lit(0)), t.strip_tags(F.col("html"))
-    seen = pages.select(key, structured.alias("must"), "html", tags.alias("tags"), plain.alias("plain")).select(key, "must", "html", "plain", *[_explicit(F.col("tags"), k).alias(f"x_{k}") for k in MARKER_TYPES])
+    seen = pages.select(key, "html", tags.alias("tags"), plain.alias("plain")).select(key, "html", "plain", *[_explicit(F.col("tags"), k).alias(f"x_{k}") for k in MARKER_TYPES])
 
     def shown(kind: str) -> Column:
         other = F.regexp_count("plain", F.lit(PLAIN_MARKS[kind])) if kind in PLAIN_MARKS else F.regexp_count("html", F.lit(SCENE_SPAN)) if kind == "scene_no" else F.lit(0)
         return F.when(F.col(f"x_{kind}") > 0, F.col(f"x_{kind}")).otherwise(other)
 
-    counts = seen.select(key, "must", F.inline(F.array(*[F.struct(F.lit(k).alias("type"), F.col(f"x_{k}").alias("explicit"), shown(k).alias("html")) for k in MARKER_TYPES])))
+    return seen.select(key, F.inline(F.array(*[F.struct(F.lit(k).alias("type"), F.col(f"x_{k}").alias("explicit"), shown(k).alias("html")) for k in MARKER_TYPES])))
+
+
+def marker_findings(pages: DataFrame, markers: DataFrame, key: str, structured: Column) -> DataFrame:
+    """``key, level, code, message``: source markers (``key, type``) against those in rendered ``pages (key, html)``.
+
+    Where ``structured`` (of the key) holds, only structured marks count.
+    """
+    counts = shown_markers(pages, key).withColumn("must", structured)
     source = markers.filter(F.col("type").isNotNull()).groupBy(key, "type").agg(F.count(F.lit(1)).alias("n"))
     both = source.join(counts, [key, "type"])
     lacks = F.col("must") & (F.col("explicit") != F.col("n"))
@@ -212,14 +217,14 @@ def _shown_sql(kind: str) -> str:
 _FORM_SQL = "CASE page_id % 4 " + " ".join("WHEN {} THEN {}".format(k, "'" + form.replace("'", "''").replace("%s", "' || type || '") + "'") for k, form in enumerate(_FORMS)) + " END"
 
 
-@query(
-    "V10_marker_count_rules",
-    f"WITH m AS (SELECT page_id, href, {_KIND} AS type FROM {_LINK}), r AS (SELECT pages.page_id, html || coalesce(marks, '') AS html FROM pages LEFT JOIN (SELECT page_id, string_agg({_FORM_SQL}, '' ORDER BY href) AS marks FROM m WHERE length(href) % 5 <> 3 OR page_id % 3 = 0 GROUP BY page_id) k ON k.page_id = pages.page_id),"
-    f" c AS ({' UNION ALL '.join(_shown_sql(k) for k in MARKER_TYPES)}), n AS (SELECT page_id, type, count(*) AS n FROM m GROUP BY page_id, type)"
-    " SELECT page_id, 'INFO' AS level, 'marker_inventory.count' AS code, type || '=' || n AS message FROM n"
-    " UNION ALL SELECT n.page_id, CASE WHEN (n.page_id % 2 = 0 AND explicit <> n) OR n <> html THEN 'FAIL' ELSE 'INFO' END, CASE WHEN n.page_id % 2 = 0 AND explicit <> n THEN 'marker_structured.' ELSE 'marker_count.' END || n.type, 'source=' || n || CASE WHEN n.page_id % 2 = 0 AND explicit <> n THEN ' structured_html=' || explicit ELSE ' html=' || html END FROM n JOIN c ON c.page_id = n.page_id AND c.type = n.type",
+_RENDERED = (
+    f"m AS (SELECT page_id, href, {_KIND} AS type FROM {_LINK}), r AS (SELECT pages.page_id, html || coalesce(marks, '') AS html FROM pages LEFT JOIN (SELECT page_id, string_agg({_FORM_SQL}, '' ORDER BY href) AS marks FROM m WHERE length(href) % 5 <> 3 OR page_id % 3 = 0 GROUP BY page_id) k ON k.page_id = pages.page_id),"
+    f" c AS ({' UNION ALL '.join(_shown_sql(k) for k in MARKER_TYPES)})"
 )
-def v10(spark, d):
+
+
+def rendered(spark, d):
+    """Pages with their links' markers rendered, and the markers."""
     pages = table(spark, d, "pages").select("page_id", "html")
     hrefs = F.regexp_extract_all("html", F.lit('\\bhref="/([^"]*)"'), F.lit(1))
     kind = lambda h: F.element_at(F.array(*map(F.lit, MARKER_TYPES)), F.length(h) % 6 + 1)
@@ -227,7 +232,23 @@ def v10(spark, d):
     way = F.element_at(F.array(*map(F.lit, _FORMS)), (F.col("page_id") % 4 + 1).cast("int"))
     kept = F.filter(F.array_sort(hrefs), lambda h: (F.length(h) % 5 != 3) | (F.col("page_id") % 3 == 0))
     marks = F.array_join(F.transform(kept, lambda h: F.replace(way, F.lit("%s"), kind(h))), "")
-    return marker_findings(pages.select("page_id", F.concat("html", marks).alias("html")), markers, "page_id", F.col("page_id") % 2 == 0)
+    return pages.select("page_id", F.concat("html", marks).alias("html")), markers
+
+
+@query(
+    "V10_marker_count_rules",
+    f"WITH {_RENDERED}, n AS (SELECT page_id, type, count(*) AS n FROM m GROUP BY page_id, type)"
+    " SELECT page_id, 'INFO' AS level, 'marker_inventory.count' AS code, type || '=' || n AS message FROM n"
+    " UNION ALL SELECT n.page_id, CASE WHEN (n.page_id % 2 = 0 AND explicit <> n) OR n <> html THEN 'FAIL' ELSE 'INFO' END, CASE WHEN n.page_id % 2 = 0 AND explicit <> n THEN 'marker_structured.' ELSE 'marker_count.' END || n.type, 'source=' || n || CASE WHEN n.page_id % 2 = 0 AND explicit <> n THEN ' structured_html=' || explicit ELSE ' html=' || html END FROM n JOIN c ON c.page_id = n.page_id AND c.type = n.type",
+)
+def v10(spark, d):
+    pages, markers = rendered(spark, d)
+    return marker_findings(pages, markers, "page_id", F.col("page_id") % 2 == 0)
+
+
+@query("G21_marker_fallback", f"WITH {_RENDERED} SELECT page_id, type, html AS n FROM c")
+def g21(spark, d):
+    return shown_markers(rendered(spark, d)[0], "page_id").select("page_id", "type", F.col("html").cast("long").alias("n"))
 
 
 def display_findings(pages: DataFrame, key: str, expected: DataFrame) -> DataFrame:
@@ -271,3 +292,31 @@ def v11(spark, d):
     made = F.transform(numbers, lambda v: F.format_string(_SECTION, v, v, v + n % 2))
     pages = table(spark, d, "pages").select("page_id", F.concat("html", F.array_join(made, "")).alias("html"))
     return display_findings(pages, "page_id", pages.select("page_id", n.alias("lo"), (n + 4).alias("hi")))
+
+
+_ZONED = f"(SELECT doc_id, line_no, line, x, 760 - line_no % 40 * 12 AS y FROM {script.PLACED})"
+
+
+@query("P05_line_zone", f"SELECT doc_id, line_no, CASE WHEN regexp_full_match(trim(line), '\\d+\\.?') AND y >= 720 THEN 'page_number' WHEN x >= 90 THEN 'body' ELSE 'margin' END AS zone FROM {_ZONED}")
+def p05(spark, d):
+    rows = script.placed(spark, d).withColumn("y", 760 - F.col("line_no") % 40 * 12)
+    return rows.select("doc_id", "line_no", f.zone(F.col("line"), F.col("x"), F.col("y")).alias("zone"))
+
+
+#: Texts behind a line by its number, so that each marker type is met.
+_SAYS = ("", "", " (Cont’d)", " continued", " (V.O.)", " o.s. ", "")
+_SAID = "CASE line_no % 23 WHEN 3 THEN ' (more) ' WHEN 4 THEN 'OMITTED' WHEN 5 THEN 'Ommitted' ELSE line || CASE line_no % 7 " + " ".join(f"WHEN {k} THEN '{x}'" for k, x in enumerate(_SAYS)) + " END END"
+
+
+@query(
+    "P06_marker_type",
+    f"SELECT doc_id, line_no, kind FROM (SELECT doc_id, line_no, CASE WHEN contains(u, 'CONT''D') OR contains(u, 'CONTINUED') THEN 'contd' WHEN trim(u) IN ('MORE', '(MORE)') THEN 'more' WHEN trim(u) IN ('OMITTED', 'OMMITTED') THEN 'omitted' WHEN regexp_matches(u, 'V\\.O\\.|O\\.S\\.|O\\.C\\.') THEN 'voice_or_position' END AS kind FROM (SELECT doc_id, line_no, upper(replace({_SAID}, '’', '''')) AS u FROM {LINES})) WHERE kind IS NOT NULL",
+)
+def p06(spark, d):
+    return lines(spark, d).select("doc_id", "line_no", s.text_marker(F.expr(_SAID)).alias("kind")).filter("kind is not null")
+
+
+@query("P08_label_type", f"SELECT type, scene_no AS label, count(*) AS n FROM {_MARKS} GROUP BY type, scene_no")
+def p08(spark, d):
+    rows = Stored(script.placed(spark, d).select("line")).df.select(s.scene_label(F.col("line")).alias("type"), F.upper(t.collapse_space(F.col("line"))).alias("label"))
+    return rows.filter("type is not null").groupBy("type", "label").agg(F.count("*").alias("n"))

@@ -64,9 +64,31 @@ def r01(spark, d):
     return table(spark, d, "events").select("event_id", render.marker(F.struct(F.col("event_type").alias("type"), F.col("props").alias("text"))).alias("html"))
 
 
-@query("R02_paragraph", f"SELECT doc_id, line_no, '<p>' || {_escaped('line')} || '</p>' AS html FROM {LINES} WHERE NOT regexp_matches(line, '[*_\\[]')")
+def _inline(x: str) -> str:
+    """Inline marks in SQL, which knows no lookaround: runs of stars are set aside, so that those left stand alone."""
+    for mark, element, kind in (("\\[\\[(.+?)\\]\\]", "span", "reader-annotation"), ("__(.+?)__", "span", "proper-name"), ("\\*\\*(.+?)\\*\\*", "strong", "emphasis")):
+        x = f"regexp_replace({x}, '{mark}', '<{element} class=\"{kind}\">\\1</{element}>', 'g')"
+    x = f"replace(replace({x}, '**', repeat(chr(1), 2)), chr(1) || '*', repeat(chr(1), 2))"
+    return f"""replace(regexp_replace({x}, '\\*(.+?)\\*', '<em class="term">\\1</em>', 'g'), chr(1), '*')"""
+
+
+def _paragraph(x: str, prefix: str = "''") -> str:
+    body = f"regexp_replace({x}, '\\s*\\[\\[\\*\\]\\]\\s*$', '')"
+    return f"""'<p>' || {prefix} || {_inline(_escaped(body))} || CASE WHEN regexp_matches({x}, '\\[\\[\\*\\]\\]\\s*$') THEN '<span class="revision">*</span>' ELSE '' END || '</p>'"""
+
+
+#: Marks put behind a text, by a number, so that each kind is met beside those that texts hold.
+_MARKS = ("", " **strong** *term* *two*", " __Name__ [[note]]", " *open **both** x*", " x [[*]] ")
+_MARKED = "{0} || [" + ", ".join(f"'{m}'" for m in _MARKS) + f"][{{1}} % {len(_MARKS)} + 1]"
+
+
+def marked(text: str, number: str):
+    return F.concat(text, F.element_at(F.array(*map(F.lit, _MARKS)), (F.col(number) % len(_MARKS) + 1).cast("int")))
+
+
+@query("R02_paragraph", f"SELECT doc_id, line_no, {_paragraph('line')} AS html FROM (SELECT doc_id, line_no, {_MARKED.format('line', 'line_no')} AS line FROM {LINES})")
 def r02(spark, d):
-    return lines(spark, d).filter(~F.col("line").rlike("[*_\\[]")).select("doc_id", "line_no", render.paragraph(F.col("line")).alias("html"))
+    return lines(spark, d).select("doc_id", "line_no", render.paragraph(marked("line", "line_no")).alias("html"))
 
 
 @query("R05_label", """SELECT doc_id, CASE WHEN toxic = 1 THEN '<span class="label unseen">字幕未见</span>' WHEN quality = 0 THEN '<span class="label diff">字幕差异</span>' ELSE '' END AS html FROM labels""")
@@ -82,9 +104,9 @@ def r06(spark, d):
     return rows.select("conv_id", render.index(F.col("links")).alias("html"))
 
 
-@query("R07_pages", f"""SELECT conv_id, page, '<section id="page-' || page || '">' || string_agg('<p>' || {_escaped('text')} || '</p>', '' ORDER BY turn) || '</section>' AS html FROM (SELECT *, turn // 3 AS page FROM conversations WHERE NOT regexp_matches(text, '[*_\\[]')) GROUP BY conv_id, page""")
+@query("R07_pages", f"""SELECT conv_id, page, '<section id="page-' || page || '">' || string_agg(html, '' ORDER BY turn) || '</section>' AS html FROM (SELECT conv_id, turn, turn // 3 AS page, {_paragraph('text')} AS html FROM (SELECT conv_id, turn, {_MARKED.format('text', 'turn')} AS text FROM conversations)) GROUP BY conv_id, page""")
 def r07(spark, d):
-    rows = table(spark, d, "conversations").filter(~F.col("text").rlike("[*_\\[]")).select("conv_id", F.floor(F.col("turn") / 3).alias("page"), F.struct("turn", render.paragraph(F.col("text")).alias("html")).alias("e"))
+    rows = table(spark, d, "conversations").select("conv_id", F.floor(F.col("turn") / 3).alias("page"), F.struct("turn", render.paragraph(marked("text", "turn")).alias("html")).alias("e"))
     pages = rows.groupBy("conv_id", "page").agg(F.array_sort(F.collect_list("e")).alias("e"))
     return pages.select("conv_id", "page", render.page(F.col("page"), F.transform("e", lambda x: x["html"])).alias("html"))
 

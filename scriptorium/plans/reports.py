@@ -10,7 +10,6 @@ from scriptorium.operators import runs
 from scriptorium.sources.tables import LINES, lines, table
 
 QUERIES, SQL = {}, {}
-CALM, TENSE = ("please", "thank", "sure", "yes"), ("never", "not", "wrong", "no ")
 
 
 def query(name: str, sql: str):
@@ -109,20 +108,6 @@ def g02(spark, d):
     return joined.groupBy(*keys, "island").agg(F.min("start").alias("start"), F.max("stop").alias("stop")).select("l_orderkey", "start", "stop", "style")
 
 
-def _hits(column: str, words: tuple[str, ...]) -> str:
-    return " + ".join(f"CAST(contains({column}, '{w}') AS BIGINT)" for w in words)
-
-
-@query("G12_tone", f"SELECT role, calm, tense, CASE WHEN calm > tense THEN 'calm' WHEN tense > calm THEN 'tense' ELSE 'even' END AS tone, CASE WHEN abs(calm - tense) >= 5 THEN 'high' ELSE 'low' END AS confidence FROM (SELECT role, CAST(sum({_hits('lower(text)', CALM)}) AS BIGINT) AS calm, CAST(sum({_hits('lower(text)', TENSE)}) AS BIGINT) AS tense FROM conversations GROUP BY role)")
-def g12(spark, d):
-    def hits(words):
-        return F.sum(sum(F.lower("text").contains(w).cast("long") for w in words))
-
-    n = table(spark, d, "conversations").groupBy("role").agg(hits(CALM).alias("calm"), hits(TENSE).alias("tense"))
-    tone = F.when(F.col("calm") > F.col("tense"), "calm").when(F.col("tense") > F.col("calm"), "tense").otherwise("even")
-    return n.select("*", tone.alias("tone"), F.when(F.abs(F.col("calm") - F.col("tense")) >= 5, "high").otherwise("low").alias("confidence"))
-
-
 @query("G19_missing_labels", "SELECT source, string_agg(doc_id, ',' ORDER BY doc_id) FILTER (k <= 12) AS preview, count(*) AS total FROM (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS k FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)) GROUP BY source")
 def g19(spark, d):
     """The first 12 ids and the count: the list is cut per task before the shuffle, the count is summed."""
@@ -131,14 +116,6 @@ def g19(spark, d):
     return preview.join(missing.groupBy("source").agg(F.count("*").alias("total")), "source")
 
 
-@query("G21_marker_fallback", "SELECT page_id, CASE WHEN explicit > 0 THEN explicit ELSE fallback END AS n FROM (SELECT page_id, len(regexp_extract_all(html, '<h[2-6][^>]*>')) AS explicit, len(regexp_extract_all(regexp_replace(html, '<[^>]+>', '', 'g'), '[0-9]+')) AS fallback FROM pages)")
-def g21(spark, d):
-    html = F.col("html")
-    explicit = F.size(F.regexp_extract_all(html, F.lit("<h[2-6][^>]*>"), F.lit(0))).cast("long")
-    fallback = F.size(F.regexp_extract_all(t.strip_tags(html), F.lit("[0-9]+"), F.lit(0))).cast("long")
-    return table(spark, d, "pages").select("page_id", F.when(explicit > 0, explicit).otherwise(fallback).alias("n"))
-
-
 @query("G23_signal_names", "SELECT CASE event_type WHEN 'error' THEN 0 ELSE 1 END AS rank, event_type AS name, count(*) AS n FROM events GROUP BY event_type ORDER BY rank, n DESC, name")
 def g23(spark, d):
     rank = F.when(F.col("event_type") == "error", 0).otherwise(1)

@@ -144,29 +144,6 @@ def p02(spark, d):
     return table(spark, d, "documents").filter(F.col("doc_id").between(100, 400)).select("doc_id", "source")
 
 
-@query("P05_line_zone", f"SELECT zone, count(*) AS n FROM (SELECT CASE WHEN regexp_full_match(line, '\\d+\\.?') THEN 'page_number' WHEN line_no = 0 THEN 'margin' ELSE 'body' END AS zone FROM {LINES}) GROUP BY zone")
-def p05(spark, d):
-    zone = F.when(F.col("line").rlike("^\\d+\\.?$"), "page_number").when(F.col("line_no") == 0, "margin").otherwise("body")
-    return lines(spark, d).groupBy(zone.alias("zone")).agg(F.count("*").alias("n"))
-
-
-@query(
-    "P06_marker_type",
-    f"SELECT doc_id, line_no, kind FROM (SELECT doc_id, line_no, CASE WHEN contains(upper(line), 'LICENSE') THEN 'license' WHEN contains(upper(line), 'EMAIL') THEN 'contact' WHEN contains(line, '!!') THEN 'shout' WHEN contains(upper(line), 'HTTP') THEN 'link' END AS kind FROM {LINES}) WHERE kind IS NOT NULL",
-)
-def p06(spark, d):
-    up = F.upper("line")
-    kind = F.when(up.contains("LICENSE"), "license").when(up.contains("EMAIL"), "contact").when(F.col("line").contains("!!"), "shout").when(up.contains("HTTP"), "link")
-    return lines(spark, d).select("doc_id", "line_no", kind.alias("kind")).filter("kind is not null")
-
-
-@query("P08_label_type", "SELECT o_orderpriority AS label, CASE WHEN regexp_full_match(regexp_extract(o_orderpriority, '^[^-]+'), '\\d+') THEN 'number' WHEN regexp_full_match(o_orderpriority, '[IVXLCDM]+') THEN 'roman' WHEN regexp_full_match(o_orderpriority, '[A-Z]') THEN 'letter' ELSE 'other' END AS kind, count(*) AS n FROM orders GROUP BY ALL")
-def p08(spark, d):
-    label = F.col("o_orderpriority")
-    kind = F.when(F.regexp_extract(label, "^[^-]+", 0).rlike("^\\d+$"), "number").when(label.rlike("^[IVXLCDM]+$"), "roman").when(label.rlike("^[A-Z]$"), "letter").otherwise("other")
-    return table(spark, d, "orders").groupBy(label.alias("label"), kind.alias("kind")).agg(F.count("*").alias("n"))
-
-
 @query("P12_upperish", f"SELECT doc_id, line_no FROM {LINES} WHERE length(regexp_replace(line, '[^A-Za-z]', '', 'g')) > 0 AND length(regexp_replace(line, '[^A-Z]', '', 'g')) / length(regexp_replace(line, '[^A-Za-z]', '', 'g')) > 0.8")
 def p12(spark, d):
     return lines(spark, d).filter(t.upper_share(F.col("line")) > 0.8).select("doc_id", "line_no")

@@ -147,11 +147,6 @@ def p04(spark, d):
     return lines(spark, d).filter(F.col("line_no").between(2, 30)).select("doc_id", "line_no").orderBy("doc_id", "line_no").limit(160)
 
 
-@query("G13_hit_lines", f"SELECT doc_id, count(*) FILTER (WHERE contains(line, '!') OR contains(line, '?')) AS hits, count(*) AS n FROM {LINES} GROUP BY doc_id")
-def g13(spark, d):
-    return lines(spark, d).groupBy("doc_id").agg(F.count_if(F.col("line").contains("!") | F.col("line").contains("?")).alias("hits"), F.count("*").alias("n"))
-
-
 @query("G29_scan_counts", f"SELECT count(*) AS n, count(*) FILTER (WHERE {SHAPE}) AS shaped, count(*) FILTER (WHERE {IS_LABEL}) AS labels, count({SIDE}) AS in_margin FROM {PLACED}")
 def g29(spark, d):
     line = F.col("line")

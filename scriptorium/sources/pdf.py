@@ -285,14 +285,7 @@ def source_lines(rows: DataFrame, page_offset: int = 0) -> DataFrame:
 
 def marker_types(lines: DataFrame) -> DataFrame:
     """Lines that mark structure: continued, more, omitted, voice, and scene labels in a margin, with its side."""
-    upper = F.upper(F.translate("text", "’", "'"))
     label = F.when(script.margin_side(F.col("x")).isNotNull() & F.col("zone").isin("margin"), script.scene_label(F.col("text")))
-    kind = (
-        F.when(upper.contains("CONT'D") | upper.contains("CONTINUED"), "contd")
-        .when(F.trim(upper).isin("MORE", "(MORE)"), "more")
-        .when(F.trim(upper).isin("OMITTED", "OMMITTED"), "omitted")
-        .when(upper.rlike("V\\.O\\.|O\\.S\\.|O\\.C\\."), "voice_or_position")
-        .otherwise(label)
-    )
+    kind = F.coalesce(script.text_marker(F.col("text")), label)
     side = F.when(kind.isin("scene_no", "split_scene"), script.margin_side(F.col("x")))
     return lines.withColumn("type", kind).withColumn("position", side).filter("type is not null").select("path", "type", "pdf_page", "display_page", "text", "x", "y", "position")
