@@ -75,3 +75,60 @@ def test_rows(docs, none, spark):
     both = spark.createDataFrame([(None, ls.TEMPLATES["bsd"] + " " + ls.TEMPLATES["isc"]), (1, None)], "doc_id long, text string")
     assert [r["license"] for r in ls.scan_licenses(both).collect()] == ["bsd", "isc"]
     assert ls.scan_licenses(both, {}).count() == 0
+
+
+def scan_by_full_alignment(text, templates, least=ls.LEAST_COVERAGE):
+    """Whether each template is there: the best local alignment over the whole text, no index, no band."""
+    words = ls.words_of(text)[0]
+    found = set()
+    for name, notice in templates.items():
+        own = ls.words_of(notice)[0]
+        if ls.align(own, words, 0, band=len(words)).matched / len(own) >= least:
+            found.add(name)
+    return found
+
+
+def test_recall_of_edited_notices():
+    """Random changes, losses and insertions of single words: all that full alignment finds, down to the least coverage."""
+    rnd, index = random.Random(9), ls.Index(ls.TEMPLATES)
+    there = found = 0
+    for name, notice in ls.TEMPLATES.items():
+        words = ls.words_of(notice)[0]
+        if len(words) > 80:
+            continue
+        for _ in range(12):
+            edited = []
+            for w in words:
+                x = rnd.random()
+                edited += [w] if x > 0.24 else ["changed"] if x > 0.12 else [] if x > 0.06 else [w, "extra"]
+            text = "lamp " * 15 + " ".join(edited) + " lamp" * 15
+            if name in scan_by_full_alignment(text, {name: notice}):
+                there += 1
+                found += name in {r[0] for r in ls.scan_text(text, index, ls.LEAST_COVERAGE)} or len(ls.scan_text(text, index)) > 0
+    assert there > 60 and found / there >= 0.97, (found, there)
+
+
+def test_words_put_in_at_one_or_two_places():
+    index = ls.Index(ls.TEMPLATES)
+    for name, notice in ls.TEMPLATES.items():
+        words = ls.words_of(notice)[0]
+        if len(words) < 20:
+            continue
+        for n in (1, 9, 12, 40, 100):
+            for cuts in ((len(words) // 2,), (len(words) // 3, 2 * len(words) // 3)):
+                edited, last = [], 0
+                for c in cuts:
+                    edited += words[last:c] + [f"holder{k}" for k in range(n)]
+                    last = c
+                edited += words[last:]
+                got = ls.scan_text("lamp " * 30 + " ".join(edited) + " lamp" * 30, index)
+                assert (name, 1.0) in [r[:2] for r in got], (name, n, cuts, got)
+
+
+def test_chains_add_up_and_never_too_much():
+    a, b, c = ls.Piece(20, 10, 0, 10, 0, 10), ls.Piece(20, 10, 30, 40, 10, 20), ls.Piece(16, 8, 38, 46, 18, 26)
+    best = max(ls.chains([a, b, c, a]))
+    assert best[0] == 26 and best[1] == [a, b, c]
+    far = ls.Piece(20, 10, 500, 510, 10, 20)
+    assert max(m for m, _ in ls.chains([a, far])) == 10
+    assert max(m for m, _ in ls.chains([b, ls.Piece(20, 10, 60, 70, 0, 10)])) == 10  # the wrong way round
