@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from scriptorium.functions import text as t
 from scriptorium.operators import runs
+from scriptorium.plans import script
 from scriptorium.sources import batches as b
 from scriptorium.sources.tables import table
 
@@ -21,7 +22,9 @@ KINDS = ("page_heading", "scene_heading", "action", "character", "parenthetical"
 MARKERS = ("scene_no", "omitted", "contd", "more", "split_scene", "voice_or_position", "transition")
 LABELS = ("字幕匹配", "字幕差异", "字幕未见")
 CONFIDENCES = ("high", "low")
-DRAFT = "^(待译场景标题|待译动作描写|待译角色提示|待译括号说明|待译对白|待译转场|待译格式标记|待处理页码)："
+DRAFT_PREFIXES = ("待译场景标题：", "待译动作描写：", "待译角色提示：", "待译括号说明：", "待译对白：", "待译转场：", "待译格式标记：", "待处理页码：")
+DRAFT = "^(" + "|".join(DRAFT_PREFIXES) + ")"
+HEADINGS = ("INT", "EXT", "I/E")
 RAW_MARK = "(?<![A-Za-z])(?:\\((?:CONT['’]D|MORE|O\\.S\\.|O\\.C\\.|V\\.O\\.)\\)|OMITTED|CONT['’]D|MORE|V\\.O\\.|O\\.S\\.|O\\.C\\.|INT\\.|EXT\\.|CUT TO:?|FADE IN:?|FADE OUT:?|DISSOLVE TO:?|SMASH CUT:?|MATCH CUT:?)(?![A-Za-z])"
 MARKUP = "\\[\\[.+?\\]\\]|__.+?__|\\*\\*.+?\\*\\*|(?<!\\*)\\*(?!\\*).+?(?<!\\*)\\*(?!\\*)"
 SHORT_SOURCE, SHORT_TARGET, DUPLICATE_LENGTH, PREVIEW, REVISIONS = 80, 8, 6, 12, 3
@@ -136,20 +139,37 @@ def validate(batches: DataFrame, final: bool = False, key: str = "batch_id") ->
 
 
 def draft_rules(rows: DataFrame, key: str = "batch_id") -> DataFrame:
-    """Findings on drafts: dialogue without a cue, cues and headings without their markers."""
+    """Findings on drafts, from ``key, part, ordinal, id, type, source, translation, markers``.
+
+    Counts of entries by type and of placeholders; dialogue without a cue, cues and headings without their markers, and
+    parentheses that a run of parentheticals leaves open: the run's last one that opens or closes decides.
+    """
     c = F.col
-    before = F.lag("type").over(runs.ordered([key, "part"], ["ordinal"]))
+    order = runs.ordered([key, "part"], ["ordinal"])
+    said = F.concat_ws(" source=", "id", "body")
 
     def without(kind: str) -> Column:
         return ~F.coalesce(F.exists("markers", lambda m: m["type"] == kind), F.lit(False))
 
-    rows = rows.withColumn("before", F.coalesce(before, F.lit("")))
+    rows = rows.withColumn("body", F.trim(F.coalesce("source", F.lit("")))).withColumn("before", F.coalesce(F.lag("type").over(order), F.lit("")))
+    heading = F.lit(False)
+    for start in HEADINGS:
+        heading = heading | c("body").startswith(start)
     rules = [
-        finding((c("type") == "dialogue") & ~c("before").isin("character", "dialogue", "parenthetical"), "WARN", "draft.dialogue_without_character", c("id")),
-        finding((c("type") == "scene_heading") & c("source").rlike("^(INT|EXT|I/E)[. /]") & without("scene_no"), "WARN", "draft.scene_heading_without_scene_no", c("id")),
-        finding((c("type") == "character") & c("source").rlike("\\(CONT['’]D\\)\\s*$") & without("contd"), "WARN", "draft.contd_text_without_marker", c("id")),
+        finding((c("type") == "dialogue") & ~c("before").isin("character", "dialogue", "parenthetical"), "WARN", "draft.dialogue_without_character", said),
+        finding((c("type") == "scene_heading") & heading & without("scene_no"), "WARN", "draft.scene_heading_without_scene_no", said),
+        finding((c("type") == "character") & c("body").endswith("(CONT'D)") & without("contd"), "WARN", "draft.contd_text_without_marker", said),
     ]
-    return exploded(rows, [key], rules)
+    counts = rows.groupBy(key, F.coalesce("type", F.lit("None")).alias("type")).agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.select(key, F.lit("INFO").alias("level"), F.lit("draft.entry_count").alias("code"), F.concat_ws("=", "type", c("n").cast("string")).alias("message"))
+    drafts = rows.groupBy(key).agg(F.count_if(F.trim("translation").rlike(DRAFT)).alias("n")).filter("n > 0")
+    drafts = drafts.select(key, F.lit("INFO").alias("level"), F.lit("draft.placeholder_translations").alias("code"), F.concat(F.lit("count="), "n").alias("message"))
+    wrylies = runs.islands(rows, [key, "part"], ["ordinal"], (c("type") == "parenthetical") != (c("before") == "parenthetical"), "run").filter("type = 'parenthetical'")
+    closes = c("body").endswith(")")
+    opens = c("body").startswith("(") & ~closes
+    last = wrylies.groupBy(key, "part", "run").agg(F.max_by(F.struct(opens.alias("open"), "id"), F.when(opens | closes, c("ordinal"))).alias("last")).filter("last.open")
+    unclosed = last.select(key, F.lit("WARN").alias("level"), F.lit("draft.parenthetical_unclosed").alias("code"), F.col("last.id").alias("message"))
+    return exploded(rows, [key], rules).unionByName(counts).unionByName(drafts).unionByName(unclosed)
 
 
 def severity(findings: DataFrame, key: str = "batch_id") -> DataFrame:
@@ -243,11 +263,60 @@ SQL["V02_html_rules"] = " UNION ALL ".join(
 )
 
 
+#: Lines as draft entries: some have markers, some a placeholder for a translation, some names go on.
+_DRAFTED = {
+    "id": "concat('e', cast(line_no AS STRING))",
+    "source": "line || CASE line_no % 4 WHEN 1 THEN ' (CONT''D)' ELSE '' END",
+    "translation": "CASE line_no % 11 WHEN 4 THEN '待译对白：' || line WHEN 7 THEN '__' || line || '__' ELSE line END || CASE WHEN line_no % 10 = 0 THEN ' [[*]]' ELSE '' END",
+    "subtitle_label": "CASE line_no % 6 WHEN 1 THEN '字幕匹配' WHEN 2 THEN '字幕差异' WHEN 4 THEN '字幕未见' END",
+}
+
+
+def _drafted(spark, d):
+    rows = script.dialogues(spark, d).select("doc_id", F.col("line_no").alias("ordinal"), F.lit("body").alias("part"), F.col("kind").alias("type"), "line", "line_no", *[F.expr(x).alias(n) for n, x in _DRAFTED.items()])
+    marker = F.when(F.col("line_no") % 3 == 1, "contd").when(F.col("line_no") % 4 == 2, "scene_no")
+    return rows.withColumn("markers", F.when(marker.isNotNull(), F.array(F.struct(marker.alias("type"))))).withColumn("has_subtitles", F.col("doc_id") % 2 == 0)
+
+
 def _draft_findings(spark, d):
-    rows = table(spark, d, "conversations").select("conv_id", "turn", F.when(F.col("role") == "user", "dialogue").when(F.length("text") < 200, "character").otherwise("action").alias("type"), F.concat(F.lit("e"), F.col("turn").cast("string")).alias("id"), F.col("text").alias("source"))
-    rows = rows.withColumn("part", F.lit("body")).withColumn("markers", F.lit(None).cast("array<struct<type:string>>")).withColumnRenamed("turn", "ordinal")
-    return draft_rules(rows, "conv_id").select("conv_id", "code", "message")
+    return draft_rules(_drafted(spark, d), "doc_id").select("doc_id", "level", "code", "message")
 
 
+_DRAFT_ROWS = (
+    f"(SELECT *, trim(source) AS body, lag(type) OVER w AS before FROM (SELECT doc_id, line_no, kind AS type, line, 'e' || line_no AS id, {_DRAFTED['source']} AS source, {_DRAFTED['translation']} AS translation, {_DRAFTED['subtitle_label']} AS label, doc_id % 2 = 0 AS subs,"
+    f" CASE WHEN line_no % 3 = 1 THEN 'contd' WHEN line_no % 4 = 2 THEN 'scene_no' END AS marker FROM {script.DIALOGUE}) WINDOW w AS (PARTITION BY doc_id ORDER BY line_no))"
+)
 QUERIES["V03_draft_rules"] = _draft_findings
-SQL["V03_draft_rules"] = "SELECT conv_id, 'draft.dialogue_without_character' AS code, 'e' || turn AS message FROM (SELECT conv_id, turn, type, lag(type) OVER (PARTITION BY conv_id ORDER BY turn) AS before FROM (SELECT *, CASE WHEN role = 'user' THEN 'dialogue' WHEN length(text) < 200 THEN 'character' ELSE 'action' END AS type FROM conversations)) WHERE type = 'dialogue' AND coalesce(before, '') NOT IN ('character', 'dialogue', 'parenthetical')"
+SQL["V03_draft_rules"] = (
+    f"WITH e AS MATERIALIZED (SELECT * FROM {_DRAFT_ROWS}), p AS (SELECT doc_id, line_no, id, type, starts_with(body, '(') AND NOT ends_with(body, ')') AS opens, ends_with(body, ')') AS closes, sum(CASE WHEN (type = 'parenthetical') <> coalesce(before = 'parenthetical', false) THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY line_no) AS run FROM e)"
+    " SELECT doc_id, 'INFO' AS level, 'draft.entry_count' AS code, type || '=' || count(*) AS message FROM e GROUP BY doc_id, type"
+    f" UNION ALL SELECT doc_id, 'INFO', 'draft.placeholder_translations', 'count=' || count(*) FROM e WHERE regexp_matches(trim(translation), '{DRAFT}') GROUP BY doc_id"
+    " UNION ALL SELECT doc_id, 'WARN', 'draft.dialogue_without_character', id || ' source=' || body FROM e WHERE type = 'dialogue' AND coalesce(before, '') NOT IN ('character', 'dialogue', 'parenthetical')"
+    " UNION ALL SELECT doc_id, 'WARN', 'draft.scene_heading_without_scene_no', id || ' source=' || body FROM e WHERE type = 'scene_heading' AND regexp_matches(body, '^(INT|EXT|I/E)') AND coalesce(marker, '') <> 'scene_no'"
+    " UNION ALL SELECT doc_id, 'WARN', 'draft.contd_text_without_marker', id || ' source=' || body FROM e WHERE type = 'character' AND ends_with(body, '(CONT''D)') AND coalesce(marker, '') <> 'contd'"
+    " UNION ALL SELECT doc_id, 'WARN', 'draft.parenthetical_unclosed', id FROM (SELECT doc_id, run, arg_max(id, line_no) AS id, arg_max(opens, line_no) AS opens FROM p WHERE type = 'parenthetical' AND (opens OR closes) GROUP BY doc_id, run) WHERE opens"
+)
+
+
+def _final_findings(spark, d):
+    return final_rules(_drafted(spark, d), "doc_id").select("doc_id", "level", "code", "message")
+
+
+#: The same marks for SQL, which knows no lookaround: a match needs another character or an end on both sides.
+_RAW_SQL = "(^|[^A-Za-z])" + RAW_MARK.removeprefix("(?<![A-Za-z])").removesuffix("(?![A-Za-z])").replace("'", "''") + "($|[^A-Za-z])"
+_LONE = "replace(replace(translation, '**', repeat(chr(1), 2)), chr(1) || '*', repeat(chr(1), 2))"
+_MARKED_UP = f"(regexp_matches(translation, '\\[\\[.+?\\]\\]|__.+?__|\\*\\*.+?\\*\\*') OR regexp_matches({_LONE}, '\\*.+?\\*'))"
+QUERIES["V12_final_rules"] = _final_findings
+SQL["V12_final_rules"] = (
+    f"WITH e AS MATERIALIZED (SELECT *, regexp_replace(translation, '\\s+', '', 'g') AS bare, regexp_matches(source, '(^|\\s)\\*\\s*$') AS starred FROM {_DRAFT_ROWS}),"
+    " f AS (SELECT *, count(*) FILTER (starred) OVER (PARTITION BY doc_id) AS stars, lag(bare) OVER (PARTITION BY doc_id ORDER BY line_no) AS bare_before, lag(id) OVER (PARTITION BY doc_id ORDER BY line_no) AS id_before FROM e),"
+    " m AS (SELECT doc_id, id, row_number() OVER (PARTITION BY doc_id ORDER BY line_no) AS k, count(*) OVER (PARTITION BY doc_id) AS n FROM e WHERE subs AND type = 'dialogue' AND label IS NULL)"
+    f" SELECT doc_id, 'FAIL' AS level, 'batch.final.placeholder_translation' AS code, id AS message FROM f WHERE regexp_matches(trim(translation), '{DRAFT}')"
+    f" UNION ALL SELECT doc_id, 'FAIL', 'batch.final.raw_format_marker', id FROM f WHERE regexp_matches(translation, '{_RAW_SQL}')"
+    f" UNION ALL SELECT doc_id, 'FAIL', 'batch.final.revision_asterisk_missing', id FROM f WHERE starred AND stars >= {REVISIONS} AND NOT regexp_matches(translation, '\\[\\[\\*\\]\\]\\s*$')"
+    f" UNION ALL SELECT doc_id, 'WARN', 'batch.final.adjacent_duplicate_translation', id_before || ',' || id FROM f WHERE bare = bare_before AND length(bare) >= {DUPLICATE_LENGTH}"
+    f" UNION ALL SELECT doc_id, 'WARN', 'batch.final.short_action_translation', id FROM f WHERE type = 'action' AND length(source) >= {SHORT_SOURCE} AND length(translation) - length(regexp_replace(translation, '[\\x{{3400}}-\\x{{9fff}}]', '', 'g')) < {SHORT_TARGET}"
+    f" UNION ALL SELECT doc_id, 'WARN', 'batch.final.no_inline_reader_markup', '' FROM f GROUP BY doc_id HAVING count(*) FILTER ({_MARKED_UP}) = 0"
+    " UNION ALL SELECT doc_id, 'INFO', 'batch.final.subtitle_labels', string_agg(label || '=' || n, ' ' ORDER BY label) FROM (SELECT doc_id, label, count(*) AS n FROM f WHERE label IS NOT NULL GROUP BY doc_id, label) GROUP BY doc_id"
+    f" UNION ALL SELECT doc_id, 'FAIL', 'batch.final.missing_subtitle_labels', string_agg(id, ',' ORDER BY k) FILTER (k <= {PREVIEW}) || CASE WHEN max(n) > {PREVIEW} THEN ' total=' || max(n) ELSE '' END FROM m GROUP BY doc_id"
+)
