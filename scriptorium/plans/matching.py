@@ -61,12 +61,6 @@ def g18(spark, d):
     return n.agg(F.array_join(F.array_sort(F.collect_list(F.concat_ws("=", "role", "n"))), " ").alias("counts"))
 
 
-@query("G24_tail_statistics", "SELECT conv_id, count(*) AS n, count(*) FILTER (role = 'user') AS n_user, max(turn) AS last_turn FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS r FROM conversations) WHERE r <= 8 GROUP BY conv_id")
-def g24(spark, d):
-    tail = runs.first_rows(table(spark, d, "conversations").select("conv_id", "turn", "role"), ["conv_id"], [F.desc("turn")], 8)
-    return tail.groupBy("conv_id").agg(F.count("*").alias("n"), F.count_if(F.col("role") == "user").alias("n_user"), F.max("turn").alias("last_turn"))
-
-
 @query("G26_distinct_pages", "SELECT source, string_agg(l, ',' ORDER BY l) AS langs FROM (SELECT DISTINCT source, lang AS l FROM documents) GROUP BY source")
 def g26(spark, d):
     return table(spark, d, "documents").groupBy("source").agg(F.array_join(F.array_sort(F.collect_set("lang")), ",").alias("langs"))

@@ -134,18 +134,6 @@ def g10(spark, d):
     return table(spark, d, "conversations").select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "term").limit(10)
 
 
-@query("G11_quality_summary", "SELECT count(*) AS n_turns, max(turn) AS last_turn, count(*) FILTER (trim(text) = '') AS n_empty, count(*) FILTER (length(text) >= 42) AS n_long, count(*) - count(DISTINCT text) AS n_repeated FROM conversations")
-def g11(spark, d):
-    """Repeats are found by a digest, so no text is shuffled."""
-    c = table(spark, d, "conversations")
-    rows = c.select("turn", F.sha2("text", 256).alias("digest"), (F.trim("text") == "").cast("long").alias("empty"), (F.length("text") >= 42).cast("long").alias("long"))
-    per_text = rows.groupBy("digest").agg(F.count("*").alias("n"), F.max("turn").alias("turn"), F.sum("empty").alias("empty"), F.sum("long").alias("long"))
-    return per_text.agg(
-        F.sum("n").alias("n_turns"), F.max("turn").alias("last_turn"), F.coalesce(F.sum("empty"), F.lit(0)).alias("n_empty"),
-        F.coalesce(F.sum("long"), F.lit(0)).alias("n_long"), (F.sum("n") - F.count("digest")).alias("n_repeated"),
-    )
-
-
 @query("G14_style_notes", "SELECT role, count(*) FILTER (contains(text, '?')) AS n_questions, count(*) FILTER (contains(text, '!')) AS n_exclaimed, sum(length(text)) AS n_chars, count(*) AS n FROM conversations GROUP BY role")
 def g14(spark, d):
     c = F.col("text")
@@ -241,11 +229,6 @@ def w19(spark, d):
     return docs.join(first, "digest").filter("doc_id <> first").select("doc_id")
 
 
-@query("T01_reading_order", f"SELECT doc_id, line_no, row_number() OVER (PARTITION BY doc_id ORDER BY length(line) DESC, line_no) AS place FROM {LINES}")
-def t01(spark, d):
-    return lines(spark, d).select("doc_id", "line_no", F.row_number().over(runs.ordered(["doc_id"], [F.desc(F.length("line")), "line_no"])).alias("place"))
-
-
 @query("T06_widest_range", "SELECT source, max(doc_id) - min(doc_id) AS span FROM documents GROUP BY source ORDER BY span DESC, source DESC LIMIT 1")
 def t06(spark, d):
     spans = table(spark, d, "documents").groupBy("source").agg((F.max("doc_id") - F.min("doc_id")).alias("span"))

@@ -32,40 +32,6 @@ def j11(spark, d):
     return e.filter("event_type = 'purchase'").select("event_id", "user_id", "value").join(first, "user_id", "left").select("event_id", F.when(F.col("value") > 100, F.col("view_id")).alias("first_view"))
 
 
-def uncovered(items: DataFrame, key: str, texts: DataFrame) -> DataFrame:
-    """Keys of items whose text, white space collapsed, is inside no text of ``texts``.
-
-    An item that is inside a text has its inner words whole in it, so the longest of them is the key of an
-    equi-join and only those pairs are compared.  Items of fewer than three words have no inner word; they
-    meet the texts on their first (up to three) characters.  Words and grams travel with an id of their text;
-    a text itself is sent once per item that it meets.
-    """
-    plain = F.trim(F.regexp_replace("text", "\\s+", " "))
-    words = F.split("item", " ")
-    inner = F.slice(words, 2, F.greatest(F.size(words) - 2, F.lit(0)))
-    longest = F.element_at(F.array_sort(F.transform(inner, lambda w: F.struct(F.length(w).alias("n"), w.alias("w")))), -1)["w"]
-    own = items.select(key, plain.alias("item")).filter("item <> ''")
-    keyed = own.withColumn("n", F.when(F.size(words) >= 3, 0).otherwise(F.least(F.length("item"), F.lit(3))))
-    keyed = keyed.withColumn("word", F.when(F.col("n") == 0, longest).otherwise(F.substring("item", 1, 3)))
-    whole = texts.select(plain.alias("whole")).filter("whole <> ''").withColumn("text_id", F.xxhash64("whole"))
-    parts = [F.transform(F.array_distinct(F.split("whole", " ")), lambda w: F.struct(F.lit(0).alias("n"), w.alias("word")))]
-    for n in (1, 2, 3):
-        grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("whole")), lambda i: F.substr("whole", i, F.lit(n))))
-        parts.append(F.transform(F.filter(grams, lambda w: F.length(w) == n), lambda w: F.struct(F.lit(n).alias("n"), w.alias("word"))))
-    holds = whole.select("text_id", F.explode(F.concat(*parts)).alias("part")).select("text_id", "part.n", "part.word")
-    pairs = keyed.join(holds, ["n", "word"]).select(key, "item", "text_id").distinct()
-    met = pairs.join(whole, "text_id").filter(F.col("whole").contains(F.col("item"))).select(key).distinct()
-    return own.select(key).join(met, key, "left_anti")
-
-
-_FLAT = "trim(regexp_replace(text, '\\s+', ' ', 'g'))"
-
-
-@query("J14_uncovered", f"SELECT item_id FROM (SELECT item_id, {_FLAT} AS x FROM benchmark) b WHERE NOT EXISTS (SELECT 1 FROM (SELECT {_FLAT} AS y FROM documents) WHERE contains(y, x))")
-def j14(spark, d):
-    return uncovered(table(spark, d, "benchmark"), "item_id", table(spark, d, "documents"))
-
-
 @query("J20_style_lookup", "SELECT p_partkey, alignment FROM part LEFT JOIN (VALUES ('ECONOMY', 2), ('PROMO', 8), ('STANDARD', 5)) s(p_type, alignment) USING (p_type)")
 def j20(spark, d):
     styles = spark.createDataFrame([("ECONOMY", 2), ("PROMO", 8), ("STANDARD", 5)], "p_type string, alignment int")
@@ -134,12 +100,6 @@ def g28(spark, d):
     return table(spark, d, "documents").select("doc_id", F.size(F.filter(F.split("text", "\n"), lambda x: F.trim(x) != "")).cast("long").alias("n"))
 
 
-@query("W20_section_carry", f"SELECT doc_id, line_no, last_value(CASE WHEN length(line) < 30 THEN line_no END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY line_no) AS section FROM {LINES}")
-def w20(spark, d):
-    section = runs.carried(F.when(F.length("line") < 30, F.col("line_no")), ["doc_id"], ["line_no"])
-    return lines(spark, d).select("doc_id", "line_no", section.alias("section"))
-
-
 _BLOCK = "CASE WHEN regexp_matches(line, '^\\s*$') THEN 'blank' WHEN regexp_matches(line, '^\\s*([-*]|[0-9]+[.)])\\s') THEN 'list' WHEN regexp_matches(line, '^#+\\s') THEN 'heading' WHEN regexp_matches(line, '^\\|.*\\|$') THEN 'table' ELSE 'paragraph' END"
 
 
@@ -193,15 +153,6 @@ def o15(spark, d):
     return table(spark, d, "documents").groupBy("source").agg(F.bool_or(found).alias("found"))
 
 
-@query("O22_revision_candidates", f"SELECT doc_id, count(*) FILTER (regexp_matches(line, '\\.$')) AS n, count(*) FILTER (regexp_matches(line, '\\.$')) >= 3 AS required FROM {LINES} GROUP BY doc_id")
-def o22(spark, d):
-    n = F.count_if(F.col("line").rlike("\\.$"))
-    return lines(spark, d).groupBy("doc_id").agg(n.alias("n"), (n >= 3).alias("required"))
-
-
-CAUSES = (("error", "input_missing"), ("purchase", "price_changed"), ("refund", "never_seen"))
-
-
 @query("O13_causes", "SELECT DISTINCT user_id, cause FROM events JOIN (VALUES ('error', 'input_missing'), ('purchase', 'price_changed'), ('refund', 'never_seen')) r(event_type, cause) USING (event_type)")
 def o13(spark, d):
     """Causes whose signal is present, by a fixed rule table of three rows."""
@@ -209,8 +160,3 @@ def o13(spark, d):
     return table(spark, d, "events").select("user_id", "event_type").distinct().join(rules, "event_type").select("user_id", "cause").distinct()
 
 
-@query("O25_marker_exists", f"SELECT doc_id, line_no FROM {LINES} WHERE len(list_filter(string_split(line, ' '), lambda w: length(w) > 12)) > 0")
-def o25(spark, d):
-    return lines(spark, d).filter(F.exists(F.split("line", " "), lambda w: F.length(w) > 12)).select("doc_id", "line_no")
-
-

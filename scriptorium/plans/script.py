@@ -109,12 +109,6 @@ def w09(spark, d):
     return kinds(spark, d).select("doc_id", "line_no", heading.alias("heading"))
 
 
-@query("W12_draft_state", f"SELECT doc_id, line_no FROM (SELECT doc_id, line_no, kind, lag(kind) OVER {ORDER} AS before FROM {DIALOGUE}) WHERE kind = 'parenthetical' AND coalesce(before NOT IN ('character', 'dialogue', 'parenthetical'), true)")
-def w12(spark, d):
-    rows = dialogues(spark, d).withColumn("before", F.lag("kind").over(runs.ordered(["doc_id"], ["line_no"])))
-    return rows.filter((F.col("kind") == "parenthetical") & ~F.coalesce(F.col("before").isin("character", "dialogue", "parenthetical"), F.lit(False))).select("doc_id", "line_no")
-
-
 @query("W17_gap_join", f"SELECT doc_id, line_no // 10 AS page, string_agg((CASE WHEN x - before > 10 THEN ' ' ELSE '' END) || line, '' ORDER BY line_no) AS joined FROM (SELECT doc_id, line_no, x, line, lag(x) OVER (PARTITION BY doc_id, line_no // 10 ORDER BY line_no) AS before FROM {PLACED}) GROUP BY ALL")
 def w17(spark, d):
     rows = placed(spark, d).withColumn("page", F.expr("cast(line_no div 10 as int)"))

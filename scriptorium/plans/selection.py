@@ -73,13 +73,6 @@ def p24(spark, d):
     return table(spark, d, "conversations").select("conv_id", "turn", F.concat(_mapped("role", PREFIX), "text").alias("translation"))
 
 
-@query("P29_style_summary", "SELECT lang, string_agg(word, ' ' ORDER BY k) AS terms FROM (SELECT lang, word, row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) AS k FROM (SELECT lang, lower(regexp_extract(text, '[A-Za-z]+')) AS word, count(*) AS n FROM documents GROUP BY ALL)) WHERE k <= 20 GROUP BY lang")
-def p29(spark, d):
-    n = table(spark, d, "documents").groupBy("lang", F.lower(F.regexp_extract("text", "[A-Za-z]+", 0)).alias("word")).agg(F.count("*").alias("n"))
-    top = runs.first_rows(n, ["lang"], [F.desc("n"), "word"], 20, "k")
-    return top.groupBy("lang").agg(F.array_join(F.array_sort(F.collect_list(F.struct("k", "word")))["word"], " ").alias("terms"))
-
-
 @query("P30_has_captions", "SELECT conv_id, bool_or(role = 'system') AS has_captions FROM conversations GROUP BY conv_id")
 def p30(spark, d):
     return table(spark, d, "conversations").groupBy("conv_id").agg(F.bool_or(F.col("role") == "system").alias("has_captions"))
