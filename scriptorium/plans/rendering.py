@@ -97,13 +97,6 @@ def r05(spark, d):
     return table(spark, d, "labels").select("doc_id", render.label(label).alias("html"))
 
 
-@query("R06_index", f"""SELECT conv_id, '<nav><ol>' || string_agg('<li><a href="#t' || turn || '">' || {_escaped('text')} || '</a></li>', '' ORDER BY turn) || '</ol></nav>' AS html FROM conversations WHERE role = 'user' GROUP BY conv_id""")
-def r06(spark, d):
-    link = F.struct("turn", F.concat(F.lit("t"), F.col("turn").cast("string")).alias("id"), F.col("text").alias("title"))
-    rows = table(spark, d, "conversations").filter("role = 'user'").groupBy("conv_id").agg(F.array_sort(F.collect_list(link)).alias("links"))
-    return rows.select("conv_id", render.index(F.col("links")).alias("html"))
-
-
 @query("R07_pages", f"""SELECT conv_id, page, '<section id="page-' || page || '">' || string_agg(html, '' ORDER BY turn) || '</section>' AS html FROM (SELECT conv_id, turn, turn // 3 AS page, {_paragraph('text')} AS html FROM (SELECT conv_id, turn, {_MARKED.format('text', 'turn')} AS text FROM conversations)) GROUP BY conv_id, page""")
 def r07(spark, d):
     rows = table(spark, d, "conversations").select("conv_id", F.floor(F.col("turn") / 3).alias("page"), F.struct("turn", render.paragraph(marked("text", "turn")).alias("html")).alias("e"))
