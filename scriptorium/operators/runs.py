@@ -28,97 +28,89 @@ def carried(value: Column, keys: list[str], order: list[Column | str]) -> Column
     return F.last(value, ignorenulls=True).over(ordered(keys, order).rowsBetween(Window.unboundedPreceding, 0))
 
 
-def walked(df: DataFrame, keys: list[str], order: list[str], values: list[str], begin: Callable[[], Callable], name: str) -> DataFrame:
-    """Adds a long that a state machine gives each row, in order within its key; ``begin`` makes the machine of a key.
+def _by_key(rows: DataFrame, keys: list[str], numbers: list[str], fresh: Callable[[], tuple], number: Callable[[np.ndarray, tuple], tuple[np.ndarray, tuple]], name: str) -> DataFrame:
+    """Adds a long to sorted rows; ``number`` gives it to a key's rows of a batch, a matrix of ``numbers`` (null: 0), and the state it goes on with.
 
-    For steps that no window can express.  One shuffle by key and one sort, then Arrow batches stream through a task
-    that holds the state of one key at a time, so a key with a third of all rows needs no more memory than any other.
+    Sorted rows stream through as Arrow batches, and what is carried from one to the next is the state of one key, so a
+    key with a third of all rows needs no more memory than any other.
     """
-    rows = df.repartition(*keys).sortWithinPartitions(*keys, *order)
-    key_at, value_at = ([df.columns.index(c) for c in names] for names in (keys, values))
+    key_at, at = ([rows.columns.index(c) for c in names] for names in (keys, numbers))
 
     def run(batches):
-        last = step = None
+        last = state = None
         for batch in batches:
-            numbers = []
-            key_rows = zip(*(batch.column(i).to_pylist() for i in key_at))
-            for key, value in zip(key_rows, zip(*(batch.column(i).to_pylist() for i in value_at))):
-                if step is None or key != last:
-                    last, step = key, begin()
-                numbers.append(step(*value))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(numbers, pa.int64())], names=[*batch.schema.names, name])
+            if not batch.num_rows:
+                continue
+            columns = [batch.column(k) for k in key_at]
+            values = np.stack([pc.fill_null(batch.column(k).cast(pa.int64()), 0).to_numpy() for k in at], axis=1)
+            new = np.zeros(batch.num_rows, bool)
+            for c in columns:
+                code = c.dictionary_encode(null_encoding="encode").indices.to_numpy()
+                new[1:] |= code[1:] != code[:-1]
+            starts = [0, *np.flatnonzero(new).tolist(), batch.num_rows]
+            out = []
+            for start, end in zip(starts, starts[1:]):
+                key = tuple(c[start].as_py() for c in columns)
+                if state is None or key != last:
+                    last, state = key, fresh()
+                found, state = number(values[start:end], state)
+                out.append(found)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(out))], names=[*batch.schema.names, name])
 
-    return rows.mapInArrow(run, StructType([*df.schema.fields, StructField(name, LongType())]))
+    return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField(name, LongType())]))
 
 
 def greedy_bins(df: DataFrame, keys: list[str], order: str, size: str, limit: int) -> DataFrame:
     """Consecutive rows in bins whose sizes sum to ``limit`` at most (a larger row is alone but for zeros before it); a null size is 0.
 
-    Sizes must not be negative.  Sorted rows stream through as Arrow batches; a bin is one search in a batch's prefix
-    sums, and what is carried from batch to batch is the key, the bin and its sum.
+    Sizes must not be negative.  A bin is one search in the prefix sums of a batch.
     """
-    rows = df.select(*keys, order, size).repartition(*keys).sortWithinPartitions(*keys, order)
 
-    def bins(sizes: np.ndarray, number: int, used: int) -> tuple[np.ndarray, int, int]:
-        sums = np.concatenate([[0], np.cumsum(sizes)])
-        out, at = np.empty(len(sizes), np.int64), 0
-        while at < len(sizes):
+    def bins(values: np.ndarray, state: tuple[int, int]) -> tuple[np.ndarray, tuple[int, int]]:
+        number, used = state
+        sums = np.concatenate([[0], np.cumsum(values[:, 0])])
+        out, at = np.empty(len(values), np.int64), 0
+        while at < len(values):
             end = max(at, int(np.searchsorted(sums, limit - used + sums[at], "right")) - 1)  # rows at .. end fit
-            while end < len(sizes) and used + sums[end] - sums[at] == 0:
+            while end < len(values) and used + sums[end] - sums[at] == 0:
                 end += 1  # nothing is used, so a row goes in whatever its size
             out[at:end] = number
             used += int(sums[end] - sums[at])
-            if end < len(sizes):
+            if end < len(values):
                 number, used = number + 1, 0
             at = end
-        return out, number, used
-
-    def run(batches):
-        last, number, used = None, 0, 0
-        for batch in batches:
-            columns = [batch.column(k) for k in range(len(keys))]
-            sizes = pc.fill_null(batch.column(len(keys) + 1).cast(pa.int64()), 0).to_numpy()
-            new = np.zeros(batch.num_rows, bool)
-            for c in columns:
-                code = c.dictionary_encode(null_encoding="encode").indices.to_numpy()
-                new[1:] |= code[1:] != code[:-1]
-            starts = [0, *np.flatnonzero(new).tolist(), batch.num_rows] if batch.num_rows else []
-            out = []
-            for start, end in zip(starts, starts[1:]):
-                key = tuple(c[start].as_py() for c in columns)
-                if last is None or key != last:
-                    last, number, used = key, 0, 0
-                found, number, used = bins(sizes[start:end], number, used)
-                out.append(found)
-            if out:
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(np.concatenate(out))], names=[*batch.schema.names[:-1], "bin"])
+        return out, (number, used)
 
-    fields = [f for f in rows.schema.fields if f.name != size]
-    return rows.mapInArrow(run, StructType([*fields, StructField("bin", LongType())]))
+    rows = df.select(*keys, order, size).repartition(*keys).sortWithinPartitions(*keys, order)
+    return _by_key(rows, keys, [size], lambda: (0, 0), bins, "bin").drop(size)
 
 
 def page_bins(df: DataFrame, keys: list[str], order: str, limits: dict[str, int], least: int, most: int) -> DataFrame:
     """Consecutive pages in bins: the first ``least`` pages whatever they hold, then more while no sum passes its limit, ``most`` in all.
 
-    The rest at the end of a key may be shorter than ``least``.  A null count is 0.
+    The rest at the end of a key may be shorter than ``least``.  A null count is 0; counts must not be negative.  A bin
+    is one search for each limit in the prefix sums of a batch.
     """
-    bounds = list(limits.values())
-
-    def begin():
-        number, pages, sums = 0, 0, [0] * len(bounds)
-
-        def step(*counts):
-            nonlocal number, pages, sums
-            counts = [n or 0 for n in counts]
-            grown = [a + n for a, n in zip(sums, counts)]
-            if pages >= least and (pages >= most or any(n > bound for n, bound in zip(grown, bounds))):
-                number, pages, grown = number + 1, 0, counts
-            pages, sums = pages + 1, grown
-            return number
-
-        return step
+    bounds = np.array(list(limits.values()), np.int64)
+
+    def bins(values: np.ndarray, state: tuple) -> tuple[np.ndarray, tuple]:
+        number, pages, held = state
+        sums = np.concatenate([np.zeros((1, len(bounds)), np.int64), np.cumsum(values, axis=0)])
+        out, at = np.empty(len(values), np.int64), 0
+        while at < len(values):
+            room = bounds - held + sums[at]
+            fits = min(int(np.searchsorted(sums[:, k], room[k], "right")) - 1 for k in range(len(bounds)))
+            end = min(max(at, fits, at + least - pages), at + most - pages, len(values))
+            out[at:end] = number
+            if end < len(values):
+                number, pages, held = number + 1, 0, np.zeros(len(bounds), np.int64)
+            else:
+                pages, held = pages + end - at, held + sums[end] - sums[at]
+            at = end
+        return out, (number, pages, held)
 
-    return walked(df, keys, [order], list(limits), begin, "bin")
+    rows = df.repartition(*keys).sortWithinPartitions(*keys, order)
+    return _by_key(rows, keys, list(limits), lambda: (0, 0, np.zeros(len(bounds), np.int64)), bins, "bin")
 
 
 def first_rows(df: DataFrame, keys: list[str], order: list[Column | str], n: int, name: str = "rank") -> DataFrame:

@@ -107,3 +107,20 @@ def o07(spark, d):
     at, until = (F.lpad(x.cast("string"), 2, "0") for x in (F.col("turn"), F.col("turn") + 10))
     cue = F.concat(F.col("turn").cast("string"), F.lit("\n00:00:"), at, F.lit(",000 --> 00:00:"), until, F.lit(",500\n"), t.collapse_space(F.col("text")))
     return caption_artifacts(captions.parse_cues(_files(table(spark, d, "conversations"), "conv_id", "turn", cue, "\n\n", "WEBVTT\n\n")))
+
+
+_SUFFIX = "CASE conv_id % 5 WHEN 0 THEN '.ass' WHEN 1 THEN '.SRT' WHEN 2 THEN '.vtt' WHEN 3 THEN '.txt' ELSE '' END"
+
+
+@query("S11_caption_files", f"SELECT path, count(*) AS n_events, CAST(NULL AS VARCHAR) AS unsupported FROM (SELECT conv_id || {_SUFFIX} AS path, conv_id FROM conversations) WHERE conv_id % 5 < 3 GROUP BY path UNION ALL SELECT DISTINCT conv_id || {_SUFFIX}, 0, lower({_SUFFIX}) FROM conversations WHERE conv_id % 5 >= 3")
+def s11(spark, d):
+    """Captions in three formats, told by the suffix of their files; other files are named and give no event."""
+    rows = table(spark, d, "conversations").withColumn("is_ass", F.col("conv_id") % 5 == 0)
+    at = F.lpad(F.col("turn").cast("string"), 2, "0")
+    until = F.lpad((F.col("turn") + 10).cast("string"), 2, "0")
+    cue = F.concat(F.lit("00:00:"), at, F.lit(".000 --> 00:00:"), until, F.lit(".500\n"), t.collapse_space(F.col("text")))
+    event = F.concat(F.lit("Dialogue: 0:00:"), at, F.lit(".00,0:00:"), until, F.lit(".50,Main,"), t.collapse_space(F.col("text")))
+    files = _files(rows.filter("is_ass"), "conv_id", "turn", event, "\n", "[Events]\nFormat: Start, End, Style, Text\n").unionAll(_files(rows.filter(~F.col("is_ass")), "conv_id", "turn", cue, "\n\n", "WEBVTT\n\n"))
+    named = files.withColumn("path", F.concat("path", F.expr(_SUFFIX.replace("conv_id", "cast(path as bigint)"))))
+    events = captions.parse_captions(named).groupBy("path").agg(F.count("*").alias("n_events"), F.lit(None).cast("string").alias("unsupported"))
+    return events.unionByName(captions.unsupported(named).select("path", F.lit(0).cast("long").alias("n_events"), F.col("suffix").alias("unsupported")))

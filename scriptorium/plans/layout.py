@@ -246,6 +246,18 @@ def v10(spark, d):
     return marker_findings(pages, markers, "page_id", F.col("page_id") % 2 == 0)
 
 
+def compared_counts(pages: DataFrame, markers: DataFrame, key: str) -> DataFrame:
+    """``key, type, n_source, n_html`` of every type that the source or the page has."""
+    source = markers.filter(F.col("type").isNotNull()).groupBy(key, "type").agg(F.count(F.lit(1)).alias("n_source"))
+    shown = shown_markers(pages, key).filter("html > 0").select(key, "type", F.col("html").cast("long").alias("n_html"))
+    return source.join(shown, [key, "type"], "full_outer").select(key, "type", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n_source", "n_html")])
+
+
+@query("J16_compare_counts", f"WITH {_RENDERED}, n AS (SELECT page_id, type, count(*) AS n FROM m GROUP BY page_id, type), h AS (SELECT * FROM c WHERE html > 0) SELECT coalesce(n.page_id, h.page_id) AS page_id, coalesce(n.type, h.type) AS type, coalesce(n, 0) AS n_source, coalesce(html, 0) AS n_html FROM n FULL JOIN h ON h.page_id = n.page_id AND h.type = n.type")
+def j16(spark, d):
+    return compared_counts(*rendered(spark, d), "page_id")
+
+
 @query("G21_marker_fallback", f"WITH {_RENDERED} SELECT page_id, type, html AS n FROM c")
 def g21(spark, d):
     return shown_markers(rendered(spark, d)[0], "page_id").select("page_id", "type", F.col("html").cast("long").alias("n"))

@@ -92,6 +92,12 @@ def merge_findings(batches: DataFrame, entries: DataFrame, project: str) -> Data
     return no_pages.unionAll(unnamed).unionAll(again)
 
 
+def report_texts(findings: DataFrame, key: str) -> DataFrame:
+    """``key, report``: findings as lines ``LEVEL CODE message``, which ``captions.parse_findings`` reads again; a report holds one key's findings by definition."""
+    line = F.concat_ws(" ", "level", "code", "message")
+    return findings.groupBy(key).agg(F.concat(F.array_join(F.array_sort(F.collect_list(line)), "\n"), F.lit("\n")).alias("report"))
+
+
 def _expected(spark, d):
     ids = table(spark, d, "documents").groupBy(F.col("source").alias("part")).agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
     return ids.select("part", F.greatest(F.lit(1), "lo").alias("lo"), (F.col("hi") + 5).alias("hi"))
@@ -185,3 +191,9 @@ def v08(spark, d):
     named = F.when(F.length("text") % 11 == 0, " ").otherwise(F.concat(F.lit("e"), F.length("text")))
     rows = table(spark, d, "conversations").select(F.col("role").alias("project"), F.col("conv_id").alias("batch"), F.col("turn").alias("at"), lo.alias("lo"), (F.col("conv_id") + 2).alias("hi"), named.alias("id"))
     return merge_findings(rows.select("project", "batch", "lo", "hi").distinct(), rows, "project")
+
+
+@query("K02_report_lines", "WITH v AS (" + SQL["V08_merge_rules"] + ") SELECT project, string_agg('FAIL ' || code || ' ' || batch || ' ' || message, chr(10) ORDER BY 'FAIL ' || code || ' ' || batch || ' ' || message) || chr(10) AS report FROM v GROUP BY project")
+def k02(spark, d):
+    """A report for each project: a finding per line, in order, with a line feed behind the last."""
+    return report_texts(v08(spark, d).select("project", F.lit("FAIL").alias("level"), "code", F.concat_ws(" ", "batch", "message").alias("message")), "project")

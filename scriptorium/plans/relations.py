@@ -63,14 +63,6 @@ def j15(spark, d):
     return pages.select("page_id", F.explode(F.array_except(targets, t.attributes(F.col("html"), "id"))).alias("target"))
 
 
-@query("J16_compare_counts", "SELECT coalesce(a.k, b.k) AS lang, coalesce(a.n, 0) AS n_documents, coalesce(b.n, 0) AS n_labelled FROM (SELECT lang AS k, count(*) AS n FROM documents GROUP BY 1) a FULL JOIN (SELECT lang AS k, count(*) AS n FROM documents WHERE doc_id IN (SELECT doc_id FROM labels) GROUP BY 1) b ON a.k = b.k")
-def j16(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", "lang")
-    marked = docs.join(table(spark, d, "labels").select("doc_id"), "doc_id", "left_semi").groupBy("lang").agg(F.count("*").alias("n_labelled"))
-    both = docs.groupBy("lang").agg(F.count("*").alias("n_documents")).join(marked, "lang", "full_outer")
-    return both.select("lang", F.coalesce("n_documents", F.lit(0)).alias("n_documents"), F.coalesce("n_labelled", F.lit(0)).alias("n_labelled"))
-
-
 @query("J19_missing_in_range", "SELECT x AS doc_id FROM (SELECT unnest(range(min(doc_id), max(doc_id) + 1)) AS x FROM labels) WHERE x NOT IN (SELECT doc_id FROM labels)")
 def j19(spark, d):
     # From each id to the next: gaps come out without a series over the whole range in one row.

@@ -103,9 +103,23 @@ def parse_ass(texts: DataFrame) -> DataFrame:
 
 def read_captions(spark: SparkSession, path: str) -> DataFrame:
     """All ``.ass``, ``.srt`` and ``.vtt`` files below a path, by their suffix."""
-    texts = files(spark, path, "*.{ass,srt,vtt,ASS,SRT,VTT}")
-    is_ass = F.lower("path").endswith(".ass")
-    return parse_ass(texts.filter(is_ass)).unionByName(parse_cues(texts.filter(~is_ass)))
+    return parse_captions(files(spark, path, "*.{ass,srt,vtt,ASS,SRT,VTT}"))
+
+
+def suffix(path: Column) -> Column:
+    return F.lower(F.regexp_extract(path, "(\\.[^./]*)$", 1))
+
+
+def parse_captions(texts: DataFrame) -> DataFrame:
+    """Events of ``path, text`` by the suffix of the path; others have none (``unsupported`` names them)."""
+    kind = suffix(F.col("path"))
+    return parse_ass(texts.filter(kind == ".ass")).unionByName(parse_cues(texts.filter(kind.isin(".srt", ".vtt"))))
+
+
+def unsupported(paths: DataFrame) -> DataFrame:
+    """``path, suffix`` of files that no reader of captions takes."""
+    kind = suffix(F.col("path"))
+    return paths.filter(~kind.isin(".ass", ".srt", ".vtt")).select("path", kind.alias("suffix"))
 
 
 def parse_terms(texts: DataFrame) -> DataFrame:

@@ -140,3 +140,24 @@ def test_bins_equal_a_walk(spark):
     out = got(runs.greedy_bins(spark.createDataFrame(rows, SCHEMA).repartition(5), ["k"], "at", "v", 100), "bin")
     spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert out == sorted(want, key=str)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_page_bins_equal_a_walk(spark, seed):
+    rnd = random.Random(seed)
+    rows = [(f"k{i % 5}", i, rnd.choice([None, 0, 2, 9, 30]), rnd.choice([0, 1, 5])) for i in range(700)]
+    want = []
+    for k in {r[0] for r in rows}:
+        number, pages, sums = 0, 0, [0, 0]
+        for _, at, *counts in sorted((r for r in rows if r[0] == k), key=lambda r: r[1]):
+            counts = [c or 0 for c in counts]
+            grown = [x + c for x, c in zip(sums, counts)]
+            if pages >= 3 and (pages >= 8 or grown[0] > 40 or grown[1] > 12):
+                number, pages, grown = number + 1, 0, counts
+            pages, sums = pages + 1, grown
+            want.append((k, at, number))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "29")
+    df = spark.createDataFrame(rows, "k string, at int, a int, b int").repartition(4)
+    out = got(runs.page_bins(df, ["k"], "at", {"a": 40, "b": 12}, 3, 8), "bin")
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert out == sorted(want, key=str)
