@@ -6,8 +6,9 @@ without losing a window: winnowing over GRAM-byte grams selects at least one anc
 the same one in equal windows.  Only suffixes at anchors whose gram repeats go on.
 
 1. Anchors.  A partition sends, per owner of the gram's hash, hash, digest of the context (all windows
-   around the anchor) and place.  Of equal contexts in a partition only the first is sent.
-2. Owners.  Of equal contexts anywhere all but the first are removed whole.  Where one gram stands in
+   around the anchor; 128 bits, by its length) and place.  Of equal contexts in a partition only the first is sent.
+2. Owners.  Of equal contexts anywhere all but the first are removed whole: contexts count as equal if both
+   digests, of gram and context, and the lengths on both sides are.  Where one gram stands in
    different contexts, the first of each context is left to be ordered.
 3. Texts meet those places and send the context bytes to the gram's owner.
 4. Owners order the suffixes from each anchor, and the reversed prefixes before it, by passes over one byte
@@ -39,7 +40,7 @@ HELD_ANCHORS, OWNED_BYTES = 1 << 19, 32 << 20
 FIRST_ID = -(1 << 63)
 
 _DOC = np.dtype([("id", "<i8"), ("th", "<i8"), ("bucket", "<i4")])
-_ANCHOR = np.dtype([("h", "V6"), ("c", "<u8"), ("doc", "<u4"), ("pos", "<u4")])
+_ANCHOR = np.dtype([("h", "V6"), ("c", "<u8"), ("e", "<u8"), ("doc", "<u4"), ("pos", "<u4")])
 _PLACE = np.dtype([("id", "<i8"), ("th", "<i8"), ("pos", "<u4"), ("h", "<u8")])
 _RANGE = np.dtype([("id", "<i8"), ("th", "<i8"), ("start", "<u4"), ("stop", "<u4")])
 _CONTEXT = np.dtype([("h", "<u8"), ("id", "<i8"), ("th", "<i8"), ("bucket", "<i4"), ("pos", "<u4"), ("left", "u1"), ("right", "u1"), ("bytes", "u1", LEFT + THRESHOLD)])
@@ -116,11 +117,11 @@ def _split(kind: int, at: np.ndarray, data: np.ndarray) -> list[tuple]:
 def _find_anchors(docs: DataFrame, owners: int) -> DataFrame:
     def flush(held: list[tuple], keys: list[tuple]) -> list[tuple]:
         docs = np.array(keys, _DOC)
-        which = np.repeat(np.arange(len(keys), dtype=np.uint32), [len(p) for p, _, _ in held])
-        pos, h, c = (np.concatenate([x[k] for x in held]) for k in range(3))
-        order = np.lexsort((pos, docs["id"][which], c, h))
-        pos, h, c, which = pos[order], h[order], c[order], which[order]
-        group = _ranked(h, c)
+        which = np.repeat(np.arange(len(keys), dtype=np.uint32), [len(x[0]) for x in held])
+        pos, h, c, e = (np.concatenate([x[k] for x in held]) for k in range(4))
+        order = np.lexsort((pos, docs["id"][which], e, c, h))
+        pos, h, c, e, which = pos[order], h[order], c[order], e[order], which[order]
+        group = _ranked(h, c, e)
         again = _after_first(group, docs["id"][which], pos)
         gone = np.zeros(int(again.sum()), _RANGE)
         own = docs[which[again]]
@@ -130,7 +131,7 @@ def _find_anchors(docs: DataFrame, owners: int) -> DataFrame:
         out = _split(_RANGES, own["bucket"], gone)
         sent = np.zeros(int((~again).sum()), _ANCHOR)
         sent["h"] = (h[~again] & np.uint64((1 << 48) - 1)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].copy().view("V6")[:, 0]
-        sent["c"], sent["doc"], sent["pos"] = c[~again], which[~again], pos[~again]
+        sent["c"], sent["e"], sent["doc"], sent["pos"] = c[~again], e[~again], which[~again], pos[~again]
         owner = (h[~again] & np.uint64((1 << 48) - 1)) % np.uint64(owners)
         order = np.argsort(owner, kind="stable")
         cuts = np.searchsorted(owner[order], np.arange(owners + 1))
@@ -151,9 +152,10 @@ def _find_anchors(docs: DataFrame, owners: int) -> DataFrame:
                 pos, h = anchors(np.frombuffer(text, np.uint8))
                 if not len(pos):
                     continue
-                n, digest = len(text), xxhash.xxh64_intdigest
-                c = np.array([digest(text[max(0, p - LEFT) : p + THRESHOLD], min(p, LEFT) << 8 | min(n - p, THRESHOLD)) for p in pos.tolist()], np.uint64)
-                held.append((pos, h, c))
+                n, digest = len(text), xxhash.xxh3_128_digest
+                both = b"".join([digest(text[max(0, p - LEFT) : p + THRESHOLD], min(p, LEFT) << 8 | min(n - p, THRESHOLD)) for p in pos.tolist()])
+                c, e = np.frombuffer(both, "<u8").reshape(-1, 2).T
+                held.append((pos, h, c, e))
                 keys.append((i, th, bucket))
                 size += len(pos)
                 if size > HELD_ANCHORS:
@@ -175,12 +177,12 @@ def _meet_anchors(found: DataFrame, n: int) -> DataFrame:
         order = np.argsort(h, kind="stable")
         group = _ranked(h[order])
         order = order[np.bincount(group)[group] > 1]
-        h, c, pos, doc = h[order], a["c"][order], a["pos"][order], doc[order]
-        order = np.lexsort((pos, doc["id"], c, h))
-        h, c, pos, doc = h[order], c[order], pos[order], doc[order]
+        h, c, e, pos, doc = h[order], a["c"][order], a["e"][order], a["pos"][order], doc[order]
+        order = np.lexsort((pos, doc["id"], e, c, h))
+        h, c, e, pos, doc = h[order], c[order], e[order], pos[order], doc[order]
         if not len(h):
             return []
-        group = _ranked(h, c)
+        group = _ranked(h, c, e)
         again = _after_first(group, doc["id"], pos)
         out = []
         own = doc[again]
