@@ -124,3 +124,21 @@ def s11(spark, d):
     named = files.withColumn("path", F.concat("path", F.expr(_SUFFIX.replace("conv_id", "cast(path as bigint)"))))
     events = captions.parse_captions(named).groupBy("path").agg(F.count("*").alias("n_events"), F.lit(None).cast("string").alias("unsupported"))
     return events.unionByName(captions.unsupported(named).select("path", F.lit(0).cast("long").alias("n_events"), F.col("suffix").alias("unsupported")))
+
+
+@query(
+    "P13_annotation",
+    f"SELECT CAST(conv_id AS VARCHAR) AS path, CAST(turn AS DOUBLE) AS start_s, turn % 7 IN (1, 2, 3, 4, 5) AS annotation, {_CLEAN} AS text FROM conversations",
+)
+def p13(spark, d):
+    """An event is an annotation by its style's name, its own name, its style's alignment, its margin, or a mark in its text."""
+    n = F.col("turn") % 7
+    at = F.lpad(F.col("turn").cast("string"), 2, "0")
+    style = F.when(n == 1, "Margin Notes").when(n == 2, "Top").otherwise("Main")
+    name = F.when(n == 3, "comment").otherwise("ANNA")
+    margin = F.when(n == 4, "20").when(n == 6, "19").otherwise("0")
+    mark = F.when(n == 5, "{\\an8}").otherwise("{\\an2}")
+    event = F.concat(F.lit("Dialogue: 0:00:"), at, F.lit(".00,0:01:00.00,"), style, F.lit(","), name, F.lit(","), margin, F.lit(","), mark, t.collapse_space(F.col("text")))
+    head = "[V4+ Styles]\nFormat: Name, Alignment\nStyle: Main,2\nStyle: Top,8\nStyle: Margin Notes,2\n[Events]\nFormat: Start, End, Style, Name, MarginV, Text\n"
+    events = captions.parse_ass(_files(table(spark, d, "conversations"), "conv_id", "turn", event, "\n", head))
+    return events.select("path", F.col("start").alias("start_s"), "annotation", "text")

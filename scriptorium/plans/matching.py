@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from scriptorium.functions import text as t
 from scriptorium.operators import runs
 from scriptorium.sources.tables import table
 
@@ -49,12 +48,6 @@ def j18(spark, d):
     return docs.join(labels, "doc_id", "left_anti").withColumn("side", F.lit("unlabelled")).unionByName(labels.join(docs, "doc_id", "left_anti").withColumn("side", F.lit("unknown")))
 
 
-@query("G16_cost_estimate", "SELECT source, greatest(1, CAST(round_even(sum(strlen(text)) / 4, 0) AS BIGINT)) AS n_tokens, greatest(1, CAST(round_even(sum(strlen(text)) / 4, 0) AS BIGINT)) * 1.35e0 * 3e0 / 1000000 AS cost FROM documents GROUP BY source")
-def g16(spark, d):
-    n = t.token_proxy(F.sum(F.octet_length("text")))
-    return table(spark, d, "documents").groupBy("source").agg(n.alias("n_tokens")).select("source", "n_tokens", (F.col("n_tokens") * 1.35 * 3.0 / 1000000).alias("cost"))
-
-
 @query("G18_label_counts", "SELECT string_agg(role || '=' || n, ' ' ORDER BY role) AS counts FROM (SELECT role, count(*) AS n FROM conversations GROUP BY role)")
 def g18(spark, d):
     n = table(spark, d, "conversations").groupBy("role").agg(F.count("*").alias("n"))

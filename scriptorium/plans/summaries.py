@@ -178,3 +178,48 @@ def o22(spark, d):
 def o25(spark, d):
     rows = rules._drafted(spark, d).select("doc_id", "line_no", "markers")
     return rows.filter(F.exists("markers", lambda m: m["type"] == "contd")).select("doc_id", "line_no")
+
+
+# What is added for work around a translation, and for what a price holds.
+OVERHEAD, PRICED_TOKENS = 1.35, 1_000_000
+
+
+def cost_estimates(artifacts: DataFrame, projects: DataFrame, prices: DataFrame, key: str) -> DataFrame:
+    """``key, status, missing``, tokens and cost of each project in ``projects (key, model, input_price, output_price, overhead)``.
+
+    ``artifacts``: ``key, kind ('context' is read, 'translated' is written), bytes``; a file has a token for four bytes, one at
+    least.  A price of the project's own counts before that of its model in ``prices (model, input, output)``; without
+    both prices and a model nothing is estimated, and ``missing`` says why.  A null overhead is OVERHEAD.
+    """
+    tokens = lambda kind: F.sum(F.when(F.col("kind") == kind, t.token_proxy(F.col("bytes"))).otherwise(0))
+    held = artifacts.groupBy(key).agg(tokens("context").alias("base_input"), tokens("translated").alias("base_output"))
+    rows = projects.join(held, key, "left").join(prices.select("model", F.col("input").alias("model_input"), F.col("output").alias("model_output")), "model", "left")
+    rows = rows.withColumns({c: F.coalesce(c, F.lit(0)) for c in ("base_input", "base_output")})
+    price = {c: F.coalesce(f"{c}_price", f"model_{c}") for c in ("input", "output")}
+    overhead = F.coalesce("overhead", F.lit(OVERHEAD))
+    rows = rows.withColumns({f"{c}_tokens": F.rint(F.col(f"base_{c}") * overhead).cast("long") for c in price} | {f"{c}_usd": p for c, p in price.items()})
+    missing = F.concat_ws(",", F.when(F.col("model").isNull(), "model_name"), *[F.when(F.col(f"{c}_usd").isNull(), f"{c}_usd_per_million_tokens") for c in price])
+    cost = sum(F.col(f"{c}_tokens") * F.col(f"{c}_usd") / PRICED_TOKENS for c in price)
+    rows = rows.withColumn("missing", missing)
+    return rows.select(key, F.when(F.col("missing") == "", "estimated").otherwise("not_estimated").alias("status"), "missing", "base_input", "base_output", "input_tokens", "output_tokens", F.when(F.col("missing") == "", cost).alias("cost"))
+
+
+@query(
+    "G16_cost_estimate",
+    "WITH a AS (SELECT source, CASE WHEN doc_id % 3 = 0 THEN 'context' WHEN doc_id % 3 = 1 THEN 'translated' ELSE 'note' END AS kind, greatest(1, CAST(round_even(strlen(text) / 4, 0) AS BIGINT)) AS n FROM documents),"
+    " h AS (SELECT source, CAST(sum(CASE WHEN kind = 'context' THEN n ELSE 0 END) AS BIGINT) AS base_input, CAST(sum(CASE WHEN kind = 'translated' THEN n ELSE 0 END) AS BIGINT) AS base_output FROM a GROUP BY source),"
+    " p AS (SELECT DISTINCT source, CAST(nullif(regexp_extract(source, '([0-9]+)$', 1), '') AS BIGINT) AS k FROM documents),"
+    " r AS (SELECT p.source, p.k, h.base_input, h.base_output, n.n_name AS model, CASE WHEN p.k % 4 = 0 THEN 2.5e0 ELSE n.n_regionkey * 0.5e0 + 1 END AS input_usd, CASE WHEN n.n_regionkey <> 2 THEN n.n_regionkey * 4e0 + 2 END AS output_usd, CASE WHEN p.k % 5 = 1 THEN 1.1e0 ELSE 1.35e0 END AS overhead FROM p JOIN h ON h.source = p.source LEFT JOIN nation n ON n.n_nationkey = p.k AND p.k % 7 <> 6),"
+    " t AS (SELECT *, CAST(round_even(base_input * overhead, 0) AS BIGINT) AS input_tokens, CAST(round_even(base_output * overhead, 0) AS BIGINT) AS output_tokens, concat_ws(',', CASE WHEN model IS NULL THEN 'model_name' END, CASE WHEN input_usd IS NULL THEN 'input_usd_per_million_tokens' END, CASE WHEN output_usd IS NULL THEN 'output_usd_per_million_tokens' END) AS missing FROM r)"
+    " SELECT source, CASE WHEN missing = '' THEN 'estimated' ELSE 'not_estimated' END AS status, missing, base_input, base_output, input_tokens, output_tokens, CASE WHEN missing = '' THEN input_tokens * input_usd / 1000000 + output_tokens * output_usd / 1000000 END AS cost FROM t",
+)
+def g16(spark, d):
+    """Sources as projects, nations as models: some lack a model or a price, some have a price or an overhead of their own."""
+    docs = table(spark, d, "documents").select("source", "doc_id", F.octet_length("text").alias("bytes"))
+    kind = F.when(F.col("doc_id") % 3 == 0, "context").when(F.col("doc_id") % 3 == 1, "translated").otherwise("note")
+    k = F.nullif(F.regexp_extract("source", "([0-9]+)$", 1), F.lit("")).cast("long")
+    nation = table(spark, d, "nation").select(F.col("n_nationkey").cast("long").alias("k"), "n_name", "n_regionkey")
+    projects = docs.select("source").distinct().withColumn("k", k).join(nation.filter("k % 7 <> 6").select("k", F.col("n_name").alias("model")), "k", "left")
+    projects = projects.select("source", "model", F.when(F.col("k") % 4 == 0, 2.5).alias("input_price"), F.lit(None).cast("double").alias("output_price"), F.when(F.col("k") % 5 == 1, 1.1).alias("overhead"))
+    prices = nation.select(F.col("n_name").alias("model"), (F.col("n_regionkey") * 0.5 + 1).alias("input"), F.when(F.col("n_regionkey") != 2, F.col("n_regionkey") * 4.0 + 2).alias("output"))
+    return cost_estimates(docs.select("source", kind.alias("kind"), "bytes"), projects, prices, "source")
