@@ -340,3 +340,14 @@ before_cte AS (SELECT doc_id, coalesce(lang, '') AS part, lag(doc_id) OVER (PART
 )
 def o01(spark, d):
     return context_packages(spark, d).select("doc_id", *[F.array_join(c, ",").alias(c) for c in SECTIONS])
+
+
+def with_tokens(reports: DataFrame, key: str, text: str, tokens: DataFrame, token: str) -> DataFrame:
+    """``key, found``: whether any of the tokens, as they are written, stands in a report; a key's reports count together."""
+    met = phrases.phrase_hits(reports, key, text, tokens, token, False, False).select(key).distinct().withColumn("found", F.lit(True))
+    return reports.select(key).distinct().join(met, key, "left").select(key, F.coalesce("found", F.lit(False)).alias("found"))
+
+
+@query("O15_report_token", f"WITH {_TERMS} SELECT doc_id, EXISTS (SELECT 1 FROM terms WHERE contains(text, english)) AS found FROM documents")
+def o15(spark, d):
+    return with_tokens(table(spark, d, "documents").select("doc_id", "text"), "doc_id", "text", term_rows(spark, d), "english")

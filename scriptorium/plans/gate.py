@@ -12,7 +12,7 @@ from scriptorium.operators import runs
 from scriptorium.plans.artifacts import _json_files
 from scriptorium.plans.script import PLACED, ROUTE, placed
 from scriptorium.sources import batches
-from scriptorium.sources.tables import table
+from scriptorium.sources.tables import LINES, lines, table
 
 QUERIES, SQL = {}, {}
 # Kinds of signals in their order, states that block, what each state means, and ids of known failures.
@@ -301,3 +301,40 @@ def run_steps(steps: Iterable[tuple[str, Callable[[], object]]]) -> list[tuple[s
             done.append((name, error))
             break
     return done
+
+
+def report_signals(lines: DataFrame, counts: DataFrame, key: str) -> DataFrame:
+    """``key, place, signal, type, frequency`` from stored reports: ``lines (key, line)`` as ``LEVEL CODE message``.
+
+    Names are counted and ordered by kind, then the most frequent first, then by name.  A key whose report names no
+    signal takes ``counts (key, type, n)`` of its log instead, as ``type.count``; counts of none do not count.
+    """
+    code = F.get(F.split(F.trim("line"), "\\s+", 3), 1)
+    found = lines.select(key, signal_name(code).alias("signal")).filter("signal is not null").groupBy(key, "signal").agg(F.count(F.lit(1)).alias("n"))
+    found = found.select(key, F.substring_index("signal", ".", 1).alias("type"), "signal", "n")
+    stored = counts.filter(F.col("type").isin(*SIGNALS) & (F.col("n") > 0)).join(found.select(key).distinct(), key, "left_anti")
+    rows = found.unionByName(stored.select(key, "type", F.concat("type", F.lit(".count")).alias("signal"), F.col("n").cast("long").alias("n")))
+    rank = F.array_position(F.array(*map(F.lit, SIGNALS)), F.col("type"))
+    often = F.when(F.col("n") >= 50, "high").when(F.col("n") >= 10, "medium").otherwise("low")
+    return rows.select(key, F.row_number().over(runs.ordered([key], [rank, F.desc("n"), "signal"])).cast("long").alias("place"), "signal", "type", often.alias("frequency"))
+
+
+#: Lines as report lines: the code by the number of the line, some with numbers at its end, some no signal's.
+_CODE = "CASE line_no % 7 " + " ".join(f"WHEN {k} THEN '{x}'" for k, x in enumerate((f"{SIGNALS[0]}.marker.3.14", f"{SIGNALS[1]}.shape", f"{SIGNALS[2]}.margin.x.7", f"{SIGNALS[1]}.unpaired.2", "batch.valid", f"{SIGNALS[2]}", ""))) + " END"
+_TYPES = ", ".join(f"('{x}', {k})" for k, x in enumerate(SIGNALS))
+
+
+@query(
+    "O12_report_signals",
+    f"WITH l AS (SELECT doc_id, 'WARN ' || {_CODE} || ' ' || line AS line FROM {LINES} WHERE doc_id % 5 <> 0), t(type, k) AS (VALUES {_TYPES}),"
+    " c AS (SELECT doc_id, regexp_replace(coalesce(regexp_split_to_array(trim(line), '\\s+')[2], ''), '(\\.[0-9]+)+$', '') AS code FROM l),"
+    " f AS (SELECT doc_id, type, k, regexp_extract(code, '^[^.]*(\\.[^.]*)?') AS signal, count(*) AS n FROM c JOIN t ON starts_with(code, type || '.') GROUP BY ALL),"
+    " s AS (SELECT doc_id, type, k, type || '.count' AS signal, doc_id * (k + 1) % 70 AS n FROM documents, t WHERE doc_id NOT IN (SELECT doc_id FROM f) AND doc_id * (k + 1) % 70 > 0)"
+    " SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY k, n DESC, signal) AS place, signal, type, CASE WHEN n >= 50 THEN 'high' WHEN n >= 10 THEN 'medium' ELSE 'low' END AS frequency FROM (SELECT * FROM f UNION ALL SELECT * FROM s)",
+)
+def o12_signals(spark, d):
+    """Reports of documents; every fifth has none and takes the counts of its log."""
+    said = lines(spark, d).filter("doc_id % 5 <> 0").select("doc_id", F.concat(F.lit("WARN "), F.expr(_CODE), F.lit(" "), "line").alias("line"))
+    each = F.array(*[F.struct(F.lit(x).alias("type"), (F.col("doc_id") * (k + 1) % 70).alias("n")) for k, x in enumerate(SIGNALS)])
+    counts = table(spark, d, "documents").select("doc_id", F.inline(each))
+    return report_signals(said, counts, "doc_id")

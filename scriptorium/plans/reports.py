@@ -147,12 +147,6 @@ def o08(spark, d):
     return rows.select("conv_id", "turn", F.concat_ws(" ", *pairs).alias("line"))
 
 
-@query("O15_report_token", "SELECT source, bool_or(contains(text, 'Licensed') OR contains(text, 'http')) AS found FROM documents GROUP BY source")
-def o15(spark, d):
-    found = F.col("text").contains("Licensed") | F.col("text").contains("http")
-    return table(spark, d, "documents").groupBy("source").agg(F.bool_or(found).alias("found"))
-
-
 @query("O13_causes", "SELECT DISTINCT user_id, cause FROM events JOIN (VALUES ('error', 'input_missing'), ('purchase', 'price_changed'), ('refund', 'never_seen')) r(event_type, cause) USING (event_type)")
 def o13(spark, d):
     """Causes whose signal is present, by a fixed rule table of three rows."""
