@@ -98,21 +98,14 @@ def _placed(found: DataFrame) -> DataFrame:
     return spans.unionByName(found.filter(~hit).select("blob", "rules", F.array().cast("array<struct<start:int,rule:string,version:int,end:int>>").alias("spans")))
 
 
-def _texts(rows: DataFrame, due: Written, once: Column, apart: Written) -> DataFrame:
-    """One text of every blob of ``due (blob, rules, n)``.
+def _texts(rows: DataFrame, due: Written) -> DataFrame:
+    """One text of every blob of ``due (blob, rules)``: copies are combined where they are, then one text a blob is shuffled.
 
-    Blobs that are ``due`` but few, or all but the few of ``apart``, are picked by a broadcast and texts stay where they
-    are; only copies are grouped.  Else one text a blob is shuffled, after copies are combined where they are.
+    Blobs that are few, as after the first commit, are picked by a broadcast before that.
     """
-    one = lambda r: r.groupBy("blob").agg(F.first("body").alias("body"))
     if due.bytes * 4 <= BROADCAST_LIMIT:
-        side = F.broadcast(due.df)
-        return rows.join(side.filter(once), "blob").select("blob", "body", "rules").unionByName(one(rows.join(side.filter(~once), "blob", "left_semi")).join(side, "blob").select("blob", "body", "rules"))
-    if apart.bytes * 4 <= BROADCAST_LIMIT:
-        side = F.broadcast(apart.df)
-        alone = rows.join(side.select("blob"), "blob", "left_anti").select("blob", "body", F.lit(None).alias("rules"))
-        return alone.unionByName(one(rows.join(side.filter("size(rules) > 0"), "blob", "left_semi")).join(side, "blob").select("blob", "body", "rules"))
-    return one(rows).join(due.df, "blob").select("blob", "body", "rules")
+        rows = rows.join(F.broadcast(due.df.select("blob")), "blob", "left_semi")
+    return rows.groupBy("blob").agg(F.first("body").alias("body")).join(due.df, "blob").select("blob", "body", "rules")
 
 
 def scan_unseen(versions: DataFrame, rows: DataFrame, ledger: Ledger, rules: tuple[Rule, ...] = RULES) -> None:
@@ -121,23 +114,20 @@ def scan_unseen(versions: DataFrame, rows: DataFrame, ledger: Ledger, rules: tup
     ``versions``: a written table with ``blob``; ``rows (blob, body)``: the texts, read only if there are such pairs.
     """
     everything = _names(rules)
-    counted = versions.groupBy("blob").agg(F.count(F.lit(1)).alias("n"))
+    blobs = versions.select("blob").distinct()
     if ledger.commits():
         seen = ledger.entries().groupBy("blob").agg(F.flatten(F.collect_set("rules")).alias("seen"))
-        counted = counted.join(seen, "blob", "left").withColumn("rules", F.array_except(everything, F.coalesce("seen", F.array_except(everything, everything)))).drop("seen")
+        unseen = F.array_except(everything, F.coalesce("seen", F.array_except(everything, everything)))
+        blobs = blobs.join(seen, "blob", "left").select("blob", unseen.alias("rules")).filter("size(rules) > 0")
     else:
-        counted = counted.withColumn("rules", everything)
-    blobs = Written(counted, "blobs")
-    due = Written(blobs.df.filter("size(rules) > 0"), "due")
+        blobs = blobs.withColumn("rules", everything)
+    due = Written(blobs, "due")
     if due.df.isEmpty():
         return
-    once = F.col("n") == 1
-    apart = Written(blobs.df.filter(~(once & (F.size("rules") == len(rules)))), "apart")
-    texts = _texts(rows, due, once, apart).withColumn("rules", F.coalesce("rules", everything))
-    found = Written(scanned(texts, rules), "found")
+    found = Written(scanned(_texts(rows, due), rules), "found")
     ledger.add(_placed(found.df))
-    for done in (blobs, due, apart, found):
-        done.drop()
+    due.drop()
+    found.drop()
 
 
 def scan(docs: DataFrame, ledger: Ledger, rules: tuple[Rule, ...] = RULES, id_column: str = "doc_id", text: str = "text") -> DataFrame:
