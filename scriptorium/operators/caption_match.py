@@ -103,7 +103,7 @@ def scored_pairs(units: DataFrame, events: DataFrame, terms: DataFrame, keys: li
     prepared = lambda c: [t.match_terms(c).alias("words"), t.compact_key(c).alias("flat")]
     listed = terms.filter("english <> '' and chinese <> ''").groupBy(*keys).agg(F.collect_list(F.struct(t.plain_lower(F.col("english")).alias("english"), "chinese")).alias("terms"))
     named = F.filter("terms", lambda x: F.lower("source").contains(x["english"]))
-    left = units.filter(t.match_key(F.col("source")) != "").join(listed, keys, "left")
+    left = units.filter(t.match_key(F.col("source")) != "").join(Stored(listed).side(), keys, "left")  # a row a key, so a hot key is broadcast
     left = Stored(left.select("unit_id", "source", *prepared(F.col("source")), F.coalesce(named, F.array().cast("array<struct<english:string,chinese:string>>")).alias("named")))
     right = Stored(events.filter(text != "").select("event", "start", "end", text.alias("text"), *prepared(text)))
     pairs = _by_words(left.df, right.df).unionAll(_by_letters(left.df, right.df)).unionAll(_by_terms(left.df, right.df)).distinct()
