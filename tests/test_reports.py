@@ -2,7 +2,7 @@
 
 import random
 
-from scriptorium.plans import reports
+from scriptorium.plans import reports, summaries
 
 
 def test_parenthesis_groups_match_a_loop(spark):
@@ -27,5 +27,5 @@ def test_parenthesis_groups_match_a_loop(spark):
 def test_uncovered_with_short_and_empty_items(spark):
     items = spark.createDataFrame([(1, "a b"), (2, "one two  three four"), (3, "zz"), (4, ""), (5, None), (6, "x"), (7, "two three four five six")], "id int, text string")
     texts = spark.createDataFrame([("none two three",), ("xone two three\nfourth, a b c",), ("",), (None,)], "text string")
-    got = {r.id for r in reports.uncovered(items, "id", texts).collect()}
+    got = {r.id for r in summaries.uncovered(items, "id", texts).collect()}
     assert got == {3, 7}
