@@ -118,3 +118,29 @@ def test_empty_tables(spark):
     assert m.scored_pairs(us, es, ts, ["part"]).collect() == []
     assert phrases.phrase_hits(us, "unit_id", "source", ts, "english", True).collect() == []
     assert scans.within_budget(us.withColumn("at", F.lit(1)), ["part"], ["at"], F.lit(1), 3).collect() == []
+
+
+@pytest.mark.parametrize("shard", [phrases.SHARD_BYTES, 40])
+def test_least_values(spark, monkeypatch, shard):
+    """However many terms a text holds, n leave its task, and they are its first."""
+    monkeypatch.setattr(phrases, "SHARD_BYTES", shard)
+    rnd = random.Random(4)
+    words = [a + b for a in "abcdefgh" for b in "xyz"]
+    terms = [(k, rnd.choice(words)) for k in range(300)]
+    texts = [(i, " ".join(rnd.choices(words, k=rnd.randint(0, 30))).upper()) for i in range(60)] + [(60, None), (61, "")]
+    rows, known = spark.createDataFrame(texts, "id long, body string").repartition(3), spark.createDataFrame(terms, "term long, word string")
+    for n in (1, 7, 1000):
+        out = phrases.least_values(rows, "id", "body", known, "word", "term", n).collect()
+        assert all(0 < len(r["values"]) <= n for r in out) and (shard == 40 or len(out) == len({r.id for r in out}))
+        got = {}
+        for r in out:
+            got[r.id] = sorted(got.get(r.id, []) + r["values"])[:n]
+        assert got == {i: own[:n] for i, text in texts if (own := [k for k, w in terms if w in (text or "").lower()])}
+
+
+def test_few_keys(spark):
+    """A task gives the pairs of a key once, not once a text."""
+    rows = spark.createDataFrame([("en", "the art of it")] * 500 + [("de", "die art")] * 500, "part string, body string").coalesce(1)
+    known = spark.createDataFrame([("art",), ("the",), ("die",)], "p string")
+    out = phrases.phrase_hits(rows, "part", "body", known, "p", False, few_keys=True).collect()
+    assert sorted(tuple(r) for r in out) == [("de", "art"), ("de", "die"), ("en", "art"), ("en", "the")]
