@@ -6,18 +6,31 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scriptorium.functions import text as t
-from scriptorium.operators import runs
 
 # Fixed values, in points: height of a line's cell, gap that stands for a space, left end of the body, top band of page numbers.
 CELL, WORD_GAP, BODY_X, NUMBER_Y = 3, 10, 90, 720
 STYLES = ("bold", "italic", "underline")
 
 
+#: Every set of styles, in order, so that the place of one stands for it.
+SETS = sorted([x for k, x in enumerate(STYLES) if code >> k & 1] for code in range(1 << len(STYLES)))
+
+
 def _kept_spans(spans: Column) -> Column:
-    """Spans that are not empty, with their known styles, sorted; those without one go."""
-    known = F.array(*map(F.lit, STYLES))
-    clean = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.array_sort(F.array_intersect(s["styles"], known)).alias("styles")))
-    return F.filter(clean, lambda s: (s["start"] >= 0) & (s["end"] > s["start"]) & (F.size(s["styles"]) > 0))
+    """Spans that are not empty, with the place of their known styles in SETS; those without one (place 0) go."""
+    mask = lambda styles: sum((F.when(F.array_contains(styles, x), 1 << k).otherwise(0) for k, x in enumerate(STYLES)), F.lit(0))
+    places = F.array(*[F.lit(SETS.index([x for k, x in enumerate(STYLES) if code >> k & 1])) for code in range(len(SETS))])
+    clean = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.element_at(places, mask(s["styles"]) + 1).cast("byte").alias("style")))
+    return F.filter(clean, lambda s: (s["start"] >= 0) & (s["end"] > s["start"]) & (s["style"] > 0))
+
+
+def _joined(spans: str) -> Column:
+    """Sorted spans; touching ones of one style are one. Null without one."""
+    apart = lambda a, b: F.coalesce((a["end"] != b["start"]) | (a["style"] != b["style"]), F.lit(True))
+    first = F.filter(spans, lambda s, i: apart(F.get(spans, i - 1), s))
+    last = F.filter(spans, lambda s, i: apart(s, F.get(spans, i + 1)))
+    sets = F.array(*[F.array(*map(F.lit, x)).cast("array<string>") for x in SETS])
+    return F.when(F.size(spans) > 0, F.zip_with(first, last, lambda a, b: F.struct(a["start"].alias("start"), b["end"].alias("end"), F.element_at(sets, a["style"].cast("int") + 1).alias("styles"))))
 
 
 def zone(text: Column, x: Column, y: Column) -> Column:
@@ -31,9 +44,10 @@ def lines_of(fragments: DataFrame, keys: list[str]) -> DataFrame:
     Fragments of one cell of y make a line, from left to right, then by ``seq``; one that begins more than WORD_GAP right of
     the one before brings a space.  A span moves by what stands before its fragment; touching spans of one style are one.
     Null texts are empty; a line holds what one page has at one height, so a task never holds more than that.
+    Fragments are shuffled once, with the styles of their spans as numbers.
     """
     key = [*keys, "cell"]
-    rows = fragments.withColumn("cell", t.bucket(F.col("y"), CELL).cast("long")).withColumn("text", F.coalesce("text", F.lit("")))
+    rows = fragments.withColumn("cell", t.bucket(F.col("y"), CELL).cast("long")).withColumn("text", F.coalesce("text", F.lit(""))).withColumn("spans", _kept_spans(F.col("spans")))
     order = Window.partitionBy(*key).orderBy("x", "seq")
     gap = F.coalesce(F.col("x") - F.lag("x").over(order) > WORD_GAP, F.lit(False))
     piece = F.concat(F.when(gap, " ").otherwise(""), F.col("text"))
@@ -41,15 +55,10 @@ def lines_of(fragments: DataFrame, keys: list[str]) -> DataFrame:
     until = F.sum(F.length("piece")).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     rows = rows.withColumn("begin", (until - F.length("text")).cast("int"))
     parts = F.array_sort(F.collect_list(F.struct("x", "seq", "y", "piece")))
-    lines = rows.groupBy(*key).agg(parts.alias("p")).select(*key, F.array_join(F.transform("p", lambda p: p["piece"]), "").alias("text"), F.col("p")[0]["x"].alias("x"), F.col("p")[0]["y"].alias("y"), F.size("p").alias("parts"))
-    lines = lines.withColumn("zone", zone(F.col("text"), F.col("x"), F.col("y")))
-    moved = rows.select(*key, "begin", F.explode(_kept_spans(F.col("spans"))).alias("s"))
-    moved = moved.select(*key, (F.col("begin") + F.col("s.start")).alias("start"), (F.col("begin") + F.col("s.end")).alias("end"), F.col("s.styles").alias("styles"))
-    placed = Window.partitionBy(*key).orderBy("start", "end", "styles")
-    apart = (F.lag("end").over(placed) != F.col("start")) | (F.lag("styles").over(placed) != F.col("styles"))
-    whole = runs.islands(moved, key, ["start", "end", "styles"], apart, "run").groupBy(*key, "run").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.first("styles").alias("styles"))
-    spans = whole.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("start", "end", "styles"))).alias("spans"))
-    return lines.join(spans, key, "left")
+    moved = F.transform("spans", lambda s: F.struct((F.col("begin") + s["start"]).alias("start"), (F.col("begin") + s["end"]).alias("end"), s["style"].alias("style")))
+    lines = rows.withColumn("moved", moved).groupBy(*key).agg(parts.alias("p"), F.array_sort(F.flatten(F.collect_list("moved"))).alias("spans"))
+    lines = lines.select(*key, F.array_join(F.transform("p", lambda p: p["piece"]), "").alias("text"), F.col("p")[0]["x"].alias("x"), F.col("p")[0]["y"].alias("y"), F.size("p").alias("parts"), _joined("spans").alias("spans"))
+    return lines.select(*key, "text", "x", "y", "parts", zone(F.col("text"), F.col("x"), F.col("y")).alias("zone"), "spans")
 
 
 def styled(spans: Column) -> Column:

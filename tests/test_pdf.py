@@ -42,3 +42,19 @@ def test_ops_rows_lines_and_markers(spark, tmp_path):
     marks = pdf.marker_types(pdf.text_rows(ops).withColumn("display_page", pdf.F.col("pdf_page")).withColumn("zone", pdf.F.lit("margin"))).filter("path like '%False.pdf'")
     # "3." in a margin has a digit but is no run of digits, so the surveyed rule (P08) makes it a split number
     assert sorted((r.type, r.position) for r in marks.collect()) == [("contd", None), ("scene_no", "left"), ("scene_no", "right"), ("split_scene", "right")]
+
+
+def test_lines_shuffle_fragments_once(spark):
+    """Spans travel with their fragments, in one exchange; ties of place go by the order of the style sets, and foreign spans keep touching ones apart."""
+    from pyspark.sql import functions as F
+
+    from scriptorium.operators import fragments
+
+    assert fragments.SETS == sorted(fragments.SETS) and len(fragments.SETS) == 8
+    schema = "doc int, seq int, x double, y double, text string, spans array<struct<start:int,end:int,styles:array<string>>>"
+    b, i, none = ["bold"], ["italic", "shadow"], []
+    rows = [(1, 0, 1.0, 9.0, "abcd", [(0, 2, b), (2, 4, b)]), (1, 1, 2.0, 9.1, "ef", [(0, 1, b), (0, 1, i), (1, 2, none)]), (1, 2, 50.0, 9.0, None, None), (2, 0, 1.0, 9.0, "x", [])]
+    out = fragments.lines_of(spark.createDataFrame(rows, schema), ["doc"])
+    got = {r.doc: (r.text, r.parts, r.s) for r in out.select("doc", "text", "parts", fragments.styled(F.col("spans")).alias("s")).collect()}
+    assert got == {1: ("abcdef ", 3, "0-5:bold,4-5:italic"), 2: ("x", 1, "")}
+    assert out._jdf.queryExecution().sparkPlan().toString().count("Exchange") == 0 and out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].count("Exchange hashpartitioning") == 1
