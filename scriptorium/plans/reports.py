@@ -68,10 +68,8 @@ def j26(spark, d):
 @query("G02_joined_spans", "SELECT l_orderkey, min(l_linenumber) AS start, max(l_linenumber) + 1 AS stop, l_returnflag AS style FROM (SELECT *, l_linenumber - row_number() OVER (PARTITION BY l_orderkey, l_returnflag ORDER BY l_linenumber) AS run FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_returnflag FROM lineitem)) GROUP BY l_orderkey, run, l_returnflag")
 def g02(spark, d):
     """Touching spans of one style become one."""
-    spans = table(spark, d, "lineitem").select("l_orderkey", F.col("l_returnflag").alias("style"), F.col("l_linenumber").alias("start"), (F.col("l_linenumber") + 1).alias("stop")).distinct()
-    keys = ["l_orderkey", "style"]
-    joined = runs.islands(spans, keys, ["start"], F.lag("stop").over(runs.ordered(keys, ["start"])) != F.col("start"))
-    return joined.groupBy(*keys, "island").agg(F.min("start").alias("start"), F.max("stop").alias("stop")).select("l_orderkey", "start", "stop", "style")
+    spans = table(spark, d, "lineitem").select("l_orderkey", F.col("l_returnflag").alias("style"), F.col("l_linenumber").alias("start"), (F.col("l_linenumber") + 1).alias("stop"))
+    return runs.touching(spans, ["l_orderkey", "style"], "start", "stop").select("l_orderkey", "start", "stop", "style")
 
 
 @query("G19_missing_labels", "SELECT source, string_agg(doc_id, ',' ORDER BY doc_id) FILTER (k <= 12) AS preview, count(*) AS total FROM (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS k FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)) GROUP BY source")

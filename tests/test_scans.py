@@ -161,3 +161,23 @@ def test_page_bins_equal_a_walk(spark, seed):
     out = got(runs.page_bins(df, ["k"], "at", {"a": 40, "b": 12}, 3, 8), "bin")
     spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert out == sorted(want, key=str)
+
+
+def test_touching_equals_loops(spark, monkeypatch):
+    """Ranges that touch are one, with copies and without a start; tasks grow in number with the rows and none hashes them."""
+    rnd = random.Random(5)
+    rows = [(rnd.randint(0, 6), rnd.choice([None, "a", "b"]), v, v + 1) for v in (rnd.randint(1, 12) for _ in range(120))] + [(1, "a", None, None)] * 2
+    df = spark.createDataFrame(rows, "k int, s string, start int, stop int")
+    want = set()
+    for key in {r[:2] for r in rows}:
+        own = {r[2] for r in rows if r[:2] == key}
+        if None in own:
+            want.add((*key, None, None))
+            own.discard(None)
+        for v in own:
+            if v - 1 not in own:
+                want.add((*key, v, next(e for e in range(v + 1, 99) if e not in own)))
+    out = runs.touching(df, ["k", "s"], "start", "stop", rows=9)
+    got = [tuple(r) for r in out.collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    assert out.rdd.getNumPartitions() == -(-len(rows) // 9) and "HashAggregate" not in out._jdf.queryExecution().toString()
