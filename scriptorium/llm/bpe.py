@@ -17,6 +17,8 @@ import unicodedata
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 INFINITY = 1 << 60
@@ -41,6 +43,9 @@ _WORDS = regex.compile(rf"[\p{{L}}]+|{_CONTRACTIONS}|[\p{{N}}]|[^\s\p{{L}}\p{{N}
 #: The same, and faster, for texts whose only numbers are decimal digits.
 _PLAIN_WORDS = re.compile(rf"[^\W\d_]+|{_CONTRACTIONS}|\d|(?:[^\w\s]|[_\x1c-\x1f])+")
 
+#: The same two, where a line end is a match of its own.
+_WORD_LINES, _PLAIN_LINES = regex.compile(_WORDS.pattern + "|\n"), re.compile(_PLAIN_WORDS.pattern + "|\n")
+
 
 def byte_alphabet() -> list[str]:
     """The printable character that stands for each byte value in byte-level vocabularies."""
@@ -425,6 +430,33 @@ def gathered(texts: Iterable[str | None], vocabulary: Vocabulary, caches: list[M
     yield from learned()
 
 
+def plain(text: str, vocabulary: Vocabulary) -> str | None:
+    """The normalised text if white space divides it into parts that can be split into pre-tokens one by one; null for special tokens and the library's own splits."""
+    if len(text) > BATCH_CHARS or (vocabulary.special_pattern and "<|" in text):
+        return None
+    if text.isascii():
+        return text.lower()
+    return None if rare_kinds(text) & _UNASSIGNED else unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+
+
+def distinct_parts(texts: list[str]) -> tuple[str, np.ndarray, np.ndarray]:
+    """The distinct parts between ASCII white space of ``plain`` texts (a line each), the line of each part, and where each text's parts begin (and the last's end)."""
+    parts = pc.ascii_split_whitespace(pa.array(texts, pa.string()))
+    coded = parts.flatten().dictionary_encode()
+    lines = pa.ListArray.from_arrays(pa.array([0, len(coded.dictionary)], pa.int32()), coded.dictionary)
+    return pc.binary_join(lines, "\n")[0].as_py() + "\n", coded.indices.to_numpy(), parts.offsets.to_numpy()
+
+
+def line_ids(lines: str, memo: Memo) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all lines, one after the other, and where each line's begin (and the last's end); the memo's values are ids as bytes."""
+    words = (_WORD_LINES if rare_kinds(lines) & _OTHER_NUMBER else _PLAIN_LINES).findall(lines)
+    memo.learn([words])
+    memo["\n"] = b""  # the end of a line; any pre-token has an id
+    values = list(map(memo.__getitem__, words))
+    sizes = np.fromiter(map(len, values), np.int64, len(values)) // 4
+    return np.frombuffer(b"".join(values), np.uint32), np.concatenate([[0], np.cumsum(sizes)[sizes == 0]])
+
+
 def encode(text: str | None, vocabulary: Vocabulary) -> Iterator[int]:
     """Ids of a whole text, as a stream; null counts as empty."""
     for run in runs(text or "", vocabulary):

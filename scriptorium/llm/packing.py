@@ -14,6 +14,7 @@ sequence whose length is a power of two needs no padding; those transitions are
 from __future__ import annotations
 
 import functools
+import math
 import zlib
 from array import array
 from collections.abc import Iterable, Iterator
@@ -58,12 +59,12 @@ def candidates(doc_ends: np.ndarray, sentence_ends: np.ndarray, total: int) -> t
 def best_cuts(at: np.ndarray, penalty: np.ndarray, limit: int = LIMIT) -> list[int]:
     """The cuts, ascending and ending with the last candidate, of least padding plus penalties."""
     n = len(at)
+    number = np.full(int(at[-1]) + 1, -1, np.int32)  # of the candidate at a position; the beginning is 0
+    number[0], number[at] = 0, np.arange(1, n + 1)
     exact = []
     size = 1
     while size <= limit:
-        found = np.searchsorted(at, at - size)
-        hit = (at >= size) & ((at == size) | (at[np.minimum(found, n - 1)] == at - size))
-        exact.append(np.where(hit, np.where(at == size, 0, found + 1), -1))
+        exact.append(np.where(at >= size, number[np.maximum(at - size, 0)], -1))
         size *= 2
     whole = np.stack(exact, axis=1)
     special = whole[whole >= 0].tolist()
@@ -71,9 +72,10 @@ def best_cuts(at: np.ndarray, penalty: np.ndarray, limit: int = LIMIT) -> list[i
     place = [0, *at.tolist()]
     fee = [0.0, *penalty.tolist()]
     best, came = [0.0] * (n + 1), [0] * (n + 1)
-    keys, nodes, front = [0.0], [0], 0  # the monotone queue, which begins at front
+    keys, nodes, front = [-math.inf, 0.0], [0, 0], 1  # the monotone queue, which begins at front; what lies before ends a search
     for i, here, cost, some, more in zip(range(1, n + 1), place[1:], fee[1:], until, until[1:]):
         while place[nodes[front]] < here - limit:
+            keys[front] = -math.inf
             front += 1
         j = nodes[front]
         value = keys[front] + limit - here
@@ -84,9 +86,8 @@ def best_cuts(at: np.ndarray, penalty: np.ndarray, limit: int = LIMIT) -> list[i
         value += cost
         best[i], came[i] = value, j
         key = value + here
-        while len(keys) > front and keys[-1] >= key:
-            keys.pop()
-            nodes.pop()
+        while keys[-1] >= key:
+            del keys[-1], nodes[-1]
         keys.append(key)
         nodes.append(i)
     cuts, i = [], n
@@ -154,13 +155,40 @@ def _tools(tokenizer: str):
     return vocabulary, pieces, ends
 
 
+def _batch_ids(texts: list[str | None], vocabulary: bpe.Vocabulary, pieces: bpe.Memo) -> Iterator[np.ndarray]:
+    """Of each text its ids and the closing one; what stands between white space is encoded once for all texts."""
+    end = np.array([END_ID], np.uint32)
+    plain = [bpe.plain(text or "", vocabulary) for text in texts]
+    lines, place, first = bpe.distinct_parts([text for text in plain if text is not None])
+    ids, starts = bpe.line_ids(lines, pieces)
+    sizes = np.diff(starts)[place]
+    ends = np.cumsum(sizes)
+    ids = ids[np.repeat(starts[place] - ends + sizes, sizes) + np.arange(sizes.sum())]
+    bounds = iter(np.concatenate([[0], ends])[first].tolist())
+    begin = next(bounds, 0)
+    for text, own in zip(texts, plain):
+        if own is not None:
+            stop = next(bounds)
+            yield np.concatenate([ids[begin:stop], end])
+            begin = stop
+        else:
+            for runs in bpe.gathered([text], vocabulary, [pieces]):
+                known = [array("I", [run]).tobytes() if isinstance(run, int) else b"".join(map(pieces.__getitem__, run)) for run in runs]
+                yield np.concatenate([np.frombuffer(b"".join(known), np.uint32), end])
+
+
 def document_ids(texts: Iterable[str | None], tokenizer: str = TOKENIZER) -> Iterator[np.ndarray]:
     """Of each text its ids and the closing one."""
     vocabulary, pieces, _ = _tools(tokenizer)
-    end = array("I", [END_ID]).tobytes()
-    for runs in bpe.gathered(texts, vocabulary, [pieces]):
-        parts = [array("I", [run]).tobytes() if isinstance(run, int) else b"".join(map(pieces.__getitem__, run)) for run in runs]
-        yield np.frombuffer(b"".join([*parts, end]), np.uint32)
+    held: list[str | None] = []
+    size = 0
+    for text in texts:
+        held.append(text)
+        size += len(text or "")
+        if size > bpe.BATCH_CHARS:
+            yield from _batch_ids(held, vocabulary, pieces)
+            held, size = [], 0
+    yield from _batch_ids(held, vocabulary, pieces)
 
 
 def pack_documents(docs: DataFrame, tokenizer: str = TOKENIZER, limit: int = LIMIT, id_column: str = "doc_id", text: str = "text") -> DataFrame:

@@ -184,3 +184,24 @@ def test_memo_keeps_counting_right_when_it_turns_over():
     tree = token_counts.CountTree(text, NAME)
     assert tree.tokens[1] == sum(1 for _ in bpe.encode(text, vocabulary))
     assert tree.edit(len(text) // 2, len(text) // 2 + 9, "a new one ") == sum(1 for _ in bpe.encode(tree.text, vocabulary))
+
+
+def test_packing_encodes_a_part_once_for_all_texts(library, monkeypatch):
+    """The words of texts that repeat are split and looked up once a batch, not wherever they stand; ids stay the library's."""
+    looked = []
+
+    class Counting(bpe.Memo):
+        def __getitem__(self, word):
+            looked.append(word)
+            return super().__getitem__(word)
+
+    monkeypatch.setattr(packing.bpe, "Memo", Counting)
+    packing._tools.cache_clear()
+    odd = [None, "", " \n", "a\x1cb\x85c", "<|endoftext|>ab cd", "ΑΣ Ⅷ ½ x²", "͸ don't", "é é"]
+    texts = [f"It's the {w}, of all." for w in ("one", "two", "ñandú") * 400] + odd
+    try:
+        found = [ids.tolist() for ids in packing.document_ids(iter(texts))]
+    finally:
+        packing._tools.cache_clear()
+    assert found == [[*library.encode(t or "", add_special_tokens=False).ids, packing.END_ID] for t in texts]
+    assert len(looked) < 100
