@@ -2,11 +2,13 @@
 
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from scriptorium.functions import fixed
+from scriptorium.functions import text as t
 from scriptorium.operators import caption_match as m
 from scriptorium.operators import phrases, scans, stored
 
@@ -144,3 +146,29 @@ def test_few_keys(spark):
     known = spark.createDataFrame([("art",), ("the",), ("die",)], "p string")
     out = phrases.phrase_hits(rows, "part", "body", known, "p", False, few_keys=True).collect()
     assert sorted(tuple(r) for r in out) == [("de", "art"), ("de", "die"), ("en", "art"), ("en", "the")]
+
+
+def test_letters_meet_only_events_as_long(spark):
+    """A unit that is longer than an event makes no pair with it, whatever grams they share; one that stands in it does."""
+    units = spark.createDataFrame([("long", "a" * 40), ("fits", "a" * 18), ("short", "a" * 15), ("within", "b" * 60)], "unit_id string, flat string")
+    events = spark.createDataFrame([(1, "a" * 20), (2, "b" * 30 + "c" * 40), (3, "xy" + "a" * 16)], "event long, flat string")
+    assert {tuple(r) for r in m._by_letters(units, events).collect()} == {("fits", 1), ("fits", 3), ("within", 2)}
+    assert m._by_letters(units, events.limit(0)).count() == 0
+
+
+def test_letters_of_a_long_text_are_read_once(spark):
+    """Grams of a text take time in proportion to its length: this pair took the square of 60,000 steps, some 15 seconds."""
+    text = "".join(chr(97 + (i * i // 7 + i // 3) % 26) for i in range(60000))
+    units, events = spark.createDataFrame([("u", text)], "unit_id string, flat string"), spark.createDataFrame([(1, f"x{text}y")], "event long, flat string")
+    started = time.monotonic()
+    assert [tuple(r) for r in m._by_letters(units, events).collect()] == [("u", 1)]
+    assert time.monotonic() - started < 8
+
+
+def test_match_terms_fold_ascii_letters_only(spark):
+    """Signs outside ASCII whose lower case is an ASCII letter end a word, as they do before folding."""
+    texts = ["The Kelvin\u212aSign", "\u0130stanbul A'B ab -abc-D", "Don\u2019t DON'T rock rock", "", None]
+    rows = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "i int, x string").select("i", t.match_terms(F.col("x")).alias("w"), t.has_match_key(F.col("x")).alias("k"), (t.match_key(F.col("x")) != "").alias("want"))
+    rows = sorted(rows.collect())
+    assert [r["w"] for r in rows] == [["kelvin", "sign"], ["stanbul", "a'b", "abc-d"], ["rock"], [], None]
+    assert [r["k"] for r in rows] == [r["want"] for r in rows]
