@@ -148,6 +148,15 @@ def test_few_keys(spark):
     assert sorted(tuple(r) for r in out) == [("de", "art"), ("de", "die"), ("en", "art"), ("en", "the")]
 
 
+def test_few_keys_and_many_phrases(spark):
+    """More pairs than 2^18 are given once by a task, too: they were forgotten from there on, and held as objects."""
+    words = [f"w{k:06d}" for k in range(70_000)]
+    rows = spark.createDataFrame([(p, " ".join(words)) for _ in range(2) for p in ("de", "en", "es", "fr")], "part string, body string").coalesce(1)
+    known = spark.createDataFrame([(" ".join(words),)], "p string").select(F.explode(F.split("p", " ")).alias("p"))
+    out = phrases.phrase_hits(rows, "part", "body", known, "p", False, few_keys=True).groupBy("part").agg(F.count("*").alias("n"), F.count_distinct("phrase").alias("d"))
+    assert sorted(tuple(r) for r in out.collect()) == [(p, 70_000, 70_000) for p in ("de", "en", "es", "fr")]
+
+
 def test_letters_meet_only_events_as_long(spark):
     """A unit that is longer than an event makes no pair with it, whatever grams they share; one that stands in it does."""
     units = spark.createDataFrame([("long", "a" * 40), ("fits", "a" * 18), ("short", "a" * 15), ("within", "b" * 60)], "unit_id string, flat string")
