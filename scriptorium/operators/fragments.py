@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scriptorium.functions import text as t
@@ -19,9 +21,9 @@ SETS = sorted([x for k, x in enumerate(STYLES) if code >> k & 1] for code in ran
 def _kept_spans(spans: Column) -> Column:
     """Spans that are not empty, with the place of their known styles in SETS; those without one (place 0) go."""
     mask = lambda styles: sum((F.when(F.array_contains(styles, x), 1 << k).otherwise(0) for k, x in enumerate(STYLES)), F.lit(0))
-    places = F.array(*[F.lit(SETS.index([x for k, x in enumerate(STYLES) if code >> k & 1])) for code in range(len(SETS))])
-    clean = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.element_at(places, mask(s["styles"]) + 1).cast("byte").alias("style")))
-    return F.filter(clean, lambda s: (s["start"] >= 0) & (s["end"] > s["start"]) & (s["style"] > 0))
+    places = F.array(*[F.lit(SETS.index([x for k, x in enumerate(STYLES) if code >> k & 1])).cast("byte") for code in range(len(SETS))])
+    clean = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.element_at(places, mask(s["styles"]) + 1).alias("style")))
+    return F.filter(clean, lambda s: (s["style"] > 0) & (s["start"] >= 0) & (s["end"] > s["start"]))
 
 
 def _joined(spans: str) -> Column:
@@ -38,27 +40,39 @@ def zone(text: Column, x: Column, y: Column) -> Column:
     return F.when(number, "page_number").when(x >= BODY_X, "body").otherwise("margin")
 
 
+def _running(lengths: str) -> Column:
+    """Running sums of an array, over twice as many elements with each step, so that none is copied once for each that follows."""
+    steps = F.filter(F.array(*[F.lit(1 << k) for k in range(31)]), lambda s: s < F.size(lengths))
+    return F.aggregate(steps, F.col(lengths), lambda sums, s: F.transform(sums, lambda n, i: n + F.coalesce(F.get(sums, i - s), F.lit(0))))
+
+
 def lines_of(fragments: DataFrame, keys: list[str]) -> DataFrame:
-    """``keys, cell, text, x, y, parts, zone, spans`` from ``keys, seq, x, y, text, spans``.
+    """``keys, cell, text, x, y, parts, zone, spans`` from ``keys, seq, x, y, text, spans``: each fragment is a run of its own."""
+    return lines_of_runs(fragments, keys, ["x", "seq", "y", "text", "spans"], F.array, lambda run, piece, k: piece)
+
+
+def lines_of_runs(runs: DataFrame, keys: list[str], held: list[str], pieces: Callable[[Column], Column], fragment: Callable[[Column, Column, Column], Column]) -> DataFrame:
+    """``keys, cell, text, x, y, parts, zone, spans`` from ``keys, y`` and the columns ``held`` of runs of fragments in one cell of y.
 
+    ``pieces`` takes a run, given as a struct of ``held``, apart into an array of one or more; ``fragment`` makes a run, a piece and
+    its place there a struct of ``x, seq, y, text, spans``.  That happens after the only shuffle: what is shuffled and sorted are runs
+    as they came, and no fragment ever has a row of its own.
     Fragments of one cell of y make a line, from left to right, then by ``seq``; one that begins more than WORD_GAP right of
     the one before brings a space.  A span moves by what stands before its fragment; touching spans of one style are one.
     Null texts are empty; a line holds what one page has at one height, so a task never holds more than that.
-    Fragments are shuffled once, with the styles of their spans as numbers.
     """
     key = [*keys, "cell"]
-    rows = fragments.withColumn("cell", t.bucket(F.col("y"), CELL).cast("long")).withColumn("text", F.coalesce("text", F.lit(""))).withColumn("spans", _kept_spans(F.col("spans")))
-    order = Window.partitionBy(*key).orderBy("x", "seq")
-    gap = F.coalesce(F.col("x") - F.lag("x").over(order) > WORD_GAP, F.lit(False))
-    piece = F.concat(F.when(gap, " ").otherwise(""), F.col("text"))
-    rows = rows.withColumn("piece", piece)
-    until = F.sum(F.length("piece")).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    rows = rows.withColumn("begin", (until - F.length("text")).cast("int"))
-    parts = F.array_sort(F.collect_list(F.struct("x", "seq", "y", "piece")))
-    moved = F.transform("spans", lambda s: F.struct((F.col("begin") + s["start"]).alias("start"), (F.col("begin") + s["end"]).alias("end"), s["style"].alias("style")))
-    lines = rows.withColumn("moved", moved).groupBy(*key).agg(parts.alias("p"), F.array_sort(F.flatten(F.collect_list("moved"))).alias("spans"))
-    lines = lines.select(*key, F.array_join(F.transform("p", lambda p: p["piece"]), "").alias("text"), F.col("p")[0]["x"].alias("x"), F.col("p")[0]["y"].alias("y"), F.size("p").alias("parts"), _joined("spans").alias("spans"))
-    return lines.select(*key, "text", "x", "y", "parts", zone(F.col("text"), F.col("x"), F.col("y")).alias("zone"), "spans")
+    lines = runs.withColumn("cell", t.bucket(F.col("y"), CELL).cast("long")).groupBy(*key).agg(F.collect_list(F.struct(*held)).alias("runs"))
+    part = lambda f: F.struct(f["x"].alias("x"), f["seq"].alias("seq"), f["y"].alias("y"), F.coalesce(f["text"], F.lit("")).alias("text"), F.coalesce(_kept_spans(f["spans"]), F.array()).alias("spans"))
+    made = F.transform("runs", lambda run: F.transform(pieces(run), lambda piece, k: part(fragment(run, piece, k))))
+    lines = lines.select(*key, F.sort_array(F.flatten(made)).alias("p"))
+    gap = lambda f, i: F.when(f["x"] - F.get("p", i - 1)["x"] > WORD_GAP, " ").otherwise("")
+    lines = lines.withColumn("pieces", F.transform("p", lambda f, i: F.concat(gap(f, i), f["text"])))
+    lines = lines.withColumn("lengths", F.transform("pieces", lambda x: F.length(x)))
+    begins = F.zip_with("p", _running("lengths"), lambda f, end: end - F.length(f["text"]))
+    moved = F.zip_with("p", begins, lambda f, begin: F.transform(f["spans"], lambda s: F.struct((begin + s["start"]).alias("start"), (begin + s["end"]).alias("end"), s["style"].alias("style"))))
+    lines = lines.select(*key, F.array_join("pieces", "").alias("text"), F.col("p")[0]["x"].alias("x"), F.col("p")[0]["y"].alias("y"), F.size("p").alias("parts"), F.sort_array(F.flatten(moved)).alias("spans"))
+    return lines.select(*key, "text", "x", "y", "parts", zone(F.col("text"), F.col("x"), F.col("y")).alias("zone"), _joined("spans").alias("spans"))
 
 
 def styled(spans: Column) -> Column:

@@ -58,3 +58,22 @@ def test_lines_shuffle_fragments_once(spark):
     got = {r.doc: (r.text, r.parts, r.s) for r in out.select("doc", "text", "parts", fragments.styled(F.col("spans")).alias("s")).collect()}
     assert got == {1: ("abcdef ", 3, "0-5:bold,4-5:italic"), 2: ("x", 1, "")}
     assert out._jdf.queryExecution().sparkPlan().toString().count("Exchange") == 0 and out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].count("Exchange hashpartitioning") == 1
+
+
+def test_first_lines_shuffle_lines_not_words(spark, tmp_path):
+    """Fragments are made after the only shuffle and never sorted as rows; rows are those of the SQL, with long lines that meet, empty ones and null texts."""
+    import duckdb
+
+    from scriptorium.plans import layout
+
+    long = lambda n, w: " ".join(w[k % len(w)] * (k % 3 + 1) for k in range(n))
+    texts = [None, "", "one", "\n\n", " a  b ", "12.", long(300, "abc") + "\n" + long(250, "xyü") + "\n" + long(7, "q") + "\n" + long(130, "r"), "\n".join(long(k, "mn") for k in range(1, 40))]
+    path = str(tmp_path / "documents.parquet")
+    spark.createDataFrame([(k, x) for k, x in enumerate(texts)], "doc_id long, text string").coalesce(1).write.parquet(path)
+    out = layout.g01(spark, str(tmp_path))
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert (plan.count("Exchange hashpartitioning"), plan.count("Generate "), plan.count("Window"), plan.count("Sort ")) == (1, 1, 0, 0)
+    with duckdb.connect() as con:
+        con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{path}/*.parquet')")
+        want = con.execute(layout.SQL["G01_first_lines"]).fetchall()
+    assert len(want) > 30 and sorted(map(tuple, out.collect())) == sorted(want)
